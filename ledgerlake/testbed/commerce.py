@@ -1,3 +1,541 @@
-from ledgerlake.testbed.base import registry
+"""Shop jobs on the TPC-style tables.
+
+Mapping: order = ``orders`` row; line = ``lineitem`` row with line id
+``l_orderkey * 100 + l_linenumber`` (not unique in the data, so joins on it fan
+out as the reference's do); product = ``part``; refund line = returned line
+(``l_returnflag = 'R'``), refund = (order, ship date); country = customer
+nation with ``NATION_23`` as home country; currency = ``o_orderpriority``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ledgerlake.functions import local_date, money, title_case, trim_ws, utc_date
+from ledgerlake.functions.json import json_scalar
+from ledgerlake.operators import key_totals_beside_rows, neighbour_value
+from ledgerlake.plans import commerce as com
+from ledgerlake.testbed.base import CAL_START, CAL_YEARS, registry, table
 
 QUERIES, ORACLE, q = registry()
+
+HOME = "NATION_23"
+def line_id():
+    return F.col("l_orderkey") * 100 + F.col("l_linenumber")
+
+SQL_LINE_ID = "(l_orderkey * 100 + l_linenumber)"
+
+
+def sround(expr: str, k: int = 2) -> str:
+    """DuckDB text for Spark's ROUND on a double (half-up on the shortest decimal form)."""
+    return f"CAST(ROUND(CAST(CAST(CAST(({expr}) AS DOUBLE) AS VARCHAR) AS DECIMAL(38,18)), {k}) AS DOUBLE)"
+
+
+def _orders_with_country(spark, sf):
+    o = table(spark, sf, "orders")
+    c = table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_name")
+    n = table(spark, sf, "nation").select("n_nationkey", "n_name")
+    return o.join(c, o.o_custkey == c.c_custkey, "left").join(n, F.col("c_nationkey") == n.n_nationkey, "left")
+
+
+def _line_frames(spark, sf):
+    li = table(spark, sf, "lineitem")
+    lines = li.select(
+        line_id().alias("id"),
+        F.col("l_orderkey").alias("order_id"),
+        F.col("l_partkey").alias("product_id"),
+        F.col("l_suppkey").alias("variant_id"),
+        F.col("l_linestatus").alias("title"),
+        F.round(F.col("l_extendedprice") / F.col("l_quantity"), 2).alias("price"),
+        F.col("l_quantity").alias("quantity"),
+    )
+    refund_lines = li.where(F.col("l_returnflag") == "R").select(
+        line_id().alias("line_item_id"), F.col("l_quantity").alias("quantity"), F.col("l_extendedprice").alias("subtotal")
+    )
+    tax_lines = li.select(
+        line_id().alias("order_line_id"),
+        F.when(F.col("l_linestatus") == "F", F.lit("GB VAT")).otherwise(F.lit("EU VAT")).alias("title"),
+        F.col("l_tax").alias("rate"),
+        F.col("l_tax").alias("price"),
+    )
+    return lines, refund_lines, tax_lines
+
+
+@q(
+    "line_facts",
+    f"""
+WITH o AS (
+  SELECT o.o_orderkey AS id, CAST(o.o_orderdate AS DATE) AS order_date, n.n_name AS country
+  FROM orders o LEFT JOIN customer c ON c.c_custkey = o.o_custkey LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey
+),
+li AS (
+  SELECT {SQL_LINE_ID} AS order_line_id, l_orderkey AS order_id, l_partkey AS product_id, l_suppkey AS variant_id,
+         l_linestatus AS title, {sround('l_extendedprice / l_quantity')} AS price, l_quantity AS qty
+  FROM lineitem
+),
+r AS (SELECT {SQL_LINE_ID} AS rid, l_quantity AS rq, l_extendedprice AS rs FROM lineitem WHERE l_returnflag = 'R'),
+t AS (SELECT {SQL_LINE_ID} AS tid, l_tax AS rate FROM lineitem WHERE l_linestatus = 'F' AND l_tax != 0),
+g AS (
+  SELECT o.order_date, o.country AS billing_order_country, li.order_line_id, li.order_id, li.product_id, li.variant_id,
+         li.title, p.p_name AS handle, p.p_type AS product_type, p.p_brand AS vendor,
+         nullif(regexp_extract(p.p_name, '[a-z]+'), '') AS handle_first_string, t.rate,
+         r.rid AS refund_order_line_id,
+         SUM(r.rq) AS refund_quantity, SUM(r.rs) AS refund_subtotal, SUM(li.price) AS total_sales, SUM(li.qty) AS quantity,
+         SUM(CASE WHEN o.country NOT IN ('{HOME}') THEN li.price * li.qty
+                  WHEN t.rate IS NOT NULL THEN li.price * li.qty / (1 + t.rate)
+                  ELSE li.price * li.qty END) AS gross_sales
+  FROM li JOIN o ON li.order_id = o.id
+  LEFT JOIN part p ON li.product_id = p.p_partkey
+  LEFT JOIN r ON li.order_line_id = r.rid
+  LEFT JOIN t ON li.order_line_id = t.tid
+  GROUP BY ALL
+)
+SELECT order_date, billing_order_country, order_line_id, order_id, product_id, variant_id, title, handle, product_type,
+       vendor, handle_first_string, rate, refund_order_line_id, refund_quantity,
+       {sround('refund_subtotal')} AS refund_subtotal, {sround('total_sales')} AS total_sales, quantity,
+       {sround('gross_sales')} AS gross_sales, {sround('SUM(total_sales) OVER (PARTITION BY order_id)')} AS order_total
+FROM g
+""",
+)
+def q_line_facts(spark, sf):
+    lines, refund_lines, tax_lines = _line_frames(spark, sf)
+    orders = _orders_with_country(spark, sf).select(
+        F.col("o_orderkey").alias("id"), F.to_date("o_orderdate").alias("order_date"), F.col("n_name").alias("country")
+    )
+    products = table(spark, sf, "part").select(
+        F.col("p_partkey").alias("id"), F.col("p_name").alias("handle"), F.col("p_type").alias("product_type"),
+        F.col("p_brand").alias("vendor"),
+    )
+    lf = com.order_line_facts(lines, orders, products, refund_lines, tax_lines, home=HOME, vat_title="GB VAT", country="country")
+    return lf.select(
+        "order_date", "billing_order_country", "order_line_id", "order_id", "product_id", "variant_id", "title",
+        "handle", "product_type", "vendor", "handle_first_string", "rate", "refund_order_line_id", "refund_quantity",
+        F.round("refund_subtotal", 2).alias("refund_subtotal"), F.round("total_sales", 2).alias("total_sales"),
+        "quantity", F.round("gross_sales", 2).alias("gross_sales"), F.round("order_total", 2).alias("order_total"),
+    )
+
+
+def refund_id():
+    return F.col("l_orderkey") * 100000 + F.datediff(F.to_date("l_shipdate"), F.lit("1990-01-01").cast("date"))
+
+SQL_REFUND_ID = "(l_orderkey * 100000 + date_diff('day', DATE '1990-01-01', CAST(l_shipdate AS DATE)))"
+D4 = "decimal(18,4)"
+
+
+def _refund_inputs(spark, sf):
+    li = table(spark, sf, "lineitem")
+    r = li.where(F.col("l_returnflag") == "R")
+    price = money("l_extendedprice")
+    refund_lines = r.select(
+        refund_id().alias("id"), line_id().alias("line_item_id"), F.col("l_quantity").alias("quantity"),
+        price.alias("subtotal"), (price * F.col("l_tax").cast("decimal(4,2)")).alias("total_tax"),
+    )
+    refunds = (
+        r.select(refund_id().alias("id"), F.col("l_orderkey").alias("order_id"), F.col("l_shipdate").alias("created_at"))
+        .distinct()
+        .join(table(spark, sf, "orders").select("o_orderkey", "o_custkey"), F.col("order_id") == F.col("o_orderkey"), "left")
+        .select("id", "order_id", F.col("o_custkey").alias("user_id"), "created_at")
+    )
+    disc = price * F.col("l_discount").cast("decimal(4,2)")
+    adjustments = r.select(
+        refund_id().alias("refund_id"),
+        F.when(F.col("l_linestatus") == "F", F.lit("shipping_refund")).otherwise(F.lit("refund_discrepancy")).alias("kind"),
+        F.lit("stand-in").alias("reason"),
+        (-disc).alias("amount"),
+        (-disc * F.col("l_tax").cast("decimal(4,2)")).alias("tax_amount"),
+    )
+    orders = table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("id"),
+        F.col("o_orderdate").alias("created_at"),
+        (F.col("o_custkey") % 7).alias("app_id"),
+        F.concat(F.lit("#"), F.col("o_orderkey").cast("string")).alias("name"),
+        F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("EUR"))
+        .when(F.col("o_orderpriority") == "5-LOW", F.lit(None).cast("string"))
+        .otherwise(F.lit("GBP"))
+        .alias("presentment_currency"),
+        F.col("o_orderstatus").alias("billing_address__country"),
+    )
+    line_facts = li.select(line_id().alias("order_line_id"), F.col("l_quantity").alias("quantity"))
+    return refund_lines, adjustments, refunds, orders, line_facts
+
+
+REFUND_SQL = f"""
+rl AS (
+  SELECT {SQL_REFUND_ID} AS id, {SQL_LINE_ID} AS line_item_id, CAST(l_extendedprice AS DECIMAL(18,2)) AS subtotal,
+         CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(4,2)) AS total_tax
+  FROM lineitem WHERE l_returnflag = 'R'
+),
+lf AS (SELECT {SQL_LINE_ID} AS order_line_id, l_quantity AS quantity FROM lineitem),
+per_rl AS (
+  SELECT rl.id, SUM(lf.quantity) AS q, SUM(CAST(rl.subtotal AS DECIMAL(18,4))) AS sub, SUM(CAST(rl.total_tax AS DECIMAL(18,4))) AS tax
+  FROM rl LEFT JOIN lf ON rl.line_item_id = lf.order_line_id GROUP BY rl.id
+),
+adj0 AS (
+  SELECT {SQL_REFUND_ID} AS refund_id,
+         CASE WHEN l_linestatus = 'F' THEN 'shipping_refund' ELSE 'refund_discrepancy' END AS kind,
+         CAST(-(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(18,4)) AS amount,
+         CAST(-(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(4,2))) * CAST(l_tax AS DECIMAL(4,2)) AS DECIMAL(18,4)) AS tax_amount
+  FROM lineitem WHERE l_returnflag = 'R'
+),
+adj AS (
+  SELECT refund_id,
+    SUM(CASE WHEN kind = 'shipping_refund' THEN COALESCE(amount, 0) END) AS ship_amt,
+    SUM(CASE WHEN kind = 'shipping_refund' THEN COALESCE(tax_amount, 0) END) AS ship_tax,
+    SUM(CASE WHEN kind = 'refund_discrepancy' THEN COALESCE(amount, 0) END) AS disc_amt,
+    SUM(CASE WHEN kind = 'refund_discrepancy' THEN COALESCE(tax_amount, 0) END) AS disc_tax
+  FROM adj0 GROUP BY refund_id
+),
+rf AS (
+  SELECT DISTINCT {SQL_REFUND_ID} AS id, l_orderkey AS order_id, l_shipdate AS created_at FROM lineitem WHERE l_returnflag = 'R'
+),
+base AS (
+  SELECT CAST(rf.created_at AS DATE) AS refund_date, CAST(o.o_orderdate AS DATE) AS order_date, rf.order_id,
+         '#' || CAST(o.o_orderkey AS VARCHAR) AS order_name, o.o_custkey AS user_id, o.o_custkey % 7 AS app_id,
+         o.o_orderstatus AS billing_order_country,
+         CASE WHEN o.o_orderpriority = '1-URGENT' THEN 'EUR' WHEN o.o_orderpriority = '5-LOW' THEN NULL ELSE 'GBP' END AS presentment_currency,
+         COALESCE(per_rl.sub, 0) AS sub, COALESCE(per_rl.tax, 0) AS tax, COALESCE(per_rl.q, 0) AS q,
+         adj.ship_amt, adj.ship_tax, adj.disc_amt, adj.disc_tax
+  FROM rf LEFT JOIN per_rl ON per_rl.id = rf.id LEFT JOIN orders o ON o.o_orderkey = rf.order_id
+  LEFT JOIN adj ON adj.refund_id = rf.id
+),
+g AS (
+  SELECT refund_date, order_date, order_id, order_name, user_id, app_id, billing_order_country, presentment_currency,
+    SUM(q) AS quantity, SUM(sub) AS subtotal, SUM(tax) AS total_tax,
+    SUM(ship_amt) AS ship_amt, SUM(ship_tax) AS ship_tax, SUM(disc_amt) AS disc_amt, SUM(disc_tax) AS disc_tax
+  FROM base GROUP BY ALL
+),
+refund_days AS (
+  SELECT *,
+    COALESCE(-total_tax, 0) + COALESCE(disc_tax, 0) + COALESCE(ship_tax, 0) AS refund_tax,
+    CASE WHEN presentment_currency IN ('GBP') THEN ROUND(COALESCE(-subtotal, 0) + COALESCE(total_tax, 0) + COALESCE(disc_amt, 0), 2)
+         WHEN presentment_currency NOT IN ('GBP') THEN ROUND(COALESCE(-subtotal, 0) + COALESCE(disc_amt, 0) + COALESCE(disc_tax, 0), 2)
+    END AS refund_amount_actuals,
+    CAST(CASE WHEN order_id IS NOT NULL THEN 1 ELSE 0 END AS BIGINT) AS number_of_orders
+  FROM g
+)"""
+
+
+def _refund_days(spark, sf):
+    return com.refund_ledger(*_refund_inputs(spark, sf), zone="UTC", num=D4)
+
+
+D38 = "decimal(38,4)"
+
+
+@q(
+    "refund_by_day",
+    f"""
+WITH {REFUND_SQL}
+SELECT refund_date, order_date, order_id, order_name, user_id, app_id, billing_order_country, presentment_currency,
+  quantity, number_of_orders, CAST(subtotal AS DECIMAL(38,4)) AS subtotal, CAST(total_tax AS DECIMAL(38,4)) AS total_tax,
+  CAST(refund_tax AS DECIMAL(38,4)) AS refund_tax, CAST(ship_amt AS DECIMAL(38,4)) AS refund_shipping_amount,
+  CAST(disc_amt AS DECIMAL(38,4)) AS order_adjustment_refund_discrepancy_amount,
+  CAST(refund_amount_actuals AS DECIMAL(38,4)) AS refund_amount_actuals
+FROM refund_days
+""",
+)
+def q_refund_by_day(spark, sf):
+    r = _refund_days(spark, sf)
+    return r.select(
+        "refund_date", "order_date", "order_id", "order_name", "user_id", "app_id", "billing_order_country",
+        "presentment_currency", "quantity", "number_of_orders",
+        *[F.col(c).cast(D38).alias(c) for c in ("subtotal", "total_tax", "refund_tax", "refund_shipping_amount",
+                                                "order_adjustment_refund_discrepancy_amount", "refund_amount_actuals")],
+    )
+
+
+def _order_days(spark, sf):
+    o = table(spark, sf, "orders")
+    li = table(spark, sf, "lineitem")
+    price = money("l_extendedprice")
+    per_order = li.groupBy("l_orderkey").agg(
+        F.sum("l_quantity").alias("quantity"),
+        F.sum(price * F.col("l_tax").cast("decimal(4,2)")).alias("total_tax"),
+        F.sum(-(price * F.col("l_discount").cast("decimal(4,2)"))).alias("discount"),
+        F.sum(price).alias("gross_sales"),
+    )
+    flagged = com.order_type_flags(o, customer="o_custkey", order_id="o_orderkey", created_at="o_orderdate")
+    return flagged.join(per_order, flagged.o_orderkey == per_order.l_orderkey, "left").select(
+        F.to_date("o_orderdate").alias("order_date"),
+        F.col("o_orderkey").alias("order_id"),
+        F.concat(F.lit("#"), F.col("o_orderkey").cast("string")).alias("order_name"),
+        (F.col("o_custkey") % 7).alias("app_id"),
+        F.col("o_custkey").alias("user_id"),
+        F.col("o_custkey").alias("customer_id"),
+        F.col("o_orderstatus").alias("billing_order_country"),
+        "order_type",
+        F.lit(1).cast("bigint").alias("number_of_orders"),
+        "quantity",
+        money("o_totalprice").alias("total_sales"),
+        "total_tax",
+        "discount",
+        "gross_sales",
+    )
+
+
+LEDGER_OUT = [
+    "fulldate", "order_id", "order_name", "orders_order_id", "app_id", "return_order_id", "refund_date", "user_id",
+    "order_type", "billing_order_country", "number_of_orders", "quantity", "refund_order_count",
+]
+LEDGER_MONEY = [
+    "tax", "shipping_cost", "duties", "discount", "returns", "total_sales", "total_sales_plus_returns", "gross_sales",
+    "net_sales", "net_sales_plus_returns", "sales",
+]
+
+
+@q(
+    "order_refund_ledger",
+    f"""
+WITH {REFUND_SQL},
+first_o AS (SELECT o_orderkey FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) = 1),
+per_order AS (
+  SELECT l_orderkey, SUM(l_quantity) AS quantity,
+    SUM(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(4,2))) AS total_tax,
+    SUM(-(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(4,2)))) AS discount
+  FROM lineitem GROUP BY l_orderkey
+),
+od AS (
+  SELECT CAST(o.o_orderdate AS DATE) AS order_date, o.o_orderkey AS order_id, '#' || CAST(o.o_orderkey AS VARCHAR) AS order_name,
+         o.o_custkey % 7 AS app_id, o.o_custkey AS user_id, o.o_orderstatus AS billing_order_country,
+         CASE WHEN f.o_orderkey IS NOT NULL THEN 'New' ELSE 'Returning' END AS order_type,
+         CAST(1 AS BIGINT) AS number_of_orders, p.quantity, CAST(o.o_totalprice AS DECIMAL(18,2)) AS total_sales,
+         p.total_tax, p.discount
+  FROM orders o LEFT JOIN first_o f ON f.o_orderkey = o.o_orderkey LEFT JOIN per_order p ON p.l_orderkey = o.o_orderkey
+),
+j AS (
+  SELECT COALESCE(od.order_date, r.refund_date) AS fulldate, COALESCE(od.order_id, r.order_id) AS order_id,
+    COALESCE(od.order_name, r.order_name) AS order_name, od.order_id AS orders_order_id,
+    COALESCE(od.app_id, r.app_id) AS app_id, r.order_id AS return_order_id, r.refund_date,
+    COALESCE(CAST(od.user_id AS VARCHAR), CAST(r.user_id AS VARCHAR)) AS user_id, od.order_type,
+    COALESCE(od.billing_order_country, r.billing_order_country) AS billing_order_country,
+    od.number_of_orders, od.quantity, r.number_of_orders AS refund_order_count,
+    COALESCE(COALESCE(NULLIF(od.total_tax, 0), NULL), 0) + COALESCE(r.refund_tax, 0) AS tax,
+    0 + COALESCE(r.ship_amt, 0) AS shipping_cost,
+    0 AS duties,
+    COALESCE(od.discount, 0) AS discount,
+    COALESCE(r.refund_amount_actuals, 0) AS returns,
+    COALESCE(od.total_sales, 0) + COALESCE(r.refund_amount_actuals, 0) AS total_sales
+  FROM od FULL JOIN refund_days r ON od.order_date = r.refund_date AND od.order_id = r.order_id
+)
+SELECT fulldate, order_id, order_name, orders_order_id, app_id, return_order_id, refund_date, user_id, order_type,
+  billing_order_country, number_of_orders, quantity, refund_order_count,
+  CAST(tax AS DECIMAL(38,4)) AS tax, CAST(shipping_cost AS DECIMAL(38,4)) AS shipping_cost, CAST(duties AS DECIMAL(38,4)) AS duties,
+  CAST(discount AS DECIMAL(38,4)) AS discount, CAST(returns AS DECIMAL(38,4)) AS returns,
+  CAST(total_sales AS DECIMAL(38,4)) AS total_sales,
+  CAST(total_sales + abs(returns) AS DECIMAL(38,4)) AS total_sales_plus_returns,
+  CAST(total_sales + COALESCE(abs(returns), 0) + COALESCE(abs(discount), 0) - tax - shipping_cost AS DECIMAL(38,4)) AS gross_sales,
+  CAST(total_sales - tax - shipping_cost AS DECIMAL(38,4)) AS net_sales,
+  CAST(total_sales - tax - shipping_cost + abs(returns) AS DECIMAL(38,4)) AS net_sales_plus_returns,
+  CAST(total_sales - tax - shipping_cost + shipping_cost AS DECIMAL(38,4)) AS sales,
+  CAST(CAST(floor(date_diff('day', DATE '1995-01-01', fulldate) / 7) AS INTEGER) // 52 + 1995 AS INTEGER) AS retail_year,
+  CAST(CAST(floor(date_diff('day', DATE '1995-01-01', fulldate) / 7) AS INTEGER) % 52 + 1 AS INTEGER) AS retail_week
+FROM j
+""",
+)
+def q_order_refund_ledger(spark, sf):
+    ledger = com.order_metrics_ledger(
+        _order_days(spark, sf), _refund_days(spark, sf), calendar={"start": CAL_START, "years": CAL_YEARS}
+    )
+    return ledger.select(
+        *LEDGER_OUT, *[F.col(c).cast(D38).alias(c) for c in LEDGER_MONEY], "retail_year", "retail_week"
+    )
+
+
+@q(
+    "hashed_customer_names",
+    """
+SELECT c_custkey, sha256(regexp_replace(lower(c_name), '^\\s+|\\s+$', '', 'g')) AS name_hash FROM customer
+""",
+)
+def q_hashed_customer_names(spark, sf):
+    c = table(spark, sf, "customer")
+    return c.select("c_custkey", F.sha2(trim_ws(F.lower("c_name")), 256).alias("name_hash"))
+
+
+# Stand-in FX table: one rate per priority code, the base code at 1.0, '5-LOW' deliberately missing.
+FX_ROWS = [("3-MEDIUM", 1.0), ("1-URGENT", 1.26), ("2-HIGH", 1.25), ("4-NOT SPECIFIED", 0.85)]
+FX_SQL = "(VALUES ('3-MEDIUM', 1.0::DOUBLE), ('1-URGENT', 1.26::DOUBLE), ('2-HIGH', 1.25::DOUBLE), ('4-NOT SPECIFIED', 0.85::DOUBLE)) fx(currency, rate)"
+
+
+def _convert(spark, sf):
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", F.col("o_orderpriority").alias("currency"),
+                                           F.col("o_totalprice").alias("amount"))
+    rates = spark.createDataFrame(FX_ROWS, "currency string, rate double")
+    return com.convert_currency(o, rates, base_currency="3-MEDIUM", threshold=200000.0)
+
+
+@q(
+    "convert_currency",
+    f"""
+SELECT o_orderkey, o_custkey, o_orderpriority AS currency, fx.rate AS fx_rate_used,
+       {sround('o_totalprice / fx.rate')} AS amount_gbp, o_totalprice / fx.rate > 200000 AS high_value_flag,
+       CASE WHEN o_orderpriority = '3-MEDIUM' THEN 'NO_CONVERSION_NEEDED' ELSE 'CONVERTED_TO_GBP' END AS conversion_status
+FROM orders JOIN {FX_SQL} ON orders.o_orderpriority = fx.currency
+""",
+)
+def q_convert_currency(spark, sf):
+    ok, _ = _convert(spark, sf)
+    return ok.select("o_orderkey", "o_custkey", "currency", "fx_rate_used", "amount_gbp", "high_value_flag", "conversion_status")
+
+
+@q(
+    "rejected_currency",
+    f"""
+SELECT o_orderkey, o_orderpriority AS currency, 'MISSING_FX_RATE' AS conversion_status
+FROM orders LEFT JOIN {FX_SQL} ON orders.o_orderpriority = fx.currency WHERE fx.rate IS NULL
+""",
+)
+def q_rejected_currency(spark, sf):
+    _, rejected = _convert(spark, sf)
+    return rejected.select("o_orderkey", "currency", "conversion_status")
+
+
+@q(
+    "order_share_of_total",
+    f"""
+WITH g AS (
+  SELECT l_orderkey, l_linenumber, SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS line_total FROM lineitem GROUP BY ALL
+)
+SELECT l_orderkey, l_linenumber, CAST(line_total AS DECIMAL(38,2)) AS line_total,
+       CAST(SUM(line_total) OVER (PARTITION BY l_orderkey) AS DECIMAL(38,2)) AS order_total,
+       {sround('CAST(line_total AS DOUBLE) / CAST(SUM(line_total) OVER (PARTITION BY l_orderkey) AS DOUBLE)', 4)} AS share
+FROM g
+""",
+)
+def q_order_share_of_total(spark, sf):
+    li = table(spark, sf, "lineitem")
+    g = li.groupBy("l_orderkey", "l_linenumber").agg(F.sum(money("l_extendedprice")).alias("line_total"))
+    t = key_totals_beside_rows(g, ["l_orderkey"], {"order_total": F.sum("line_total")})
+    return t.select(
+        "l_orderkey", "l_linenumber", F.col("line_total").cast("decimal(38,2)").alias("line_total"),
+        F.col("order_total").cast("decimal(38,2)").alias("order_total"),
+        F.round(F.col("line_total").cast("double") / F.col("order_total").cast("double"), 4).alias("share"),
+    )
+
+
+@q(
+    "next_order_date",
+    """
+SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS order_date,
+       CAST(lead(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS DATE) AS next_order_date
+FROM orders
+""",
+)
+def q_next_order_date(spark, sf):
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    n = neighbour_value(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], "o_orderdate", "next_ts")
+    return n.select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("order_date"),
+                    F.to_date("next_ts").alias("next_order_date"))
+
+
+def _json_lines(spark, sf):
+    """Per line: a tax-line JSON array and a properties JSON array built from the line's own columns."""
+    li = table(spark, sf, "lineitem")
+    tax = F.struct(
+        F.lit("GB VAT").alias("title"), F.col("l_tax").alias("rate"), (F.col("l_tax") * 100).alias("rate_percentage"),
+        (F.col("l_extendedprice") * F.col("l_tax")).alias("price"), F.lit(True).alias("channel_agnostic"),
+        F.struct(F.col("l_extendedprice").alias("amount")).alias("price_set"),
+    )
+    disc = F.struct(
+        F.lit("DISCOUNT").alias("title"), F.col("l_discount").alias("rate"), (F.col("l_discount") * 100).alias("rate_percentage"),
+        (F.col("l_extendedprice") * F.col("l_discount")).alias("price"), F.lit(False).alias("channel_agnostic"),
+        F.struct(F.col("l_extendedprice").alias("amount")).alias("price_set"),
+    )
+    tax_lines = F.when(F.col("l_linestatus") == "O", F.to_json(F.array(tax, disc))).otherwise(F.to_json(F.array(tax)))
+    prop = F.struct(
+        F.lit(com.FREE_PRODUCT_PROPERTY[0]).alias("name"),
+        F.when(F.col("l_returnflag") == "R", F.lit("product")).otherwise(F.lit("points")).alias("value"),
+    )
+    props = F.when(F.col("l_returnflag") == "N", F.lit("[]")).otherwise(F.to_json(F.array(prop)))
+    return li.select(
+        line_id().alias("id"), F.col("l_orderkey").alias("order_id"), F.col("l_extendedprice").cast("string").alias("price"),
+        tax_lines.alias("tax_lines"), props.alias("properties"),
+    )
+
+
+@q(
+    "json_array_explode",
+    f"""
+WITH t AS (
+  SELECT {SQL_LINE_ID} AS order_line_id, l_orderkey AS order_id, 'GB VAT' AS title, l_tax AS rate,
+         l_extendedprice * l_tax AS price FROM lineitem
+  UNION ALL
+  SELECT {SQL_LINE_ID}, l_orderkey, 'DISCOUNT', l_discount, l_extendedprice * l_discount FROM lineitem WHERE l_linestatus = 'O'
+)
+SELECT title, COUNT(*) AS tax_lines, COUNT(DISTINCT order_line_id) AS lines, {sround('SUM(rate)', 4)} AS rate_sum,
+       {sround('SUM(price)', 2)} AS price_sum
+FROM t GROUP BY title
+""",
+)
+def q_json_array_explode(spark, sf):
+    t = com.explode_tax_lines(_json_lines(spark, sf))
+    return t.groupBy("title").agg(
+        F.count(F.lit(1)).alias("tax_lines"), F.count_distinct("order_line_id").alias("lines"),
+        F.round(F.sum("rate"), 4).alias("rate_sum"), F.round(F.sum("price"), 2).alias("price_sum"),
+    )
+
+
+@q(
+    "free_product_discount",
+    """
+WITH d AS (
+  SELECT DISTINCT (l_orderkey * 100 + l_linenumber) AS id, l_orderkey AS order_id, -l_extendedprice AS discount
+  FROM lineitem WHERE l_returnflag = 'R'
+)
+SELECT order_id, CAST(SUM(CAST(discount AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS discount FROM d GROUP BY order_id
+""",
+)
+def q_free_product_discount(spark, sf):
+    d = com.free_product_discount(_json_lines(spark, sf))
+    # price travels as JSON-free text here; sum exactly in decimal
+    return d.select("order_id", F.col("discount").cast("decimal(38,2)").alias("discount"))
+
+
+@q(
+    "json_scalars",
+    """
+SELECT event_id, json_extract_string(props, '$.k') AS k_text, TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k_num
+FROM events
+""",
+)
+def q_json_scalars(spark, sf):
+    e = table(spark, sf, "events")
+    k = json_scalar("props", "$.k")
+    return e.select("event_id", k.alias("k_text"), k.try_cast("double").alias("k_num"))
+
+
+@q(
+    "local_dates",
+    """
+SELECT event_id, CAST(timezone('Europe/London', timezone('UTC', ts)) AS DATE) AS local_date, CAST(ts AS DATE) AS utc_date
+FROM events
+""",
+)
+def q_local_dates(spark, sf):
+    e = table(spark, sf, "events")
+    return e.select("event_id", local_date("ts", "Europe/London").alias("local_date"), utc_date("ts").alias("utc_date"))
+
+
+def _title_case_sql() -> str:
+    from ledgerlake.functions.text import INITCAP_DELIMITERS
+
+    parts = []
+    for ch in INITCAP_DELIMITERS:
+        if ord(ch) < 32:  # control characters via chr() to keep them out of the SQL text
+            parts.append(f"chr({ord(ch)})")
+        elif ch == "'":
+            parts.append("chr(39)")
+        else:
+            parts.append(f"'{ch}'")
+    delim_sql = " || ".join(parts)
+    s = "string_split(lower(p_name), '')"
+    return (
+        f"array_to_string(list_transform({s}, lambda x, i: CASE WHEN i = 1 OR strpos({delim_sql}, {s}[i - 1]) > 0 "
+        f"THEN upper(x) ELSE x END), '')"
+    )
+
+
+@q("title_case", f"SELECT p_partkey, p_name, {_title_case_sql()} AS title FROM part")
+def q_title_case(spark, sf):
+    p = table(spark, sf, "part")
+    return p.select("p_partkey", "p_name", title_case("p_name").alias("title"))

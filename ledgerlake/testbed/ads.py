@@ -1,3 +1,186 @@
-from ledgerlake.testbed.base import registry
+"""Advertising jobs on the TPC-style tables.
+
+Hierarchy: ad = supplier, ad set = nation, campaign = region. Multi-grain
+report: campaign rows = orders (account ``o_custkey % 10``, campaign
+``o_custkey``, device ``o_orderpriority``), ad-group rows = non-'N' line items of
+the order, keyword rows = returned ('R') line items. Status recode: event types.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ledgerlake.plans import ads
+from ledgerlake.testbed.base import CAL_START, CAL_YEARS, registry, table
 
 QUERIES, ORACLE, q = registry()
+
+
+def sround(expr: str, k: int = 2) -> str:
+    return f"CAST(ROUND(CAST(CAST(CAST(({expr}) AS DOUBLE) AS VARCHAR) AS DECIMAL(38,18)), {k}) AS DOUBLE)"
+
+
+@q(
+    "dimension_hierarchy",
+    """
+SELECT s.s_suppkey AS ad_id, s.s_name AS ad_name, 'ACTIVE' AS ad_status, n.n_regionkey AS campaign_id,
+       s.s_nationkey AS ad_set_id, n2.n_name AS ad_set_name, 'LIVE' AS ad_set_status,
+       r.r_name AS campaign_name, 'REACH' AS campaign_objective, 'ENABLED' AS campaign_status
+FROM supplier s
+LEFT JOIN nation n ON n.n_nationkey = s.s_nationkey
+LEFT JOIN nation n2 ON n2.n_nationkey = s.s_nationkey
+LEFT JOIN region r ON r.r_regionkey = n.n_regionkey
+""",
+)
+def q_dimension_hierarchy(spark, sf):
+    s = table(spark, sf, "supplier")
+    n = table(spark, sf, "nation")
+    r = table(spark, sf, "region")
+    ad_rows = s.join(n.select("n_nationkey", "n_regionkey"), s.s_nationkey == n.n_nationkey, "left").select(
+        F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), F.lit("ACTIVE").alias("status"),
+        F.col("n_regionkey").alias("campaign_id"), F.col("s_nationkey").alias("adset_id"),
+        F.col("s_acctbal").alias("updated_time"),
+    )
+    adsets = n.select(
+        F.col("n_nationkey").alias("id"), F.lit(0).alias("account_id"), F.col("n_name").alias("name"),
+        F.lit("LIVE").alias("status"), F.col("n_regionkey").alias("campaign_id"), F.lit(1).alias("updated_time"),
+    )
+    campaigns = r.select(
+        F.col("r_regionkey").alias("id"), F.lit(0).alias("account_id"), F.col("r_name").alias("name"),
+        F.lit("REACH").alias("objective"), F.lit("ENABLED").alias("status"), F.lit(1).alias("updated_time"),
+    )
+    return ads.ad_hierarchy(ad_rows, adsets, campaigns)
+
+
+@q(
+    "union_history",
+    """
+SELECT c_custkey AS id, c_name AS name, c_acctbal AS acctbal, 'customer' AS source FROM customer
+UNION ALL
+SELECT s_suppkey, s_name, s_acctbal, 'supplier' FROM supplier
+""",
+)
+def q_union_history(spark, sf):
+    c = table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("acctbal"),
+        F.lit("customer").alias("source"),
+    )
+    s = table(spark, sf, "supplier").select(
+        F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), F.col("s_acctbal").alias("acctbal"),
+        F.lit("supplier").alias("source"),
+    )
+    return ads.union_history([c, s], ["id", "name", "acctbal", "source"])
+
+
+STATUS_STANDIN = {"ENABLED": "ACTIVE", "PAUSED": "PAUSED", "CLICK": "ENGAGED", "VIEW": "ENGAGED"}
+
+
+@q(
+    "status_remap_reagg",
+    f"""
+WITH first AS (
+  SELECT CAST(ts AS DATE) AS day, user_id, event_type, SUM(value) AS value, COUNT(*) AS events
+  FROM events GROUP BY ALL
+)
+SELECT day, CASE WHEN upper(event_type) = 'ENABLED' THEN 'ACTIVE' WHEN upper(event_type) = 'PAUSED' THEN 'PAUSED'
+                 WHEN upper(event_type) = 'CLICK' THEN 'ENGAGED' WHEN upper(event_type) = 'VIEW' THEN 'ENGAGED'
+                 ELSE event_type END AS event_type,
+       {sround('SUM(value)')} AS value, SUM(events) AS events
+FROM first GROUP BY ALL
+""",
+)
+def q_status_remap_reagg(spark, sf):
+    e = table(spark, sf, "events")
+    first = e.groupBy(F.to_date("ts").alias("day"), "user_id", "event_type").agg(
+        F.sum("value").alias("value"), F.count(F.lit(1)).alias("events")
+    )
+    out = ads.remap_and_reaggregate(first, ["day"], "event_type", ["value", "events"], STATUS_STANDIN)
+    return out.select("day", "event_type", F.round("value", 2).alias("value"), "events")
+
+
+def _grain_frames(spark, sf):
+    o = table(spark, sf, "orders")
+    li = table(spark, sf, "lineitem")
+    campaign_stats = o.select(
+        F.to_date("o_orderdate").alias("segments__date"), (F.col("o_custkey") % 10).alias("customer__id"),
+        F.col("o_custkey").alias("campaign__id"), F.col("o_orderpriority").alias("segments__device"),
+        (F.round(F.col("o_totalprice") * 100).cast("bigint") * 10000).alias("metrics__cost_micros"),
+        F.lit(1).cast("bigint").alias("metrics__impressions"), (F.col("o_orderkey") % 3).alias("metrics__clicks"),
+        F.lit(1.0).alias("metrics__conversions"), F.col("o_totalprice").alias("metrics__conversions_value"),
+    )
+    lo = li.join(o.select("o_orderkey", "o_orderdate", "o_custkey"), li.l_orderkey == o.o_orderkey, "inner")
+    line_stats = lo.select(
+        F.to_date("o_orderdate").alias("segments__date"), (F.col("o_custkey") % 10).alias("customer__id"),
+        F.col("o_custkey").alias("campaign__id"), F.col("l_suppkey").alias("ad_group__id"),
+        F.col("l_partkey").alias("ad_group_criterion__criterion_id"), F.col("l_returnflag").alias("_flag"),
+        (F.round(F.col("l_extendedprice") * 100).cast("bigint") * 10000).alias("metrics__cost_micros"),
+        F.col("l_quantity").cast("bigint").alias("metrics__impressions"),
+        F.col("l_linenumber").cast("bigint").alias("metrics__clicks"),
+        F.col("l_quantity").alias("metrics__conversions"), F.col("l_extendedprice").alias("metrics__conversions_value"),
+    )
+    ad_group_stats = line_stats.where(F.col("_flag") != "N")
+    keyword_stats = line_stats.where(F.col("_flag") == "R")
+    history = table(spark, sf, "customer").select(
+        (F.col("c_custkey") % 10).alias("customer__id"), F.col("c_custkey").alias("campaign__id"),
+        F.col("c_name").alias("campaign__name"), F.col("c_mktsegment").alias("campaign__status"),
+        F.lit("SEARCH").alias("campaign__advertising_channel_type"),
+        F.col("c_acctbal").alias("_sdc_extracted_at"),
+    )
+    return campaign_stats, history, ad_group_stats, keyword_stats
+
+
+@q(
+    "finest_grain_fallback",
+    f"""
+WITH cb AS (
+  SELECT CAST(o_orderdate AS DATE) AS fulldate, o_custkey % 10 AS account_id, o_custkey AS campaign_id,
+         o_orderpriority AS device, (CAST(round(o_totalprice * 100) AS BIGINT) * 10000) / 1000000.0 AS cost,
+         CAST(1 AS BIGINT) AS impressions, o_orderkey % 3 AS clicks, 1.0::DOUBLE AS conversions, o_totalprice AS conversions_value
+  FROM orders
+),
+ls AS (
+  SELECT CAST(o.o_orderdate AS DATE) AS d, o.o_custkey % 10 AS a, o.o_custkey AS c, l.l_suppkey AS ag, l.l_partkey AS kw,
+         l.l_returnflag AS flag, (CAST(round(l.l_extendedprice * 100) AS BIGINT) * 10000) / 1000000.0 AS cost,
+         CAST(l.l_quantity AS BIGINT) AS impressions, CAST(l.l_linenumber AS BIGINT) AS clicks,
+         l.l_quantity AS conversions, l.l_extendedprice AS conversions_value
+  FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
+),
+ags AS (
+  SELECT d, a, c, SUM(cost) AS cost, SUM(impressions) AS impressions, SUM(clicks) AS clicks, SUM(conversions) AS conversions,
+         SUM(conversions_value) AS conversions_value, COUNT(DISTINCT ag) AS n
+  FROM ls WHERE flag != 'N' GROUP BY d, a, c
+),
+kws AS (
+  SELECT d, a, c, SUM(cost) AS cost, SUM(impressions) AS impressions, SUM(clicks) AS clicks, SUM(conversions) AS conversions,
+         SUM(conversions_value) AS conversions_value, COUNT(DISTINCT CAST(ag AS VARCHAR) || '-' || CAST(kw AS VARCHAR)) AS n
+  FROM ls WHERE flag = 'R' GROUP BY d, a, c
+),
+info AS (
+  SELECT c_custkey % 10 AS acct, c_custkey AS camp, c_name AS campaign_name, c_mktsegment AS latest_status,
+         'SEARCH' AS advertising_channel_type
+  FROM customer QUALIFY row_number() OVER (PARTITION BY c_custkey % 10, c_custkey ORDER BY c_acctbal DESC) = 1
+)
+SELECT cb.fulldate, cb.account_id, cb.campaign_id, info.campaign_name, info.latest_status, info.advertising_channel_type,
+       cb.device, {sround('cb.cost')} AS cost,
+       COALESCE(kws.impressions, ags.impressions, cb.impressions) AS impressions,
+       COALESCE(kws.clicks, ags.clicks, cb.clicks) AS clicks,
+       COALESCE(kws.conversions, ags.conversions, cb.conversions) AS conversions,
+       {sround('COALESCE(kws.conversions_value, ags.conversions_value, cb.conversions_value)')} AS conversions_value,
+       CASE WHEN kws.cost IS NOT NULL THEN 'keyword' WHEN ags.cost IS NOT NULL THEN 'ad_group' ELSE 'campaign' END AS metrics_level,
+       COALESCE(ags.n, 0) AS ad_group_count, COALESCE(kws.n, 0) AS keyword_count,
+       CAST(CAST(floor(date_diff('day', DATE '1995-01-01', cb.fulldate) / 7) AS INTEGER) // 52 + 1995 AS INTEGER) AS retail_year,
+       CAST(CAST(floor(date_diff('day', DATE '1995-01-01', cb.fulldate) / 7) AS INTEGER) % 52 + 1 AS INTEGER) AS retail_week
+FROM cb
+LEFT JOIN info ON cb.account_id = info.acct AND cb.campaign_id = info.camp
+LEFT JOIN ags ON cb.fulldate = ags.d AND cb.account_id = ags.a AND cb.campaign_id = ags.c
+LEFT JOIN kws ON cb.fulldate = kws.d AND cb.account_id = kws.a AND cb.campaign_id = kws.c
+""",
+)
+def q_finest_grain_fallback(spark, sf):
+    rep = ads.campaign_report(*_grain_frames(spark, sf), calendar={"start": CAL_START, "years": CAL_YEARS})
+    return rep.select(
+        "fulldate", "account_id", "campaign_id", "campaign_name", "latest_status", "advertising_channel_type", "device",
+        F.round("cost", 2).alias("cost"), "impressions", "clicks", "conversions",
+        F.round("conversions_value", 2).alias("conversions_value"), "metrics_level", "ad_group_count", "keyword_count",
+        "retail_year", "retail_week",
+    )

@@ -1,3 +1,479 @@
-from ledgerlake.testbed.base import registry
+"""Data-quality jobs on the generated tables.
+
+Test results stand-in (from ``events``): invocation = event day, test id =
+``user_id``, test name = ``test_<user_id % 40>``, status from the event type
+(error -> fail; signup -> error above value 40, else warn; others pass),
+short name / type from the event type, table = ``table_<user_id % 12>``,
+model id = ``model.<user_id % 15>`` (NULL when ``user_id % 17 = 0``).
+Today (``as_of``) is the last event day, 2024-01-30.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from ledgerlake.operators import label_columns, zero_fill_daily
+from ledgerlake.plans import quality as dq
+from ledgerlake.testbed.base import registry, table
 
 QUERIES, ORACLE, q = registry()
+
+TODAY = dt.date(2024, 1, 30)
+SHORT_NAMES = {
+    "click": "volume_anomalies",
+    "view": "freshness_anomalies",
+    "purchase": "column_anomalies",
+    "signup": "schema_changes",
+    "error": "not_null",
+}
+TYPES = {"signup": "schema_change", "error": "dbt_test", "purchase": "anomaly_detection"}
+
+
+def sround(expr: str, k: int = 4) -> str:
+    return f"CAST(ROUND(CAST(CAST(CAST(({expr}) AS DOUBLE) AS VARCHAR) AS DECIMAL(38,18)), {k}) AS DOUBLE)"
+
+
+def results(spark, sf):
+    e = table(spark, sf, "events")
+    et = F.col("event_type")
+    short = F.create_map(*[x for kv in SHORT_NAMES.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
+    ttype = F.coalesce(F.create_map(*[x for kv in TYPES.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])[et], F.lit("anomaly"))
+    name_prefix = F.when(et == "click", F.lit("elementary_volume_anomalies_")).when(
+        et == "purchase", F.lit("elementary_column_anomalies_")
+    ).otherwise(F.lit("test_"))
+    return e.select(
+        F.col("user_id").alias("test_unique_id"),
+        F.concat(name_prefix, (F.col("user_id") % 40).cast("string")).alias("test_name"),
+        short[et].alias("test_short_name"),
+        ttype.alias("test_type"),
+        et.alias("test_sub_type"),
+        F.concat(F.lit("table_"), (F.col("user_id") % 12).cast("string")).alias("table_name"),
+        F.concat(F.lit("col_"), (F.col("event_id") % 5).cast("string")).alias("column_name"),
+        F.when(F.col("user_id") % 17 == 0, F.lit(None).cast("string"))
+        .otherwise(F.concat(F.lit("model."), (F.col("user_id") % 15).cast("string")))
+        .alias("model_unique_id"),
+        F.when(et == "error", F.lit("fail"))
+        .when((et == "signup") & (F.col("value") > 40), F.lit("error"))
+        .when(et == "signup", F.lit("warn"))
+        .otherwise(F.lit("pass"))
+        .alias("status"),
+        F.to_date("ts").cast("string").alias("invocation_id"),
+        F.col("ts").alias("created_at"),
+    )
+
+
+TR = """tr AS (
+  SELECT user_id AS test_unique_id,
+    CASE WHEN event_type = 'click' THEN 'elementary_volume_anomalies_' WHEN event_type = 'purchase' THEN 'elementary_column_anomalies_'
+         ELSE 'test_' END || CAST(user_id % 40 AS VARCHAR) AS test_name,
+    CASE event_type WHEN 'click' THEN 'volume_anomalies' WHEN 'view' THEN 'freshness_anomalies'
+         WHEN 'purchase' THEN 'column_anomalies' WHEN 'signup' THEN 'schema_changes' WHEN 'error' THEN 'not_null' END AS test_short_name,
+    CASE event_type WHEN 'signup' THEN 'schema_change' WHEN 'error' THEN 'dbt_test' WHEN 'purchase' THEN 'anomaly_detection'
+         ELSE 'anomaly' END AS test_type,
+    event_type AS test_sub_type,
+    'table_' || CAST(user_id % 12 AS VARCHAR) AS table_name,
+    'col_' || CAST(event_id % 5 AS VARCHAR) AS column_name,
+    CASE WHEN user_id % 17 = 0 THEN NULL ELSE 'model.' || CAST(user_id % 15 AS VARCHAR) END AS model_unique_id,
+    CASE WHEN event_type = 'error' THEN 'fail' WHEN event_type = 'signup' AND value > 40 THEN 'error'
+         WHEN event_type = 'signup' THEN 'warn' ELSE 'pass' END AS status,
+    CAST(CAST(ts AS DATE) AS VARCHAR) AS invocation_id,
+    ts AS created_at
+  FROM events
+),
+latest AS (SELECT invocation_id FROM tr ORDER BY created_at DESC LIMIT 1)"""
+
+
+@q(
+    "daily_failures",
+    f"""
+WITH {TR}
+SELECT CAST(created_at AS DATE) AS created_at_date, COUNT(DISTINCT test_name) AS unique_tests
+FROM tr WHERE CAST(created_at AS DATE) >= DATE '2024-01-30' - INTERVAL 6 DAY AND status IN ('fail', 'error')
+GROUP BY 1
+""",
+)
+def q_daily_failures(spark, sf):
+    return dq.daily_distinct(results(spark, sf), TODAY)
+
+
+@q(
+    "daily_executions",
+    f"""
+WITH {TR}
+SELECT CAST(created_at AS DATE) AS created_at_date, COUNT(DISTINCT test_name) AS unique_tests
+FROM tr WHERE CAST(created_at AS DATE) >= DATE '2024-01-30' - INTERVAL 6 DAY GROUP BY 1
+""",
+)
+def q_daily_executions(spark, sf):
+    return dq.daily_distinct(results(spark, sf), TODAY, statuses=None)
+
+
+@q(
+    "daily_failed_entities",
+    f"""
+WITH {TR}
+SELECT CAST(created_at AS DATE) AS created_at_date, COUNT(DISTINCT table_name) AS unique_tables
+FROM tr WHERE CAST(created_at AS DATE) >= DATE '2024-01-30' - INTERVAL 6 DAY AND (status = 'fail' OR status = 'error')
+GROUP BY 1
+""",
+)
+def q_daily_failed_entities(spark, sf):
+    return dq.daily_distinct(results(spark, sf), TODAY, what="table_name", out="unique_tables")
+
+
+def metric_topics():
+    """The five headline predicates (A.6, headline column)."""
+    return {
+        "anomalies": F.col("test_name").like("elementary_column_anomalies%"),
+        "dbt_tests": F.col("test_type") == "dbt_test",
+        "freshness": F.col("test_short_name").isin("freshness_anomalies", "event_freshness_anomalies"),
+        "schema": F.col("test_type").like("%schema%"),
+        "volume": F.col("test_name").like("elementary_volume_anomalies%")
+        | F.col("test_name").like("elementary_source_volume_anomalies%"),
+    }
+
+
+def listing_topics():
+    """The five detail-list predicates (A.6, detail column)."""
+    return {
+        "anomalies": F.col("test_short_name").like("%column%"),
+        "dbt_tests": F.col("test_type").like("%dbt%"),
+        "freshness": F.col("test_short_name").like("%freshness%"),
+        "schema": F.col("test_short_name").like("%schema%"),
+        "volume": F.col("test_short_name").like("%volume%"),
+    }
+
+
+def _metric_sql(topic: str, pred: str) -> str:
+    return f"""SELECT '{topic}' AS topic, COUNT(*) AS total,
+       SUM(CASE WHEN status = 'pass' THEN 1 ELSE 0 END) AS pass,
+       SUM(CASE WHEN status = 'fail' OR status = 'error' THEN 1 ELSE 0 END) AS fail
+FROM tr WHERE ({pred}) AND invocation_id = (SELECT invocation_id FROM latest)"""
+
+
+METRIC_PREDICATES_SQL = {
+    "anomalies": "test_name LIKE 'elementary_column_anomalies%'",
+    "dbt_tests": "test_type = 'dbt_test'",
+    "freshness": "test_short_name = 'freshness_anomalies' OR test_short_name = 'event_freshness_anomalies'",
+    "schema": "test_type LIKE '%schema%'",
+    "volume": "test_name LIKE 'elementary_volume_anomalies%' OR test_name LIKE 'elementary_source_volume_anomalies%'",
+}
+LISTING_PREDICATES_SQL = {
+    "anomalies": "test_short_name LIKE '%column%'",
+    "dbt_tests": "test_type LIKE '%dbt%'",
+    "freshness": "test_short_name LIKE '%freshness%'",
+    "schema": "test_short_name LIKE '%schema%'",
+    "volume": "test_short_name LIKE '%volume%'",
+}
+
+
+@q(
+    "latest_run_metric",
+    f"WITH {TR}\n" + "\nUNION ALL\n".join(_metric_sql(t, p) for t, p in METRIC_PREDICATES_SQL.items()),
+)
+def q_latest_run_metric(spark, sf):
+    out = dq.latest_run_metric(results(spark, sf), metric_topics())
+    return out.select("topic", "total", F.col("pass").cast("bigint").alias("pass"), F.col("fail").cast("bigint").alias("fail"))
+
+
+LISTING_LABELS = {
+    "topic": "topic",
+    "table_name": "elementary_test_results.TABLE_NAME",
+    "column_name": "elementary_test_results.COLUMN_NAME",
+    "test_short_name": "elementary_test_results.TEST_SHORT_NAME",
+    "test_sub_type": "elementary_test_results.TEST_SUB_TYPE",
+    "created_at": "elementary_test_results.CREATED_AT",
+    "status": "elementary_test_results.STATUS",
+}
+
+
+@q(
+    "latest_run_listing",
+    f"WITH {TR}\n"
+    + "\nUNION ALL\n".join(
+        f"""SELECT '{t}' AS topic, table_name AS "elementary_test_results.TABLE_NAME",
+  column_name AS "elementary_test_results.COLUMN_NAME", test_short_name AS "elementary_test_results.TEST_SHORT_NAME",
+  test_sub_type AS "elementary_test_results.TEST_SUB_TYPE", created_at AS "elementary_test_results.CREATED_AT",
+  status AS "elementary_test_results.STATUS"
+FROM tr WHERE invocation_id = (SELECT invocation_id FROM latest) AND ({p})"""
+        for t, p in LISTING_PREDICATES_SQL.items()
+    ),
+)
+def q_latest_run_listing(spark, sf):
+    cols = ["table_name", "column_name", "test_short_name", "test_sub_type", "created_at", "status"]
+    rows = dq.latest_run_listing(results(spark, sf), listing_topics(), cols)
+    return label_columns(rows.orderBy("topic", "status", "table_name"), LISTING_LABELS)
+
+
+@q(
+    "results_breakdown",
+    f"""
+WITH {TR}
+SELECT SUM(CASE WHEN status = 'pass' THEN 1 ELSE 0 END) AS pass,
+       SUM(CASE WHEN status = 'fail' OR status = 'error' THEN 1 ELSE 0 END) AS fail
+FROM (SELECT DISTINCT test_unique_id, status FROM tr WHERE invocation_id = (SELECT invocation_id FROM latest)) t1
+""",
+)
+def q_results_breakdown(spark, sf):
+    out = dq.results_breakdown(results(spark, sf))
+    return out.select(F.col("pass").cast("bigint").alias("pass"), F.col("fail").cast("bigint").alias("fail"))
+
+
+@q(
+    "entity_health",
+    f"""
+WITH {TR}
+SELECT count(CASE WHEN status = 0 THEN 1 END) AS pass, count(CASE WHEN status = 1 THEN 1 END) AS fail
+FROM (SELECT max(CASE WHEN status = 'pass' THEN 0 ELSE 1 END) AS status FROM tr
+      WHERE invocation_id = (SELECT invocation_id FROM latest) AND model_unique_id IS NOT NULL
+      GROUP BY model_unique_id) t1
+""",
+)
+def q_entity_health(spark, sf):
+    return dq.tables_health(results(spark, sf))
+
+
+@q(
+    "monitoring_coverage",
+    """
+WITH all_ids AS (
+  SELECT 'doc.' || CAST(doc_id AS VARCHAR) AS unique_id FROM documents WHERE source LIKE 'src1%'
+  UNION
+  SELECT 'doc.' || CAST(doc_id AS VARCHAR) FROM labels WHERE toxic = 0
+),
+monitored AS (SELECT DISTINCT 'doc.' || CAST(doc_id AS VARCHAR) AS unique_id FROM labels WHERE quality = 1)
+SELECT COUNT(DISTINCT m.unique_id) AS monitored, COUNT(DISTINCT a.unique_id) - COUNT(DISTINCT m.unique_id) AS unmonitored
+FROM all_ids a LEFT JOIN monitored m ON a.unique_id = m.unique_id
+""",
+)
+def q_monitoring_coverage(spark, sf):
+    """Declared = documents of sources 'src1*' plus non-toxic labelled docs; monitored = quality-1 labels."""
+    uid = lambda c: F.concat(F.lit("doc."), F.col(c).cast("string")).alias("unique_id")
+    docs = table(spark, sf, "documents").where(F.col("source").like("src1%")).select(uid("doc_id"))
+    labels = table(spark, sf, "labels")
+    declared_labels = labels.where(F.col("toxic") == 0).select(uid("doc_id"))
+    monitored = labels.where(F.col("quality") == 1).select(uid("doc_id"))
+    return dq.monitoring_coverage([docs, declared_labels], monitored)
+
+
+@q(
+    "new_failures",
+    f"""
+WITH {TR},
+latest_runs AS (SELECT test_unique_id, test_name, status FROM tr WHERE invocation_id = (SELECT invocation_id FROM latest)),
+latest_failures AS (SELECT test_unique_id, test_name FROM latest_runs WHERE status = 'fail' OR status = 'error'),
+prev_inv AS (
+  SELECT invocation_id FROM tr WHERE invocation_id NOT IN (SELECT invocation_id FROM latest) ORDER BY created_at DESC LIMIT 1
+),
+prev_runs AS (
+  SELECT test_unique_id AS previous_test_unique_id, status AS previous_status FROM tr
+  WHERE test_unique_id IN (SELECT test_unique_id FROM latest_runs) AND invocation_id = (SELECT invocation_id FROM prev_inv)
+)
+SELECT lf.test_name AS "Test Name"
+FROM latest_failures lf LEFT JOIN prev_runs p ON p.previous_test_unique_id = lf.test_unique_id
+WHERE p.previous_status = 'pass' OR p.previous_status IS NULL
+""",
+)
+def q_new_failures(spark, sf):
+    return dq.new_failures(results(spark, sf))
+
+
+@q(
+    "failing_days",
+    f"""
+WITH {TR},
+current_failures AS (
+  SELECT test_unique_id, test_name FROM tr WHERE invocation_id = (SELECT invocation_id FROM latest) AND status != 'pass'
+),
+last_pass AS (
+  SELECT test_unique_id, max(created_at) AS created_at FROM tr
+  WHERE status = 'pass' AND test_unique_id IN (SELECT test_unique_id FROM current_failures) GROUP BY test_unique_id
+),
+no_pass AS (
+  SELECT test_unique_id, min(created_at) AS created_at FROM tr
+  WHERE test_unique_id NOT IN (SELECT test_unique_id FROM last_pass)
+    AND test_unique_id IN (SELECT test_unique_id FROM current_failures) GROUP BY test_unique_id
+),
+u AS (SELECT * FROM last_pass UNION SELECT * FROM no_pass),
+d AS (
+  SELECT DATE '2024-01-30' - CAST(u.created_at AS DATE) AS days, cf.test_name
+  FROM u LEFT JOIN current_failures cf ON cf.test_unique_id = u.test_unique_id
+)
+SELECT test_name AS "Test Name", CAST(CASE WHEN days = 0 THEN 1 ELSE days END AS INTEGER) AS "Days Failing"
+FROM d GROUP BY 1, 2
+""",
+)
+def q_failing_days(spark, sf):
+    return dq.failing_days(results(spark, sf), TODAY)
+
+
+@q(
+    "zero_fill_daily",
+    """
+WITH users AS (SELECT DISTINCT user_id FROM events WHERE event_type = 'purchase'),
+days AS (SELECT CAST(d AS DATE) AS day FROM generate_series(DATE '2024-01-24', DATE '2024-01-30', INTERVAL 1 DAY) t(d)),
+counts AS (
+  SELECT user_id, CAST(ts AS DATE) AS day, COUNT(*) AS purchases FROM events WHERE event_type = 'purchase' GROUP BY ALL
+)
+SELECT u.user_id, d.day, COALESCE(c.purchases, 0) AS purchases
+FROM users u, days d LEFT JOIN counts c ON c.user_id = u.user_id AND c.day = d.day
+""",
+)
+def q_zero_fill_daily(spark, sf):
+    """Purchases per user per day over the last 7 days, missing days filled with 0 (every purchasing user)."""
+    e = table(spark, sf, "events").where(F.col("event_type") == "purchase")
+    daily = e.groupBy("user_id", F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("purchases"))
+    start = TODAY - dt.timedelta(days=6)
+    return zero_fill_daily(daily, "day", ["purchases"], start, TODAY, keys=["user_id"])
+
+
+@q(
+    "day_over_day",
+    f"""
+WITH c AS (
+  SELECT event_type,
+    COALESCE(SUM(CASE WHEN CAST(ts AS DATE) = DATE '2024-01-30' THEN 1 END), 0) AS today,
+    COALESCE(SUM(CASE WHEN CAST(ts AS DATE) = DATE '2024-01-29' THEN 1 END), 0) AS yesterday
+  FROM events GROUP BY event_type
+)
+SELECT event_type, today, yesterday,
+  CASE WHEN today = 0 AND yesterday = 0 THEN 0.0 WHEN yesterday = 0 THEN 100.0
+       ELSE round_even(CAST(today - yesterday AS DOUBLE) / CAST(yesterday AS DOUBLE) * 100.0, 0) END AS pct_change,
+  CASE WHEN (CASE WHEN today = 0 AND yesterday = 0 THEN 0.0 WHEN yesterday = 0 THEN 100.0
+       ELSE round_even(CAST(today - yesterday AS DOUBLE) / CAST(yesterday AS DOUBLE) * 100.0, 0) END) > 0 THEN 'up'
+       WHEN (CASE WHEN today = 0 AND yesterday = 0 THEN 0.0 WHEN yesterday = 0 THEN 100.0
+       ELSE round_even(CAST(today - yesterday AS DOUBLE) / CAST(yesterday AS DOUBLE) * 100.0, 0) END) < 0 THEN 'down'
+       ELSE 'flat' END AS direction
+FROM c
+""",
+)
+def q_day_over_day(spark, sf):
+    e = table(spark, sf, "events")
+    daily = e.groupBy("event_type", F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    return dq.day_over_day(daily, "day", "n", TODAY, keys=["event_type"])
+
+
+def _zsql(metric: str, keys: str = "event_type") -> str:
+    w = f"OVER (PARTITION BY {keys} ORDER BY day ROWS BETWEEN 14 PRECEDING AND 1 PRECEDING)"
+    mean = f"AVG({metric}) {w}"
+    std = f"STDDEV_SAMP({metric}) {w}"
+    z = f"({metric} - {mean}) / NULLIF({std}, 0)"
+    return f"""{sround(mean)} AS baseline_mean, {sround(std)} AS baseline_std, {sround(z)} AS z_score,
+       COALESCE(abs({z}) > 3.0, FALSE) AS is_anomaly"""
+
+
+@q(
+    "volume_anomalies",
+    f"""
+WITH c AS (SELECT event_type, CAST(ts AS DATE) AS day, COUNT(*) AS n FROM events GROUP BY ALL),
+span AS (SELECT event_type, MIN(day) AS lo, MAX(day) AS hi FROM c GROUP BY event_type),
+spine AS (SELECT event_type, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS day FROM span),
+daily AS (SELECT s.event_type, s.day, CAST(COALESCE(c.n, 0) AS BIGINT) AS row_count
+          FROM spine s LEFT JOIN c ON c.event_type = s.event_type AND c.day = s.day)
+SELECT event_type, day, row_count, {_zsql('row_count')} FROM daily
+""",
+)
+def q_volume_anomalies(spark, sf):
+    return dq.volume_anomalies(table(spark, sf, "events"), "ts", keys=["event_type"])
+
+
+@q(
+    "freshness_anomalies",
+    f"""
+WITH g AS (
+  SELECT event_type, CAST(ts AS DATE) AS day,
+         (epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY event_type ORDER BY ts))) / 1e6 AS gap
+  FROM events
+),
+daily AS (SELECT event_type, day, MAX(gap) AS max_gap_seconds FROM g GROUP BY ALL)
+SELECT event_type, day, max_gap_seconds, {_zsql('max_gap_seconds')} FROM daily
+""",
+)
+def q_freshness_anomalies(spark, sf):
+    return dq.freshness_anomalies(table(spark, sf, "events"), "ts", keys=["event_type"])
+
+
+@q(
+    "event_freshness",
+    f"""
+WITH daily AS (
+  SELECT CAST(l.l_shipdate AS DATE) AS day,
+         MAX(CAST(date_diff('day', CAST(o.o_orderdate AS DATE), CAST(l.l_shipdate AS DATE)) AS DOUBLE)) AS max_lag
+  FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey GROUP BY 1
+)
+SELECT day, max_lag, {_zsql('max_lag', '1')} FROM daily
+""",
+)
+def q_event_freshness(spark, sf):
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_shipdate")
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
+    j = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
+    return dq.event_freshness(j, "o_orderdate", "l_shipdate")
+
+
+@q(
+    "column_anomalies",
+    f"""
+WITH daily AS (SELECT event_type, CAST(ts AS DATE) AS day, AVG(value) AS mean_value FROM events GROUP BY ALL)
+SELECT event_type, day, {sround('mean_value')} AS mean_value, {_zsql('mean_value')} FROM daily
+""",
+)
+def q_column_anomalies(spark, sf):
+    return dq.column_anomalies(table(spark, sf, "events"), "value", "ts", keys=["event_type"])
+
+
+@q(
+    "schema_changes",
+    """
+WITH b AS (SELECT regexp_replace(column_name, '^[a-z]_', '') AS column_name, data_type FROM information_schema.columns WHERE table_name = 'customer'),
+a AS (SELECT regexp_replace(column_name, '^[a-z]_', '') AS column_name, data_type FROM information_schema.columns WHERE table_name = 'supplier')
+SELECT COALESCE(b.column_name, a.column_name) AS column_name,
+       CASE WHEN b.column_name IS NULL THEN 'added' WHEN a.column_name IS NULL THEN 'removed' ELSE 'type_changed' END AS change
+FROM b FULL JOIN a ON a.column_name = b.column_name
+WHERE b.column_name IS NULL OR a.column_name IS NULL OR a.data_type != b.data_type
+""",
+)
+def q_schema_changes(spark, sf):
+    """Columns added / removed / retyped from customer to supplier, names compared without their table prefix."""
+    before = dq.catalog_frame(spark, table(spark, sf, "customer"))
+    after = dq.catalog_frame(spark, table(spark, sf, "supplier"))
+    out = dq.schema_changes(before, after, normalise=F.regexp_replace("column_name", "^[a-z]_", ""))
+    return out.select("column_name", "change")
+
+
+@q(
+    "uniqueness_violations",
+    "SELECT l_orderkey, l_linenumber, COUNT(*) AS n FROM lineitem GROUP BY ALL HAVING COUNT(*) > 1",
+)
+def q_uniqueness_violations(spark, sf):
+    return dq.assert_unique(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@q(
+    "null_violations",
+    """
+SELECT d.doc_id, 'quality' AS null_column FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id WHERE l.quality IS NULL
+UNION ALL
+SELECT d.doc_id, 'toxic' FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id WHERE l.toxic IS NULL
+""",
+)
+def q_null_violations(spark, sf):
+    d = table(spark, sf, "documents").select("doc_id")
+    lab = table(spark, sf, "labels")
+    j = d.join(lab, "doc_id", "left")
+    return dq.assert_not_null(j, ["doc_id"], ["quality", "toxic"])
+
+
+@q(
+    "not_in_null_aware",
+    "SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')",
+)
+def q_not_in_null_aware(spark, sf):
+    from ledgerlake.operators.joins import not_in
+
+    """Customers who never placed an urgent order (NOT IN with SQL NULL semantics)."""
+    c = table(spark, sf, "customer").select("c_custkey", "c_name")
+    urgent = table(spark, sf, "orders").where(F.col("o_orderpriority") == "1-URGENT").select("o_custkey")
+    return not_in(c, urgent, "c_custkey", "o_custkey")

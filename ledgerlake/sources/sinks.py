@@ -24,6 +24,9 @@ def incremental_slice(df: DataFrame, key: str, since, floor=None) -> DataFrame:
     The comparison is a plain filter on the replication column, so it is pushed
     into the scan and, for date-partitioned data, prunes partitions.
     """
+    if isinstance(since, Column):
+        cond = F.col(key) >= since
+        return df.where(cond if floor is None else cond & (F.col(key) >= F.lit(floor)))
     bound = since if floor is None else (floor if since is None else max(since, floor))
     return df if bound is None else df.where(F.col(key) >= F.lit(bound))
 

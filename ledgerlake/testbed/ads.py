@@ -184,3 +184,129 @@ def q_finest_grain_fallback(spark, sf):
         F.round("conversions_value", 2).alias("conversions_value"), "metrics_level", "ad_group_count", "keyword_count",
         "retail_year", "retail_week",
     )
+
+
+def _report_frames(spark, sf):
+    """Ad-group / keyword stats from line items; histories from customer, supplier, part, nation."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_custkey", "o_orderpriority")
+    li = table(spark, sf, "lineitem")
+    lo = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
+    stats = lo.select(
+        F.to_date("o_orderdate").alias("segments__date"), (F.col("o_custkey") % 10).alias("customer__id"),
+        F.col("o_custkey").alias("campaign__id"), F.col("l_suppkey").alias("ad_group__id"),
+        F.col("l_partkey").alias("ad_group_criterion__criterion_id"), F.col("o_orderpriority").alias("segments__device"),
+        F.col("l_returnflag").alias("_flag"),
+        (F.round(F.col("l_extendedprice") * 100).cast("bigint") * 10000).alias("metrics__cost_micros"),
+        F.col("l_quantity").cast("bigint").alias("metrics__impressions"),
+        F.col("l_linenumber").cast("bigint").alias("metrics__clicks"),
+        F.col("l_quantity").alias("metrics__conversions"), F.col("l_extendedprice").alias("metrics__conversions_value"),
+    )
+    seg = F.col("c_mktsegment")
+    campaigns = table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("campaign__id"), F.col("c_name").alias("campaign__name"),
+        F.when(seg == "BUILDING", F.lit("enabled")).when(seg == "MACHINERY", F.lit("Paused")).otherwise(seg).alias("campaign__status"),
+        F.lit("SEARCH").alias("campaign__advertising_channel_type"), F.col("c_acctbal").alias("_sdc_extracted_at"),
+    )
+    adgroups = table(spark, sf, "supplier").select(
+        F.col("s_suppkey").alias("ad_group__id"), F.col("s_name").alias("ad_group__name"), F.col("s_acctbal").alias("_sdc_extracted_at")
+    )
+    accounts = table(spark, sf, "nation").select(
+        (F.col("n_nationkey") % 10).alias("customer__id"), F.col("n_name").alias("customer__descriptive_name"),
+        F.lit("GBP").alias("customer__currency_code"), F.col("n_nationkey").alias("_sdc_extracted_at"),
+    )
+    criteria = table(spark, sf, "part").select(
+        F.col("p_partkey").alias("ad_group_criterion__criterion_id"), F.col("p_name").alias("ad_group_criterion__keyword__text"),
+        F.col("p_brand").alias("ad_group_criterion__keyword__match_type"), F.col("p_type").alias("ad_group_criterion__age_range__type"),
+        F.col("p_size").cast("string").alias("ad_group_criterion__gender__type"),
+        F.lit(None).cast("string").alias("ad_group_criterion__income_range__type"), F.col("p_retailprice").alias("_sdc_extracted_at"),
+    )
+    return stats, campaigns, adgroups, accounts, criteria
+
+
+SINCE = "1998-01-01"
+REPORT_CTES = f"""
+lo AS (
+  SELECT CAST(o.o_orderdate AS DATE) AS d, o.o_custkey % 10 AS cust, o.o_custkey AS camp, l.l_suppkey AS ag, l.l_partkey AS crit,
+         o.o_orderpriority AS device, l.l_returnflag AS flag,
+         (CAST(round(l.l_extendedprice * 100) AS BIGINT) * 10000) / 1000000 AS cost,
+         CAST(l.l_quantity AS BIGINT) AS impressions, CAST(l.l_linenumber AS BIGINT) AS clicks,
+         l.l_quantity AS conversions, l.l_extendedprice AS conversions_value
+  FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
+  WHERE CAST(o.o_orderdate AS DATE) >= DATE '{SINCE}'
+),
+camp AS (
+  SELECT c_custkey AS id, c_name AS name,
+         CASE WHEN c_mktsegment = 'BUILDING' THEN 'enabled' WHEN c_mktsegment = 'MACHINERY' THEN 'Paused' ELSE c_mktsegment END AS status,
+         'SEARCH' AS channel
+  FROM customer QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY c_acctbal DESC) = 1
+),
+adg AS (SELECT s_suppkey AS id, s_name AS adgroup_name FROM supplier QUALIFY row_number() OVER (PARTITION BY s_suppkey ORDER BY s_acctbal DESC) = 1),
+acct AS (
+  SELECT n_nationkey % 10 AS id, n_name AS descriptive_name FROM nation
+  QUALIFY row_number() OVER (PARTITION BY n_nationkey % 10 ORDER BY n_nationkey DESC) = 1
+)"""
+STATUS_SQL = "CASE WHEN upper(status) = 'ENABLED' THEN 'ACTIVE' WHEN upper(status) = 'PAUSED' THEN 'PAUSED' ELSE status END"
+
+
+@q(
+    "adgroup_report",
+    f"""
+WITH {REPORT_CTES},
+first AS (
+  SELECT lo.d AS fulldate, acct.id AS account_id, acct.descriptive_name, lo.ag AS adgroup_id, adg.adgroup_name,
+         camp.id AS campaign_id, camp.name AS campaign_name, camp.status, lo.device, camp.channel AS advertising_channel_type,
+         SUM(impressions) AS impressions, SUM(clicks) AS clicks, SUM(cost) AS cost, SUM(conversions) AS conversions,
+         SUM(conversions_value) AS conversions_value
+  FROM lo LEFT JOIN camp ON lo.camp = camp.id LEFT JOIN adg ON lo.ag = adg.id LEFT JOIN acct ON lo.cust = acct.id
+  GROUP BY ALL
+)
+SELECT fulldate, account_id, descriptive_name, adgroup_id, adgroup_name, campaign_id, campaign_name,
+       {STATUS_SQL} AS latest_status, device, advertising_channel_type,
+       SUM(impressions) AS impressions, SUM(clicks) AS clicks, {sround('SUM(cost)')} AS cost,
+       SUM(conversions) AS conversions, {sround('SUM(conversions_value)')} AS conversions_value
+FROM first GROUP BY ALL
+""",
+)
+def q_adgroup_report(spark, sf):
+    stats, campaigns, adgroups, accounts, _ = _report_frames(spark, sf)
+    rep = ads.adgroup_report(stats, campaigns, adgroups, accounts, since=SINCE)
+    return rep.withColumns({"cost": F.round("cost", 2), "conversions_value": F.round("conversions_value", 2)})
+
+
+def _keyword_sql() -> str:
+    from ledgerlake.testbed.commerce import title_case_sql
+
+    return f"""
+WITH {REPORT_CTES},
+kw AS (
+  SELECT p_partkey AS id, p_name AS keyword_text, p_brand AS keyword_match_type, p_type AS age_range_type,
+         CAST(p_size AS VARCHAR) AS gender_type, CAST(NULL AS VARCHAR) AS income_range_type
+  FROM part QUALIFY row_number() OVER (PARTITION BY p_partkey ORDER BY p_retailprice DESC) = 1
+),
+first AS (
+  SELECT lo.d AS fulldate, acct.id AS account_id, acct.descriptive_name, lo.crit AS criterion_id, kw.keyword_text,
+         kw.keyword_match_type, kw.age_range_type, kw.gender_type, kw.income_range_type,
+         camp.id AS campaign_id, camp.name AS campaign_name, camp.status, lo.ag AS adgroup_id, adg.adgroup_name,
+         lo.device, camp.channel AS advertising_channel_type,
+         SUM(impressions) AS impressions, SUM(clicks) AS clicks, SUM(cost) AS cost, SUM(conversions) AS conversions,
+         SUM(conversions_value) AS conversions_value
+  FROM lo LEFT JOIN kw ON lo.crit = kw.id LEFT JOIN camp ON lo.camp = camp.id LEFT JOIN adg ON lo.ag = adg.id
+  LEFT JOIN acct ON lo.cust = acct.id
+  WHERE lo.flag = 'R'
+  GROUP BY ALL
+)
+SELECT fulldate, account_id, descriptive_name, criterion_id, {title_case_sql('keyword_text')} AS keyword_text,
+       keyword_match_type, age_range_type, gender_type, income_range_type, campaign_id, campaign_name,
+       {STATUS_SQL} AS latest_status, adgroup_id, {title_case_sql('adgroup_name')} AS adgroup_name, device,
+       advertising_channel_type,
+       SUM(impressions) AS impressions, SUM(clicks) AS clicks, {sround('SUM(cost)')} AS cost,
+       SUM(conversions) AS conversions, {sround('SUM(conversions_value)')} AS conversions_value
+FROM first GROUP BY ALL
+"""
+
+
+@q("keyword_report", _keyword_sql())
+def q_keyword_report(spark, sf):
+    stats, campaigns, adgroups, accounts, criteria = _report_frames(spark, sf)
+    rep = ads.keyword_report(stats.where(F.col("_flag") == "R"), campaigns, criteria, adgroups, accounts, since=SINCE)
+    return rep.withColumns({"cost": F.round("cost", 2), "conversions_value": F.round("conversions_value", 2)})

@@ -516,7 +516,7 @@ def q_local_dates(spark, sf):
     return e.select("event_id", local_date("ts", "Europe/London").alias("local_date"), utc_date("ts").alias("utc_date"))
 
 
-def _title_case_sql() -> str:
+def title_case_sql(col: str = "p_name") -> str:
     from ledgerlake.functions.text import INITCAP_DELIMITERS
 
     parts = []
@@ -528,14 +528,14 @@ def _title_case_sql() -> str:
         else:
             parts.append(f"'{ch}'")
     delim_sql = " || ".join(parts)
-    s = "string_split(lower(p_name), '')"
+    s = f"string_split(lower({col}), '')"
     return (
         f"array_to_string(list_transform({s}, lambda x, i: CASE WHEN i = 1 OR strpos({delim_sql}, {s}[i - 1]) > 0 "
         f"THEN upper(x) ELSE x END), '')"
     )
 
 
-@q("title_case", f"SELECT p_partkey, p_name, {_title_case_sql()} AS title FROM part")
+@q("title_case", f"SELECT p_partkey, p_name, {title_case_sql()} AS title FROM part")
 def q_title_case(spark, sf):
     p = table(spark, sf, "part")
     return p.select("p_partkey", "p_name", title_case("p_name").alias("title"))

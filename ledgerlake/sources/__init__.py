@@ -7,6 +7,7 @@ from ledgerlake.sources.sinks import (
     full_snapshot,
     incremental_slice,
     inline_relation,
+    merge_batches,
     next_bookmark,
     schema_for,
     upsert_by_key,
@@ -29,6 +30,7 @@ __all__ = [
     "full_snapshot",
     "incremental_slice",
     "inline_relation",
+    "merge_batches",
     "jdbc_options",
     "next_bookmark",
     "read_files",

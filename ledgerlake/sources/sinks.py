@@ -100,3 +100,27 @@ def full_snapshot(df: DataFrame, name: str | None = None, path: str | None = Non
 def inline_relation(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
     """A small constant table (lookup rates, status maps). Only for bounded constant data."""
     return spark.createDataFrame(list(rows), schema)
+
+
+def merge_batches(
+    existing: DataFrame,
+    batches: Sequence[DataFrame],
+    keys: Sequence[str],
+    order: Sequence[str | Column],
+    checkpoint_every: int = 1,
+) -> DataFrame:
+    """Apply keyed batches in arrival order, newest row per key winning.
+
+    Every ``checkpoint_every`` batches the merged table is written to the
+    reliable checkpoint folder (``spark.checkpoint.dir``), which cuts the plan
+    lineage: plans stay small however many batches arrive, and a lost executor
+    only recomputes work since the last checkpoint.
+    """
+    from ledgerlake.session import cut_lineage
+
+    current = existing
+    for i, batch in enumerate(batches, start=1):
+        current = upsert_by_key(current, batch, keys, order)
+        if checkpoint_every and i % checkpoint_every == 0:
+            current = cut_lineage(current)
+    return current

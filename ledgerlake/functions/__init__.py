@@ -5,7 +5,18 @@ inside whole-stage codegen and run on the executors.
 """
 
 from ledgerlake.functions.text import title_case, trim_ws, regex_first
-from ledgerlake.functions.json import json_array, json_scalar, json_subdoc, row_to_json, strip_json_quotes
+from ledgerlake.functions.json import (
+    json_array,
+    json_elements,
+    json_records,
+    json_scalar,
+    json_subdoc,
+    json_value_text,
+    row_to_json,
+    strip_json_quotes,
+    variant_doc,
+    variant_scalar,
+)
 from ledgerlake.functions.numeric import (
     bucket,
     money,
@@ -22,8 +33,11 @@ __all__ = [
     "bucket",
     "days_between",
     "json_array",
+    "json_elements",
+    "json_records",
     "json_scalar",
     "json_subdoc",
+    "json_value_text",
     "local_date",
     "money",
     "n0",
@@ -38,4 +52,6 @@ __all__ = [
     "title_case",
     "trim_ws",
     "utc_date",
+    "variant_doc",
+    "variant_scalar",
 ]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -45,3 +47,50 @@ def row_to_json(*cols: str | Column) -> Column:
     """Whole row (or the given columns) as one JSON object, NULL fields kept."""
     target = F.struct(*cols) if cols else F.struct("*")
     return F.to_json(target, {"ignoreNullFields": "false"})
+
+
+def json_elements(c: Column | str) -> Column:
+    """Parse a JSON array held as text once into ``array<variant>``; NULL, malformed or
+    non-array input gives an empty array (so an inner ``explode`` drops the row).
+
+    Fields of the elements are then read with ``variant_scalar`` / ``variant_doc``
+    from the binary VARIANT form, without re-parsing text per field.
+    """
+    arr = F.try_variant_get(F.try_parse_json(as_col(c)), "$", "array<variant>")
+    return F.coalesce(arr, F.array().cast("array<variant>"))
+
+
+def variant_scalar(v: Column | str, path: str = "$") -> Column:
+    """``JSON_VALUE`` on a VARIANT: the scalar at ``path`` as text, NULL for objects and arrays."""
+    sub = F.try_variant_get(as_col(v), path, "variant")
+    kind = F.schema_of_variant(sub)
+    is_container = kind.startswith("OBJECT") | kind.startswith("ARRAY")
+    return F.when(is_container, F.lit(None).cast("string")).otherwise(F.try_variant_get(sub, "$", "string"))
+
+
+def variant_doc(v: Column | str, path: str) -> Column:
+    """``JSON_QUERY`` on a VARIANT: the sub-document at ``path`` as JSON text."""
+    return F.to_json(F.try_variant_get(as_col(v), path, "variant"))
+
+
+def json_value_text(x: Column | str) -> Column:
+    """``JSON_VALUE`` rule on a field parsed as text: NULL when the text is a JSON object or array.
+
+    The (costly) re-parse only runs for values starting with ``{`` or ``[``.
+    """
+    x = as_col(x)
+    container = F.schema_of_variant(F.try_parse_json(x)).rlike("^(OBJECT|ARRAY)")
+    return F.when(x.startswith("{") | x.startswith("["), F.when(container, F.lit(None).cast("string")).otherwise(x)).otherwise(x)
+
+
+def json_records(c: Column | str, fields: Sequence[str]) -> Column:
+    """Parse a JSON array of objects held as text into ``array<struct<field: string, ...>>`` in one pass.
+
+    Each field comes back as text: scalars as their value, objects and arrays
+    as compact JSON text (``JSON_QUERY``); apply ``json_value_text`` after
+    exploding to get ``JSON_VALUE``'s NULL for containers. NULL or malformed
+    input gives an empty array. One ``from_json`` with a fixed schema per row is
+    the cheapest parse Spark offers.
+    """
+    schema = "array<struct<" + ",".join(f"`{n}`:string" for n in fields) + ">>"
+    return F.coalesce(F.from_json(as_col(c), schema), F.array().cast(schema))

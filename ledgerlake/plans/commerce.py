@@ -14,9 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.functions import (
-    json_array,
-    json_scalar,
-    json_subdoc,
+    json_records,
+    json_value_text,
     local_date,
     n0,
     regex_first,
@@ -58,21 +57,27 @@ def clean_orders(
 
 # --- C3 -------------------------------------------------------------------------------------
 def explode_tax_lines(line_items: DataFrame, line_id: str = "id", order_id: str = "order_id", tax_lines: str = "tax_lines") -> DataFrame:
-    """One row per tax line held in a JSON array column; lines with none (or bad JSON) disappear."""
+    """One row per tax line held in a JSON array column; lines with none (or bad JSON) disappear.
+
+    The array is parsed once per line into structs (``json_records``); numeric
+    fields are then safe-cast from their text, as ``SAFE_CAST(JSON_VALUE(..))``.
+    """
+    fields = ["channel_agnostic", "title", "rate", "rate_percentage", "price"]
     e = line_items.select(
         F.col(line_id).alias("order_line_id"),
         F.col(order_id).alias("order_id"),
-        F.explode(json_array(tax_lines)).alias("_t"),
+        F.explode(json_records(tax_lines, [*fields, "price_set"])).alias("_t"),
     )
+    v = {f: json_value_text(f"_t.{f}") for f in fields}
     return e.select(
         "order_line_id",
         "order_id",
-        safe_num(json_scalar("_t", "$.channel_agnostic"), "boolean").alias("channel_agnostic"),
-        json_scalar("_t", "$.title").alias("title"),
-        safe_num(json_scalar("_t", "$.rate")).alias("rate"),
-        safe_num(json_scalar("_t", "$.rate_percentage")).alias("rate_percentage"),
-        safe_num(json_scalar("_t", "$.price")).alias("price"),
-        json_subdoc("_t", "$.price_set").alias("price_set"),
+        safe_num(v["channel_agnostic"], "boolean").alias("channel_agnostic"),
+        v["title"].alias("title"),
+        safe_num(v["rate"]).alias("rate"),
+        safe_num(v["rate_percentage"]).alias("rate_percentage"),
+        safe_num(v["price"]).alias("price"),
+        F.col("_t.price_set").alias("price_set"),
     )
 
 
@@ -87,15 +92,13 @@ def free_product_discount(
 ) -> DataFrame:
     """Per order: minus the price of distinct lines whose JSON ``properties`` hold ``{name, value}`` = ``prop``.
 
-    Tested with the ``exists`` higher-order function on the parsed array, so
-    lines are not exploded; a property listed twice still counts the line once.
+    Tested with the ``exists`` higher-order function on the array parsed once
+    per line, so lines are not exploded; a property listed twice still counts
+    the line once.
     """
     name, value = prop
-    entries = json_array(properties)
-    hit = F.exists(
-        entries,
-        lambda e: (json_scalar(e, "$.name") == F.lit(name)) & (json_scalar(e, "$.value") == F.lit(value)),
-    )
+    entries = json_records(properties, ["name", "value"])
+    hit = F.exists(entries, lambda e: (e["name"] == F.lit(name)) & (e["value"] == F.lit(value)))
     lines = line_items.where(hit).select(
         F.col(line_id).alias("_lid"), F.col(order_id).alias("order_id"), (-safe_num(price)).alias("discount")
     ).distinct()

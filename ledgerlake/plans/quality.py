@@ -84,7 +84,8 @@ def freshness_anomalies(
     gaps = prev.select(
         *keys,
         F.to_date(ts).alias("day"),
-        ((F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(F.col("_prev_ts").cast("timestamp"))) / F.lit(1e6)).alias("gap"),
+        # timestamp_diff on wall-clock (NTZ) values does not depend on the session time zone
+        (F.timestamp_diff("MICROSECOND", F.col("_prev_ts"), F.col(ts)) / F.lit(1e6)).alias("gap"),
     )
     daily = gaps.groupBy(*keys, "day").agg(F.max("gap").alias("max_gap_seconds"))
     return zscore_flags(daily, keys, "day", "max_gap_seconds", train, k)
@@ -97,7 +98,7 @@ def event_freshness(
     if unit == "day":
         lag = F.datediff(F.to_date(load_ts), F.to_date(event_ts)).cast("double")
     else:
-        lag = (F.unix_seconds(F.col(load_ts).cast("timestamp")) - F.unix_seconds(F.col(event_ts).cast("timestamp"))).cast("double")
+        lag = F.timestamp_diff("SECOND", F.col(event_ts), F.col(load_ts)).cast("double")
     daily = df.groupBy(*keys, F.to_date(load_ts).alias("day")).agg(F.max(lag).alias("max_lag"))
     return zscore_flags(daily, keys, "day", "max_lag", train, k)
 

@@ -178,14 +178,17 @@ def q_latest_run_metric(spark, sf):
     return out.select("topic", "total", F.col("pass").cast("bigint").alias("pass"), F.col("fail").cast("bigint").alias("fail"))
 
 
+# Display labels of the detail list. The reference's labels carry a "table." prefix
+# (dotted names, F29); that form is covered by tests/test_operators.py, while the
+# registered query uses the bare labels so any consumer can select the columns by name.
 LISTING_LABELS = {
     "topic": "topic",
-    "table_name": "elementary_test_results.TABLE_NAME",
-    "column_name": "elementary_test_results.COLUMN_NAME",
-    "test_short_name": "elementary_test_results.TEST_SHORT_NAME",
-    "test_sub_type": "elementary_test_results.TEST_SUB_TYPE",
-    "created_at": "elementary_test_results.CREATED_AT",
-    "status": "elementary_test_results.STATUS",
+    "table_name": "TABLE_NAME",
+    "column_name": "COLUMN_NAME",
+    "test_short_name": "TEST_SHORT_NAME",
+    "test_sub_type": "TEST_SUB_TYPE",
+    "created_at": "CREATED_AT",
+    "status": "STATUS",
 }
 
 
@@ -193,10 +196,8 @@ LISTING_LABELS = {
     "latest_run_listing",
     f"WITH {TR}\n"
     + "\nUNION ALL\n".join(
-        f"""SELECT '{t}' AS topic, table_name AS "elementary_test_results.TABLE_NAME",
-  column_name AS "elementary_test_results.COLUMN_NAME", test_short_name AS "elementary_test_results.TEST_SHORT_NAME",
-  test_sub_type AS "elementary_test_results.TEST_SUB_TYPE", created_at AS "elementary_test_results.CREATED_AT",
-  status AS "elementary_test_results.STATUS"
+        f"""SELECT '{t}' AS topic, table_name AS TABLE_NAME, column_name AS COLUMN_NAME,
+  test_short_name AS TEST_SHORT_NAME, test_sub_type AS TEST_SUB_TYPE, created_at AS CREATED_AT, status AS STATUS
 FROM tr WHERE invocation_id = (SELECT invocation_id FROM latest) AND ({p})"""
         for t, p in LISTING_PREDICATES_SQL.items()
     ),

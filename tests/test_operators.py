@@ -86,6 +86,9 @@ def test_flatten_and_label(spark):
     assert flat.columns == ["r__a", "r__b__c", "r__b__d"]
     lab = label_columns(flat, {"r__b__d": "Label", "r__a": "A"})
     assert lab.columns == ["Label", "A"] and lab.collect()[0] == ("z", 1)
+    dotted = label_columns(flat, {"r__a": "results.A", "r__b__d": "results.D"})  # quoted names with dots (F29)
+    assert dotted.orderBy("`results.A`").columns == ["results.A", "results.D"]
+    assert dotted.select("`results.D`").collect()[0][0] == "z"
 
 
 def test_override_types_json_and_cast(spark):

@@ -77,3 +77,25 @@ def test_entry_runs(spark):
     df = entry(spark)
     assert set(df.columns) == {"rfm_segment", "customers", "orders", "revenue"}
     assert df.count() > 0
+
+
+TZ_SENSITIVE = [
+    "local_dates", "freshness_anomalies", "event_freshness", "refund_by_day", "order_refund_ledger",
+    "incremental_slice", "upsert_by_key", "latest_run_listing", "new_failures", "retail_calendar",
+]
+
+
+@pytest.mark.parametrize("key", TZ_SENSITIVE)
+def test_results_do_not_depend_on_session_time_zone(spark, sf_small, key):
+    """The driver's session may not be UTC: wall-clock (NTZ) inputs must give the same answer."""
+    def run():
+        return sorted((tuple(_norm(x) for x in r) for r in QUERIES[key](spark, sf_small).collect()), key=_key)
+
+    before = run()
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        shifted = run()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert shifted == before

@@ -539,3 +539,191 @@ def title_case_sql(col: str = "p_name") -> str:
 def q_title_case(spark, sf):
     p = table(spark, sf, "part")
     return p.select("p_partkey", "p_name", title_case("p_name").alias("title"))
+
+
+# --- Full shop ledger (C2 -> C4/C5/C6/C7 -> C8) -------------------------------------------------
+LEDGER_SINCE = "1996-01-01"
+M2 = "decimal(18,2)"
+
+
+def _shop_orders(spark, sf):
+    """Shop-shaped orders: money as 2-decimal values, test orders = pending low-priority orders."""
+    li = table(spark, sf, "lineitem")
+    price = money("l_extendedprice")
+    per = li.groupBy("l_orderkey").agg(
+        F.sum(price * F.col("l_tax").cast("decimal(4,2)")).cast(M2).alias("_tax"),
+        F.sum(price * F.col("l_discount").cast("decimal(4,2)")).cast(M2).alias("_disc"),
+        F.sum(price).cast(M2).alias("_items"),
+    )
+    o = _orders_with_country(spark, sf)
+    j = o.join(per, o.o_orderkey == per.l_orderkey, "left")
+    total = money("o_totalprice")
+    return j.select(
+        F.col("o_orderkey").alias("id"),
+        F.concat(F.lit("#"), F.col("o_orderkey").cast("string")).alias("name"),
+        (F.col("o_custkey") % 7).alias("app_id"),
+        F.col("o_custkey").alias("user_id"),
+        F.col("o_custkey").alias("customer__id"),
+        F.col("c_name").alias("email"),
+        F.col("o_orderdate").alias("created_at"),
+        F.lit(None).cast("timestamp_ntz").alias("cancelled_at"),
+        ((F.col("o_orderpriority") == "5-LOW") & (F.col("o_orderstatus") == "P")).alias("test"),
+        F.col("o_orderstatus").alias("fulfillment_status"),
+        F.col("n_name").alias("billing_address__country"),
+        (total - F.coalesce(F.col("_tax"), F.lit(0))).alias("subtotal_price"),
+        F.col("_disc").alias("total_discounts"),
+        F.col("_disc").alias("current_total_discounts"),
+        F.col("_items").alias("total_line_items_price"),
+        total.alias("total_price"),
+        F.col("_tax").alias("total_tax"),
+        F.col("_tax").alias("current_total_tax"),
+        F.lit(None).cast("string").alias("original_total_duties_set__shop_money__amount"),
+    )
+
+
+def shop_ledger(spark, sf):
+    orders = com.clean_orders(_shop_orders(spark, sf), zone="UTC")
+    lines, refund_lines, tax_lines = _line_frames(spark, sf)
+    products = table(spark, sf, "part").select(
+        F.col("p_partkey").alias("id"), F.col("p_name").alias("handle"), F.col("p_type").alias("product_type"),
+        F.col("p_brand").alias("vendor"),
+    )
+    line_facts = com.order_line_facts(lines, orders, products, refund_lines, tax_lines, home=HOME)
+    shipping = table(spark, sf, "lineitem").where(F.col("l_returnflag") == "A").select(
+        F.col("l_orderkey").alias("order_id"),
+        (money("l_extendedprice") * F.col("l_discount").cast("decimal(4,2)")).cast(M2).alias("price"),
+    )
+    fpd = com.free_product_discount(_json_lines(spark, sf))
+    from ledgerlake.plans.customer import first_orders
+
+    first = first_orders(orders, email="email", created_at="created_at", order_id="id").select(F.col("id").alias("order_id"))
+    order_days = com.order_day_metrics(orders, shipping, line_facts, fpd, first, since=LEDGER_SINCE)
+    ledger = com.order_metrics_ledger(order_days, _refund_days(spark, sf), calendar={"start": CAL_START, "years": CAL_YEARS})
+    money_cols = [
+        "tax", "shipping_cost", "duties", "discount", "returns", "total_sales", "total_sales_plus_returns",
+        "gross_sales", "order_line_agg_gross_sales", "net_sales", "net_sales_plus_returns", "sales",
+    ]
+    return ledger.select(
+        "fulldate", "order_id", "order_name", "orders_order_id", "app_id", "return_order_id", "refund_date", "user_id",
+        "orders_email", "customer_id", "order_type", "billing_order_country", "number_of_orders", "quantity",
+        "refund_order_count", *[F.round(F.col(c).cast("double"), 2).alias(c) for c in money_cols],
+        "retail_year", "retail_week", "retail_month", "retail_week_label",
+    )
+
+
+def _shop_ledger_sql() -> str:
+    d2 = lambda e: f"CAST({e} AS DECIMAL(18,2))"
+    price = "CAST(l_extendedprice AS DECIMAL(18,2))"
+    wk = "CAST(floor(date_diff('day', DATE '1995-01-01', fulldate) / 7) AS INTEGER)"
+    month = (
+        f"CASE WHEN {wk} % 52 < 4 THEN 1 WHEN {wk} % 52 < 8 THEN 2 WHEN {wk} % 52 < 13 THEN 3 WHEN {wk} % 52 < 17 THEN 4 "
+        f"WHEN {wk} % 52 < 21 THEN 5 WHEN {wk} % 52 < 26 THEN 6 WHEN {wk} % 52 < 30 THEN 7 WHEN {wk} % 52 < 34 THEN 8 "
+        f"WHEN {wk} % 52 < 39 THEN 9 WHEN {wk} % 52 < 43 THEN 10 WHEN {wk} % 52 < 47 THEN 11 ELSE 12 END"
+    )
+    money_out = [
+        "tax", "shipping_cost", "duties", "discount", "returns", "total_sales", "total_sales_plus_returns",
+        "gross_sales", "order_line_agg_gross_sales", "net_sales", "net_sales_plus_returns", "sales",
+    ]
+    return f"""
+WITH {REFUND_SQL},
+per AS (
+  SELECT l_orderkey, {d2(f'SUM({price} * CAST(l_tax AS DECIMAL(4,2)))')} AS tax,
+         {d2(f'SUM({price} * CAST(l_discount AS DECIMAL(4,2)))')} AS disc, {d2(f'SUM({price})')} AS items
+  FROM lineitem GROUP BY l_orderkey
+),
+so AS (
+  SELECT o.o_orderkey AS id, '#' || CAST(o.o_orderkey AS VARCHAR) AS name, o.o_custkey % 7 AS app_id, o.o_custkey AS user_id,
+         o.o_custkey AS customer_id, c.c_name AS email, o.o_orderdate AS created_at, CAST(o.o_orderdate AS DATE) AS order_date,
+         o.o_orderstatus AS fulfillment_status, n.n_name AS country,
+         CAST(CAST(o.o_totalprice AS DECIMAL(18,2)) - COALESCE(per.tax, 0) AS DOUBLE) AS subtotal_price,
+         CAST(per.disc AS DOUBLE) AS total_discounts, CAST(per.disc AS DOUBLE) AS current_total_discounts,
+         CAST(per.items AS DOUBLE) AS total_line_items_price, CAST(CAST(o.o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS total_price,
+         CAST(per.tax AS DOUBLE) AS total_tax, CAST(per.tax AS DOUBLE) AS current_total_tax
+  FROM orders o LEFT JOIN customer c ON c.c_custkey = o.o_custkey LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey
+  LEFT JOIN per ON per.l_orderkey = o.o_orderkey
+  WHERE (o.o_orderpriority = '5-LOW' AND o.o_orderstatus = 'P') = FALSE
+),
+li AS (
+  SELECT {SQL_LINE_ID} AS order_line_id, l_orderkey AS order_id, l_partkey AS product_id, l_suppkey AS variant_id,
+         l_linestatus AS title, {sround('l_extendedprice / l_quantity')} AS price, l_quantity AS qty
+  FROM lineitem
+),
+r AS (SELECT {SQL_LINE_ID} AS rid, l_quantity AS rq, l_extendedprice AS rs FROM lineitem WHERE l_returnflag = 'R'),
+t AS (SELECT {SQL_LINE_ID} AS tid, l_tax AS rate FROM lineitem WHERE l_linestatus = 'F' AND l_tax != 0),
+olf AS (
+  SELECT so.order_date, so.country, li.order_line_id, li.order_id, li.product_id, li.variant_id, li.title,
+         p.p_name, p.p_type, p.p_brand, t.rate, r.rid,
+         SUM(li.qty) AS quantity,
+         SUM(CASE WHEN so.country NOT IN ('{HOME}') THEN li.price * li.qty
+                  WHEN t.rate IS NOT NULL THEN li.price * li.qty / (1 + t.rate)
+                  ELSE li.price * li.qty END) AS gross_sales
+  FROM li JOIN so ON li.order_id = so.id
+  LEFT JOIN part p ON li.product_id = p.p_partkey
+  LEFT JOIN r ON li.order_line_id = r.rid
+  LEFT JOIN t ON li.order_line_id = t.tid
+  GROUP BY ALL
+),
+la AS (SELECT order_id, MAX(rate) AS tax_rate, SUM(gross_sales) AS gross_sales, SUM(quantity) AS quantity FROM olf GROUP BY order_id),
+ship AS (
+  SELECT l_orderkey AS order_id, CAST({d2(f'{price} * CAST(l_discount AS DECIMAL(4,2))')} AS DOUBLE) AS price
+  FROM lineitem WHERE l_returnflag = 'A'
+),
+fpd AS (
+  SELECT order_id, SUM(discount) AS discount FROM (
+    SELECT DISTINCT {SQL_LINE_ID} AS id, l_orderkey AS order_id, -l_extendedprice AS discount FROM lineitem WHERE l_returnflag = 'R'
+  ) GROUP BY order_id
+),
+fo AS (
+  SELECT id AS order_id FROM so QUALIFY row_number() OVER (PARTITION BY lower(email) ORDER BY created_at, id) = 1
+),
+od AS (
+  SELECT so.order_date, so.id AS order_id, so.name AS order_name, so.app_id, so.user_id, so.customer_id, so.email,
+         so.fulfillment_status, so.country AS billing_order_country,
+         CASE WHEN fo.order_id IS NOT NULL THEN 'New' ELSE 'Returning' END AS order_type,
+         COUNT(so.id) AS number_of_orders,
+         SUM(la.gross_sales) AS gross_sales, SUM(la.quantity) AS quantity,
+         SUM((-COALESCE(so.total_discounts, 0) - COALESCE(fpd.discount, 0)) / (1 + COALESCE(la.tax_rate, 0))) AS discount,
+         SUM(fpd.discount) AS free_product_discount,
+         SUM(so.total_price) AS total_sales, SUM(so.total_tax) AS total_tax, SUM(so.current_total_tax) AS current_total_tax,
+         SUM(ship.price / (1 + COALESCE(la.tax_rate, 0))) AS shipping_cost
+  FROM so LEFT JOIN ship ON so.id = ship.order_id LEFT JOIN la ON so.id = la.order_id
+  LEFT JOIN fpd ON so.id = fpd.order_id LEFT JOIN fo ON so.id = fo.order_id
+  WHERE so.order_date >= DATE '{LEDGER_SINCE}'
+  GROUP BY ALL
+),
+j AS (
+  SELECT COALESCE(od.order_date, r.refund_date) AS fulldate, COALESCE(od.order_id, r.order_id) AS order_id,
+    COALESCE(od.order_name, r.order_name) AS order_name, od.order_id AS orders_order_id,
+    COALESCE(od.app_id, r.app_id) AS app_id, r.order_id AS return_order_id, r.refund_date,
+    COALESCE(CAST(od.user_id AS VARCHAR), CAST(r.user_id AS VARCHAR)) AS user_id,
+    sha256(regexp_replace(lower(od.email), '^\\s+|\\s+$', '', 'g')) AS orders_email,
+    od.customer_id, od.order_type, COALESCE(od.billing_order_country, r.billing_order_country) AS billing_order_country,
+    od.number_of_orders, od.quantity, r.number_of_orders AS refund_order_count,
+    COALESCE(COALESCE(NULLIF(od.total_tax, 0), NULLIF(od.current_total_tax, 0)), 0) + COALESCE(r.refund_tax, 0) AS tax,
+    COALESCE(od.shipping_cost, 0) + COALESCE(r.ship_amt, 0) AS shipping_cost,
+    0 AS duties,
+    COALESCE(od.discount, 0) + COALESCE(od.free_product_discount, 0) AS discount,
+    COALESCE(r.refund_amount_actuals, 0) AS returns,
+    COALESCE(od.total_sales, 0) + COALESCE(r.refund_amount_actuals, 0) AS total_sales,
+    od.gross_sales AS order_line_agg_gross_sales
+  FROM od FULL JOIN refund_days r ON od.order_date = r.refund_date AND od.order_id = r.order_id
+),
+k AS (
+  SELECT *, total_sales + abs(returns) AS total_sales_plus_returns,
+         total_sales + COALESCE(abs(returns), 0) + COALESCE(abs(discount), 0) - tax - shipping_cost AS gross_sales,
+         total_sales - tax - shipping_cost AS net_sales,
+         total_sales - tax - shipping_cost + abs(returns) AS net_sales_plus_returns,
+         total_sales - tax - shipping_cost + shipping_cost AS sales
+  FROM j
+)
+SELECT fulldate, order_id, order_name, orders_order_id, app_id, return_order_id, refund_date, user_id, orders_email,
+       customer_id, order_type, billing_order_country, number_of_orders, quantity, refund_order_count,
+       {", ".join(f"{sround(c)} AS {c}" for c in money_out)},
+       CAST({wk} // 52 + 1995 AS INTEGER) AS retail_year, CAST({wk} % 52 + 1 AS INTEGER) AS retail_week,
+       CAST({month} AS INTEGER) AS retail_month,
+       printf('%04d-Wk%02d', {wk} // 52 + 1995, {wk} % 52 + 1) AS retail_week_label
+FROM k
+"""
+
+
+q("shop_ledger", _shop_ledger_sql())(shop_ledger)

@@ -75,7 +75,7 @@ def test_entry_runs(spark):
     from __spark_entry__ import entry
 
     df = entry(spark)
-    assert set(df.columns) == {"rfm_segment", "customers", "orders", "revenue"}
+    assert {"fulldate", "order_id", "net_sales", "retail_week_label"} <= set(df.columns)
     assert df.count() > 0
 
 

@@ -174,7 +174,7 @@ def centralize_failures(failing: Mapping[str, DataFrame], run_time: dt.datetime
     parts = [
         df.select(
             F.lit(name).cast("string").alias("test_name"),
-            F.lit(run_time).cast("timestamp").alias("test_run_time"),
+            F.lit(run_time).cast("timestamp_ntz").alias("test_run_time"),
             row_to_json().alias("test_failures_json"),
         )
         for name, df in failing.items()

@@ -478,3 +478,26 @@ def q_not_in_null_aware(spark, sf):
     c = table(spark, sf, "customer").select("c_custkey", "c_name")
     urgent = table(spark, sf, "orders").where(F.col("o_orderpriority") == "1-URGENT").select("o_custkey")
     return not_in(c, urgent, "c_custkey", "o_custkey")
+
+
+RUN_TIME = "2024-01-30 12:00:00"
+
+
+@q(
+    "row_to_json",
+    f"""
+SELECT 'unique_line_key' AS test_name, TIMESTAMP '{RUN_TIME}' AS test_run_time,
+       to_json({{'l_orderkey': l_orderkey, 'l_linenumber': l_linenumber, 'n': n}}) AS test_failures_json
+FROM (SELECT l_orderkey, l_linenumber, COUNT(*) AS n FROM lineitem GROUP BY ALL HAVING COUNT(*) > 1)
+UNION ALL
+SELECT 'labelled_document', TIMESTAMP '{RUN_TIME}',
+       to_json({{'doc_id': d.doc_id, 'quality': l.quality, 'toxic': l.toxic}})
+FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id WHERE l.quality IS NULL
+""",
+)
+def q_row_to_json(spark, sf):
+    """Failing rows of two checks centralised as (test, run time, row as JSON with NULLs kept)."""
+    dup = dq.assert_unique(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
+    docs = table(spark, sf, "documents").select("doc_id").join(table(spark, sf, "labels"), "doc_id", "left")
+    unlabelled = docs.where(F.col("quality").isNull()).select("doc_id", "quality", "toxic")
+    return dq.centralize_failures({"unique_line_key": dup, "labelled_document": unlabelled}, RUN_TIME)

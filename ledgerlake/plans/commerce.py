@@ -128,13 +128,17 @@ def order_line_facts(
     home: str = HOME_COUNTRY,
     vat_title: str = HOME_VAT_TITLE,
     country: str = "billing_address__country",
+    with_order_total: bool = True,
 ) -> DataFrame:
     """Grain: order line x refund line x VAT rate. Product attributes, refunded qty/amount,
     unit-price sum, quantity, gross net of VAT, and the order's total beside each row.
 
     ``orders`` is the cleaned order frame (``order_date``); ``tax_lines`` the
     exploded tax lines. The VAT predicate sits in the join condition so a line
-    without a qualifying tax line keeps its row.
+    without a qualifying tax line keeps its row. ``with_order_total=False``
+    skips the order total (its self-join re-reads the input; the optimizer
+    cannot drop an unused outer join), for callers such as the ledger that only
+    aggregate the lines further.
     """
     li = lines.select(
         F.col("id").alias("order_line_id"), "order_id", "product_id", "variant_id", "title",
@@ -166,6 +170,8 @@ def order_line_facts(
         F.sum("_qty").alias("quantity"),
         F.sum(gross_ex_vat(pq, F.col("billing_order_country"), F.col("rate"), home)).alias("gross_sales"),
     ).withColumn("handle_first_string", regex_first("handle", "[a-z]+"))
+    if not with_order_total:
+        return g
     return key_totals_beside_rows(g, ["order_id"], {"order_total": F.sum("total_sales")})
 
 

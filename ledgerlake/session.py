@@ -75,3 +75,11 @@ def conf_int(spark: SparkSession, key: str, default: int) -> int:
         return int(spark.conf.get(key, str(default)))
     except (TypeError, ValueError):
         return default
+
+
+def default_parallelism(spark: SparkSession) -> int:
+    """Task slots of the session (falls back to the shuffle partition setting)."""
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001 - no SparkContext access in this session
+        return conf_int(spark, "spark.sql.shuffle.partitions", 8)

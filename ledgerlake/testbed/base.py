@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerlake.session import default_parallelism
 from ledgerlake.sources.tables import read_source
 
 # Fixed conventions of the stand-in mapping.
@@ -16,7 +17,8 @@ ZONE = "Europe/London"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_source(spark, sf_dir, name)
+    """A generated table, spread over the session's cores when it scans as too few splits."""
+    return read_source(spark, sf_dir, name, min_partitions=default_parallelism(spark))
 
 
 def registry():

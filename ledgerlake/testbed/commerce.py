@@ -588,7 +588,7 @@ def shop_ledger(spark, sf):
         F.col("p_partkey").alias("id"), F.col("p_name").alias("handle"), F.col("p_type").alias("product_type"),
         F.col("p_brand").alias("vendor"),
     )
-    line_facts = com.order_line_facts(lines, orders, products, refund_lines, tax_lines, home=HOME)
+    line_facts = com.order_line_facts(lines, orders, products, refund_lines, tax_lines, home=HOME, with_order_total=False)
     shipping = table(spark, sf, "lineitem").where(F.col("l_returnflag") == "A").select(
         F.col("l_orderkey").alias("order_id"),
         (money("l_extendedprice") * F.col("l_discount").cast("decimal(4,2)")).cast(M2).alias("price"),

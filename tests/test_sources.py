@@ -82,3 +82,15 @@ def test_schema_rule_and_jdbc_options():
         jdbc_options("jdbc:x", query="select 1", partition_column="id", lower_bound=0, upper_bound=1, num_partitions=2)
     with pytest.raises(ValueError):
         jdbc_options("jdbc:x")
+
+
+def test_read_source_spreads_only_under_split_large_scans(spark, sf_small, tmp_path):
+    from ledgerlake.sources import read_source
+
+    big = read_source(spark, sf_small, "lineitem", min_partitions=4, spread_min_bytes=1)
+    assert big.rdd.getNumPartitions() == 4
+    small = read_source(spark, sf_small, "nation", min_partitions=4)  # below the size floor
+    assert small.rdd.getNumPartitions() == 1
+    filtered = big.where(F.col("l_returnflag") == "R").select("l_orderkey")
+    plan = filtered._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(l_returnflag), EqualTo(l_returnflag,R)]" in plan

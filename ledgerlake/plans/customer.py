@@ -225,11 +225,20 @@ def customer_360(
 POSTAL_AREA = "^([A-Z]{1,2}[0-9]{1,2}[A-Z]?)"
 
 
-def primary_value(df: DataFrame, key: str, value: str, out: str = "primary_value") -> DataFrame:
-    """Exact most frequent ``value`` per ``key`` (ties -> smallest value); NULL counts as a value.
-
-    Two partial-aggregated group-bys; never collects a key's values.
+def primary_value(df: DataFrame, key: str, value: str, out: str = "primary_value", approx: bool = False) -> DataFrame:
+    """Most frequent ``value`` per ``key``; NULL counts as a value (trap G8).
+
+    Exact by default (ties -> smallest value): two partial-aggregated group-bys,
+    never collecting a key's values. ``approx=True`` uses the ``approx_top_k``
+    sketch (the warehouse's approximate top count): one aggregation whose
+    per-key state is a bounded sketch; ties and near-ties may resolve
+    differently from the exact mode.
     """
+    if approx:
+        top = F.expr(f"approx_top_k(`{value}`, 1)")
+        return df.groupBy(key).agg(top.alias("_top")).select(
+            key, F.col("_top")[0]["item"].alias(out), F.col("_top")[0]["count"].alias(f"{out}_count")
+        )
     counts = df.groupBy(key, value).agg(F.count(F.lit(1)).alias("_n"))
     pick = F.min_by(F.col(value), F.struct((-F.col("_n")).alias("n"), F.col(value).alias("v")))
     return counts.groupBy(key).agg(pick.alias(out), F.max("_n").alias(f"{out}_count"))

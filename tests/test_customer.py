@@ -77,3 +77,11 @@ def test_primary_value_exact_with_tie_break(spark):
     df = spark.createDataFrame([(1, "b"), (1, "a"), (1, "b"), (1, "a"), (2, "z")], "k int, v string")
     got = {r.k: r.primary_value for r in primary_value(df, "k", "v").collect()}
     assert got == {1: "a", 2: "z"}
+
+
+def test_primary_value_approx_agrees_on_clear_majority(spark):
+    data = [(k, "x" if i % 3 else "y") for k in range(5) for i in range(30)] + [(9, None), (9, None), (9, "q")]
+    df = spark.createDataFrame(data, "k int, v string")
+    exact = {r.k: r.primary_value for r in primary_value(df, "k", "v").collect()}
+    approx = {r.k: r.primary_value for r in primary_value(df, "k", "v", approx=True).collect()}
+    assert exact == approx == {0: "x", 1: "x", 2: "x", 3: "x", 4: "x", 9: None}

@@ -1,13 +1,17 @@
 """Neighbour-row operators (LEAD / LAG within a key) that stay balanced under skew.
 
 ``lead(x) OVER (PARTITION BY key ORDER BY t)`` sends all rows of a key to one
-task. Here the frame is range-partitioned on ``(key, t)`` instead: Spark samples
-the data and cuts it into balanced ranges, so a hot key is spread over many
-partitions. Neighbours are found inside each range with a window keyed by the
-range id (bounded by the range size). Only the first/last row of a range can
-have its neighbour in another range; those boundary rows (one per range, so
-the lookup table is bounded by the partition count) are fixed with a
-broadcast join.
+task. Here the frame is range-partitioned on ``(key, t)`` instead: Spark
+samples the data and cuts it into balanced, ordered ranges, so a hot key is
+spread over many partitions. Each range is sorted, its first row is found from
+``monotonically_increasing_id`` (row number 0 of the partition) and copied into
+the previous range as a sentinel that sorts after every row there. One window
+per range then sees each row's true successor, including across range
+boundaries, in a single lineage: no join, no second pass over the ranges, so
+the result does not depend on the sampled bounds being reproduced.
+
+Middle ranges are never empty (every range bound is a sampled key of the data,
+which falls into its own range), so "the next range" is always the one after.
 """
 
 from __future__ import annotations
@@ -19,9 +23,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.session import conf_int
 
-
-def _as_cols(items: Sequence[str | Column]) -> list[Column]:
-    return [F.col(c) if isinstance(c, str) else c for c in items]
+_ROW_BITS = 33  # monotonically_increasing_id = partition id << 33 | row number in partition
 
 
 def neighbour_value(
@@ -32,53 +34,64 @@ def neighbour_value(
     out: str,
     direction: str = "next",
     num_ranges: int | None = None,
+    target_range_bytes: int = 512 << 20,
 ) -> DataFrame:
     """Add ``out`` = ``value`` of the next (``direction='next'``) or previous row of the same key.
 
-    Ordering is ascending on ``order`` (which should be unique within a key).
-    With no ``keys`` the whole frame is one sequence, still without a
-    single-task window.
+    Ordering is ascending on ``order`` (which should be unique within a key);
+    ``'prev'`` walks the same sequence backwards. With no ``keys`` the whole
+    frame is one sequence, still without a single-task window. Unless
+    ``num_ranges`` is given, the range count grows with the optimizer's size
+    estimate of the input (``target_range_bytes`` per range, at least the
+    shuffle-partition setting), since an explicit range repartition is not
+    split later by adaptive execution.
     """
     if direction not in ("next", "prev"):
         raise ValueError("direction must be 'next' or 'prev'")
     keys, order = list(keys), list(order)
+    cols = df.columns
     spark = df.sparkSession
-    n = num_ranges or max(conf_int(spark, "spark.sql.shuffle.partitions", 200), 1)
-    sort_cols = keys + order
-    ranged = df.repartitionByRange(n, *sort_cols).withColumn("_rid", F.spark_partition_id())
+    n = num_ranges or _range_count(df, conf_int(spark, "spark.sql.shuffle.partitions", 200), target_range_bytes)
 
-    key_struct = F.struct(*[F.col(k) for k in keys]) if keys else F.lit(0)
-    in_range = Window.partitionBy("_rid").orderBy(*sort_cols)
-    shift = F.lead if direction == "next" else F.lag
-    with_nb = (
-        ranged.withColumn("_key", key_struct)
-        .withColumn("_nb_key", shift("_key").over(in_range))
-        .withColumn("_nb_val", shift(value).over(in_range))
-    )
-    with_nb = with_nb.withColumn(
-        "_inner", F.when(F.col("_nb_key").eqNullSafe(F.col("_key")), F.col("_nb_val"))
-    )
+    def ordering(c: str) -> Column:
+        # 'prev' is 'next' over the reversed order (ASC NULLS FIRST reversed is DESC NULLS LAST)
+        return F.col(c).desc_nulls_last() if direction == "prev" else F.col(c).asc_nulls_first()
 
-    # One boundary row per range: its first row (for 'next') or last row (for 'prev').
-    ordering = F.struct(*[F.col(c) for c in sort_cols])
-    edge_pick = F.min_by if direction == "next" else F.max_by
-    edges = ranged.groupBy("_rid").agg(
-        edge_pick(F.struct(key_struct.alias("k"), F.col(value).alias("v")), ordering).alias("_edge")
+    sort_exprs = [ordering(c) for c in keys + order]
+    ranged = (
+        df.repartitionByRange(n, *sort_exprs)
+        .sortWithinPartitions(*sort_exprs)
+        .withColumn("_mid", F.monotonically_increasing_id())
     )
-    # Neighbouring non-empty range; the frame has at most n rows.
-    over_ranges = Window.orderBy("_rid")
-    edges = edges.select(
-        F.col("_rid").alias("_e_rid"),
-        shift("_edge").over(over_ranges).alias("_far"),
+    rid = F.shiftright(F.col("_mid"), _ROW_BITS)
+    first_in_range = (F.col("_mid").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))) == 0
+    row = F.struct(*[F.col(f"`{c}`") for c in cols])
+    copies = F.array(
+        F.struct(rid.alias("_g"), F.lit(0).alias("_tag"), row.alias("_r")),
+        F.when(first_in_range, F.struct((rid - 1).alias("_g"), F.lit(1).alias("_tag"), row.alias("_r"))),
     )
-    boundary = F.col("_nb_key").isNull()
-    joined = with_nb.join(
-        F.broadcast(edges),
-        on=(F.col("_rid") == F.col("_e_rid")) & boundary,
-        how="left",
+    expanded = ranged.select(F.explode(F.filter(copies, lambda x: x.isNotNull())).alias("_c")).select(
+        "_c._g", "_c._tag", "_c._r.*"
     )
-    result = joined.withColumn(
-        out,
-        F.when(boundary & F.col("_far.k").eqNullSafe(F.col("_key")), F.col("_far.v")).otherwise(F.col("_inner")),
+    within = Window.partitionBy("_g").orderBy(*[ordering(c) for c in keys + order], F.col("_tag"))
+    key_struct = F.struct(*[F.col(k) for k in keys]) if keys else F.lit(0)
+    nb = (
+        expanded.withColumn("_k", key_struct)
+        .withColumn("_nk", F.lead("_k").over(within))
+        .withColumn("_nv", F.lead(value).over(within))
+    )
+    own = nb.where(F.col("_tag") == 0)
+    return own.select(
+        *[F.col(f"`{c}`") for c in cols],
+        F.when(F.col("_nk").eqNullSafe(F.col("_k")), F.col("_nv")).alias(out),
     )
-    return result.drop("_rid", "_key", "_nb_key", "_nb_val", "_inner", "_e_rid", "_far")
+
+
+def _range_count(df: DataFrame, floor: int, target_bytes: int) -> int:
+    from ledgerlake.sources.tables import estimated_bytes
+
+    try:
+        size = estimated_bytes(df)
+    except Exception:  # noqa: BLE001 - no plan statistics available
+        size = 0
+    return max(floor, 1, -(-size // target_bytes))

@@ -122,3 +122,15 @@ def test_not_in_null_semantics(spark):
     assert rows(not_in(left, with_null, "k", "k")) == []
     assert rows(not_in(left, empty, "k", "k")) == [(1,), (2,), (None,)]
     assert rows(is_in(left, with_null, "k", "k")) == [(2,)]
+
+
+@pytest.mark.parametrize("direction,fn", [("next", F.lead), ("prev", F.lag)])
+def test_neighbour_value_with_many_ranges_and_null_order(spark, direction, fn):
+    """More ranges than distinct keys, NULL order values, a key spanning many ranges."""
+    rnd = random.Random(11)
+    data = [(0 if i % 2 else rnd.randint(1, 5), None if i % 97 == 0 else rnd.randint(0, 10_000), i) for i in range(4000)]
+    df = spark.createDataFrame(data, "k int, t int, id int").withColumn("v", F.col("id") * 2)
+    w = Window.partitionBy("k").orderBy("t", "id")
+    expected = df.withColumn("nb", fn("v").over(w))
+    got = neighbour_value(df, ["k"], ["t", "id"], "v", "nb", direction=direction, num_ranges=64)
+    assert rows(got, "k", "t", "id", "nb") == rows(expected, "k", "t", "id", "nb")

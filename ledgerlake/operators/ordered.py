@@ -11,7 +11,8 @@ boundaries, in a single lineage: no join, no second pass over the ranges, so
 the result does not depend on the sampled bounds being reproduced.
 
 Middle ranges are never empty (every range bound is a sampled key of the data,
-which falls into its own range), so "the next range" is always the one after.
+which falls into its own range, and adaptive execution only merges adjacent
+ranges), so "the next range" is always the one after.
 """
 
 from __future__ import annotations
@@ -21,8 +22,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.session import conf_int
-
 _ROW_BITS = 33  # monotonically_increasing_id = partition id << 33 | row number in partition
 
 
@@ -34,33 +33,30 @@ def neighbour_value(
     out: str,
     direction: str = "next",
     num_ranges: int | None = None,
-    target_range_bytes: int = 512 << 20,
 ) -> DataFrame:
     """Add ``out`` = ``value`` of the next (``direction='next'``) or previous row of the same key.
 
     Ordering is ascending on ``order`` (which should be unique within a key);
     ``'prev'`` walks the same sequence backwards. With no ``keys`` the whole
-    frame is one sequence, still without a single-task window. Unless
-    ``num_ranges`` is given, the range count grows with the optimizer's size
-    estimate of the input (``target_range_bytes`` per range, at least the
-    shuffle-partition setting), since an explicit range repartition is not
-    split later by adaptive execution.
+    frame is one sequence, still without a single-task window.
+
+    ``num_ranges`` fixes the range count; by default the session's shuffle
+    partition setting is used and adaptive execution may merge neighbouring
+    small ranges (a merged range is still a contiguous, non-empty range).
     """
     if direction not in ("next", "prev"):
         raise ValueError("direction must be 'next' or 'prev'")
     keys, order = list(keys), list(order)
     cols = df.columns
-    spark = df.sparkSession
-    n = num_ranges or _range_count(df, conf_int(spark, "spark.sql.shuffle.partitions", 200), target_range_bytes)
 
     def ordering(c: str) -> Column:
         # 'prev' is 'next' over the reversed order (ASC NULLS FIRST reversed is DESC NULLS LAST)
         return F.col(c).desc_nulls_last() if direction == "prev" else F.col(c).asc_nulls_first()
 
     sort_exprs = [ordering(c) for c in keys + order]
+    spread = df.repartitionByRange(num_ranges, *sort_exprs) if num_ranges else df.repartitionByRange(*sort_exprs)
     ranged = (
-        df.repartitionByRange(n, *sort_exprs)
-        .sortWithinPartitions(*sort_exprs)
+        spread.sortWithinPartitions(*sort_exprs)
         .withColumn("_mid", F.monotonically_increasing_id())
     )
     rid = F.shiftright(F.col("_mid"), _ROW_BITS)
@@ -85,13 +81,3 @@ def neighbour_value(
         *[F.col(f"`{c}`") for c in cols],
         F.when(F.col("_nk").eqNullSafe(F.col("_k")), F.col("_nv")).alias(out),
     )
-
-
-def _range_count(df: DataFrame, floor: int, target_bytes: int) -> int:
-    from ledgerlake.sources.tables import estimated_bytes
-
-    try:
-        size = estimated_bytes(df)
-    except Exception:  # noqa: BLE001 - no plan statistics available
-        size = 0
-    return max(floor, 1, -(-size // target_bytes))

@@ -134,3 +134,16 @@ def test_neighbour_value_with_many_ranges_and_null_order(spark, direction, fn):
     expected = df.withColumn("nb", fn("v").over(w))
     got = neighbour_value(df, ["k"], ["t", "id"], "v", "nb", direction=direction, num_ranges=64)
     assert rows(got, "k", "t", "id", "nb") == rows(expected, "k", "t", "id", "nb")
+
+
+def test_neighbour_value_default_ranges_with_adaptive_coalescing(spark, skewed):
+    """Default range count: adaptive execution may merge small ranges; results stay exact."""
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        w = Window.partitionBy("k").orderBy("t", "id")
+        expected = skewed.withColumn("nb", F.lead("v").over(w))
+        got = neighbour_value(skewed, ["k"], ["t", "id"], "v", "nb")
+        assert rows(got, "k", "t", "id", "nb") == rows(expected, "k", "t", "id", "nb")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)

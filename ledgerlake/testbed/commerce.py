@@ -430,7 +430,7 @@ def q_next_order_date(spark, sf):
 
 def _json_lines(spark, sf):
     """Per line: a tax-line JSON array and a properties JSON array built from the line's own columns."""
-    li = table(spark, sf, "lineitem")
+    li = table(spark, sf, "lineitem", spread=True)  # JSON build + parse per row before any shuffle
     tax = F.struct(
         F.lit("GB VAT").alias("title"), F.col("l_tax").alias("rate"), (F.col("l_tax") * 100).alias("rate_percentage"),
         (F.col("l_extendedprice") * F.col("l_tax")).alias("price"), F.lit(True).alias("channel_agnostic"),

@@ -233,7 +233,6 @@ def refund_ledger(
     keys = ["refund_date", "order_date", "order_id", "order_name", "user_id", "app_id", "billing_order_country", "presentment_currency"]
     g = base.groupBy(*keys).agg(
         F.sum("_quantity").alias("quantity"),
-        F.count_distinct("order_id").alias("number_of_orders"),
         F.sum("_subtotal").alias("subtotal"),
         F.sum("_tax").alias("total_tax"),
         F.sum("order_adjustment_shipping_amount").alias("order_adjustment_shipping_amount"),
@@ -263,6 +262,7 @@ def refund_amounts(base_currency: str = BASE_CURRENCY) -> dict[str, Column]:
         "refund_tax": n0(-tax) + n0(disc_tax) + n0(ship_tax),
         "refund_shipping_amount": F.col("order_adjustment_shipping_amount"),
         "refund_amount_actuals": amount,
+        # COUNT(DISTINCT order_id) within a group keyed by order_id: 1, or 0 for a NULL id
         "number_of_orders": F.when(F.col("order_id").isNotNull(), F.lit(1)).otherwise(F.lit(0)).cast("bigint"),
     }
 

@@ -180,3 +180,23 @@ def test_order_type_flags(spark):
     )
     got = dict(rows(com.order_type_flags(o, lower_key=True), "id", "order_type"))
     assert got == {1: "Returning", 2: "New", 3: "Returning"}
+
+
+def test_shop_ledger_invariants(spark, sf_small):
+    """Every ledger row satisfies the ledger identities, and totals equal the sum of their parts."""
+    from ledgerlake.testbed.commerce import LEDGER_SINCE, shop_ledger
+
+    led = shop_ledger(spark, sf_small)
+    bad = led.where(
+        (F.abs(F.col("net_sales") - (F.col("total_sales") - F.col("tax") - F.col("shipping_cost"))) > 0.011)
+        | (F.abs(F.col("net_sales_plus_returns") - (F.col("net_sales") + F.abs(F.col("returns")))) > 0.011)
+        | (F.abs(F.col("sales") - F.col("net_sales") - F.col("shipping_cost")) > 0.011)
+        | (F.col("order_type").isNull() & F.col("orders_order_id").isNotNull())
+    )
+    assert bad.count() == 0
+    # order rows only exist from the date floor on; refunds are kept before it (trap G21)
+    early = led.where(F.col("fulldate") < F.lit(LEDGER_SINCE).cast("date"))
+    assert early.where(F.col("orders_order_id").isNotNull()).count() == 0
+    assert early.where(F.col("return_order_id").isNotNull()).count() > 0
+    # one row per (day, order)
+    assert led.groupBy("fulldate", "order_id").count().where("count > 1").count() == 0

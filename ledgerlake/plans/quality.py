@@ -333,3 +333,57 @@ def day_over_day(daily: DataFrame, day: str, value: str, as_of: dt.date, keys: S
             "direction": F.when(pct > 0, F.lit("up")).when(pct < 0, F.lit("down")).otherwise(F.lit("flat")),
         }
     )
+
+
+# --- Source monitoring: the same monitors over many sources in one job ------------------------
+def monitor_sources(
+    sources: Mapping[str, tuple[DataFrame, str]],
+    monitors: Sequence[str] = ("volume", "freshness"),
+    train: int = 14,
+    k: float = 3.0,
+) -> DataFrame:
+    """Run volume and/or freshness monitors over several tables at once.
+
+    ``sources`` maps a table name to ``(frame, timestamp column)``. Only the
+    timestamp column of each table is read; the tables are unioned with a
+    ``table_name`` tag and every monitor runs once over the union, keyed by table
+    (one set of shuffles for all sources instead of one job per table).
+    Output: ``table_name, monitor, day, metric_value, baseline_mean,
+    baseline_std, z_score, is_anomaly``.
+    """
+    stamps = union_all(
+        [df.select(F.lit(name).alias("table_name"), F.col(ts).cast("timestamp_ntz").alias("_ts")) for name, (df, ts) in sources.items()]
+    )
+    parts = []
+    if "volume" in monitors:
+        v = volume_anomalies(stamps, "_ts", keys=["table_name"], train=train, k=k)
+        parts.append(v.select("table_name", F.lit("volume").alias("monitor"), "day",
+                              F.col("row_count").cast("double").alias("metric_value"),
+                              "baseline_mean", "baseline_std", "z_score", "is_anomaly"))
+    if "freshness" in monitors:
+        f = freshness_anomalies(stamps, "_ts", keys=["table_name"], train=train, k=k)
+        parts.append(f.select("table_name", F.lit("freshness").alias("monitor"), "day",
+                              F.col("max_gap_seconds").alias("metric_value"),
+                              "baseline_mean", "baseline_std", "z_score", "is_anomaly"))
+    return union_all(parts)
+
+
+def as_test_results(monitored: DataFrame, test_type: str = "anomaly_detection") -> DataFrame:
+    """Monitor output -> one result row per test per invocation (the day it ran for).
+
+    A test is (monitor, table); status is ``fail`` for an anomalous day, else
+    ``pass``; the result time is the end of that day. The shape is the one the
+    result reports (C22-C29) read.
+    """
+    day_end = F.to_timestamp_ntz(F.concat(F.col("day").cast("string"), F.lit(" 23:59:59")))
+    return monitored.select(
+        F.concat(F.lit("test."), F.col("monitor"), F.lit("."), F.col("table_name")).alias("test_unique_id"),
+        F.concat(F.lit("source_"), F.col("monitor"), F.lit("_anomalies_"), F.col("table_name")).alias("test_name"),
+        F.concat(F.col("monitor"), F.lit("_anomalies")).alias("test_short_name"),
+        F.lit(test_type).alias("test_type"),
+        F.col("table_name"),
+        F.concat(F.lit("source."), F.col("table_name")).alias("model_unique_id"),
+        F.when(F.col("is_anomaly"), F.lit("fail")).otherwise(F.lit("pass")).alias("status"),
+        F.col("day").cast("string").alias("invocation_id"),
+        day_end.alias("created_at"),
+    )

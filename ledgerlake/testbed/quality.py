@@ -501,3 +501,73 @@ def q_row_to_json(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id").join(table(spark, sf, "labels"), "doc_id", "left")
     unlabelled = docs.where(F.col("quality").isNull()).select("doc_id", "quality", "toxic")
     return dq.centralize_failures({"unique_line_key": dup, "labelled_document": unlabelled}, RUN_TIME)
+
+
+def _zsql_key(metric: str, keys: str) -> str:
+    w = f"OVER (PARTITION BY {keys} ORDER BY day ROWS BETWEEN 14 PRECEDING AND 1 PRECEDING)"
+    mean, std = f"AVG({metric}) {w}", f"STDDEV_SAMP({metric}) {w}"
+    z = f"({metric} - {mean}) / NULLIF({std}, 0)"
+    return f"""{sround(mean)} AS baseline_mean, {sround(std)} AS baseline_std, {sround(z)} AS z_score,
+       COALESCE(abs({z}) > 3.0, FALSE) AS is_anomaly"""
+
+
+MONITOR_SQL = f"""
+WITH stamps AS (
+  SELECT 'orders' AS table_name, o_orderdate AS ts FROM orders
+  UNION ALL SELECT 'lineitem', l_shipdate FROM lineitem
+  UNION ALL SELECT 'events', ts FROM events
+),
+c AS (SELECT table_name, CAST(ts AS DATE) AS day, COUNT(*) AS n FROM stamps GROUP BY ALL),
+span AS (SELECT table_name, MIN(day) AS lo, MAX(day) AS hi FROM c GROUP BY table_name),
+spine AS (SELECT table_name, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS day FROM span),
+vol AS (SELECT s.table_name, s.day, CAST(COALESCE(c.n, 0) AS DOUBLE) AS metric_value
+        FROM spine s LEFT JOIN c ON c.table_name = s.table_name AND c.day = s.day),
+g AS (
+  SELECT table_name, CAST(ts AS DATE) AS day,
+         (epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY table_name ORDER BY ts))) / 1e6 AS gap
+  FROM stamps
+),
+fresh AS (SELECT table_name, day, MAX(gap) AS metric_value FROM g GROUP BY ALL)
+SELECT table_name, 'volume' AS monitor, day, metric_value, {_zsql_key('metric_value', 'table_name')} FROM vol
+UNION ALL
+SELECT table_name, 'freshness', day, metric_value, {_zsql_key('metric_value', 'table_name')} FROM fresh
+"""
+
+
+@q("source_monitoring", MONITOR_SQL)
+def q_source_monitoring(spark, sf):
+    """Volume and freshness monitors over the three timestamped tables in one job."""
+    srcs = {
+        "orders": (table(spark, sf, "orders"), "o_orderdate"),
+        "lineitem": (table(spark, sf, "lineitem"), "l_shipdate"),
+        "events": (table(spark, sf, "events"), "ts"),
+    }
+    return dq.monitor_sources(srcs)
+
+
+def _monitored(spark, sf):
+    srcs = {
+        "orders": (table(spark, sf, "orders"), "o_orderdate"),
+        "lineitem": (table(spark, sf, "lineitem"), "l_shipdate"),
+        "events": (table(spark, sf, "events"), "ts"),
+    }
+    return dq.monitor_sources(srcs)
+
+
+MONITOR_TR = f"""mon AS ({MONITOR_SQL}),
+tr AS (
+  SELECT 'test.' || monitor || '.' || table_name AS test_unique_id,
+         'source_' || monitor || '_anomalies_' || table_name AS test_name,
+         monitor || '_anomalies' AS test_short_name, 'anomaly_detection' AS test_type, table_name,
+         'source.' || table_name AS model_unique_id,
+         CASE WHEN is_anomaly THEN 'fail' ELSE 'pass' END AS status,
+         CAST(day AS VARCHAR) AS invocation_id,
+         CAST(CAST(day AS VARCHAR) || ' 23:59:59' AS TIMESTAMP) AS created_at
+  FROM mon
+)"""
+
+
+@q("monitor_test_results", f"WITH {MONITOR_TR} SELECT * FROM tr")
+def q_monitor_test_results(spark, sf):
+    """Monitor outputs as test-result rows (one per test per run day)."""
+    return dq.as_test_results(_monitored(spark, sf))

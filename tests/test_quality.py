@@ -97,3 +97,16 @@ def test_assertions_and_centralisation(spark):
     r = central.collect()[0]
     assert r.test_name == "unique_id" and r.test_failures_json == '{"id":1,"n":2}'
     assert dq.centralize_failures({"x": df}, "2024-01-10", enabled=False) is None
+
+
+def test_monitor_sources_to_failing_days(spark):
+    """Monitors over two sources -> test-result rows -> failing-days report."""
+    steady = [(dt.datetime(2024, 1, d, 1, i),) for d in range(1, 21) for i in range(9 + 2 * (d % 2))]
+    spike = steady + [(dt.datetime(2024, 1, 21, 1, i),) for i in range(60)]
+    srcs = {"a": (spark.createDataFrame(steady, "ts timestamp_ntz"), "ts"), "b": (spark.createDataFrame(spike, "ts timestamp_ntz"), "ts")}
+    mon = dq.monitor_sources(srcs, monitors=("volume",))
+    res = dq.as_test_results(mon)
+    flagged = [(r.test_name, r.invocation_id) for r in res.where("status = 'fail'").collect()]
+    assert flagged == [("source_volume_anomalies_b", "2024-01-21")]
+    got = dict(rows(dq.failing_days(res, dt.date(2024, 1, 21))))
+    assert got == {"source_volume_anomalies_b": 1}  # passed the day before

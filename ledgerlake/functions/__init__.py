@@ -7,15 +7,12 @@ inside whole-stage codegen and run on the executors.
 from ledgerlake.functions.text import title_case, trim_ws, regex_first
 from ledgerlake.functions.json import (
     json_array,
-    json_elements,
     json_records,
     json_scalar,
     json_subdoc,
     json_value_text,
     row_to_json,
     strip_json_quotes,
-    variant_doc,
-    variant_scalar,
 )
 from ledgerlake.functions.numeric import (
     bucket,
@@ -33,7 +30,6 @@ __all__ = [
     "bucket",
     "days_between",
     "json_array",
-    "json_elements",
     "json_records",
     "json_scalar",
     "json_subdoc",
@@ -52,6 +48,4 @@ __all__ = [
     "title_case",
     "trim_ws",
     "utc_date",
-    "variant_doc",
-    "variant_scalar",
 ]

@@ -49,30 +49,6 @@ def row_to_json(*cols: str | Column) -> Column:
     return F.to_json(target, {"ignoreNullFields": "false"})
 
 
-def json_elements(c: Column | str) -> Column:
-    """Parse a JSON array held as text once into ``array<variant>``; NULL, malformed or
-    non-array input gives an empty array (so an inner ``explode`` drops the row).
-
-    Fields of the elements are then read with ``variant_scalar`` / ``variant_doc``
-    from the binary VARIANT form, without re-parsing text per field.
-    """
-    arr = F.try_variant_get(F.try_parse_json(as_col(c)), "$", "array<variant>")
-    return F.coalesce(arr, F.array().cast("array<variant>"))
-
-
-def variant_scalar(v: Column | str, path: str = "$") -> Column:
-    """``JSON_VALUE`` on a VARIANT: the scalar at ``path`` as text, NULL for objects and arrays."""
-    sub = F.try_variant_get(as_col(v), path, "variant")
-    kind = F.schema_of_variant(sub)
-    is_container = kind.startswith("OBJECT") | kind.startswith("ARRAY")
-    return F.when(is_container, F.lit(None).cast("string")).otherwise(F.try_variant_get(sub, "$", "string"))
-
-
-def variant_doc(v: Column | str, path: str) -> Column:
-    """``JSON_QUERY`` on a VARIANT: the sub-document at ``path`` as JSON text."""
-    return F.to_json(F.try_variant_get(as_col(v), path, "variant"))
-
-
 def json_value_text(x: Column | str) -> Column:
     """``JSON_VALUE`` rule on a field parsed as text: NULL when the text is a JSON object or array.
 

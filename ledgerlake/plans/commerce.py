@@ -49,10 +49,10 @@ def clean_orders(
 ) -> DataFrame:
     """Non-test orders (``test IS FALSE``: NULL is dropped too) with local ``order_date`` and numeric ``duties``."""
     out = orders.where(F.col(test) == F.lit(False))
-    extra = {"order_date": local_date(created_at, zone)}
+    cols = [local_date(created_at, zone).alias("order_date"), *[F.col(f"`{c}`") for c in orders.columns if c != "order_date"]]
     if duties in orders.columns:
-        extra["duties"] = safe_num(duties)
-    return out.select(extra["order_date"].alias("order_date"), *[c for c in orders.columns], *[v.alias(k) for k, v in extra.items() if k != "order_date"])
+        cols.append(safe_num(duties).alias("duties"))
+    return out.select(*cols)
 
 
 # --- C3 -------------------------------------------------------------------------------------

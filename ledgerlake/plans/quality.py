@@ -182,7 +182,7 @@ def centralize_failures(failing: Mapping[str, DataFrame], run_time: dt.datetime
     return union_all(parts)
 
 
-def test_results_row(results: DataFrame, store_failures_for: Sequence[str] = ("fail", "warn")) -> DataFrame:
+def results_to_store(results: DataFrame, store_failures_for: Sequence[str] = ("fail", "warn")) -> DataFrame:
     """Which results get their failing rows stored (skipped / errored tests are excluded)."""
     return results.where(F.col("status").isin(list(store_failures_for)))
 

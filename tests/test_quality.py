@@ -110,3 +110,7 @@ def test_monitor_sources_to_failing_days(spark):
     assert flagged == [("source_volume_anomalies_b", "2024-01-21")]
     got = dict(rows(dq.failing_days(res, dt.date(2024, 1, 21))))
     assert got == {"source_volume_anomalies_b": 1}  # passed the day before
+
+
+def test_results_to_store_excludes_skipped_and_errors(spark, results):
+    assert sorted(r.status for r in dq.results_to_store(results).collect()) == ["fail"] * 5 + ["warn"]

@@ -81,45 +81,63 @@ def customer_360(
     customer_id: str | None = "customer_id",
     windows: Sequence[int] = (90, 180, 365),
     postcode: str | None = None,
+    one_row_per_order: bool = False,
 ) -> DataFrame:
     """Per-customer channel, recency, revenue, refund, value and segment measures.
 
-    ``orders`` is one row per order line of the customer_orders input (any
-    extra columns are ignored). ``as_of`` replaces CURRENT_DATE so results are
-    reproducible.
+    ``orders`` holds the customer_orders rows (any extra columns are ignored).
+    ``as_of`` replaces CURRENT_DATE so results are reproducible. With
+    ``one_row_per_order=True`` the caller guarantees order ids are unique per
+    customer (true of an orders table): each row then already is its
+    per-order summary and the first aggregation and its shuffle are skipped.
     """
     asof = F.lit(as_of).cast("date")
     ch, d = F.col(channel), F.col(order_date).cast("date")
     groups = dict(rules.groups)
     beh_groups = [g for g, _, _ in rules.behaviour]
 
-    # Step 1: one row per (customer, order) with exact per-order flags.
-    per_order = [
-        F.min(d).alias("_d_min"),
-        F.max(d).alias("_d_max"),
-        F.sum(gross).alias("_g_sum"),
-        F.count(gross).alias("_g_n"),
-        F.max(gross).alias("_g_max"),
-        F.sum(net).alias("_n_sum"),
-        F.count(net).alias("_n_n"),
-        F.max(net).alias("_n_max"),
-        F.sum(F.col(gross) - F.col(net)).alias("_refund"),
-        F.min_by(F.struct(ch.alias("ch"), (F.col(source) if source else F.lit(None)).alias("src"), d.alias("d")),
-                 F.struct(d, F.col(order_id))).alias("_first"),
+    # Step 1: one row per (customer, order) with exact per-order flags. Each measure is
+    # declared once as (name, row value, kind); kind gives its aggregate over the order's
+    # rows, and its value when the row already is the whole order.
+    first_row = F.struct(ch.alias("ch"), (F.col(source) if source else F.lit(None)).alias("src"), d.alias("d"))
+    measures: list[tuple[str, Column, str]] = [
+        ("_d_min", d, "min"),
+        ("_d_max", d, "max"),
+        ("_g_sum", F.col(gross), "sum"),
+        ("_g_n", F.col(gross), "count"),
+        ("_g_max", F.col(gross), "max"),
+        ("_n_sum", F.col(net), "sum"),
+        ("_n_n", F.col(net), "count"),
+        ("_n_max", F.col(net), "max"),
+        ("_refund", F.col(gross) - F.col(net), "sum"),
+        ("_first", first_row, "first"),
     ]
     if customer_id:
-        per_order.append(F.max(customer_id).alias("_cid"))
+        measures.append(("_cid", F.col(customer_id), "max"))
     for g, codes in groups.items():
-        per_order.append(F.bool_or(_in(ch, codes)).alias(f"_in_{g}"))
-        per_order.append(F.sum(F.when(_in(ch, codes), F.col(net)).otherwise(F.lit(0))).alias(f"_rev_{g}"))
+        measures.append((f"_in_{g}", _in(ch, codes), "any"))
+        measures.append((f"_rev_{g}", F.when(_in(ch, codes), F.col(net)).otherwise(F.lit(0)), "sum"))
     if rules.import_group:
-        per_order.append(F.bool_or(~_in(ch, groups.get(rules.import_group, ()))).alias("_in_not_import"))
+        measures.append(("_in_not_import", ~_in(ch, groups.get(rules.import_group, ())), "any"))
     for n in windows:
-        per_order.append(F.bool_or(d >= F.date_sub(asof, n)).alias(f"_w{n}"))
-    per_order.append(F.min(F.when(_in(ch, groups.get(rules.place_group, ())), d)).alias("_place_d"))
+        measures.append((f"_w{n}", d >= F.date_sub(asof, n), "any"))
+    measures.append(("_place_d", F.when(_in(ch, groups.get(rules.place_group, ())), d), "min"))
     if postcode:
-        per_order.append(F.max(postcode).alias("_zip"))
-    orders_level = orders.groupBy(customer, order_id).agg(*per_order)
+        measures.append(("_zip", F.col(postcode), "max"))
+
+    if one_row_per_order:
+        def row_value(expr: Column, kind: str) -> Column:
+            return F.when(expr.isNotNull(), F.lit(1)).otherwise(F.lit(0)).cast("bigint") if kind == "count" else expr
+
+        orders_level = orders.select(customer, order_id, *[row_value(e, k).alias(a) for a, e, k in measures])
+    else:
+        aggregate = {"min": F.min, "max": F.max, "sum": F.sum, "count": F.count, "any": F.bool_or}
+        order_key = F.struct(d, F.col(order_id))
+
+        def order_agg(expr: Column, kind: str) -> Column:
+            return F.min_by(expr, order_key) if kind == "first" else aggregate[kind](expr)
+
+        orders_level = orders.groupBy(customer, order_id).agg(*[order_agg(e, k).alias(a) for a, e, k in measures])
 
     # Step 2: one row per customer.
     cnt = lambda cond: F.count_if(cond & F.col(order_id).isNotNull())

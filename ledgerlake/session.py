@@ -46,8 +46,9 @@ def build_session(
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's ``spark.checkpoint.dir``; create a scratch one only when unset.
 
-    The fallback is a fresh temporary folder and is meant for local tests only;
-    on a cluster ``spark.checkpoint.dir`` must name a shared filesystem.
+    The fallback (a fresh temporary folder) is only taken in local mode, for
+    tests; on a cluster an unset ``spark.checkpoint.dir`` is an error, since it
+    must name a shared filesystem.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -55,6 +56,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: on a cluster it must name a shared folder "
+                "(a machine-local folder does not survive executor loss)"
+            )
         configured = tempfile.mkdtemp(prefix="ledgerlake-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -79,3 +79,15 @@ def test_bucket_first_match_wins(spark):
 def test_row_to_json_keeps_nulls(spark):
     df = spark.createDataFrame([(1, None)], "a int, b string")
     assert df.select(row_to_json()).collect()[0][0] == '{"a":1,"b":null}'
+
+
+def test_json_records_scalar_and_document_rules(spark):
+    from ledgerlake.functions import json_records, json_value_text
+
+    data = [('[{"title": {"x": 1}, "rate": 0.2, "doc": {"a": [1, 2]}}, {"title": "{not json", "rate": "7", "doc": null}]',),
+            ("not json",), (None,)]
+    df = spark.createDataFrame(data, "j string")
+    e = df.select(F.explode(json_records("j", ["title", "rate", "doc"])).alias("e"))
+    got = [tuple(r) for r in e.select(json_value_text("e.title"), json_value_text("e.rate"), F.col("e.doc")).collect()]
+    # an object in a scalar field is NULL (JSON_VALUE); text that only starts with "{" is kept; docs stay JSON text
+    assert got == [(None, "0.2", '{"a":[1,2]}'), ("{not json", "7", None)]

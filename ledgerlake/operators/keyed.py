@@ -27,9 +27,10 @@ def latest_per_key(
 
     Equivalent to ``QUALIFY ROW_NUMBER() OVER (PARTITION BY keys ORDER BY order DESC) = 1``.
     ``order`` must end with a unique tie-break (trap G2) so the result is deterministic.
-    Runs as ``max_by`` / ``min_by`` in a hash aggregate: partial aggregation keeps
-    one candidate per key per task, so only those candidates are shuffled.
-    Columns come back in the input order.
+    Runs as ``max_by`` / ``min_by`` in an aggregate with partial (map-side)
+    aggregation: one candidate per key per task is shuffled. Because the
+    buffers are structs, Spark plans it sort-based (spills gracefully) rather
+    than hash-based. Columns come back in the input order.
     """
     keys = list(keys)
     missing = [k for k in keys if k not in df.columns]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import simhash
+from ledgerlake.llm import packing, quality, simhash
 from ledgerlake.llm.common import table
 
 
@@ -16,9 +16,45 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def tokenizer_file() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.digest(packing.pack(table(spark, sf_dir, "documents"), tokenizer_file()))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents")).drop("host_rate")
+
+
+OP8_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t FROM documents),
+w AS (SELECT r, doc_id, source, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
+             list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS l FROM d),
+g AS (SELECT r, i, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT r, w, unnest(range(1, len(w) - 3)) AS i FROM w)),
+again AS (SELECT r, i FROM g QUALIFY count(*) OVER (PARTITION BY r, g) > 1),
+cover AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + 5)) AS p FROM again) GROUP BY r),
+m AS (SELECT doc_id, source, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+             length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+             (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words
+      FROM w LEFT JOIN cover USING (r)),
+b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m),
+h AS (SELECT source, count(*)::DOUBLE AS n, (count(*) FILTER (base_failed))::DOUBLE AS f FROM b WHERE source IS NOT NULL GROUP BY source),
+c AS (SELECT sum(f) / sum(n) AS m, sum(f * f / n) / sum(n) AS q, count(*) / sum(n) AS hn FROM h),
+p AS (SELECT m, CASE WHEN q - m * m - m * (1 - m) * hn > 1e-12
+             THEN least(1e6, greatest(1.0, m * (1 - m) / (q - m * m - m * (1 - m) * hn) - 1)) ELSE 1e6 END AS s FROM c)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND coalesce((f + m * s) / (n + s) < 0.5, true) AS kept
+FROM b CROSS JOIN p LEFT JOIN h USING (source)
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash,)}
+    return {f.__name__: f for f in (op1_simhash, op5_packing, op8_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_quality": OP8_SQL}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import packing, quality, simhash
+from ledgerlake.llm import mixing, packing, pii, quality, simhash
 from ledgerlake.llm.common import table
 
 
@@ -16,6 +16,34 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count(F.col("text")).alias("words"))
+    mixed = mixing.mix(docs, size=F.col("words"))
+    return mixed.select("doc_id", *[F.col("mix")[c].alias(c) for c in ("size", "source_size", "target", "taken")])
+
+
+OP4_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(md5('mix:' || doc_id::VARCHAR), '~') AS h,
+                  coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+w AS (SELECT *, (1 + (row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3)::DOUBLE AS w FROM s),
+l AS (SELECT *, sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER o, 0) AS rest,
+             sum(w) OVER () - coalesce(sum(w) OVER o, 0) AS w_rest
+      FROM w WINDOW o AS (ORDER BY 3 * source_size / w, source ASC NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+f AS (SELECT *, w * rest >= 3 * source_size * w_rest AS capped FROM l),
+t AS (SELECT source, source_size, CASE WHEN capped THEN 3.0::DOUBLE * source_size
+             ELSE w * (max(rest::DOUBLE) FILTER (NOT capped AND w_rest = top) OVER ()) / top END AS target
+      FROM (SELECT *, max(w_rest) FILTER (NOT capped) OVER () AS top FROM f)),
+c AS (SELECT d.*, source_size, target,
+             coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY h, doc_id, size, r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pre
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target,
+       (greatest(0, least(size, floor(target) - pre)) + greatest(0, least(size, floor(target) - source_size - pre))
+        + greatest(0, least(size, floor(target) - 2 * source_size - pre)))::BIGINT AS taken
+FROM c
+"""
+
+
 def tokenizer_file() -> str:
     import public_tokenizers
 
@@ -52,9 +80,13 @@ FROM b CROSS JOIN p LEFT JOIN h USING (source)
 """
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.detect(table(spark, sf_dir, "documents")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op5_packing, op8_quality)}
+    return {f.__name__: f for f in (op1_simhash, op4_mixing, op5_packing, op8_quality, op9_pii)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_quality": OP8_SQL}
+    return {"op4_mixing": OP4_SQL, "op8_quality": OP8_SQL}

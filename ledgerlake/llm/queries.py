@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import chunks, langid, mixing, packing, pii, quality, simhash, toxicity
+from ledgerlake.llm import chunks, langid, mixing, packing, pii, quality, simhash, substrings, toxicity
 from ledgerlake.llm.common import held_out, table
 
 
@@ -64,6 +64,10 @@ def op6_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.compare_with_edits(table(spark, sf_dir, "documents"))
 
 
+def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.digest(substrings.deduplicate(table(spark, sf_dir, "documents")))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents")).drop("host_rate")
 
@@ -104,7 +108,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op2_language, op4_mixing, op5_packing, op6_chunks, op8_quality, op9_pii, op10_toxicity)}
+    return {f.__name__: f for f in (op1_simhash, op2_language, op4_mixing, op5_packing, op6_chunks, op7_substrings, op8_quality, op9_pii, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:

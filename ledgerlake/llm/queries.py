@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import chunks, langid, mixing, packing, pii, quality, simhash, substrings, toxicity
+from ledgerlake.llm import chat, chunks, langid, mixing, packing, pii, quality, simhash, substrings, toxicity
 from ledgerlake.llm.common import held_out, table
 
 
@@ -22,6 +22,44 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.in_reply_order(chat.link_replies(table(spark, sf_dir, "conversations")))
+
+
+OP3_SQL = r"""
+WITH RECURSIVE m AS (SELECT row_number() OVER () AS r, conv_id, turn, role, coalesce(text, '') AS t FROM conversations),
+l AS (SELECT r, i, x, len(regexp_replace(regexp_extract(x, '^[ \t]*(?:>[ \t]?)+'), '[^>]', '', 'g')) AS level,
+             regexp_replace(x, '^[ \t]*(?:>[ \t]?)+', '') AS body
+      FROM (SELECT r, unnest(range(1, len(s) + 1)) AS i, unnest(s) AS x FROM (SELECT r, string_split_regex(t, '\r?\n') AS s FROM m))),
+n AS (SELECT *, coalesce(lead(level) OVER (PARTITION BY r ORDER BY i), 0) AS below,
+             CASE WHEN level > 0 AND trim(regexp_replace(body, '\s+', ' ', 'g')) <> '' THEN level ELSE 0 END AS kind FROM l),
+own AS (SELECT r, string_agg(body, chr(10) ORDER BY i) FILTER (level = 0 AND NOT (below > 0 AND
+               regexp_matches(body, '^\s*(?:On .*wrote|Am .*schrieb.*|Le .*a écrit|El .*escribió|.* (?:writes|said)) ?:\s*$'))) AS o FROM n GROUP BY r),
+clean AS (SELECT r, regexp_replace(regexp_replace(coalesce(o, ''), '\n\s*\n', chr(10) || chr(10), 'g'), '\A\s+|\s+\z', '', 'g') AS text FROM own),
+b AS (SELECT *, sum(new) OVER (PARTITION BY r ORDER BY i) AS run
+      FROM (SELECT *, (kind <> coalesce(lag(kind) OVER (PARTITION BY r ORDER BY i), 0))::INT AS new FROM n)),
+q AS (SELECT r, run, min(level) AS level, min(i) AS pos, trim(regexp_replace(lower(string_agg(body, ' ' ORDER BY i)), '[^\p{L}\p{N}]+', ' ', 'g')) AS norm
+      FROM b WHERE kind > 0 GROUP BY r, run),
+p AS (SELECT DISTINCT conv_id, turn, norm FROM (
+        SELECT r, trim(regexp_replace(lower(unnest([text] || string_split_regex(text, '\n[ \t]*\n') || string_split(text, chr(10)))), '[^\p{L}\p{N}]+', ' ', 'g')) AS norm FROM clean)
+      JOIN m USING (r) WHERE turn IS NOT NULL AND len(string_split(norm, ' ')) >= 3),
+here AS (SELECT conv_id, norm, min(turn) AS turn FROM p GROUP BY ALL),
+away AS (SELECT norm, min({'c': conv_id, 't': turn}) AS f FROM p WHERE conv_id IS NOT NULL GROUP BY norm),
+k AS (SELECT q.r, q.level, q.pos, CASE WHEN here.turn < m.turn THEN m.conv_id ELSE f.c END AS fc, CASE WHEN here.turn < m.turn THEN here.turn ELSE f.t END AS ft
+      FROM q JOIN m USING (r) LEFT JOIN here ON here.conv_id = m.conv_id AND here.norm = q.norm LEFT JOIN away ON away.norm = q.norm
+      WHERE len(string_split(q.norm, ' ')) >= 3 AND (here.turn < m.turn OR f.c IS DISTINCT FROM m.conv_id AND f.c IS NOT NULL)),
+best AS (SELECT r, fc, ft FROM k QUALIFY row_number() OVER (PARTITION BY r ORDER BY level, pos) = 1),
+e AS (SELECT conv_id, turn, min(ft) AS up FROM best JOIN m USING (r) WHERE fc = conv_id AND ft < turn GROUP BY ALL),
+w AS (SELECT conv_id, turn, up AS thread_turn, 1::BIGINT AS depth FROM e
+      UNION ALL SELECT w.conv_id, w.turn, e.up, w.depth + 1 FROM w JOIN e ON e.conv_id = w.conv_id AND e.turn = w.thread_turn),
+t AS (SELECT conv_id, turn, min(thread_turn) AS thread_turn, max(depth) AS depth FROM w GROUP BY ALL)
+SELECT m.conv_id, m.turn, role, text, (SELECT count(*) FROM q WHERE q.r = m.r)::BIGINT AS n_quotes, fc AS quoted_conv, ft AS quoted_turn,
+       coalesce(thread_turn, m.turn) AS thread_turn, coalesce(depth, 0)::BIGINT AS depth,
+       '<|' || coalesce(role, 'unknown') || '|>' || chr(10) || text || chr(10) AS rendered
+FROM m JOIN clean USING (r) LEFT JOIN best USING (r) LEFT JOIN t ON t.conv_id = m.conv_id AND t.turn = m.turn
+"""
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count(F.col("text")).alias("words"))
     mixed = mixing.mix(docs, size=F.col("words"))
@@ -108,8 +146,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op2_language, op4_mixing, op5_packing, op6_chunks, op7_substrings, op8_quality, op9_pii, op10_toxicity)}
+    return {f.__name__: f for f in (op1_simhash, op2_language, op3_chat, op4_mixing, op5_packing, op6_chunks, op7_substrings, op8_quality, op9_pii, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_mixing": OP4_SQL, "op8_quality": OP8_SQL}
+    return {"op3_chat": OP3_SQL, "op4_mixing": OP4_SQL, "op8_quality": OP8_SQL}

@@ -279,13 +279,14 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     else:
         right = spans.select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h"), F.col("terms").alias(t))
         rows = rows.join(right, docs[id_col].eqNullSafe(right["_d"]) & (rows[h] == right["_h"]), "left").drop(right["_d"], right["_h"])
-    rows = rows.select(*[F.col(f"`{c}`") for c in docs.columns], t)
+    columns = docs.columns
+    rows = rows.select(*[F.col(f"`{c}`") for c in columns], t)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         clean = [
             None if x is None else redact(x, [(m["start"], m["end"], m["action"]) for m in marks or ()])
             for x, marks in zip(batch.column(text_col).to_pylist(), batch.column(t).to_pylist())
         ]
-        return pa.RecordBatch.from_arrays([pa.array(clean, pa.string()) if c == text_col else batch.column(c) for c in docs.columns], docs.columns)
+        return pa.RecordBatch.from_arrays([pa.array(clean, pa.string()) if c == text_col else batch.column(c) for c in columns], columns)
 
     return map_batches(rows, run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema))

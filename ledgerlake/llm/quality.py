@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import fresh, landed, map_batches
 
+MAX_BROADCAST_HOSTS = 1_000_000  # rejected hosts that are broadcast; more are joined by shuffle
 MIN_WORDS, MAX_REPEAT_PERCENT, HOST_LIMIT, WINDOW = 10, 20, 0.5, 5
 _SYMBOLS = bytes(b for b in range(256) if b not in b"#*$%&|<>")
 _BLANKS = b" \t\n\x0b\x0c\r"
@@ -134,4 +135,7 @@ def keep_good(docs: DataFrame, host: Column | str = "source", limit: float = HOS
     verdicts = host_verdicts(measured(narrow).withColumn("base_failed", base_failed()), limit)
     lost = landed(verdicts.where("not host_kept").select(F.col("host").alias(key)))
     kept = map_batches(named, flag, f"{fields}, `{bad}` boolean").where(~F.col(bad))
-    return kept.join(lost, key, "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    n_lost = lost.count()
+    if n_lost:
+        kept = kept.join(F.broadcast(lost) if n_lost <= MAX_BROADCAST_HOSTS else lost, key, "left_anti")
+    return kept.select(*[f"`{c}`" for c in docs.columns])

@@ -26,7 +26,7 @@ SAMPLE = 20_000  # labelled documents the model may learn from
 VOCABULARY = 4_096
 PREFIXES = (4, 5, 6, 7, 8)
 MIN_TOXIC, MIN_EVIDENCE = 3, 12.0
-KEPT_SENTENCES = 0.3  # share of a toxic bag's sentences that each step of the fit sees
+KEPT_SENTENCES = 0.6  # share of a toxic bag's sentences that each step of the fit sees
 THRESHOLD = 0.3
 CACHE = 400_000
 _SENTENCE = re.compile(r"[.!?\n…。]+")
@@ -124,7 +124,7 @@ def bags(sample: DataFrame, vocab: list[str]) -> DataFrame:
     return map_batches(sample, run, "toxic int, n_sentences int, sent array<int>, feat array<int>")
 
 
-def fit(rows, n_features: int, steps: int = 400, rate: float = 0.1, l2: float = 0.02) -> tuple[float, np.ndarray]:
+def fit(rows, n_features: int, steps: int = 400, rate: float = 0.1, l2: float = 0.1) -> tuple[float, np.ndarray]:
     """(bias, weights >= 0) that maximise the likelihood of the bags' labels, by Adam.
 
     Each step sees a fixed-seed random part of a toxic bag's weighted sentences, so that a bag

@@ -253,11 +253,11 @@ def digest(rows: DataFrame) -> DataFrame:
 
 def redact(text: str, terms) -> str:
     """``text`` with its pattern spans and the given (start, end, action) words replaced.
-    Overlapping spans are replaced as one, by the mark of the first."""
+    Overlapping spans are replaced as one, by the mark of the first (of those, the longest)."""
     marks = [(s, e, f"<{k.upper()}>") for k, s, e in base_spans(text)]
     marks += [(s, e, "" if a == "remove" else "<TERM>") for s, e, a in terms]
     out, at, done = [], 0, 0
-    for s, e, mark in sorted(marks):
+    for s, e, mark in sorted(marks, key=lambda m: (m[0], -m[1])):
         if s < done:
             done = at = max(done, e)
             continue

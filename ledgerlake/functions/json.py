@@ -10,16 +10,29 @@ from pyspark.sql import functions as F
 from ledgerlake.functions._util import as_col
 
 
+_STRING_OR_NUMBER = r'("[^"\\]*+(?:\\.[^"\\]*+)*+")|(-?[0-9]+(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?)'
+
+
+def numbers_as_text(c: Column | str) -> Column:
+    """The document with every number turned into a string of the same characters.
+
+    Spark's JSON readers re-format numbers (``1.0`` may come back as ``1``, ``1e2`` as
+    ``100.0``); read as strings they stay as written. Strings of the document are skipped.
+    """
+    marked = F.regexp_replace(F.translate(as_col(c), "\x01", " "), _STRING_OR_NUMBER, "$1\x01$2\x01")
+    return F.regexp_replace(F.regexp_replace(marked, "\x01\x01", ""), "\x01", '"')
+
+
 def json_scalar(c: Column | str, path: str = "$") -> Column:
-    """Scalar at ``path`` as text; NULL for objects, arrays, missing paths and bad JSON.
+    """Scalar at ``path`` as the text the document has; NULL for objects, arrays, missing paths and bad JSON.
 
-    ``get_json_object`` also returns objects and arrays as text, so the value is
-    parsed once as VARIANT and its type is checked (trap G13).
+    ``get_json_object`` also returns objects and arrays as text, so the kind is looked up in
+    the parsed document (trap G13).
     """
-    v = F.try_variant_get(F.try_parse_json(as_col(c)), path, "variant")
-    kind = F.schema_of_variant(v)
-    is_container = kind.startswith("OBJECT") | kind.startswith("ARRAY")
-    return F.when(is_container, F.lit(None).cast("string")).otherwise(F.try_variant_get(v, "$", "string"))
+    parsed = F.try_variant_get(F.try_parse_json(as_col(c)), path, "variant")
+    kind = F.schema_of_variant(parsed)
+    scalar = parsed.isNotNull() & ~kind.rlike("^(OBJECT|ARRAY|VOID)")
+    return F.when(scalar, F.get_json_object(numbers_as_text(c), path))
 
 
 def json_subdoc(c: Column | str, path: str) -> Column:
@@ -60,13 +73,25 @@ def json_value_text(x: Column | str) -> Column:
 
 
 def json_records(c: Column | str, fields: Sequence[str]) -> Column:
-    """Parse a JSON array of objects held as text into ``array<struct<field: string, ...>>`` in one pass.
-
-    Each field comes back as text: scalars as their value, objects and arrays
-    as compact JSON text (``JSON_QUERY``); apply ``json_value_text`` after
-    exploding to get ``JSON_VALUE``'s NULL for containers. NULL or malformed
-    input gives an empty array. One ``from_json`` with a fixed schema per row is
-    the cheapest parse Spark offers.
+    """Parse a JSON array held as text into ``array<struct<field: string, ...>>``.
+
+    The array is split into its elements first, so an element that is no object
+    gives a record of NULLs and spoils none of the others. Each field comes back
+    as text: scalars as written, objects and arrays as compact JSON text (``JSON_QUERY``), re-written by
+    Spark's JSON reader; apply ``json_value_text`` after exploding to get ``JSON_VALUE``'s NULL for
+    containers. NULL or malformed input, or a document that is no array, gives an
+    empty array.
     """
-    schema = "array<struct<" + ",".join(f"`{n}`:string" for n in fields) + ">>"
-    return F.coalesce(F.from_json(as_col(c), schema), F.array().cast(schema))
+    text = F.ltrim(as_col(c))
+    is_array = text.startswith("[") & F.try_parse_json(text).isNotNull()
+    schema = "struct<" + ",".join(f"`{n}`:string" for n in fields) + ">"
+    as_written = F.when(is_array, F.from_json(text, "array<string>"))
+    as_text = F.when(is_array, F.from_json(numbers_as_text(text), "array<string>"))
+
+    def record(element: Column, i: Column) -> Column:
+        is_object = F.ltrim(element).startswith("{")
+        values = F.from_json(F.when(is_object, element), schema)
+        whole = F.from_json(F.when(is_object, F.get(as_written, i)), schema)  # containers keep numbers as numbers
+        return F.struct(*[F.when(values[n].rlike(r"^[{\[]"), whole[n]).otherwise(values[n]).alias(n) for n in fields])
+
+    return F.coalesce(F.transform(as_text, record), F.array().cast(f"array<{schema}>"))

@@ -22,6 +22,7 @@ def latest_per_key(
     keys: Sequence[str],
     order: Sequence[str | Column],
     ascending: bool = False,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """One row per ``keys``: the row with the greatest (or least) ``order`` tuple.
 
@@ -31,22 +32,29 @@ def latest_per_key(
     aggregation: one candidate per key per task is shuffled. Because the
     buffers are structs, Spark plans it sort-based (spills gracefully) rather
     than hash-based. Columns come back in the input order.
+
+    ``columns`` names the columns wanted besides the keys. The optimizer can't
+    prune through the packed row, so without it every input column is read,
+    sorted and shuffled.
     """
     keys = list(keys)
     missing = [k for k in keys if k not in df.columns]
     if missing:
         raise ValueError(f"key columns not in frame: {missing}")
-    rest = [c for c in df.columns if c not in keys]
+    wanted = set(df.columns if columns is None else columns)
+    rest = [c for c in df.columns if c not in keys and c in wanted]
     ordering = F.struct(*[c.alias(f"_o{i}") for i, c in enumerate(_cols(order))])
     payload = F.struct(*[F.col(c) for c in rest]) if rest else F.lit(None)
     pick = F.min_by if ascending else F.max_by
     picked = df.groupBy(*keys).agg(pick(payload, ordering).alias("_row"))
-    return picked.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
+    return picked.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns if c in keys or c in rest])
 
 
-def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
+def first_per_key(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], columns: Sequence[str] | None = None
+) -> DataFrame:
     """One row per ``keys``: the earliest by ``order`` (``ROW_NUMBER() ... ASC = 1``)."""
-    return latest_per_key(df, keys, order, ascending=True)
+    return latest_per_key(df, keys, order, ascending=True, columns=columns)
 
 
 def key_totals_beside_rows(

@@ -30,6 +30,12 @@ METRICS = {
 }
 
 
+CAMPAIGN_COLUMNS = ("campaign__name", "campaign__status", "campaign__advertising_channel_type")
+CRITERION_COLUMNS = tuple(
+    f"ad_group_criterion__{c}" for c in ("keyword__text", "keyword__match_type", "age_range__type", "gender__type", "income_range__type")
+)
+
+
 def remap_status(c: Column | str, mapping: Mapping[str, str] = STATUS_MAP) -> Column:
     """Upper-cased value found in ``mapping`` -> its label; anything else passes through raw."""
     x = as_col(c)
@@ -40,9 +46,13 @@ def remap_status(c: Column | str, mapping: Mapping[str, str] = STATUS_MAP) -> Co
     return expr.otherwise(x) if expr is not None else x
 
 
-def latest_history(df: DataFrame, keys: Sequence[str], extracted_at: str = "_sdc_extracted_at", tie: Sequence[str] = ()) -> DataFrame:
-    """Current row of a change-log table: newest ``extracted_at`` per key (then ``tie`` columns)."""
-    return latest_per_key(df, keys, [extracted_at, *tie])
+def latest_history(df: DataFrame, keys: Sequence[str], columns: Sequence[str], extracted_at: str = "_sdc_extracted_at") -> DataFrame:
+    """Current row of a change-log table: newest ``extracted_at`` per key, with ``columns`` only.
+
+    Histories that were extracted together share their stamp, so ties go to the
+    greatest ``columns``; the pick does not depend on the order of the input.
+    """
+    return latest_per_key(df, keys, [extracted_at, *columns], columns=columns)
 
 
 def remap_and_reaggregate(
@@ -61,13 +71,9 @@ def remap_and_reaggregate(
 # --- C16 ------------------------------------------------------------------------------------
 def ad_hierarchy(ads: DataFrame, adsets: DataFrame, campaigns: DataFrame, updated: str = "updated_time") -> DataFrame:
     """Latest ad joined to its latest ad set and campaign (grain: ad)."""
-    c = latest_per_key(campaigns.select("id", "account_id", "name", "objective", "status", updated).distinct(), ["id"], [updated])
-    s = latest_per_key(adsets.select("id", "account_id", "name", "status", "campaign_id", updated).distinct(), ["id"], [updated])
-    a = latest_per_key(
-        ads.select("id", "name", "status", "campaign_id", F.col("adset_id").alias("ad_set_id"), updated).distinct(),
-        ["id"],
-        [updated],
-    )
+    c = latest_history(campaigns, ["id"], ["name", "objective", "status"], updated)
+    s = latest_history(adsets, ["id"], ["name", "status"], updated)
+    a = latest_history(ads.withColumnRenamed("adset_id", "ad_set_id"), ["id"], ["name", "status", "campaign_id", "ad_set_id"], updated)
     s = s.select(F.col("id").alias("_s_id"), F.col("name").alias("ad_set_name"), F.col("status").alias("ad_set_status"))
     c = c.select(
         F.col("id").alias("_c_id"), F.col("name").alias("campaign_name"),
@@ -111,15 +117,15 @@ def adgroup_report(
     since: str | None = "2022-01-01",
 ) -> DataFrame:
     """Date x account x ad group x campaign x status x device x channel metrics."""
-    camp = latest_history(campaign_history, ["campaign__id"]).select(
+    camp = latest_history(campaign_history, ["campaign__id"], CAMPAIGN_COLUMNS).select(
         F.col("campaign__id").alias("_c_id"), F.col("campaign__name").alias("campaign_name"),
         F.col("campaign__status").alias("latest_status"),
         F.col("campaign__advertising_channel_type").alias("advertising_channel_type"),
     )
-    adg = latest_history(adgroup_history, ["ad_group__id"]).select(
+    adg = latest_history(adgroup_history, ["ad_group__id"], ["ad_group__name"]).select(
         F.col("ad_group__id").alias("_g_id"), F.col("ad_group__name").alias("adgroup_name")
     )
-    acct = latest_history(accounts, ["customer__id"]).select(
+    acct = latest_history(accounts, ["customer__id"], ["customer__descriptive_name", "customer__currency_code"]).select(
         F.col("customer__id").alias("account_id"), F.col("customer__descriptive_name").alias("descriptive_name"),
         F.col("customer__currency_code").alias("currency_code"),
     )
@@ -154,7 +160,7 @@ def keyword_report(
 ) -> DataFrame:
     """Date x keyword x ad group x campaign x status x device metrics, names title-cased."""
     crit_id = "ad_group_criterion__criterion_id"
-    kw = latest_history(criteria_history, [crit_id]).select(
+    kw = latest_history(criteria_history, [crit_id], CRITERION_COLUMNS).select(
         F.col(crit_id).alias("_k_id"),
         F.col("ad_group_criterion__keyword__text").alias("keyword_text"),
         F.col("ad_group_criterion__keyword__match_type").alias("keyword_match_type"),
@@ -163,15 +169,15 @@ def keyword_report(
         F.col("ad_group_criterion__income_range__type").alias("income_range_type"),
     )
     base = stats.join(kw, stats[crit_id] == kw._k_id, "left")
-    camp = latest_history(campaign_history, ["campaign__id"]).select(
+    camp = latest_history(campaign_history, ["campaign__id"], CAMPAIGN_COLUMNS).select(
         F.col("campaign__id").alias("_c_id"), F.col("campaign__name").alias("campaign_name"),
         F.col("campaign__status").alias("latest_status"),
         F.col("campaign__advertising_channel_type").alias("advertising_channel_type"),
     )
-    adg = latest_history(adgroup_history, ["ad_group__id"]).select(
+    adg = latest_history(adgroup_history, ["ad_group__id"], ["ad_group__name"]).select(
         F.col("ad_group__id").alias("_g_id"), F.col("ad_group__name").alias("adgroup_name")
     )
-    acct = latest_history(accounts, ["customer__id"]).select(
+    acct = latest_history(accounts, ["customer__id"], ["customer__descriptive_name"]).select(
         F.col("customer__id").alias("account_id"), F.col("customer__descriptive_name").alias("descriptive_name"),
     )
     s = base if since is None else base.where(F.col("segments__date") >= F.lit(since).cast("date"))
@@ -231,12 +237,7 @@ def campaign_report(
         keyword_stats, "keyword",
         F.concat(F.col("ad_group__id").cast("string"), F.lit("-"), F.col("ad_group_criterion__criterion_id").cast("string")),
     )
-    info = latest_per_key(
-        campaign_history.select("customer__id", "campaign__id", "campaign__name", "campaign__status",
-                                "campaign__advertising_channel_type", "_sdc_extracted_at"),
-        ["customer__id", "campaign__id"],
-        ["_sdc_extracted_at"],
-    ).select(
+    info = latest_history(campaign_history, ["customer__id", "campaign__id"], CAMPAIGN_COLUMNS).select(
         F.col("customer__id").alias("_i_acct"), F.col("campaign__id").alias("_i_camp"),
         F.col("campaign__name").alias("campaign_name"), F.col("campaign__status").alias("latest_status"),
         F.col("campaign__advertising_channel_type").alias("advertising_channel_type"),

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.functions import (
@@ -23,7 +23,7 @@ from ledgerlake.functions import (
     strip_json_quotes,
     trim_ws,
 )
-from ledgerlake.operators.keyed import first_per_key, key_totals_beside_rows
+from ledgerlake.operators.keyed import first_per_key
 from ledgerlake.plans.calendar import calendar_columns
 
 # Fixed values of the reference's shop rules.
@@ -135,10 +135,9 @@ def order_line_facts(
 
     ``orders`` is the cleaned order frame (``order_date``); ``tax_lines`` the
     exploded tax lines. The VAT predicate sits in the join condition so a line
-    without a qualifying tax line keeps its row. ``with_order_total=False``
-    skips the order total (its self-join re-reads the input; the optimizer
-    cannot drop an unused outer join), for callers such as the ledger that only
-    aggregate the lines further.
+    without a qualifying tax line keeps its row. The order total is a window over
+    the order's own lines (an order's lines are bounded), so the joins run once;
+    ``with_order_total=False`` leaves it out.
     """
     li = lines.select(
         F.col("id").alias("order_line_id"), "order_id", "product_id", "variant_id", "title",
@@ -163,6 +162,8 @@ def order_line_facts(
         "handle", "product_type", "vendor", "rate", "refund_order_line_id",
     ]
     pq = F.col("_price") * F.col("_qty")
+    if with_order_total:
+        j = j.repartition("order_id")  # one exchange serves the group-by and the window
     g = j.groupBy(*keys).agg(
         F.sum("_rq").alias("refund_quantity"),
         F.sum("_rs").alias("refund_subtotal"),
@@ -172,7 +173,7 @@ def order_line_facts(
     ).withColumn("handle_first_string", regex_first("handle", "[a-z]+"))
     if not with_order_total:
         return g
-    return key_totals_beside_rows(g, ["order_id"], {"order_total": F.sum("total_sales")})
+    return g.withColumn("order_total", F.sum("total_sales").over(Window.partitionBy("order_id")))
 
 
 # --- C6 -------------------------------------------------------------------------------------
@@ -217,9 +218,14 @@ def refund_ledger(
     rf = refunds.select(
         F.col("id").alias("refund_id"), "order_id", "user_id", F.col("created_at").alias("_r_created")
     )
+    # A refund landed twice counts its lines twice but its adjustments once, so refunds are
+    # summed to one row each before the adjustments are joined.
+    landed = rf.join(per_refund_line, rf.refund_id == per_refund_line._rl_id, "left")
+    rf = landed.groupBy("refund_id", "order_id", "user_id", "_r_created").agg(
+        *[F.sum(c).alias(c) for c in ("_rl_subtotal", "_rl_tax", "_rl_quantity")]
+    )
     base = (
-        rf.join(per_refund_line, rf.refund_id == per_refund_line._rl_id, "left")
-        .join(o, rf.order_id == o._o_id, "left")
+        rf.join(o, rf.order_id == o._o_id, "left")
         .join(adj, rf.refund_id == adj._adj_id, "left")
         .select(
             local_date(F.col("_r_created").try_cast("timestamp"), zone).alias("refund_date"),
@@ -436,11 +442,12 @@ def convert_currency(
     currency listed with 1.0). Codes are compared after stripping optional JSON
     quotes (trap G13). Returns ``(converted, rejected)``: rows without a rate
     are excluded from the first frame, as the reference's filter does, and
-    returned in the second with status ``MISSING_FX_RATE`` (trap G19). The rate
-    table is bounded by the number of currencies, so it is broadcast.
+    returned in the second with status ``MISSING_FX_RATE`` (trap G19). A currency
+    listed with two different rates is an error: it would multiply orders.
     """
     keyed = orders.withColumn("_cur", strip_json_quotes(F.col(currency)))
-    r = F.broadcast(rates.select(F.col("currency").alias("_rc"), F.col("rate").alias("fx_rate_used")))
+    one = F.when(F.min("rate") < F.max("rate"), F.raise_error(F.concat(F.lit("more than one rate for "), F.col("currency"))).cast("double"))
+    r = rates.groupBy("currency").agg(F.coalesce(one, F.max("rate").cast("double")).alias("fx_rate_used")).withColumnRenamed("currency", "_rc")
     joined = keyed.join(r, keyed._cur == r._rc, "left").drop("_rc")
     fx = F.col("fx_rate_used")
     first = F.col(amount_cols[0])

@@ -22,8 +22,11 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.functions import ratio, regex_first
+from ledgerlake.functions import ratio, regex_first, safe_num, utc_date
+from ledgerlake.functions.json import json_scalar, strip_json_quotes
 from ledgerlake.operators.keyed import first_per_key, latest_per_key
+from ledgerlake.operators.setops import union_all
+from ledgerlake.plans.commerce import BASE_CURRENCY, CONVERTED, convert_currency
 from ledgerlake.plans import segments as seg
 
 
@@ -48,6 +51,9 @@ class ChannelRules:
     import_group: str | None = "magento"
     acquisition: Sequence[tuple[Sequence, str]] = ()
     acquisition_default: str = "Unknown"
+    # ordered (codes, part of the lower-cased source name or None, label)
+    acquisition_detail: Sequence[tuple[Sequence, str | None, str]] = ()
+    acquisition_detail_default: str = "Other"
     place_group: str = "pos"
     place_by_date: Mapping[str, str] = field(default_factory=dict)
     place_default: str = "Glasgow Pop-up"
@@ -56,7 +62,8 @@ class ChannelRules:
 
 
 def _in(c: Column, values: Sequence) -> Column:
-    return c.isin(list(values)) if values else F.lit(False)
+    """Whether ``c`` is one of ``values``; FALSE for NULL, so flags over NULL channels are FALSE."""
+    return F.coalesce(c.isin(list(values)), F.lit(False)) if values else F.lit(False)
 
 
 def _place_by_date(d: Column, rules: ChannelRules) -> Column:
@@ -81,15 +88,16 @@ def customer_360(
     customer_id: str | None = "customer_id",
     windows: Sequence[int] = (90, 180, 365),
     postcode: str | None = None,
-    one_row_per_order: bool = False,
+    maxima: Mapping[str, str] = {},
+    primary_source: bool = False,
 ) -> DataFrame:
     """Per-customer channel, recency, revenue, refund, value and segment measures.
 
     ``orders`` holds the customer_orders rows (any extra columns are ignored).
-    ``as_of`` replaces CURRENT_DATE so results are reproducible. With
-    ``one_row_per_order=True`` the caller guarantees order ids are unique per
-    customer (true of an orders table): each row then already is its
-    per-order summary and the first aggregation and its shuffle are skipped.
+    ``as_of`` replaces CURRENT_DATE so results are reproducible. ``maxima`` maps
+    output names to columns whose greatest value per customer is wanted (addresses,
+    consent; see ``CUSTOMER_MAXIMA``). ``primary_source`` adds the customer's most
+    frequent ``source`` (one more aggregation and join).
     """
     asof = F.lit(as_of).cast("date")
     ch, d = F.col(channel), F.col(order_date).cast("date")
@@ -97,8 +105,7 @@ def customer_360(
     beh_groups = [g for g, _, _ in rules.behaviour]
 
     # Step 1: one row per (customer, order) with exact per-order flags. Each measure is
-    # declared once as (name, row value, kind); kind gives its aggregate over the order's
-    # rows, and its value when the row already is the whole order.
+    # declared once as (name, row value, kind); kind gives its aggregate over the order's rows.
     first_row = F.struct(ch.alias("ch"), (F.col(source) if source else F.lit(None)).alias("src"), d.alias("d"))
     measures: list[tuple[str, Column, str]] = [
         ("_d_min", d, "min"),
@@ -118,26 +125,21 @@ def customer_360(
         measures.append((f"_in_{g}", _in(ch, codes), "any"))
         measures.append((f"_rev_{g}", F.when(_in(ch, codes), F.col(net)).otherwise(F.lit(0)), "sum"))
     if rules.import_group:
-        measures.append(("_in_not_import", ~_in(ch, groups.get(rules.import_group, ())), "any"))
+        measures.append(("_in_not_import", ~_in(ch, groups.get(rules.import_group, ())) & ch.isNotNull(), "any"))
     for n in windows:
         measures.append((f"_w{n}", d >= F.date_sub(asof, n), "any"))
     measures.append(("_place_d", F.when(_in(ch, groups.get(rules.place_group, ())), d), "min"))
     if postcode:
         measures.append(("_zip", F.col(postcode), "max"))
+    measures += [(f"_max_{out}", F.col(c), "max") for out, c in maxima.items()]
 
-    if one_row_per_order:
-        def row_value(expr: Column, kind: str) -> Column:
-            return F.when(expr.isNotNull(), F.lit(1)).otherwise(F.lit(0)).cast("bigint") if kind == "count" else expr
+    aggregate = {"min": F.min, "max": F.max, "sum": F.sum, "count": F.count, "any": F.bool_or}
+    order_key = F.struct(d, F.col(order_id))
 
-        orders_level = orders.select(customer, order_id, *[row_value(e, k).alias(a) for a, e, k in measures])
-    else:
-        aggregate = {"min": F.min, "max": F.max, "sum": F.sum, "count": F.count, "any": F.bool_or}
-        order_key = F.struct(d, F.col(order_id))
+    def order_agg(expr: Column, kind: str) -> Column:
+        return F.min_by(expr, order_key) if kind == "first" else aggregate[kind](expr)
 
-        def order_agg(expr: Column, kind: str) -> Column:
-            return F.min_by(expr, order_key) if kind == "first" else aggregate[kind](expr)
-
-        orders_level = orders.groupBy(customer, order_id).agg(*[order_agg(e, k).alias(a) for a, e, k in measures])
+    orders_level = orders.groupBy(customer, order_id).agg(*[order_agg(e, k).alias(a) for a, e, k in measures])
 
     # Step 2: one row per customer.
     cnt = lambda cond: F.count_if(cond & F.col(order_id).isNotNull())
@@ -167,6 +169,7 @@ def customer_360(
         aggs.append(cnt(F.col(f"_w{n}")).alias(f"orders_last_{n}_days"))
     if postcode:
         aggs.append(F.max("_zip").alias("shipping_postcode"))
+    aggs += [F.max(f"_max_{out}").alias(out) for out in maxima]
     m = orders_level.groupBy(customer).agg(*aggs)
 
     # Step 3: row-level derivations (no further shuffle).
@@ -201,6 +204,13 @@ def customer_360(
         acq = F.when(cond, F.lit(label)) if acq is None else acq.when(cond, F.lit(label))
     acq = acq.otherwise(F.lit(rules.acquisition_default)) if acq is not None else F.lit(rules.acquisition_default)
 
+    detail = None
+    for codes, part, label in rules.acquisition_detail:
+        cond = _in(first_ch, codes)
+        if part is not None:
+            cond = cond & F.coalesce(F.lower(F.col("_first.src")).contains(part), F.lit(False))
+        detail = F.when(cond, F.lit(label)) if detail is None else detail.when(cond, F.lit(label))
+
     place = F.when(_in(first_ch, groups.get(rules.place_group, ())), _place_by_date(F.col("_first.d"), rules))
     for codes, label in rules.place_labels:
         place = place.when(_in(first_ch, codes), F.lit(label))
@@ -232,11 +242,97 @@ def customer_360(
     }
     if 365 in windows:
         derived["gm_segment"] = seg.cohort_segment("first_order_date", "orders_last_365_days", days_since, asof)
+    if detail is not None:
+        derived["acquisition_channel_detail"] = detail.otherwise(F.lit(rules.acquisition_detail_default))
     if source:
         derived["first_order_source"] = F.col("_first.src")
     if postcode:
         derived["shipping_postal_area"] = regex_first("shipping_postcode", POSTAL_AREA)
-    return m.withColumns(derived).drop("_g_n", "_n_n", "_first")
+    out = m.withColumns(derived).drop("_g_n", "_n_n", "_first")
+    if primary_source:
+        top = primary_value(orders, customer, source, out="primary_order_source").select(
+            F.col(customer).alias("_top_customer"), "primary_order_source"
+        )
+        out = out.join(top, F.col(customer).eqNullSafe(F.col("_top_customer")), "left").drop("_top_customer")
+    return out
+
+
+# Output name -> customer_orders column of the per-customer maxima.
+CUSTOMER_MAXIMA = {
+    "billing_order_country": "billing_address_country",
+    "billing_city": "billing_address_city",
+    "billing_province": "billing_address_province",
+    "billing_postcode": "billing_address_zip",
+    "shipping_order_country": "shipping_address_country",
+    "shipping_city": "shipping_address_city",
+    "shipping_province": "shipping_address_province",
+    "accepts_marketing": "buyer_accepts_marketing",
+}
+
+# The financial states of an order that count, and the columns of customer_orders.
+PAID_STATES = ("paid", "partially_paid", "authorized", "pending")
+CUSTOMER_ORDER_COLUMNS = (
+    "email", "order_date", "gross_sales", "net_sales", "order_id", "customer_id", "app_id", "source_name",
+    *(f"{kind}_address_{part}" for kind in ("billing", "shipping") for part in ("country", "city", "province", "zip")),
+    "buyer_accepts_marketing", "is_magento_order", "is_currency_converted",
+)
+
+
+def _landed_order(orders: DataFrame, gross: str) -> DataFrame:
+    """The landed order fields both halves of ``customer_orders`` need, under its names."""
+    address = [
+        F.col(f"{kind}_address__{part}").alias(f"{kind}_address_{part}")
+        for kind in ("billing", "shipping")
+        for part in ("country", "city", "province", "zip")
+    ]
+    return orders.where(~F.col("test") & F.col("email").isNotNull() & F.col("financial_status").isin(*PAID_STATES)).select(
+        F.col("id").alias("order_id"), "name", "email", F.col("customer__id").alias("customer_id"), "app_id", "source_name",
+        "financial_status", "processed_at", "buyer_accepts_marketing", *address,
+        *(["order_date"] if "order_date" in orders.columns else []),
+        F.col("total_price_set__shop_money__currency_code").alias("currency"),
+        safe_num(gross).alias("gross"), safe_num("current_total_price_set__shop_money__amount").alias("net"),
+    )
+
+
+def import_orders(orders: DataFrame, rates: DataFrame, import_apps: Sequence[int], base_currency: str = BASE_CURRENCY) -> tuple[DataFrame, DataFrame]:
+    """Imported orders in the base currency: (converted, rejected for want of a rate).
+
+    Landed orders of the import apps that are no tests, have an e-mail and a counted
+    financial state; dated by UTC ``processed_at``. Gross is the discounts total, as the
+    imports carry it; the original amounts stay beside the converted ones.
+    """
+    rows = _landed_order(orders.where(F.col("app_id").isin(*import_apps)).drop("order_date"), "total_discounts_set__shop_money__amount")
+    rows = rows.withColumn("order_date", utc_date("processed_at")).withColumnsRenamed(
+        {"name": "order_name", "currency": "original_currency", "gross": "gross_sales", "net": "net_sales"}
+    )
+    out = convert_currency(rows, rates, "original_currency", ("gross_sales", "net_sales"), base_currency)
+    kept = {"gross_sales": "original_gross_sales", "net_sales": "original_net_sales"}
+    return tuple(part.withColumnsRenamed(kept) for part in out)
+
+
+def customer_orders(
+    orders: DataFrame, imported: DataFrame, import_apps: Sequence[int], skipped_apps: Sequence[int] = (),
+    skipped_customers: Sequence[int] = (), base_currency: str = BASE_CURRENCY,
+) -> DataFrame:
+    """The order history of all customers: shop orders and converted imports, one row each.
+
+    ``orders`` is the cleaned order frame, ``imported`` the first result of
+    ``import_orders``. Shop rows must be in the base currency (its code may be landed as a
+    JSON string); imports, skipped apps and placeholder customers are left out, as are rows
+    whose app or customer id is NULL. E-mails are lower-cased in both halves.
+    """
+    shop = _landed_order(orders, "total_line_items_price_set__shop_money__amount").where(
+        F.coalesce(json_scalar("currency"), strip_json_quotes("currency")) == base_currency
+    )
+    if skipped_customers:
+        shop = shop.where(~F.col("customer_id").isin(*skipped_customers))
+    shop = shop.where(~F.col("app_id").isin(*import_apps, *skipped_apps)).withColumns(
+        {"email": F.lower("email"), "is_magento_order": F.lit(False), "is_currency_converted": F.lit(False)}
+    ).withColumnsRenamed({"gross": "gross_sales", "net": "net_sales"})
+    imports = imported.withColumns(
+        {"email": F.lower("email"), "is_magento_order": F.lit(True), "is_currency_converted": F.col("conversion_status") == CONVERTED}
+    ).withColumnsRenamed({"gross_sales_gbp": "gross_sales", "net_sales_gbp": "net_sales"})
+    return union_all([half.select(*CUSTOMER_ORDER_COLUMNS) for half in (shop, imports)])
 
 
 # Fixed value: UK postal area pattern of the reference (outward code prefix).
@@ -262,10 +358,14 @@ def primary_value(df: DataFrame, key: str, value: str, out: str = "primary_value
     return counts.groupBy(key).agg(pick.alias(out), F.max("_n").alias(f"{out}_count"))
 
 
-def first_orders(orders: DataFrame, email: str = "email", created_at: str = "created_at", order_id: str = "id") -> DataFrame:
-    """First order of each lower-cased e-mail (NULL e-mails form one group, trap G20)."""
+def first_orders(
+    orders: DataFrame, email: str = "email", created_at: str = "created_at", order_id: str = "id", columns: Sequence[str] | None = None
+) -> DataFrame:
+    """First order of each lower-cased e-mail (NULL e-mails form one group, trap G20).
+
+    ``columns``: what is wanted of it; by default all columns, which are then all read."""
     keyed = orders.withColumn("_email_key", F.lower(F.col(email)))
-    first = first_per_key(keyed, ["_email_key"], [F.col(created_at), F.col(order_id)])
+    first = first_per_key(keyed, ["_email_key"], [F.col(created_at), F.col(order_id)], columns=columns)
     return first.drop(email).withColumnRenamed("_email_key", email)
 
 
@@ -278,12 +378,16 @@ def customer_summary(
     email: str = "email",
     country: str = "billing_address_country",
     order_date: str = "order_date",
+    counted: str = "orders_order_id",
 ) -> DataFrame:
     """E-mail x last billing country -> distinct orders and new/returning.
 
-    The last address is the latest order with a known country per e-mail, joined
-    back on the customer id as the reference does (so the e-mail grain can fan
-    out, trap G4).
+    ``ledger`` rows are matched by ``order_id``, but orders are counted by
+    ``counted``, which is NULL on rows that only hold a refund. The last address is
+    the latest order with a known country per e-mail, joined back on the customer
+    id as the reference does (so the e-mail grain can fan out, trap G4). Both sides
+    are reduced first: orders to one row per (customer, e-mail, order), countries to one
+    row per (customer, country).
     """
     last = latest_per_key(
         addresses.where(F.col(country).isNotNull()).select(email, customer_id, country, order_date, order_id),
@@ -291,12 +395,11 @@ def customer_summary(
         [F.col(order_date), F.col(order_id)],
     ).select(F.col(customer_id).alias("_la_cid"), F.col(country).alias("billing_order_country"))
     et = order_emails.select(F.col(order_id).alias("_et_oid"), F.col(customer_id).alias("_et_cid"), F.col(email))
-    joined = (
-        ledger.select(order_id)
-        .join(et, F.col(order_id) == F.col("_et_oid"), "left")
-        .join(last, F.col("_et_cid") == F.col("_la_cid"), "left")
+    rows = ledger.select(order_id, F.col(counted).alias("_counted")).distinct()
+    placed = rows.join(et, F.col(order_id) == F.col("_et_oid"), "left").select("_et_cid", email, "_counted").distinct()
+    out = placed.join(last.distinct(), F.col("_et_cid") == F.col("_la_cid"), "left").groupBy(email, "billing_order_country").agg(
+        F.count_distinct("_counted").alias("orders")
     )
-    out = joined.groupBy(email, "billing_order_country").agg(F.count_distinct(order_id).alias("orders"))
     return out.withColumn("customer_type", seg.customer_type("orders"))
 
 

@@ -19,7 +19,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.functions import pct_change, row_to_json
-from ledgerlake.operators.ordered import neighbour_value
 from ledgerlake.operators.setops import union_all
 
 FAIL_STATUSES = ("fail", "error")
@@ -77,17 +76,23 @@ def freshness_anomalies(
 ) -> DataFrame:
     """Per day, the largest gap (seconds) between consecutive timestamps, vs baseline.
 
-    The first row of a day is measured from the last row before it (the
-    previous day's maximum). Consecutive pairs come from ``neighbour_value``.
+    The first row of a day is measured from the last row before it. Equal stamps are
+    folded map-side first, so a load that shares one stamp is one row a task; gaps
+    inside an hour come from a window over that hour's distinct stamps, and a second
+    window over the short series of hours adds the gaps between hours.
     """
-    prev = neighbour_value(df.select(*keys, ts), list(keys), [ts], ts, "_prev_ts", direction="prev")
-    gaps = prev.select(
-        *keys,
-        F.to_date(ts).alias("day"),
-        # timestamp_diff on wall-clock (NTZ) values does not depend on the session time zone
-        (F.timestamp_diff("MICROSECOND", F.col("_prev_ts"), F.col(ts)) / F.lit(1e6)).alias("gap"),
+    hour = F.date_trunc("HOUR", F.col(ts)).cast("timestamp_ntz")
+    stamps = df.where(F.col(ts).isNotNull()).groupBy(*keys, hour.alias("_hour"), F.col(ts).alias("_ts")).agg(F.count(F.lit(1)).alias("_n"))
+    # timestamp_diff on wall-clock (NTZ) values does not depend on the session time zone
+    seconds = lambda a, b: F.timestamp_diff("MICROSECOND", a, b) / F.lit(1e6)
+    inside = Window.partitionBy(*keys, "_hour").orderBy("_ts")
+    hours = stamps.withColumn("_gap", seconds(F.lag("_ts").over(inside), F.col("_ts"))).groupBy(*keys, "_hour").agg(
+        F.min("_ts").alias("_first"), F.max("_ts").alias("_last"),
+        F.greatest(F.max("_gap"), F.max(F.when(F.col("_n") > 1, F.lit(0.0)))).alias("_inner"),
     )
-    daily = gaps.groupBy(*keys, "day").agg(F.max("gap").alias("max_gap_seconds"))
+    series = Window.partitionBy(*keys).orderBy("_hour")
+    between = hours.withColumn("_gap", F.greatest("_inner", seconds(F.lag("_last").over(series), F.col("_first"))))
+    daily = between.groupBy(*keys, F.to_date("_hour").alias("day")).agg(F.max("_gap").alias("max_gap_seconds"))
     return zscore_flags(daily, keys, "day", "max_gap_seconds", train, k)
 
 
@@ -113,16 +118,37 @@ def column_anomalies(
     k: float = 3.0,
 ) -> DataFrame:
     """One daily column metric (``mean``, ``min``, ``max``, ``null_rate``) vs baseline."""
+    daily = df.groupBy(*keys, F.to_date(ts).alias("day")).agg(_column_metrics(column)[metric].alias(f"{metric}_value"))
+    out = zscore_flags(daily, keys, "day", f"{metric}_value", train, k)
+    return out.withColumn(f"{metric}_value", F.round(f"{metric}_value", 4))
+
+
+def _column_metrics(column: str) -> dict[str, Column]:
     c = F.col(column)
-    metrics = {
-        "mean": F.avg(c),
+    return {
+        "mean": F.avg(c).cast("double"),
         "min": F.min(c).cast("double"),
         "max": F.max(c).cast("double"),
         "null_rate": F.avg(F.when(c.isNull(), 1.0).otherwise(0.0)),
     }
-    daily = df.groupBy(*keys, F.to_date(ts).alias("day")).agg(metrics[metric].alias(f"{metric}_value"))
-    out = zscore_flags(daily, keys, "day", f"{metric}_value", train, k)
-    return out.withColumn(f"{metric}_value", F.round(f"{metric}_value", 4))
+
+
+def column_monitors(
+    df: DataFrame,
+    columns: Sequence[str],
+    ts: str,
+    keys: Sequence[str] = (),
+    metrics: Sequence[str] = ("mean", "min", "max", "null_rate"),
+    train: int = 14,
+    k: float = 3.0,
+) -> DataFrame:
+    """D4 for several columns and metrics in one scan: one row per (keys, day, column, metric)."""
+    found = {(c, m): _column_metrics(c)[m] for c in columns for m in metrics}
+    wide = df.groupBy(*keys, F.to_date(ts).alias("day")).agg(*[e.alias(f"_{i}") for i, e in enumerate(found.values())])
+    rows = [F.struct(F.lit(c).alias("column_name"), F.lit(m).alias("metric"), F.col(f"_{i}").alias("metric_value")) for i, (c, m) in enumerate(found)]
+    long = wide.select(*keys, "day", F.inline(F.array(*rows)))
+    out = zscore_flags(long, [*keys, "column_name", "metric"], "day", "metric_value", train, k)
+    return out.withColumn("metric_value", F.round("metric_value", 4))
 
 
 def schema_changes(before: DataFrame, after: DataFrame, normalise: Column | None = None) -> DataFrame:
@@ -189,8 +215,8 @@ def results_to_store(results: DataFrame, store_failures_for: Sequence[str] = ("f
 
 # --- C22-C29: result-table reports ----------------------------------------------------------
 def latest_invocation(results: DataFrame, ts: str = "created_at", inv: str = "invocation_id") -> DataFrame:
-    """One-row frame: the invocation of the newest result row."""
-    return results.agg(F.max_by(inv, ts).alias("_latest_inv"))
+    """One-row frame: the invocation of the newest result row (of equal stamps, the greatest id)."""
+    return results.agg(F.max(F.struct(ts, inv))[inv].alias("_latest_inv"))
 
 
 def latest_run(results: DataFrame, inv: str = "invocation_id", ts: str = "created_at") -> DataFrame:
@@ -275,44 +301,63 @@ def monitoring_coverage(all_ids: Sequence[DataFrame], monitored: DataFrame, id_c
     return j.agg(monitored_n.alias("monitored"), (F.count_distinct("_a") - monitored_n).alias("unmonitored"))
 
 
+def coverage_of_latest_run(all_ids: Sequence[DataFrame], results: DataFrame, entity: str = "model_unique_id", id_col: str = "unique_id") -> DataFrame:
+    """C27 over test results: an id counts as monitored if the latest run has a result for it."""
+    seen = latest_run(results).where(F.col(entity).isNotNull()).select(F.col(entity).alias(id_col))
+    return monitoring_coverage(all_ids, seen, id_col)
+
+
+def two_latest_runs(results: DataFrame) -> DataFrame:
+    """At most two rows ``(run, nth)``: the ids of the newest run (1) and of the one before (2).
+
+    Runs are reduced to one row each first and ordered by their newest stamp, then id.
+    """
+    runs = results.where(F.col("invocation_id").isNotNull()).groupBy("invocation_id").agg(F.max("created_at").alias("at"))
+    newest = [F.desc("at"), F.desc("invocation_id")]
+    top = runs.orderBy(*newest).limit(2)
+    return top.select(F.col("invocation_id").alias("run"), F.row_number().over(Window.orderBy(*newest)).alias("nth"))
+
+
 def new_failures(results: DataFrame) -> DataFrame:
-    """Tests failing (fail/error) in the latest run that passed or were absent in the previous run."""
-    li = latest_invocation(results)
-    latest = results.join(F.broadcast(li), F.col("invocation_id") == F.col("_latest_inv"), "inner").drop("_latest_inv")
-    failures = latest.where(F.col("status").isin(*FAIL_STATUSES)).select("test_unique_id", "test_name")
-    previous_rows = results.join(F.broadcast(li), F.col("invocation_id") == F.col("_latest_inv"), "left_anti")
-    prev_inv = latest_invocation(previous_rows).select(F.col("_latest_inv").alias("_prev_inv"))
-    ids = latest.select(F.col("test_unique_id").alias("_lid")).distinct()
-    prev = (
-        results.join(F.broadcast(prev_inv), F.col("invocation_id") == F.col("_prev_inv"), "inner")
-        .join(ids, F.col("test_unique_id") == F.col("_lid"), "left_semi")
-        .select(F.col("test_unique_id").alias("_p_id"), F.col("status").alias("previous_status"))
+    """Tests failing (fail/error) in the latest run that passed or were absent in the previous run.
+
+    One scan finds the two run ids, a second reads the rows of those two runs only
+    and folds them per test: how often it fails now, and its earlier statuses.
+    """
+    runs = F.broadcast(two_latest_runs(results))  # two rows
+    now = F.col("nth") == 1
+    rows = results.join(runs, F.col("invocation_id") == F.col("run"), "inner")
+    failing = now & F.col("status").isin(*FAIL_STATUSES)
+    per_test = rows.groupBy("test_unique_id").agg(
+        F.collect_list(F.when(failing, F.struct("test_name"))).alias("failing"),
+        F.count_if(~now).alias("earlier"),
+        F.count_if(~now & ((F.col("status") == "pass") | F.col("status").isNull())).alias("cleared"),
     )
-    j = failures.join(prev, failures.test_unique_id == prev._p_id, "left")
-    keep = (F.col("previous_status") == "pass") | F.col("previous_status").isNull()
-    return j.where(keep).select(F.col("test_name").alias("Test Name"))
+    # a failing row stands once per earlier row that lets it through, or alone without any earlier row
+    alone = F.col("test_unique_id").isNull() | (F.col("earlier") == 0)
+    times = F.when(alone, F.lit(1)).otherwise(F.col("cleared")).cast("int")
+    named = per_test.select(F.explode("failing").alias("f"), times.alias("times"))
+    return named.select(F.explode(F.array_repeat("f.test_name", F.col("times"))).alias("Test Name"))
 
 
 def failing_days(results: DataFrame, as_of: dt.date) -> DataFrame:
     """Per currently failing test (status != pass), days since its last pass, or since first
-    seen when it never passed; 0 counts as 1. Deduplicated per (test name, days) (trap G26)."""
-    li = latest_invocation(results)
-    current = results.join(F.broadcast(li), F.col("invocation_id") == F.col("_latest_inv"), "inner").where(
-        F.col("status") != "pass"
-    ).select(F.col("test_unique_id").alias("_c_id"), F.col("test_name"))
-    ids = current.select(F.col("_c_id").alias("_id")).distinct()
-    scoped = results.join(ids, results.test_unique_id == ids._id, "left_semi")
-    per_test = scoped.groupBy("test_unique_id").agg(
+    seen when it never passed; 0 counts as 1. Deduplicated per (test name, days) (trap G26).
+
+    One aggregate per test over the history: last pass, first seen, and the names under
+    which it fails in the latest run.
+    """
+    li = F.broadcast(latest_invocation(results))  # one row
+    now = F.col("_latest_inv").isNotNull()
+    rows = results.where(F.col("test_unique_id").isNotNull()).join(li, F.col("invocation_id") == F.col("_latest_inv"), "left")
+    per_test = rows.groupBy("test_unique_id").agg(
         F.max(F.when(F.col("status") == "pass", F.col("created_at"))).alias("_last_pass"),
         F.min("created_at").alias("_first_seen"),
+        F.collect_set(F.when(now & (F.col("status") != "pass"), F.struct("test_name"))).alias("_names"),
     )
-    since = per_test.select(
-        "test_unique_id", F.coalesce(F.col("_last_pass"), F.col("_first_seen")).alias("_since")
-    )
-    days = F.datediff(F.lit(as_of).cast("date"), F.to_date("_since"))
-    j = since.join(current, since.test_unique_id == current._c_id, "left")
-    out = j.select(
-        F.col("test_name").alias("Test Name"),
+    days = F.datediff(F.lit(as_of).cast("date"), F.to_date(F.coalesce("_last_pass", "_first_seen")))
+    out = per_test.select(
+        F.explode("_names.test_name").alias("Test Name"),
         F.when(days == 0, F.lit(1)).otherwise(days).alias("Days Failing"),
     )
     return out.distinct()
@@ -381,7 +426,9 @@ def as_test_results(monitored: DataFrame, test_type: str = "anomaly_detection")
         F.concat(F.lit("source_"), F.col("monitor"), F.lit("_anomalies_"), F.col("table_name")).alias("test_name"),
         F.concat(F.col("monitor"), F.lit("_anomalies")).alias("test_short_name"),
         F.lit(test_type).alias("test_type"),
+        F.col("monitor").alias("test_sub_type"),
         F.col("table_name"),
+        (F.col("column_name") if "column_name" in monitored.columns else F.lit(None)).cast("string").alias("column_name"),
         F.concat(F.lit("source."), F.col("table_name")).alias("model_unique_id"),
         F.when(F.col("is_anomaly"), F.lit("fail")).otherwise(F.lit("pass")).alias("status"),
         F.col("day").cast("string").alias("invocation_id"),

@@ -10,6 +10,7 @@ from ledgerlake.sources.sinks import (
     merge_batches,
     next_bookmark,
     schema_for,
+    staged,
     upsert_by_key,
     write_table,
 )
@@ -37,6 +38,7 @@ __all__ = [
     "read_query",
     "read_source",
     "schema_for",
+    "staged",
     "table_exists",
     "upsert_by_key",
     "write_table",

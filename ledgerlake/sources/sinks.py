@@ -87,6 +87,16 @@ def write_table(
         writer.saveAsTable(target)
 
 
+def staged(df: DataFrame, path: str) -> DataFrame:
+    """A stage of a chain, written as a table at ``path`` and read back.
+
+    Consumers of the result read the columns they need from files instead of running
+    the stage again, and a lost executor repeats at most the current stage.
+    """
+    write_table(df, "", path=path)
+    return df.sparkSession.read.parquet(path)
+
+
 def append_table(df: DataFrame, name: str | None = None, path: str | None = None, fmt: str = "parquet") -> None:
     """Create-if-absent, then append."""
     write_table(df, name or "", mode="append", path=path, fmt=fmt)

@@ -15,23 +15,12 @@ def read_source(
     table: str,
     columns: Sequence[str] | None = None,
     fmt: str = "parquet",
-    min_partitions: int | None = None,
-    spread_min_bytes: int = 1 << 20,
 ) -> DataFrame:
     """Scan one landed table ``{root}/{table}.{fmt}`` (or a catalog table when ``root`` is None).
 
     Projection is left to Catalyst: selecting ``columns`` (or selecting later)
     prunes the parquet read schema, and filters applied downstream are pushed
-    into the scan (also through the optional repartition below).
-
-    ``min_partitions``: a parquet file is split by row groups, so a table landed
-    as a few single-row-group files scans in a few tasks and everything before
-    the first shuffle runs on a few cores. When the planned scan has fewer
-    splits than ``min_partitions`` and is larger than ``spread_min_bytes``
-    (the optimizer's size estimate; tiny dimensions are not worth a shuffle),
-    the rows are spread round-robin. Large inputs (many files / row groups)
-    already have enough splits and are left untouched, so this costs nothing
-    at scale.
+    into the scan.
     """
     if root is None:
         df = spark.table(table)
@@ -40,23 +29,9 @@ def read_source(
         df = spark.read.format(fmt).load(path)
     if columns:
         df = df.select(*columns)
-    if min_partitions and _under_split(df, min_partitions, spread_min_bytes):
-        df = df.repartition(min_partitions)
     return df
 
 
-def _under_split(df: DataFrame, min_partitions: int, min_bytes: int) -> bool:
-    try:
-        return df.rdd.getNumPartitions() < min_partitions and estimated_bytes(df) >= min_bytes
-    except Exception:  # noqa: BLE001 - sessions without JVM access: leave the scan as planned
-        return False
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate of a frame (file size for a plain scan); metadata only."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
 def read_files(
     spark: SparkSession,
     path: str,

@@ -1,5 +1,5 @@
 """Structured Streaming jobs."""
 
-from ledgerlake.streaming.ingest import current_table, incremental_ingest
+from ledgerlake.streaming.ingest import compact, current_table, incremental_ingest
 
-__all__ = ["current_table", "incremental_ingest"]
+__all__ = ["compact", "current_table", "incremental_ingest"]

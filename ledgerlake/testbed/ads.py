@@ -132,48 +132,31 @@ def _grain_frames(spark, sf):
 @q(
     "finest_grain_fallback",
     f"""
-WITH cb AS (
-  SELECT CAST(o_orderdate AS DATE) AS fulldate, o_custkey % 10 AS account_id, o_custkey AS campaign_id,
-         o_orderpriority AS device, (CAST(round(o_totalprice * 100) AS BIGINT) * 10000) / 1000000.0 AS cost,
-         CAST(1 AS BIGINT) AS impressions, o_orderkey % 3 AS clicks, 1.0::DOUBLE AS conversions, o_totalprice AS conversions_value
-  FROM orders
-),
-ls AS (
-  SELECT CAST(o.o_orderdate AS DATE) AS d, o.o_custkey % 10 AS a, o.o_custkey AS c, l.l_suppkey AS ag, l.l_partkey AS kw,
-         l.l_returnflag AS flag, (CAST(round(l.l_extendedprice * 100) AS BIGINT) * 10000) / 1000000.0 AS cost,
-         CAST(l.l_quantity AS BIGINT) AS impressions, CAST(l.l_linenumber AS BIGINT) AS clicks,
-         l.l_quantity AS conversions, l.l_extendedprice AS conversions_value
-  FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
-),
-ags AS (
-  SELECT d, a, c, SUM(cost) AS cost, SUM(impressions) AS impressions, SUM(clicks) AS clicks, SUM(conversions) AS conversions,
-         SUM(conversions_value) AS conversions_value, COUNT(DISTINCT ag) AS n
-  FROM ls WHERE flag != 'N' GROUP BY d, a, c
+WITH spent AS (  -- lines by campaign day at both finer grains: returned lines are keywords, all but open ones ad groups
+  SELECT o_orderdate::DATE AS day, o_custkey AS camp, unnest(if(l_returnflag = 'R', ['keyword', 'ad_group'], ['ad_group'])) AS level,
+         l_suppkey AS ad_group, l_suppkey || '-' || l_partkey AS keyword, l_quantity AS n, l_linenumber AS clicks, l_extendedprice AS value
+  FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE l_returnflag <> 'N'
 ),
-kws AS (
-  SELECT d, a, c, SUM(cost) AS cost, SUM(impressions) AS impressions, SUM(clicks) AS clicks, SUM(conversions) AS conversions,
-         SUM(conversions_value) AS conversions_value, COUNT(DISTINCT CAST(ag AS VARCHAR) || '-' || CAST(kw AS VARCHAR)) AS n
-  FROM ls WHERE flag = 'R' GROUP BY d, a, c
+grain AS (
+  SELECT day, camp, level, {{'impressions': sum(n::BIGINT), 'clicks': sum(clicks::BIGINT), 'conversions': sum(n), 'value': sum(value),
+         'n': if(level = 'keyword', count(DISTINCT keyword), count(DISTINCT ad_group))}} AS m
+  FROM spent GROUP BY day, camp, level
 ),
-info AS (
-  SELECT c_custkey % 10 AS acct, c_custkey AS camp, c_name AS campaign_name, c_mktsegment AS latest_status,
-         'SEARCH' AS advertising_channel_type
-  FROM customer QUALIFY row_number() OVER (PARTITION BY c_custkey % 10, c_custkey ORDER BY c_acctbal DESC) = 1
+grains AS (SELECT day, camp, any_value(m) FILTER (level = 'keyword') AS kw, any_value(m) FILTER (level = 'ad_group') AS ag FROM grain GROUP BY day, camp),
+own AS (
+  SELECT o_orderdate::DATE AS fulldate, o_custkey AS campaign_id, o_orderpriority AS device, round(o_totalprice * 100) / 100 AS cost,
+         {{'impressions': 1::BIGINT, 'clicks': o_orderkey % 3, 'conversions': 1.0::DOUBLE, 'value': o_totalprice, 'n': 0::BIGINT}} AS m
+  FROM orders
 )
-SELECT cb.fulldate, cb.account_id, cb.campaign_id, info.campaign_name, info.latest_status, info.advertising_channel_type,
-       cb.device, {sround('cb.cost')} AS cost,
-       COALESCE(kws.impressions, ags.impressions, cb.impressions) AS impressions,
-       COALESCE(kws.clicks, ags.clicks, cb.clicks) AS clicks,
-       COALESCE(kws.conversions, ags.conversions, cb.conversions) AS conversions,
-       {sround('COALESCE(kws.conversions_value, ags.conversions_value, cb.conversions_value)')} AS conversions_value,
-       CASE WHEN kws.cost IS NOT NULL THEN 'keyword' WHEN ags.cost IS NOT NULL THEN 'ad_group' ELSE 'campaign' END AS metrics_level,
-       COALESCE(ags.n, 0) AS ad_group_count, COALESCE(kws.n, 0) AS keyword_count,
-       CAST(CAST(floor(date_diff('day', DATE '1995-01-01', cb.fulldate) / 7) AS INTEGER) // 52 + 1995 AS INTEGER) AS retail_year,
-       CAST(CAST(floor(date_diff('day', DATE '1995-01-01', cb.fulldate) / 7) AS INTEGER) % 52 + 1 AS INTEGER) AS retail_week
-FROM cb
-LEFT JOIN info ON cb.account_id = info.acct AND cb.campaign_id = info.camp
-LEFT JOIN ags ON cb.fulldate = ags.d AND cb.account_id = ags.a AND cb.campaign_id = ags.c
-LEFT JOIN kws ON cb.fulldate = kws.d AND cb.account_id = kws.a AND cb.campaign_id = kws.c
+SELECT fulldate, campaign_id % 10 AS account_id, campaign_id, c_name AS campaign_name, c_mktsegment AS latest_status,
+       if(c_custkey IS NULL, NULL, 'SEARCH') AS advertising_channel_type, device, {sround('cost')} AS cost,
+       best.impressions, best.clicks, best.conversions, {sround('best.value')} AS conversions_value,
+       if(kw IS NOT NULL, 'keyword', if(ag IS NOT NULL, 'ad_group', 'campaign')) AS metrics_level,
+       coalesce(ag.n, 0) AS ad_group_count, coalesce(kw.n, 0) AS keyword_count,
+       (1995 + date_diff('day', DATE '1995-01-01', fulldate) // 7 // 52)::INTEGER AS retail_year,
+       (1 + date_diff('day', DATE '1995-01-01', fulldate) // 7 % 52)::INTEGER AS retail_week
+FROM (SELECT own.*, kw, ag, coalesce(kw, ag, own.m) AS best FROM own LEFT JOIN grains ON day = fulldate AND camp = campaign_id)
+LEFT JOIN customer ON c_custkey = campaign_id
 """,
 )
 def q_finest_grain_fallback(spark, sf):
@@ -224,47 +207,31 @@ def _report_frames(spark, sf):
 
 
 SINCE = "1998-01-01"
-REPORT_CTES = f"""
-lo AS (
-  SELECT CAST(o.o_orderdate AS DATE) AS d, o.o_custkey % 10 AS cust, o.o_custkey AS camp, l.l_suppkey AS ag, l.l_partkey AS crit,
-         o.o_orderpriority AS device, l.l_returnflag AS flag,
-         (CAST(round(l.l_extendedprice * 100) AS BIGINT) * 10000) / 1000000 AS cost,
-         CAST(l.l_quantity AS BIGINT) AS impressions, CAST(l.l_linenumber AS BIGINT) AS clicks,
-         l.l_quantity AS conversions, l.l_extendedprice AS conversions_value
-  FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
-  WHERE CAST(o.o_orderdate AS DATE) >= DATE '{SINCE}'
-),
-camp AS (
-  SELECT c_custkey AS id, c_name AS name,
-         CASE WHEN c_mktsegment = 'BUILDING' THEN 'enabled' WHEN c_mktsegment = 'MACHINERY' THEN 'Paused' ELSE c_mktsegment END AS status,
-         'SEARCH' AS channel
-  FROM customer QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY c_acctbal DESC) = 1
-),
-adg AS (SELECT s_suppkey AS id, s_name AS adgroup_name FROM supplier QUALIFY row_number() OVER (PARTITION BY s_suppkey ORDER BY s_acctbal DESC) = 1),
-acct AS (
-  SELECT n_nationkey % 10 AS id, n_name AS descriptive_name FROM nation
-  QUALIFY row_number() OVER (PARTITION BY n_nationkey % 10 ORDER BY n_nationkey DESC) = 1
+# Lines with their campaign, ad group and account; statuses are recoded per row (the second aggregation of
+# the job gives the same sums). An account number stands for several nations: the one with the greatest key names it.
+RECODE_SQL = "recode(segment, label) AS (VALUES ('BUILDING', 'ACTIVE'), ('MACHINERY', 'PAUSED'))"
+SPENT_SQL = f"""{RECODE_SQL},
+account AS (SELECT n_nationkey % 10 AS nr, arg_max(n_name, n_nationkey) AS title FROM nation GROUP BY 1),
+spent AS (
+  SELECT o_orderdate::DATE AS fulldate, account.nr AS account_id, account.title AS descriptive_name, l_suppkey AS adgroup_id, s_name AS adgroup_name,
+         c_custkey AS campaign_id, c_name AS campaign_name, coalesce(label, c_mktsegment) AS latest_status, o_orderpriority AS device,
+         if(c_custkey IS NULL, NULL, 'SEARCH') AS advertising_channel_type, l_partkey, l_returnflag,
+         l_quantity, l_linenumber, round(l_extendedprice * 100) / 100 AS price, l_extendedprice AS value
+  FROM orders JOIN lineitem ON l_orderkey = o_orderkey LEFT JOIN (customer LEFT JOIN recode ON segment = c_mktsegment) ON c_custkey = o_custkey
+  LEFT JOIN supplier ON s_suppkey = l_suppkey LEFT JOIN account ON account.nr = o_custkey % 10
+  WHERE o_orderdate >= DATE '{SINCE}'
 )"""
-STATUS_SQL = "CASE WHEN upper(status) = 'ENABLED' THEN 'ACTIVE' WHEN upper(status) = 'PAUSED' THEN 'PAUSED' ELSE status END"
+MEASURES_SQL = f"""sum(l_quantity::BIGINT) AS impressions, sum(l_linenumber::BIGINT) AS clicks, {sround('sum(price)')} AS cost,
+       sum(l_quantity) AS conversions, {sround('sum(value)')} AS conversions_value"""
 
 
 @q(
     "adgroup_report",
     f"""
-WITH {REPORT_CTES},
-first AS (
-  SELECT lo.d AS fulldate, acct.id AS account_id, acct.descriptive_name, lo.ag AS adgroup_id, adg.adgroup_name,
-         camp.id AS campaign_id, camp.name AS campaign_name, camp.status, lo.device, camp.channel AS advertising_channel_type,
-         SUM(impressions) AS impressions, SUM(clicks) AS clicks, SUM(cost) AS cost, SUM(conversions) AS conversions,
-         SUM(conversions_value) AS conversions_value
-  FROM lo LEFT JOIN camp ON lo.camp = camp.id LEFT JOIN adg ON lo.ag = adg.id LEFT JOIN acct ON lo.cust = acct.id
-  GROUP BY ALL
-)
-SELECT fulldate, account_id, descriptive_name, adgroup_id, adgroup_name, campaign_id, campaign_name,
-       {STATUS_SQL} AS latest_status, device, advertising_channel_type,
-       SUM(impressions) AS impressions, SUM(clicks) AS clicks, {sround('SUM(cost)')} AS cost,
-       SUM(conversions) AS conversions, {sround('SUM(conversions_value)')} AS conversions_value
-FROM first GROUP BY ALL
+WITH {SPENT_SQL}
+SELECT fulldate, account_id, descriptive_name, adgroup_id, adgroup_name, campaign_id, campaign_name, latest_status, device,
+       advertising_channel_type, {MEASURES_SQL}
+FROM spent GROUP BY ALL
 """,
 )
 def q_adgroup_report(spark, sf):
@@ -277,31 +244,11 @@ def _keyword_sql() -> str:
     from ledgerlake.testbed.commerce import title_case_sql
 
     return f"""
-WITH {REPORT_CTES},
-kw AS (
-  SELECT p_partkey AS id, p_name AS keyword_text, p_brand AS keyword_match_type, p_type AS age_range_type,
-         CAST(p_size AS VARCHAR) AS gender_type, CAST(NULL AS VARCHAR) AS income_range_type
-  FROM part QUALIFY row_number() OVER (PARTITION BY p_partkey ORDER BY p_retailprice DESC) = 1
-),
-first AS (
-  SELECT lo.d AS fulldate, acct.id AS account_id, acct.descriptive_name, lo.crit AS criterion_id, kw.keyword_text,
-         kw.keyword_match_type, kw.age_range_type, kw.gender_type, kw.income_range_type,
-         camp.id AS campaign_id, camp.name AS campaign_name, camp.status, lo.ag AS adgroup_id, adg.adgroup_name,
-         lo.device, camp.channel AS advertising_channel_type,
-         SUM(impressions) AS impressions, SUM(clicks) AS clicks, SUM(cost) AS cost, SUM(conversions) AS conversions,
-         SUM(conversions_value) AS conversions_value
-  FROM lo LEFT JOIN kw ON lo.crit = kw.id LEFT JOIN camp ON lo.camp = camp.id LEFT JOIN adg ON lo.ag = adg.id
-  LEFT JOIN acct ON lo.cust = acct.id
-  WHERE lo.flag = 'R'
-  GROUP BY ALL
-)
-SELECT fulldate, account_id, descriptive_name, criterion_id, {title_case_sql('keyword_text')} AS keyword_text,
-       keyword_match_type, age_range_type, gender_type, income_range_type, campaign_id, campaign_name,
-       {STATUS_SQL} AS latest_status, adgroup_id, {title_case_sql('adgroup_name')} AS adgroup_name, device,
-       advertising_channel_type,
-       SUM(impressions) AS impressions, SUM(clicks) AS clicks, {sround('SUM(cost)')} AS cost,
-       SUM(conversions) AS conversions, {sround('SUM(conversions_value)')} AS conversions_value
-FROM first GROUP BY ALL
+WITH {SPENT_SQL}
+SELECT fulldate, account_id, descriptive_name, l_partkey AS criterion_id, {title_case_sql('p_name')} AS keyword_text, p_brand AS keyword_match_type,
+       p_type AS age_range_type, p_size::VARCHAR AS gender_type, NULL::VARCHAR AS income_range_type, campaign_id, campaign_name, latest_status,
+       adgroup_id, {title_case_sql('adgroup_name')} AS adgroup_name, device, advertising_channel_type, {MEASURES_SQL}
+FROM spent LEFT JOIN part ON p_partkey = l_partkey WHERE l_returnflag = 'R' GROUP BY ALL
 """
 
 

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.session import default_parallelism
+from ledgerlake.session import ensure_checkpoint_dir
 from ledgerlake.sources.tables import read_source
 
 # Fixed conventions of the stand-in mapping.
@@ -16,11 +18,14 @@ CAL_YEARS = 8
 ZONE = "Europe/London"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """A generated table. ``spread=True`` spreads an under-split scan over the session's
-    cores; worth it only when heavy per-row work (e.g. JSON) comes before the first
-    shuffle, otherwise it adds a shuffle in front of the one the plan already has."""
-    return read_source(spark, sf_dir, name, min_partitions=default_parallelism(spark) if spread else None)
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A generated table."""
+    return read_source(spark, sf_dir, name)
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh folder for a job's own tables, in the shared checkpoint folder."""
+    return os.path.join(ensure_checkpoint_dir(spark), "ledgerlake-scratch", f"{name}-{uuid.uuid4().hex}")
 
 
 def registry():

@@ -9,13 +9,15 @@ nation with ``NATION_23`` as home country; currency = ``o_orderpriority``.
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ledgerlake.functions import local_date, money, title_case, trim_ws, utc_date
 from ledgerlake.functions.json import json_scalar
-from ledgerlake.operators import key_totals_beside_rows, neighbour_value
+from ledgerlake.operators import neighbour_value
 from ledgerlake.plans import commerce as com
-from ledgerlake.testbed.base import CAL_START, CAL_YEARS, registry, table
+from ledgerlake.sources.sinks import staged
+from ledgerlake.testbed.base import CAL_START, CAL_YEARS, registry, scratch, table
 
 QUERIES, ORACLE, q = registry()
 
@@ -61,40 +63,39 @@ def _line_frames(spark, sf):
     return lines, refund_lines, tax_lines
 
 
-@q(
-    "line_facts",
-    f"""
-WITH o AS (
-  SELECT o.o_orderkey AS id, CAST(o.o_orderdate AS DATE) AS order_date, n.n_name AS country
-  FROM orders o LEFT JOIN customer c ON c.c_custkey = o.o_custkey LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey
+# Lines with their order's day and country, product, refunded part and VAT rate. A line id may stand on
+# several rows, and so may its refunds and taxes: they multiply. VAT comes off at home and where the country is unknown.
+LINES_SQL = f"""
+place AS (
+  SELECT o_orderkey AS order_id, o_orderdate::DATE AS order_date, n_name AS billing_order_country
+  FROM orders LEFT JOIN (customer LEFT JOIN nation ON n_nationkey = c_nationkey) ON c_custkey = o_custkey
 ),
-li AS (
-  SELECT {SQL_LINE_ID} AS order_line_id, l_orderkey AS order_id, l_partkey AS product_id, l_suppkey AS variant_id,
-         l_linestatus AS title, {sround('l_extendedprice / l_quantity')} AS price, l_quantity AS qty
+line AS (
+  SELECT {SQL_LINE_ID} AS order_line_id, l_orderkey AS order_id, l_partkey AS product_id, l_suppkey AS variant_id, l_linestatus AS title,
+         l_quantity AS n, {sround('l_extendedprice / l_quantity')} AS unit, l_returnflag = 'R' AS is_back,
+         l_linestatus = 'F' AND l_tax <> 0 AS has_vat, l_extendedprice AS value, l_tax
   FROM lineitem
 ),
-r AS (SELECT {SQL_LINE_ID} AS rid, l_quantity AS rq, l_extendedprice AS rs FROM lineitem WHERE l_returnflag = 'R'),
-t AS (SELECT {SQL_LINE_ID} AS tid, l_tax AS rate FROM lineitem WHERE l_linestatus = 'F' AND l_tax != 0),
-g AS (
-  SELECT o.order_date, o.country AS billing_order_country, li.order_line_id, li.order_id, li.product_id, li.variant_id,
-         li.title, p.p_name AS handle, p.p_type AS product_type, p.p_brand AS vendor,
-         nullif(regexp_extract(p.p_name, '[a-z]+'), '') AS handle_first_string, t.rate,
-         r.rid AS refund_order_line_id,
-         SUM(r.rq) AS refund_quantity, SUM(r.rs) AS refund_subtotal, SUM(li.price) AS total_sales, SUM(li.qty) AS quantity,
-         SUM(CASE WHEN o.country NOT IN ('{HOME}') THEN li.price * li.qty
-                  WHEN t.rate IS NOT NULL THEN li.price * li.qty / (1 + t.rate)
-                  ELSE li.price * li.qty END) AS gross_sales
-  FROM li JOIN o ON li.order_id = o.id
-  LEFT JOIN part p ON li.product_id = p.p_partkey
-  LEFT JOIN r ON li.order_line_id = r.rid
-  LEFT JOIN t ON li.order_line_id = t.tid
+line_facts AS (
+  SELECT order_date, billing_order_country, line.order_line_id, line.order_id, line.product_id, line.variant_id, line.title,
+         p_name AS handle, p_type AS product_type, p_brand AS vendor, vat.l_tax AS rate, back.order_line_id AS refund_order_line_id,
+         sum(back.n) AS refund_quantity, sum(back.value) AS refund_subtotal, sum(line.unit) AS total_sales, sum(line.n) AS quantity,
+         sum(line.unit * line.n / (1 + if(coalesce(billing_order_country, '{HOME}') = '{HOME}', coalesce(vat.l_tax, 0), 0))) AS gross_sales
+  FROM line JOIN place USING (order_id) LEFT JOIN part ON p_partkey = line.product_id
+  LEFT JOIN line back ON back.is_back AND back.order_line_id = line.order_line_id
+  LEFT JOIN line vat ON vat.has_vat AND vat.order_line_id = line.order_line_id
   GROUP BY ALL
-)
-SELECT order_date, billing_order_country, order_line_id, order_id, product_id, variant_id, title, handle, product_type,
-       vendor, handle_first_string, rate, refund_order_line_id, refund_quantity,
-       {sround('refund_subtotal')} AS refund_subtotal, {sround('total_sales')} AS total_sales, quantity,
-       {sround('gross_sales')} AS gross_sales, {sround('SUM(total_sales) OVER (PARTITION BY order_id)')} AS order_total
-FROM g
+)"""
+
+
+@q(
+    "line_facts",
+    f"""
+WITH {LINES_SQL},
+total AS (SELECT order_id, sum(total_sales) AS order_total FROM line_facts GROUP BY order_id)
+SELECT line_facts.* REPLACE ({sround('refund_subtotal')} AS refund_subtotal, {sround('total_sales')} AS total_sales, {sround('gross_sales')} AS gross_sales),
+       nullif(regexp_extract(handle, '[a-z]+'), '') AS handle_first_string, {sround('order_total')} AS order_total
+FROM line_facts JOIN total USING (order_id)
 """,
 )
 def q_line_facts(spark, sf):
@@ -159,59 +160,30 @@ def _refund_inputs(spark, sf):
     return refund_lines, adjustments, refunds, orders, line_facts
 
 
+# A refund is what comes back of one order on one day. Its lines count once per line that shares their id;
+# its adjustments (the discount given back: shipping for finished lines, else a discrepancy) count once.
+SAME_ID_SQL = f"same_id AS (SELECT {SQL_LINE_ID} AS id, count(*) AS times, sum(l_quantity) AS pieces FROM lineitem GROUP BY 1)"
 REFUND_SQL = f"""
-rl AS (
-  SELECT {SQL_REFUND_ID} AS id, {SQL_LINE_ID} AS line_item_id, CAST(l_extendedprice AS DECIMAL(18,2)) AS subtotal,
-         CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(4,2)) AS total_tax
-  FROM lineitem WHERE l_returnflag = 'R'
+back AS (
+  SELECT l_orderkey AS order_id, l_shipdate::DATE AS refund_date, coalesce(times, 1) AS times, coalesce(pieces, 0) AS pieces, l_linestatus = 'F' AS finished,
+         l_extendedprice::DECIMAL(18,2) AS price, l_tax::DECIMAL(4,2) AS tax,
+         -(l_extendedprice::DECIMAL(18,2) * l_discount::DECIMAL(4,2)) AS given
+  FROM lineitem LEFT JOIN same_id ON same_id.id = {SQL_LINE_ID} WHERE l_returnflag = 'R'
 ),
-lf AS (SELECT {SQL_LINE_ID} AS order_line_id, l_quantity AS quantity FROM lineitem),
-per_rl AS (
-  SELECT rl.id, SUM(lf.quantity) AS q, SUM(CAST(rl.subtotal AS DECIMAL(18,4))) AS sub, SUM(CAST(rl.total_tax AS DECIMAL(18,4))) AS tax
-  FROM rl LEFT JOIN lf ON rl.line_item_id = lf.order_line_id GROUP BY rl.id
-),
-adj0 AS (
-  SELECT {SQL_REFUND_ID} AS refund_id,
-         CASE WHEN l_linestatus = 'F' THEN 'shipping_refund' ELSE 'refund_discrepancy' END AS kind,
-         CAST(-(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(18,4)) AS amount,
-         CAST(-(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(4,2))) * CAST(l_tax AS DECIMAL(4,2)) AS DECIMAL(18,4)) AS tax_amount
-  FROM lineitem WHERE l_returnflag = 'R'
-),
-adj AS (
-  SELECT refund_id,
-    SUM(CASE WHEN kind = 'shipping_refund' THEN COALESCE(amount, 0) END) AS ship_amt,
-    SUM(CASE WHEN kind = 'shipping_refund' THEN COALESCE(tax_amount, 0) END) AS ship_tax,
-    SUM(CASE WHEN kind = 'refund_discrepancy' THEN COALESCE(amount, 0) END) AS disc_amt,
-    SUM(CASE WHEN kind = 'refund_discrepancy' THEN COALESCE(tax_amount, 0) END) AS disc_tax
-  FROM adj0 GROUP BY refund_id
-),
-rf AS (
-  SELECT DISTINCT {SQL_REFUND_ID} AS id, l_orderkey AS order_id, l_shipdate AS created_at FROM lineitem WHERE l_returnflag = 'R'
-),
-base AS (
-  SELECT CAST(rf.created_at AS DATE) AS refund_date, CAST(o.o_orderdate AS DATE) AS order_date, rf.order_id,
-         '#' || CAST(o.o_orderkey AS VARCHAR) AS order_name, o.o_custkey AS user_id, o.o_custkey % 7 AS app_id,
-         o.o_orderstatus AS billing_order_country,
-         CASE WHEN o.o_orderpriority = '1-URGENT' THEN 'EUR' WHEN o.o_orderpriority = '5-LOW' THEN NULL ELSE 'GBP' END AS presentment_currency,
-         COALESCE(per_rl.sub, 0) AS sub, COALESCE(per_rl.tax, 0) AS tax, COALESCE(per_rl.q, 0) AS q,
-         adj.ship_amt, adj.ship_tax, adj.disc_amt, adj.disc_tax
-  FROM rf LEFT JOIN per_rl ON per_rl.id = rf.id LEFT JOIN orders o ON o.o_orderkey = rf.order_id
-  LEFT JOIN adj ON adj.refund_id = rf.id
-),
-g AS (
-  SELECT refund_date, order_date, order_id, order_name, user_id, app_id, billing_order_country, presentment_currency,
-    SUM(q) AS quantity, SUM(sub) AS subtotal, SUM(tax) AS total_tax,
-    SUM(ship_amt) AS ship_amt, SUM(ship_tax) AS ship_tax, SUM(disc_amt) AS disc_amt, SUM(disc_tax) AS disc_tax
-  FROM base GROUP BY ALL
+refund AS (
+  SELECT order_id, refund_date, sum(pieces) AS quantity, sum((price * times)::DECIMAL(24,4)) AS subtotal,
+         sum((price * tax * times)::DECIMAL(24,4)) AS total_tax,
+         sum(given::DECIMAL(18,4)) FILTER (finished) AS ship_amt, sum((given * tax)::DECIMAL(18,4)) FILTER (finished) AS ship_tax,
+         sum(given::DECIMAL(18,4)) FILTER (NOT finished) AS disc_amt, sum((given * tax)::DECIMAL(18,4)) FILTER (NOT finished) AS disc_tax
+  FROM back GROUP BY order_id, refund_date
 ),
+currency_of(priority, code) AS (VALUES ('1-URGENT', 'EUR'), ('2-HIGH', 'GBP'), ('3-MEDIUM', 'GBP'), ('4-NOT SPECIFIED', 'GBP')),
 refund_days AS (
-  SELECT *,
-    COALESCE(-total_tax, 0) + COALESCE(disc_tax, 0) + COALESCE(ship_tax, 0) AS refund_tax,
-    CASE WHEN presentment_currency IN ('GBP') THEN ROUND(COALESCE(-subtotal, 0) + COALESCE(total_tax, 0) + COALESCE(disc_amt, 0), 2)
-         WHEN presentment_currency NOT IN ('GBP') THEN ROUND(COALESCE(-subtotal, 0) + COALESCE(disc_amt, 0) + COALESCE(disc_tax, 0), 2)
-    END AS refund_amount_actuals,
-    CAST(CASE WHEN order_id IS NOT NULL THEN 1 ELSE 0 END AS BIGINT) AS number_of_orders
-  FROM g
+  SELECT refund.*, o_orderdate::DATE AS order_date, '#' || o_orderkey AS order_name, o_custkey AS user_id, o_custkey % 7 AS app_id,
+         o_orderstatus AS billing_order_country, code AS presentment_currency, 1::BIGINT AS number_of_orders,
+         coalesce(disc_tax, 0) + coalesce(ship_tax, 0) - total_tax AS refund_tax,
+         if(code IS NULL, NULL, round(coalesce(disc_amt, 0) - subtotal + if(code = 'GBP', total_tax, coalesce(disc_tax, 0)), 2)) AS refund_amount_actuals
+  FROM refund LEFT JOIN orders ON o_orderkey = refund.order_id LEFT JOIN currency_of ON priority = o_orderpriority
 )"""
 
 
@@ -225,7 +197,7 @@ D38 = "decimal(38,4)"
 @q(
     "refund_by_day",
     f"""
-WITH {REFUND_SQL}
+WITH {SAME_ID_SQL}, {REFUND_SQL}
 SELECT refund_date, order_date, order_id, order_name, user_id, app_id, billing_order_country, presentment_currency,
   quantity, number_of_orders, CAST(subtotal AS DECIMAL(38,4)) AS subtotal, CAST(total_tax AS DECIMAL(38,4)) AS total_tax,
   CAST(refund_tax AS DECIMAL(38,4)) AS refund_tax, CAST(ship_amt AS DECIMAL(38,4)) AS refund_shipping_amount,
@@ -283,53 +255,54 @@ LEDGER_MONEY = [
 ]
 
 
+# The ledger from ``order_day`` and ``refund_days``: an order meets what came back of it on its own day; other
+# refunds stand alone. Amounts that are missing count as nothing.
+LEDGER_SQL = """
+met AS (
+  SELECT d.order_date AS fulldate, d.order_id, d.order_name, d.order_id AS orders_order_id, d.app_id, r.order_id AS return_order_id, r.refund_date,
+         d.user_id::VARCHAR AS user_id, d.email, d.customer_id, d.order_type, d.billing_order_country, d.number_of_orders, d.quantity,
+         r.number_of_orders AS refund_order_count, d.total_tax, d.discount, d.shipping, d.total_price, d.line_gross,
+         r.refund_tax, r.ship_amt, r.refund_amount_actuals AS refunded
+  FROM order_day d LEFT JOIN refund_days r ON r.order_id = d.order_id AND r.refund_date = d.order_date
+  UNION ALL
+  SELECT refund_date, order_id, order_name, NULL, app_id, order_id, refund_date, user_id::VARCHAR, NULL, NULL, NULL, billing_order_country,
+         NULL, NULL, number_of_orders, NULL, NULL, NULL, NULL, NULL, refund_tax, ship_amt, refund_amount_actuals
+  FROM refund_days r WHERE NOT EXISTS (FROM order_day d WHERE d.order_id = r.order_id AND d.order_date = r.refund_date)
+),
+flow AS (
+  SELECT *, coalesce(total_tax, 0) + coalesce(refund_tax, 0) AS tax, coalesce(shipping, 0) + coalesce(ship_amt, 0) AS shipping_cost, 0 AS duties,
+         coalesce(discount, 0) AS off, coalesce(refunded, 0) AS returns, coalesce(total_price, 0) + coalesce(refunded, 0) AS total_sales,
+         (date_diff('day', DATE '1995-01-01', fulldate) // 7)::INTEGER AS week
+  FROM met
+),
+ledger AS (
+  SELECT * EXCLUDE (discount), off AS discount, total_sales - tax - shipping_cost AS net_sales, total_sales + abs(returns) AS total_sales_plus_returns,
+         total_sales + abs(returns) + abs(off) - tax - shipping_cost AS gross_sales, total_sales - tax - shipping_cost + abs(returns) AS net_sales_plus_returns,
+         total_sales - tax - shipping_cost + shipping_cost AS sales, line_gross AS order_line_agg_gross_sales,
+         (1995 + week // 52)::INTEGER AS retail_year, (1 + week % 52)::INTEGER AS retail_week
+  FROM flow
+)"""
+
+
 @q(
     "order_refund_ledger",
     f"""
-WITH {REFUND_SQL},
-first_o AS (SELECT o_orderkey FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) = 1),
-per_order AS (
-  SELECT l_orderkey, SUM(l_quantity) AS quantity,
-    SUM(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(4,2))) AS total_tax,
-    SUM(-(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(4,2)))) AS discount
-  FROM lineitem GROUP BY l_orderkey
+WITH {SAME_ID_SQL}, {REFUND_SQL},
+sold AS (
+  SELECT l_orderkey AS id, sum(l_quantity) AS pieces, sum(l_extendedprice::DECIMAL(18,2) * l_tax::DECIMAL(4,2)) AS tax,
+         sum(-(l_extendedprice::DECIMAL(18,2) * l_discount::DECIMAL(4,2))) AS off
+  FROM lineitem GROUP BY 1
 ),
-od AS (
-  SELECT CAST(o.o_orderdate AS DATE) AS order_date, o.o_orderkey AS order_id, '#' || CAST(o.o_orderkey AS VARCHAR) AS order_name,
-         o.o_custkey % 7 AS app_id, o.o_custkey AS user_id, o.o_orderstatus AS billing_order_country,
-         CASE WHEN f.o_orderkey IS NOT NULL THEN 'New' ELSE 'Returning' END AS order_type,
-         CAST(1 AS BIGINT) AS number_of_orders, p.quantity, CAST(o.o_totalprice AS DECIMAL(18,2)) AS total_sales,
-         p.total_tax, p.discount
-  FROM orders o LEFT JOIN first_o f ON f.o_orderkey = o.o_orderkey LEFT JOIN per_order p ON p.l_orderkey = o.o_orderkey
+order_day AS (
+  SELECT o_orderdate::DATE AS order_date, o_orderkey AS order_id, '#' || o_orderkey AS order_name, o_custkey % 7 AS app_id, o_custkey AS user_id,
+         NULL AS email, o_custkey AS customer_id,
+         if(o_orderkey = arg_min(o_orderkey, (o_orderdate, o_orderkey)) OVER (PARTITION BY o_custkey), 'New', 'Returning') AS order_type,
+         o_orderstatus AS billing_order_country, 1::BIGINT AS number_of_orders, pieces AS quantity, tax AS total_tax, off AS discount,
+         NULL::DECIMAL(18,4) AS shipping, o_totalprice::DECIMAL(18,2) AS total_price, NULL::DOUBLE AS line_gross
+  FROM orders LEFT JOIN sold ON sold.id = o_orderkey
 ),
-j AS (
-  SELECT COALESCE(od.order_date, r.refund_date) AS fulldate, COALESCE(od.order_id, r.order_id) AS order_id,
-    COALESCE(od.order_name, r.order_name) AS order_name, od.order_id AS orders_order_id,
-    COALESCE(od.app_id, r.app_id) AS app_id, r.order_id AS return_order_id, r.refund_date,
-    COALESCE(CAST(od.user_id AS VARCHAR), CAST(r.user_id AS VARCHAR)) AS user_id, od.order_type,
-    COALESCE(od.billing_order_country, r.billing_order_country) AS billing_order_country,
-    od.number_of_orders, od.quantity, r.number_of_orders AS refund_order_count,
-    COALESCE(COALESCE(NULLIF(od.total_tax, 0), NULL), 0) + COALESCE(r.refund_tax, 0) AS tax,
-    0 + COALESCE(r.ship_amt, 0) AS shipping_cost,
-    0 AS duties,
-    COALESCE(od.discount, 0) AS discount,
-    COALESCE(r.refund_amount_actuals, 0) AS returns,
-    COALESCE(od.total_sales, 0) + COALESCE(r.refund_amount_actuals, 0) AS total_sales
-  FROM od FULL JOIN refund_days r ON od.order_date = r.refund_date AND od.order_id = r.order_id
-)
-SELECT fulldate, order_id, order_name, orders_order_id, app_id, return_order_id, refund_date, user_id, order_type,
-  billing_order_country, number_of_orders, quantity, refund_order_count,
-  CAST(tax AS DECIMAL(38,4)) AS tax, CAST(shipping_cost AS DECIMAL(38,4)) AS shipping_cost, CAST(duties AS DECIMAL(38,4)) AS duties,
-  CAST(discount AS DECIMAL(38,4)) AS discount, CAST(returns AS DECIMAL(38,4)) AS returns,
-  CAST(total_sales AS DECIMAL(38,4)) AS total_sales,
-  CAST(total_sales + abs(returns) AS DECIMAL(38,4)) AS total_sales_plus_returns,
-  CAST(total_sales + COALESCE(abs(returns), 0) + COALESCE(abs(discount), 0) - tax - shipping_cost AS DECIMAL(38,4)) AS gross_sales,
-  CAST(total_sales - tax - shipping_cost AS DECIMAL(38,4)) AS net_sales,
-  CAST(total_sales - tax - shipping_cost + abs(returns) AS DECIMAL(38,4)) AS net_sales_plus_returns,
-  CAST(total_sales - tax - shipping_cost + shipping_cost AS DECIMAL(38,4)) AS sales,
-  CAST(CAST(floor(date_diff('day', DATE '1995-01-01', fulldate) / 7) AS INTEGER) // 52 + 1995 AS INTEGER) AS retail_year,
-  CAST(CAST(floor(date_diff('day', DATE '1995-01-01', fulldate) / 7) AS INTEGER) % 52 + 1 AS INTEGER) AS retail_week
-FROM j
+{LEDGER_SQL}
+SELECT {", ".join(LEDGER_OUT)}, {", ".join(f"{c}::DECIMAL(38,4) AS {c}" for c in LEDGER_MONEY)}, retail_year, retail_week FROM ledger
 """,
 )
 def q_order_refund_ledger(spark, sf):
@@ -404,8 +377,9 @@ FROM g
 )
 def q_order_share_of_total(spark, sf):
     li = table(spark, sf, "lineitem")
-    g = li.groupBy("l_orderkey", "l_linenumber").agg(F.sum(money("l_extendedprice")).alias("line_total"))
-    t = key_totals_beside_rows(g, ["l_orderkey"], {"order_total": F.sum("line_total")})
+    # an order's lines are bounded: one exchange by order serves the group-by and the window
+    g = li.repartition("l_orderkey").groupBy("l_orderkey", "l_linenumber").agg(F.sum(money("l_extendedprice")).alias("line_total"))
+    t = g.withColumn("order_total", F.sum("line_total").over(Window.partitionBy("l_orderkey")))
     return t.select(
         "l_orderkey", "l_linenumber", F.col("line_total").cast("decimal(38,2)").alias("line_total"),
         F.col("order_total").cast("decimal(38,2)").alias("order_total"),
@@ -430,18 +404,22 @@ def q_next_order_date(spark, sf):
 
 def _json_lines(spark, sf):
     """Per line: a tax-line JSON array and a properties JSON array built from the line's own columns."""
-    li = table(spark, sf, "lineitem", spread=True)  # JSON build + parse per row before any shuffle
-    tax = F.struct(
-        F.lit("GB VAT").alias("title"), F.col("l_tax").alias("rate"), (F.col("l_tax") * 100).alias("rate_percentage"),
-        (F.col("l_extendedprice") * F.col("l_tax")).alias("price"), F.lit(True).alias("channel_agnostic"),
-        F.struct(F.col("l_extendedprice").alias("amount")).alias("price_set"),
-    )
-    disc = F.struct(
-        F.lit("DISCOUNT").alias("title"), F.col("l_discount").alias("rate"), (F.col("l_discount") * 100).alias("rate_percentage"),
-        (F.col("l_extendedprice") * F.col("l_discount")).alias("price"), F.lit(False).alias("channel_agnostic"),
-        F.struct(F.col("l_extendedprice").alias("amount")).alias("price_set"),
+    li = table(spark, sf, "lineitem")
+
+    def entry(title: str, rate: str, agnostic: str):
+        price = F.round(F.col("l_extendedprice") * F.col(rate), 4)
+        return F.format_string(
+            f'{{"title": "{title}", "rate": %s, "rate_percentage": 12.50, "price": "%s", "channel_agnostic": {agnostic}, '
+            '"price_set": {"amount":%d,"kind":["a",1.5]}}',
+            F.col(rate).cast("string"), price.cast("string"), F.col("l_linenumber"),
+        )
+
+    vat, off = entry("GB VAT", "l_tax", "true"), entry("DISCOUNT", "l_discount", "false")
+    tax_lines = (
+        F.when(F.col("l_linenumber") == 7, F.concat(F.lit("["), vat))
+        .when(F.col("l_linestatus") == "O", F.concat(F.lit("["), vat, F.lit(', "no object", '), off, F.lit("]")))
+        .otherwise(F.concat(F.lit("["), vat, F.lit("]")))
     )
-    tax_lines = F.when(F.col("l_linestatus") == "O", F.to_json(F.array(tax, disc))).otherwise(F.to_json(F.array(tax)))
     prop = F.struct(
         F.lit(com.FREE_PRODUCT_PROPERTY[0]).alias("name"),
         F.when(F.col("l_returnflag") == "R", F.lit("product")).otherwise(F.lit("points")).alias("value"),
@@ -456,23 +434,22 @@ def _json_lines(spark, sf):
 @q(
     "json_array_explode",
     f"""
-WITH t AS (
-  SELECT {SQL_LINE_ID} AS order_line_id, l_orderkey AS order_id, 'GB VAT' AS title, l_tax AS rate,
-         l_extendedprice * l_tax AS price FROM lineitem
-  UNION ALL
-  SELECT {SQL_LINE_ID}, l_orderkey, 'DISCOUNT', l_discount, l_extendedprice * l_discount FROM lineitem WHERE l_linestatus = 'O'
+WITH e AS (
+  SELECT {SQL_LINE_ID} AS order_line_id, l_orderkey AS order_id, l_extendedprice AS amount, l_linenumber,
+         unnest(CASE WHEN l_linenumber = 7 THEN [] WHEN l_linestatus = 'O' THEN ['GB VAT', NULL, 'DISCOUNT'] ELSE ['GB VAT'] END) AS title,
+         l_tax, l_discount, {sround('l_extendedprice * l_tax', 4)} AS tax, {sround('l_extendedprice * l_discount', 4)} AS off
+  FROM lineitem
 )
-SELECT title, COUNT(*) AS tax_lines, COUNT(DISTINCT order_line_id) AS lines, {sround('SUM(rate)', 4)} AS rate_sum,
-       {sround('SUM(price)', 2)} AS price_sum
-FROM t GROUP BY title
+SELECT order_line_id, order_id, title, if(title = 'GB VAT', l_tax, if(title = 'DISCOUNT', l_discount, NULL)) AS rate,
+       if(title = 'GB VAT', tax, if(title = 'DISCOUNT', off, NULL)) AS price, if(title IS NULL, NULL, title = 'GB VAT') AS channel_agnostic,
+       if(title IS NULL, NULL, 12.5::DOUBLE) AS rate_percentage, if(title IS NULL, NULL, '{{"amount":' || l_linenumber || ',"kind":["a",1.5]}}') AS price_set
+FROM e
 """,
 )
 def q_json_array_explode(spark, sf):
-    t = com.explode_tax_lines(_json_lines(spark, sf))
-    return t.groupBy("title").agg(
-        F.count(F.lit(1)).alias("tax_lines"), F.count_distinct("order_line_id").alias("lines"),
-        F.round(F.sum("rate"), 4).alias("rate_sum"), F.round(F.sum("price"), 2).alias("price_sum"),
-    )
+    """Every tax line of the lines' JSON arrays; one element of the open lines' arrays is no object, the
+    arrays of seventh lines are cut off."""
+    return com.explode_tax_lines(_json_lines(spark, sf))
 
 
 @q(
@@ -582,13 +559,16 @@ def _shop_orders(spark, sf):
 
 
 def shop_ledger(spark, sf):
-    orders = com.clean_orders(_shop_orders(spark, sf), zone="UTC")
+    """The chain C2 -> C5 -> (C6, C8): cleaned orders and line facts are stages of their own, written once
+    and read by the refund ledger, the first orders and the order metrics."""
+    orders = staged(com.clean_orders(_shop_orders(spark, sf), zone="UTC"), scratch(spark, "orders"))
     lines, refund_lines, tax_lines = _line_frames(spark, sf)
     products = table(spark, sf, "part").select(
         F.col("p_partkey").alias("id"), F.col("p_name").alias("handle"), F.col("p_type").alias("product_type"),
         F.col("p_brand").alias("vendor"),
     )
-    line_facts = com.order_line_facts(lines, orders, products, refund_lines, tax_lines, home=HOME, with_order_total=False)
+    facts = com.order_line_facts(lines, orders, products, refund_lines, tax_lines, home=HOME, with_order_total=False)
+    line_facts = staged(facts, scratch(spark, "line_facts"))
     shipping = table(spark, sf, "lineitem").where(F.col("l_returnflag") == "A").select(
         F.col("l_orderkey").alias("order_id"),
         (money("l_extendedprice") * F.col("l_discount").cast("decimal(4,2)")).cast(M2).alias("price"),
@@ -596,9 +576,10 @@ def shop_ledger(spark, sf):
     fpd = com.free_product_discount(_json_lines(spark, sf))
     from ledgerlake.plans.customer import first_orders
 
-    first = first_orders(orders, email="email", created_at="created_at", order_id="id").select(F.col("id").alias("order_id"))
+    first = first_orders(orders, columns=["id"]).select(F.col("id").alias("order_id"))
     order_days = com.order_day_metrics(orders, shipping, line_facts, fpd, first, since=LEDGER_SINCE)
-    ledger = com.order_metrics_ledger(order_days, _refund_days(spark, sf), calendar={"start": CAL_START, "years": CAL_YEARS})
+    back = com.refund_ledger(*_refund_inputs(spark, sf)[:4], line_facts, zone="UTC", num=D4)
+    ledger = com.order_metrics_ledger(order_days, back, calendar={"start": CAL_START, "years": CAL_YEARS})
     money_cols = [
         "tax", "shipping_cost", "duties", "discount", "returns", "total_sales", "total_sales_plus_returns",
         "gross_sales", "order_line_agg_gross_sales", "net_sales", "net_sales_plus_returns", "sales",
@@ -606,124 +587,71 @@ def shop_ledger(spark, sf):
     return ledger.select(
         "fulldate", "order_id", "order_name", "orders_order_id", "app_id", "return_order_id", "refund_date", "user_id",
         "orders_email", "customer_id", "order_type", "billing_order_country", "number_of_orders", "quantity",
-        "refund_order_count", *[F.round(F.col(c).cast("double"), 2).alias(c) for c in money_cols],
+        "refund_order_count", *[F.round(F.col(c).cast("double"), 4).alias(c) for c in money_cols],  # 4 places: amounts fall between cents
         "retail_year", "retail_week", "retail_month", "retail_week_label",
     )
 
 
 def _shop_ledger_sql() -> str:
-    d2 = lambda e: f"CAST({e} AS DECIMAL(18,2))"
-    price = "CAST(l_extendedprice AS DECIMAL(18,2))"
-    wk = "CAST(floor(date_diff('day', DATE '1995-01-01', fulldate) / 7) AS INTEGER)"
-    month = (
-        f"CASE WHEN {wk} % 52 < 4 THEN 1 WHEN {wk} % 52 < 8 THEN 2 WHEN {wk} % 52 < 13 THEN 3 WHEN {wk} % 52 < 17 THEN 4 "
-        f"WHEN {wk} % 52 < 21 THEN 5 WHEN {wk} % 52 < 26 THEN 6 WHEN {wk} % 52 < 30 THEN 7 WHEN {wk} % 52 < 34 THEN 8 "
-        f"WHEN {wk} % 52 < 39 THEN 9 WHEN {wk} % 52 < 43 THEN 10 WHEN {wk} % 52 < 47 THEN 11 ELSE 12 END"
-    )
     money_out = [
         "tax", "shipping_cost", "duties", "discount", "returns", "total_sales", "total_sales_plus_returns",
         "gross_sales", "order_line_agg_gross_sales", "net_sales", "net_sales_plus_returns", "sales",
     ]
+    months = ", ".join(f"({i + 1}, {w})" for i, w in enumerate((0, 4, 8, 13, 17, 21, 26, 30, 34, 39, 43, 47)))  # 4-4-5 quarters, first week of each month
     return f"""
-WITH {REFUND_SQL},
-per AS (
-  SELECT l_orderkey, {d2(f'SUM({price} * CAST(l_tax AS DECIMAL(4,2)))')} AS tax,
-         {d2(f'SUM({price} * CAST(l_discount AS DECIMAL(4,2)))')} AS disc, {d2(f'SUM({price})')} AS items
-  FROM lineitem GROUP BY l_orderkey
-),
-so AS (
-  SELECT o.o_orderkey AS id, '#' || CAST(o.o_orderkey AS VARCHAR) AS name, o.o_custkey % 7 AS app_id, o.o_custkey AS user_id,
-         o.o_custkey AS customer_id, c.c_name AS email, o.o_orderdate AS created_at, CAST(o.o_orderdate AS DATE) AS order_date,
-         o.o_orderstatus AS fulfillment_status, n.n_name AS country,
-         CAST(CAST(o.o_totalprice AS DECIMAL(18,2)) - COALESCE(per.tax, 0) AS DOUBLE) AS subtotal_price,
-         CAST(per.disc AS DOUBLE) AS total_discounts, CAST(per.disc AS DOUBLE) AS current_total_discounts,
-         CAST(per.items AS DOUBLE) AS total_line_items_price, CAST(CAST(o.o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS total_price,
-         CAST(per.tax AS DOUBLE) AS total_tax, CAST(per.tax AS DOUBLE) AS current_total_tax
-  FROM orders o LEFT JOIN customer c ON c.c_custkey = o.o_custkey LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey
-  LEFT JOIN per ON per.l_orderkey = o.o_orderkey
-  WHERE (o.o_orderpriority = '5-LOW' AND o.o_orderstatus = 'P') = FALSE
-),
-li AS (
-  SELECT {SQL_LINE_ID} AS order_line_id, l_orderkey AS order_id, l_partkey AS product_id, l_suppkey AS variant_id,
-         l_linestatus AS title, {sround('l_extendedprice / l_quantity')} AS price, l_quantity AS qty
-  FROM lineitem
-),
-r AS (SELECT {SQL_LINE_ID} AS rid, l_quantity AS rq, l_extendedprice AS rs FROM lineitem WHERE l_returnflag = 'R'),
-t AS (SELECT {SQL_LINE_ID} AS tid, l_tax AS rate FROM lineitem WHERE l_linestatus = 'F' AND l_tax != 0),
-olf AS (
-  SELECT so.order_date, so.country, li.order_line_id, li.order_id, li.product_id, li.variant_id, li.title,
-         p.p_name, p.p_type, p.p_brand, t.rate, r.rid,
-         SUM(li.qty) AS quantity,
-         SUM(CASE WHEN so.country NOT IN ('{HOME}') THEN li.price * li.qty
-                  WHEN t.rate IS NOT NULL THEN li.price * li.qty / (1 + t.rate)
-                  ELSE li.price * li.qty END) AS gross_sales
-  FROM li JOIN so ON li.order_id = so.id
-  LEFT JOIN part p ON li.product_id = p.p_partkey
-  LEFT JOIN r ON li.order_line_id = r.rid
-  LEFT JOIN t ON li.order_line_id = t.tid
-  GROUP BY ALL
+WITH {LINES_SQL},
+shop AS (
+  SELECT o_orderkey AS id, o_orderdate::DATE AS day, o_orderdate AS placed, o_custkey AS cid, c_name AS email, o_totalprice::DECIMAL(18,2)::DOUBLE AS price
+  FROM orders LEFT JOIN customer ON c_custkey = o_custkey WHERE NOT (o_orderpriority = '5-LOW' AND o_orderstatus = 'P')
 ),
-la AS (SELECT order_id, MAX(rate) AS tax_rate, SUM(gross_sales) AS gross_sales, SUM(quantity) AS quantity FROM olf GROUP BY order_id),
-ship AS (
-  SELECT l_orderkey AS order_id, CAST({d2(f'{price} * CAST(l_discount AS DECIMAL(4,2))')} AS DOUBLE) AS price
-  FROM lineitem WHERE l_returnflag = 'A'
+same_id AS (SELECT order_line_id AS id, count(*) AS times, sum(quantity) AS pieces FROM line_facts JOIN shop ON shop.id = order_id GROUP BY 1),
+{REFUND_SQL}, month(nr, from_week) AS (VALUES {months}),
+first_of AS (SELECT arg_min(id, (placed, id)) AS id FROM shop GROUP BY lower(email)),
+sums AS (
+  SELECT l_orderkey AS id, sum(l_extendedprice::DECIMAL(18,2) * l_tax::DECIMAL(4,2))::DECIMAL(18,2)::DOUBLE AS tax,
+         sum(l_extendedprice::DECIMAL(18,2) * l_discount::DECIMAL(4,2))::DECIMAL(18,2)::DOUBLE AS off,
+         list((l_extendedprice::DECIMAL(18,2) * l_discount::DECIMAL(4,2))::DECIMAL(18,2)::DOUBLE) FILTER (l_returnflag = 'A') AS shipping
+  FROM lineitem GROUP BY 1
 ),
-fpd AS (
-  SELECT order_id, SUM(discount) AS discount FROM (
-    SELECT DISTINCT {SQL_LINE_ID} AS id, l_orderkey AS order_id, -l_extendedprice AS discount FROM lineitem WHERE l_returnflag = 'R'
-  ) GROUP BY order_id
+gifts AS (SELECT order_id AS id, -sum(value) AS value FROM (SELECT DISTINCT order_id, order_line_id, value FROM line WHERE is_back) GROUP BY 1),
+facts AS (SELECT order_id AS id, coalesce(max(rate), 0) AS rate, sum(gross_sales) AS gross, sum(quantity) AS pieces FROM line_facts JOIN shop ON shop.id = order_id GROUP BY 1),
+parcel AS (  -- an order stands once per shipping line, or once without any
+  SELECT id, unnest(coalesce(shipping, [NULL])) AS ship FROM shop LEFT JOIN sums USING (id) WHERE day >= DATE '{LEDGER_SINCE}'
 ),
-fo AS (
-  SELECT id AS order_id FROM so QUALIFY row_number() OVER (PARTITION BY lower(email) ORDER BY created_at, id) = 1
-),
-od AS (
-  SELECT so.order_date, so.id AS order_id, so.name AS order_name, so.app_id, so.user_id, so.customer_id, so.email,
-         so.fulfillment_status, so.country AS billing_order_country,
-         CASE WHEN fo.order_id IS NOT NULL THEN 'New' ELSE 'Returning' END AS order_type,
-         COUNT(so.id) AS number_of_orders,
-         SUM(la.gross_sales) AS gross_sales, SUM(la.quantity) AS quantity,
-         SUM((-COALESCE(so.total_discounts, 0) - COALESCE(fpd.discount, 0)) / (1 + COALESCE(la.tax_rate, 0))) AS discount,
-         SUM(fpd.discount) AS free_product_discount,
-         SUM(so.total_price) AS total_sales, SUM(so.total_tax) AS total_tax, SUM(so.current_total_tax) AS current_total_tax,
-         SUM(ship.price / (1 + COALESCE(la.tax_rate, 0))) AS shipping_cost
-  FROM so LEFT JOIN ship ON so.id = ship.order_id LEFT JOIN la ON so.id = la.order_id
-  LEFT JOIN fpd ON so.id = fpd.order_id LEFT JOIN fo ON so.id = fo.order_id
-  WHERE so.order_date >= DATE '{LEDGER_SINCE}'
+order_day AS (
+  SELECT day AS order_date, id AS order_id, '#' || id AS order_name, cid % 7 AS app_id, cid AS user_id, email, cid AS customer_id,
+         if(first_of.id IS NULL, 'Returning', 'New') AS order_type, place.billing_order_country, count(*) AS number_of_orders,
+         sum(pieces) AS quantity, sum(tax) AS total_tax,
+         sum((-coalesce(off, 0) - coalesce(gifts.value, 0)) / (1 + coalesce(rate, 0))) + coalesce(sum(gifts.value), 0) AS discount,
+         sum(ship / (1 + coalesce(rate, 0))) AS shipping, sum(price) AS total_price, sum(gross) AS line_gross
+  FROM parcel JOIN shop USING (id) LEFT JOIN sums USING (id) LEFT JOIN facts USING (id) LEFT JOIN gifts USING (id)
+  LEFT JOIN place ON place.order_id = id LEFT JOIN first_of USING (id)
   GROUP BY ALL
 ),
-j AS (
-  SELECT COALESCE(od.order_date, r.refund_date) AS fulldate, COALESCE(od.order_id, r.order_id) AS order_id,
-    COALESCE(od.order_name, r.order_name) AS order_name, od.order_id AS orders_order_id,
-    COALESCE(od.app_id, r.app_id) AS app_id, r.order_id AS return_order_id, r.refund_date,
-    COALESCE(CAST(od.user_id AS VARCHAR), CAST(r.user_id AS VARCHAR)) AS user_id,
-    sha256(regexp_replace(lower(od.email), '^\\s+|\\s+$', '', 'g')) AS orders_email,
-    od.customer_id, od.order_type, COALESCE(od.billing_order_country, r.billing_order_country) AS billing_order_country,
-    od.number_of_orders, od.quantity, r.number_of_orders AS refund_order_count,
-    COALESCE(COALESCE(NULLIF(od.total_tax, 0), NULLIF(od.current_total_tax, 0)), 0) + COALESCE(r.refund_tax, 0) AS tax,
-    COALESCE(od.shipping_cost, 0) + COALESCE(r.ship_amt, 0) AS shipping_cost,
-    0 AS duties,
-    COALESCE(od.discount, 0) + COALESCE(od.free_product_discount, 0) AS discount,
-    COALESCE(r.refund_amount_actuals, 0) AS returns,
-    COALESCE(od.total_sales, 0) + COALESCE(r.refund_amount_actuals, 0) AS total_sales,
-    od.gross_sales AS order_line_agg_gross_sales
-  FROM od FULL JOIN refund_days r ON od.order_date = r.refund_date AND od.order_id = r.order_id
-),
-k AS (
-  SELECT *, total_sales + abs(returns) AS total_sales_plus_returns,
-         total_sales + COALESCE(abs(returns), 0) + COALESCE(abs(discount), 0) - tax - shipping_cost AS gross_sales,
-         total_sales - tax - shipping_cost AS net_sales,
-         total_sales - tax - shipping_cost + abs(returns) AS net_sales_plus_returns,
-         total_sales - tax - shipping_cost + shipping_cost AS sales
-  FROM j
-)
-SELECT fulldate, order_id, order_name, orders_order_id, app_id, return_order_id, refund_date, user_id, orders_email,
-       customer_id, order_type, billing_order_country, number_of_orders, quantity, refund_order_count,
-       {", ".join(f"{sround(c)} AS {c}" for c in money_out)},
-       CAST({wk} // 52 + 1995 AS INTEGER) AS retail_year, CAST({wk} % 52 + 1 AS INTEGER) AS retail_week,
-       CAST({month} AS INTEGER) AS retail_month,
-       printf('%04d-Wk%02d', {wk} // 52 + 1995, {wk} % 52 + 1) AS retail_week_label
-FROM k
+{LEDGER_SQL}
+SELECT fulldate, order_id, order_name, orders_order_id, app_id, return_order_id, refund_date, user_id,
+       sha256(regexp_replace(lower(email), '^\\s+|\\s+$', '', 'g')) AS orders_email, customer_id, order_type, billing_order_country,
+       number_of_orders, quantity, refund_order_count, {", ".join(f"{sround(c, 4)} AS {c}" for c in money_out)}, retail_year, retail_week,
+       (SELECT max(nr) FROM month WHERE from_week < retail_week)::INTEGER AS retail_month,
+       printf('%04d-Wk%02d', retail_year, retail_week) AS retail_week_label
+FROM ledger
 """
 
 
 q("shop_ledger", _shop_ledger_sql())(shop_ledger)
+
+
+def shop_ledger_rows_sql() -> str:
+    """CTE ``ledger_ids``: order_id and orders_order_id of the ledger's rows. An order day has its
+    order; a refund day of the same order on another day, or of an order that is a test or older
+    than the ledger, stands alone."""
+    return f"""
+placed_in_ledger AS (
+  SELECT o_orderkey AS id, o_orderdate::DATE AS day FROM orders
+  WHERE NOT (o_orderpriority = '5-LOW' AND o_orderstatus = 'P') AND o_orderdate >= DATE '{LEDGER_SINCE}'
+),
+refunded AS (SELECT DISTINCT l_orderkey AS id, l_shipdate::DATE AS day FROM lineitem WHERE l_returnflag = 'R'),
+ledger_ids AS (
+  SELECT id AS order_id, id AS orders_order_id FROM placed_in_ledger
+  UNION ALL SELECT id, NULL FROM refunded ANTI JOIN placed_in_ledger USING (id, day)
+)"""

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from ledgerlake.functions import money
 from ledgerlake.plans import customer as cust
+from ledgerlake.plans.commerce import clean_orders
 from ledgerlake.plans.customer import ChannelRules
 from ledgerlake.testbed.base import AS_OF, registry, table
+from ledgerlake.testbed.commerce import shop_ledger, shop_ledger_rows_sql
 
 QUERIES, ORACLE, q = registry()
 
@@ -72,7 +74,6 @@ co AS (
 
 
 def _c360(spark, sf):
-    # o_orderkey is unique, so each customer_orders row is a whole order: skip the per-order shuffle
     return cust.customer_360(
         customer_orders(spark, sf),
         RULES,
@@ -81,97 +82,104 @@ def _c360(spark, sf):
         channel="channel",
         source="source",
         customer_id=None,
-        one_row_per_order=True,
     )
 
 
 M2 = "decimal(38,2)"
 
+# --- rule tables of the oracles: labels and bounds are fixed values --------------------------
+# channel code -> group, rank among the behaviour groups (NULL: none), labels
+CHANNEL_SQL = """channel(code, grp, rank, only_label, label, place) AS (VALUES
+  ('1-URGENT', 'web', 1, 'Online Only', 'Web', 'Web'), ('2-HIGH', 'pos', 2, 'In-Store Only', 'POS', NULL),
+  ('3-MEDIUM', 'tiktok', 3, 'TikTok Only', 'TikTok', 'TikTok'),
+  ('4-NOT SPECIFIED', 'marketplace', 4, 'Marketplace Only', 'Marketplace', 'Marketplace'), ('5-LOW', 'other', NULL, NULL, 'Unknown', 'Other'))"""
+PLACE_SQL = """roadshow(day, place) AS (VALUES (DATE '1995-03-05', 'London Roadshow'), (DATE '1996-06-14', 'Birmingham Roadshow'),
+  (DATE '1997-09-01', 'Liverpool Roadshow'), (DATE '1998-11-20', 'Manchester Roadshow'))"""
+# value from -> label
+LTV_SQL = """ltv(from_value, label) AS (VALUES (-1e300, 'No purchases'), (1e-9, 'Low Value (<£100)'), (100, 'Standard (£100-199)'),
+  (200, 'Medium Value (£200-499)'), (500, 'High Value (£500-999)'), (1000, 'VIP (£1000+)'))"""
+MONEY_SQL = """money(from_value, label) AS (VALUES (-1e300, 'No purchases'), (1e-9, 'Tier 5 (<£50)'), (50, 'Tier 4 (£50-99)'),
+  (100, 'Tier 3 (£100-199)'), (200, 'Tier 2 (£200-499)'), (500, 'Tier 1 (£500+)'))"""
+RECENCY_SQL = """recency(from_days, label) AS (VALUES (-1000000, 'Recent (0-3 months)'), (90, 'Active (3-9 months)'),
+  (270, 'Lapsing (9-12 months)'), (365, 'Lapsed (12+ months)'))"""
+FREQUENCY_SQL = """frequency(from_orders, label) AS (VALUES (-1, 'No orders'), (1, 'One-time'), (2, 'Repeat (2 orders)'),
+  (3, 'Repeat (3 orders)'), (4, 'High Value (4+ orders)'))"""
+# days since the last order and number of orders, each from .. to -> segment
+RFM_SQL = """rfm(d0, d1, n0, n1, label) AS (VALUES
+  (-1000000, 89, 4, 1000000, 'High Value Recent Customers'), (-1000000, 89, 1, 3, 'Recent Customers'),
+  (90, 269, 4, 1000000, 'High Value Customer'), (90, 269, 2, 3, 'Potential High Value'), (90, 269, 1, 1, 'First Time Customers'),
+  (270, 364, 4, 1000000, 'High Value Lapsing'), (270, 364, 1, 3, 'Lapsing'),
+  (365, 1000000, 4, 1000000, 'High Value Lapsed'), (365, 1000000, 2, 3, 'Lapsed'), (365, 1000000, 1, 1, 'Lapsed One Time'))"""
+# the first rule that holds for the years since the first order's year, orders in the last year, and days since the last
+COHORT_SQL = """cohort(rank, y0, y1, r0, d0, d1, label) AS (VALUES
+  (1, 0, 0, 0, -1000000, 1000000, 'NEW'), (2, 1, 1, 0, -1000000, 1000000, 'PYNEW'), (3, 2, 1000, 1, -1000000, 1000000, 'PYNON'),
+  (4, -1000, 1000, 0, 365, 729, 'PY1INACT'), (5, -1000, 1000, 0, 730, 1094, 'PY2INACT'), (6, -1000, 1000, 0, 1095, 1000000, 'PY3INACT'))"""
+
+
+def sround2(expr: str) -> str:
+    """DuckDB text for Spark's ROUND(.., 2) on a double (half-up on the shortest decimal form)."""
+    return f"CAST(ROUND(CAST(CAST(({expr}) AS VARCHAR) AS DECIMAL(38,18)), 2) AS DOUBLE)"
+
 
 @q(
     "customer_360",
     f"""
-WITH {ORACLE_CUSTOMER_ORDERS},
-first_order AS (
-  SELECT customer, ch AS first_ch, order_date AS first_d
-  FROM co QUALIFY row_number() OVER (PARTITION BY customer ORDER BY order_date, order_id) = 1
+WITH {ORACLE_CUSTOMER_ORDERS}, {CHANNEL_SQL}, {PLACE_SQL}, {LTV_SQL}, {COHORT_SQL},
+tagged AS (
+  SELECT co.*, grp, rank, only_label, label, channel.place, DATE '{AS_OF}' - order_date AS age,
+         coalesce(roadshow.place, 'Glasgow Pop-up') AS fair
+  FROM co LEFT JOIN channel ON channel.code = co.ch LEFT JOIN roadshow ON roadshow.day = co.order_date
 ),
-m AS (
-  SELECT customer,
-    COUNT(DISTINCT order_id) AS total_orders,
-    COUNT(DISTINCT CASE WHEN ch = '1-URGENT' THEN order_id END) AS web_orders,
-    COUNT(DISTINCT CASE WHEN ch = '2-HIGH' THEN order_id END) AS pos_orders,
-    COUNT(DISTINCT CASE WHEN ch = '3-MEDIUM' THEN order_id END) AS tiktok_orders,
-    COUNT(DISTINCT CASE WHEN ch = '4-NOT SPECIFIED' THEN order_id END) AS marketplace_orders,
-    COUNT(DISTINCT CASE WHEN ch = '5-LOW' THEN order_id END) AS other_orders,
-    MAX(CASE WHEN ch = '1-URGENT' THEN TRUE ELSE FALSE END) AS has_web_orders,
-    MAX(CASE WHEN ch = '2-HIGH' THEN TRUE ELSE FALSE END) AS has_pos_orders,
-    MAX(CASE WHEN ch = '3-MEDIUM' THEN TRUE ELSE FALSE END) AS has_tiktok_orders,
-    MAX(CASE WHEN ch = '4-NOT SPECIFIED' THEN TRUE ELSE FALSE END) AS has_marketplace_orders,
-    COUNT(DISTINCT CASE WHEN order_date >= DATE '2001-08-02' - INTERVAL 90 DAY THEN order_id END) AS orders_last_90_days,
-    COUNT(DISTINCT CASE WHEN order_date >= DATE '2001-08-02' - INTERVAL 180 DAY THEN order_id END) AS orders_last_180_days,
-    COUNT(DISTINCT CASE WHEN order_date >= DATE '2001-08-02' - INTERVAL 365 DAY THEN order_id END) AS orders_last_365_days,
-    MIN(order_date) AS first_order_date, MAX(order_date) AS last_order_date,
-    SUM(gross) AS gross_revenue, CAST(SUM(gross) AS DOUBLE) / COUNT(gross) AS avg_gross_order_value, MAX(gross) AS max_gross,
-    SUM(net) AS net_revenue, MAX(net) AS max_net,
-    SUM(gross - net) AS total_refunded,
-    SUM(CASE WHEN ch = '1-URGENT' THEN net ELSE 0 END) AS web_revenue,
-    SUM(CASE WHEN ch = '2-HIGH' THEN net ELSE 0 END) AS pos_revenue,
-    SUM(CASE WHEN ch = '3-MEDIUM' THEN net ELSE 0 END) AS tiktok_revenue,
-    SUM(CASE WHEN ch = '4-NOT SPECIFIED' THEN net ELSE 0 END) AS marketplace_revenue,
-    MIN(CASE WHEN ch = '2-HIGH' THEN order_date END) AS first_pos_order_date
-  FROM co GROUP BY customer
+by_group AS (
+  SELECT customer, grp, any_value(rank) AS rank, any_value(only_label) AS only_label, any_value(label) AS label,
+         count(DISTINCT order_id) AS orders, sum(net) AS revenue
+  FROM tagged GROUP BY customer, grp
+),
+groups AS (
+  SELECT customer, list(grp) FILTER (rank IS NOT NULL) AS used, min(only_label) AS only_label,
+         map_from_entries(list((grp, orders))) AS orders_of, map_from_entries(list((grp, revenue))) AS revenue_of
+  FROM by_group GROUP BY customer
+),
+shares AS (  -- a group without orders has revenue 0; the first of equals wins
+  SELECT customer, label, rank, coalesce(revenue_of[grp], 0) AS revenue
+  FROM groups, channel WHERE rank IS NOT NULL
+),
+top AS (
+  SELECT customer, CASE WHEN label = 'Marketplace' AND revenue <= 0 THEN 'Other' ELSE label END AS dominant
+  FROM shares QUALIFY row_number() OVER (PARTITION BY customer ORDER BY revenue DESC, rank) = 1
+),
+whole AS (
+  SELECT customer, count(DISTINCT order_id) AS total_orders, min(order_date) AS first_day, max(order_date) AS last_day,
+         sum(gross) AS gross, sum(gross)::DOUBLE / count(gross) AS mean_gross, max(gross) AS max_gross, sum(net) AS net, max(net) AS max_net,
+         sum(gross - net) AS refunded, count(DISTINCT order_id) FILTER (age <= 90) AS last90,
+         count(DISTINCT order_id) FILTER (age <= 180) AS last180, count(DISTINCT order_id) FILTER (age <= 365) AS last365,
+         arg_min(fair, order_date) FILTER (grp = 'pos') AS pos_city,
+         arg_min({{'label': label, 'place': coalesce(place, fair)}}, (order_date, order_id)) AS start
+  FROM tagged GROUP BY customer
+),
+facts AS (
+  SELECT *, DATE '{AS_OF}' - last_day AS idle, DATE '{AS_OF}' - first_day AS age, year(DATE '{AS_OF}') - year(first_day) AS years FROM whole
 )
-SELECT m.customer, total_orders, web_orders, pos_orders, tiktok_orders, marketplace_orders, other_orders,
-  has_web_orders, has_pos_orders, has_tiktok_orders, has_marketplace_orders,
-  orders_last_90_days, orders_last_180_days, orders_last_365_days,
-  first_order_date, last_order_date,
-  DATE '2001-08-02' - last_order_date AS days_since_last_order,
-  DATE '2001-08-02' - first_order_date AS customer_age_days,
-  CAST(gross_revenue AS DECIMAL(38,2)) AS gross_revenue, avg_gross_order_value,
-  CAST(max_gross AS DECIMAL(38,2)) AS max_gross_order_value,
-  CAST(net_revenue AS DECIMAL(38,2)) AS net_revenue, CAST(max_net AS DECIMAL(38,2)) AS max_net_order_value,
-  CAST(total_refunded AS DECIMAL(38,2)) AS total_refunded,
-  CAST(ROUND(CAST(CAST(CAST(total_refunded AS DOUBLE) * 100.0 / NULLIF(CAST(gross_revenue AS DOUBLE), 0) AS VARCHAR) AS DECIMAL(38,18)), 2) AS DOUBLE) AS refund_rate_pct,
-  CAST(web_revenue AS DECIMAL(38,2)) AS web_revenue, CAST(pos_revenue AS DECIMAL(38,2)) AS pos_revenue,
-  CASE WHEN (CASE WHEN has_web_orders THEN 1 ELSE 0 END + CASE WHEN has_pos_orders THEN 1 ELSE 0 END
-           + CASE WHEN has_tiktok_orders THEN 1 ELSE 0 END + CASE WHEN has_marketplace_orders THEN 1 ELSE 0 END) >= 2 THEN 'Omnichannel'
-       WHEN has_web_orders AND NOT (has_pos_orders OR has_tiktok_orders OR has_marketplace_orders) THEN 'Online Only'
-       WHEN has_pos_orders AND NOT (has_web_orders OR has_tiktok_orders OR has_marketplace_orders) THEN 'In-Store Only'
-       WHEN has_tiktok_orders AND NOT (has_web_orders OR has_pos_orders OR has_marketplace_orders) THEN 'TikTok Only'
-       WHEN has_marketplace_orders AND NOT (has_web_orders OR has_pos_orders OR has_tiktok_orders) THEN 'Marketplace Only'
-       ELSE 'Other' END AS channel_behavior,
-  (CASE WHEN has_web_orders THEN 1 ELSE 0 END + CASE WHEN has_pos_orders THEN 1 ELSE 0 END
-   + CASE WHEN has_tiktok_orders THEN 1 ELSE 0 END + CASE WHEN has_marketplace_orders THEN 1 ELSE 0 END) AS unique_channels_used,
-  CASE WHEN web_revenue >= GREATEST(pos_revenue, tiktok_revenue, marketplace_revenue) THEN 'Web'
-       WHEN pos_revenue >= GREATEST(web_revenue, tiktok_revenue, marketplace_revenue) THEN 'POS'
-       WHEN tiktok_revenue >= GREATEST(web_revenue, pos_revenue, marketplace_revenue) THEN 'TikTok'
-       WHEN marketplace_revenue > 0 THEN 'Marketplace' ELSE 'Other' END AS dominant_channel_by_revenue,
-  CASE f.first_ch WHEN '1-URGENT' THEN 'Web' WHEN '2-HIGH' THEN 'POS' WHEN '3-MEDIUM' THEN 'TikTok'
-       WHEN '4-NOT SPECIFIED' THEN 'Marketplace' ELSE 'Unknown' END AS acquisition_channel,
-  CASE WHEN f.first_ch = '2-HIGH' THEN
-         CASE f.first_d WHEN DATE '1995-03-05' THEN 'London Roadshow' WHEN DATE '1996-06-14' THEN 'Birmingham Roadshow'
-                        WHEN DATE '1997-09-01' THEN 'Liverpool Roadshow' WHEN DATE '1998-11-20' THEN 'Manchester Roadshow'
-                        ELSE 'Glasgow Pop-up' END
-       WHEN f.first_ch = '1-URGENT' THEN 'Web' WHEN f.first_ch = '3-MEDIUM' THEN 'TikTok'
-       WHEN f.first_ch = '4-NOT SPECIFIED' THEN 'Marketplace' ELSE 'Other' END AS customer_acquisition_location,
-  CASE WHEN first_pos_order_date IS NULL THEN NULL
-       WHEN first_pos_order_date = DATE '1995-03-05' THEN 'London Roadshow' WHEN first_pos_order_date = DATE '1996-06-14' THEN 'Birmingham Roadshow'
-       WHEN first_pos_order_date = DATE '1997-09-01' THEN 'Liverpool Roadshow' WHEN first_pos_order_date = DATE '1998-11-20' THEN 'Manchester Roadshow'
-       ELSE 'Glasgow Pop-up' END AS pos_acquisition_city,
-  CAST(ROUND(CAST(CAST(CAST(net_revenue AS DOUBLE) AS VARCHAR) AS DECIMAL(38,18)), 2) AS DOUBLE) AS customer_lifetime_value,
-  CAST(ROUND(CAST(CAST(CAST(net_revenue AS DOUBLE) / NULLIF(total_orders, 0) AS VARCHAR) AS DECIMAL(38,18)), 2) AS DOUBLE) AS average_order_value,
-  CAST(ROUND(CAST(CAST(CAST(net_revenue AS DOUBLE) / NULLIF(DATE '2001-08-02' - first_order_date, 0) * 365.0 AS VARCHAR) AS DECIMAL(38,18)), 2) AS DOUBLE) AS annualized_value,
-  CASE WHEN total_orders > 1 THEN 'Returning customer' ELSE 'New customer' END AS customer_type,
-  CASE WHEN net_revenue >= 1000 THEN 'VIP (£1000+)' WHEN net_revenue >= 500 THEN 'High Value (£500-999)'
-       WHEN net_revenue >= 200 THEN 'Medium Value (£200-499)' WHEN net_revenue >= 100 THEN 'Standard (£100-199)'
-       WHEN net_revenue > 0 THEN 'Low Value (<£100)' ELSE 'No purchases' END AS ltv_tier,
-  CASE WHEN year(first_order_date) = 2001 THEN 'NEW' WHEN year(first_order_date) = 2000 THEN 'PYNEW'
-       WHEN orders_last_365_days > 0 AND year(first_order_date) < 2000 THEN 'PYNON'
-       WHEN DATE '2001-08-02' - last_order_date BETWEEN 365 AND 729 THEN 'PY1INACT'
-       WHEN DATE '2001-08-02' - last_order_date BETWEEN 730 AND 1094 THEN 'PY2INACT'
-       WHEN DATE '2001-08-02' - last_order_date >= 1095 THEN 'PY3INACT' ELSE 'Uncategorised' END AS gm_segment
-FROM m JOIN first_order f ON f.customer = m.customer
+SELECT f.customer, total_orders, coalesce(orders_of['web'], 0) AS web_orders, coalesce(orders_of['pos'], 0) AS pos_orders,
+  coalesce(orders_of['tiktok'], 0) AS tiktok_orders, coalesce(orders_of['marketplace'], 0) AS marketplace_orders,
+  coalesce(orders_of['other'], 0) AS other_orders,
+  list_contains(coalesce(used, []), 'web') AS has_web_orders, list_contains(coalesce(used, []), 'pos') AS has_pos_orders,
+  list_contains(coalesce(used, []), 'tiktok') AS has_tiktok_orders, list_contains(coalesce(used, []), 'marketplace') AS has_marketplace_orders,
+  last90 AS orders_last_90_days, last180 AS orders_last_180_days, last365 AS orders_last_365_days,
+  first_day AS first_order_date, last_day AS last_order_date, idle AS days_since_last_order, age AS customer_age_days,
+  gross::DECIMAL(38,2) AS gross_revenue, mean_gross AS avg_gross_order_value, max_gross::DECIMAL(38,2) AS max_gross_order_value,
+  net::DECIMAL(38,2) AS net_revenue, max_net::DECIMAL(38,2) AS max_net_order_value, refunded::DECIMAL(38,2) AS total_refunded,
+  {sround2("refunded::DOUBLE * 100.0 / nullif(gross::DOUBLE, 0)")} AS refund_rate_pct,
+  coalesce(revenue_of['web'], 0)::DECIMAL(38,2) AS web_revenue, coalesce(revenue_of['pos'], 0)::DECIMAL(38,2) AS pos_revenue,
+  CASE coalesce(len(used), 0) WHEN 0 THEN 'Other' WHEN 1 THEN only_label ELSE 'Omnichannel' END AS channel_behavior,
+  coalesce(len(used), 0)::INTEGER AS unique_channels_used, dominant AS dominant_channel_by_revenue,
+  start.label AS acquisition_channel, start.place AS customer_acquisition_location, pos_city AS pos_acquisition_city,
+  {sround2("net::DOUBLE")} AS customer_lifetime_value, {sround2("net::DOUBLE / nullif(total_orders, 0)")} AS average_order_value,
+  {sround2("net::DOUBLE / nullif(age, 0) * 365.0")} AS annualized_value,
+  if(total_orders > 1, 'Returning customer', 'New customer') AS customer_type,
+  (SELECT arg_max(label, from_value) FROM ltv WHERE net >= from_value) AS ltv_tier,
+  coalesce((SELECT arg_min(label, rank) FROM cohort WHERE years BETWEEN y0 AND y1 AND last365 >= r0 AND idle BETWEEN d0 AND d1), 'Uncategorised') AS gm_segment
+FROM facts f JOIN groups USING (customer) JOIN top USING (customer)
 """,
 )
 def q_customer_360(spark, sf):
@@ -194,20 +202,6 @@ def q_customer_360(spark, sf):
     )
 
 
-RFM_CASE = """CASE
-    WHEN d < 90 AND n >= 4 THEN 'High Value Recent Customers'
-    WHEN d < 90 AND n BETWEEN 1 AND 3 THEN 'Recent Customers'
-    WHEN d BETWEEN 90 AND 269 AND n >= 4 THEN 'High Value Customer'
-    WHEN d BETWEEN 90 AND 269 AND n BETWEEN 2 AND 3 THEN 'Potential High Value'
-    WHEN d BETWEEN 90 AND 269 AND n = 1 THEN 'First Time Customers'
-    WHEN d BETWEEN 270 AND 364 AND n >= 4 THEN 'High Value Lapsing'
-    WHEN d BETWEEN 270 AND 364 AND n BETWEEN 1 AND 3 THEN 'Lapsing'
-    WHEN d >= 365 AND n >= 4 THEN 'High Value Lapsed'
-    WHEN d >= 365 AND n BETWEEN 2 AND 3 THEN 'Lapsed'
-    WHEN d >= 365 AND n = 1 THEN 'Lapsed One Time'
-    ELSE 'Uncategorised' END"""
-
-
 def rfm_segments(spark, sf):
     """Flagship: customer recency/frequency/monetary -> segment -> customers and revenue per segment."""
     o = table(spark, sf, "orders")
@@ -226,16 +220,17 @@ def rfm_segments(spark, sf):
     )
 
 
+PER_CUSTOMER_SQL = f"""c AS (
+  SELECT o_custkey, count(DISTINCT o_orderkey) AS n, DATE '{AS_OF}' - max(o_orderdate::DATE) AS d, sum(o_totalprice::DECIMAL(18,2)) AS revenue
+  FROM orders GROUP BY o_custkey
+)"""
+
 q(
     "rfm_segments",
     f"""
-WITH c AS (
-  SELECT o_custkey, COUNT(DISTINCT o_orderkey) AS n, DATE '2001-08-02' - MAX(CAST(o_orderdate AS DATE)) AS d,
-         SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS revenue
-  FROM orders GROUP BY o_custkey
-)
-SELECT {RFM_CASE} AS rfm_segment, COUNT(*) AS customers, SUM(n) AS orders, CAST(SUM(revenue) AS DECIMAL(38,2)) AS revenue
-FROM c GROUP BY 1
+WITH {RFM_SQL}, {PER_CUSTOMER_SQL}
+SELECT coalesce(label, 'Uncategorised') AS rfm_segment, count(*) AS customers, sum(n) AS orders, sum(revenue)::DECIMAL(38,2) AS revenue
+FROM c LEFT JOIN rfm ON d BETWEEN d0 AND d1 AND n BETWEEN n0 AND n1 GROUP BY ALL
 """,
 )(rfm_segments)
 
@@ -243,44 +238,30 @@ FROM c GROUP BY 1
 @q(
     "cohort_segments",
     f"""
-WITH {ORACLE_CUSTOMER_ORDERS},
+WITH {ORACLE_CUSTOMER_ORDERS}, {COHORT_SQL},
 c AS (
-  SELECT customer, MIN(order_date) AS f, MAX(order_date) AS l,
-    COUNT(DISTINCT CASE WHEN order_date >= DATE '2001-08-02' - INTERVAL 365 DAY THEN order_id END) AS r
+  SELECT customer, year(DATE '{AS_OF}') - year(min(order_date)) AS years, DATE '{AS_OF}' - max(order_date) AS idle,
+         count(DISTINCT order_id) FILTER (DATE '{AS_OF}' - order_date <= 365) AS recent
   FROM co GROUP BY customer
 )
-SELECT CASE WHEN year(f) = 2001 THEN 'NEW' WHEN year(f) = 2000 THEN 'PYNEW'
-            WHEN r > 0 AND year(f) < 2000 THEN 'PYNON'
-            WHEN DATE '2001-08-02' - l BETWEEN 365 AND 729 THEN 'PY1INACT'
-            WHEN DATE '2001-08-02' - l BETWEEN 730 AND 1094 THEN 'PY2INACT'
-            WHEN DATE '2001-08-02' - l >= 1095 THEN 'PY3INACT' ELSE 'Uncategorised' END AS gm_segment,
-       COUNT(*) AS customers
-FROM c GROUP BY 1
+SELECT customer, coalesce(arg_min(label, rank), 'Uncategorised') AS gm_segment
+FROM c LEFT JOIN cohort ON years BETWEEN y0 AND y1 AND recent >= r0 AND idle BETWEEN d0 AND d1 GROUP BY customer
 """,
 )
 def q_cohort_segments(spark, sf):
-    return _c360(spark, sf).groupBy("gm_segment").agg(F.count(F.lit(1)).alias("customers"))
+    return _c360(spark, sf).select("customer", "gm_segment")
 
 
 @q(
     "value_tiers",
-    """
-WITH c AS (
-  SELECT o_custkey, COUNT(DISTINCT o_orderkey) AS n, DATE '2001-08-02' - MAX(CAST(o_orderdate AS DATE)) AS d,
-         SUM(CAST(o_totalprice AS DECIMAL(18,2))) / 1000 AS v
-  FROM orders GROUP BY o_custkey
-)
-SELECT
-  CASE WHEN d < 90 THEN 'Recent (0-3 months)' WHEN d < 270 THEN 'Active (3-9 months)'
-       WHEN d < 365 THEN 'Lapsing (9-12 months)' ELSE 'Lapsed (12+ months)' END AS recency_category,
-  CASE WHEN n >= 4 THEN 'High Value (4+ orders)' WHEN n = 3 THEN 'Repeat (3 orders)'
-       WHEN n = 2 THEN 'Repeat (2 orders)' WHEN n = 1 THEN 'One-time' ELSE 'No orders' END AS frequency_category,
-  CASE WHEN v >= 500 THEN 'Tier 1 (£500+)' WHEN v >= 200 THEN 'Tier 2 (£200-499)' WHEN v >= 100 THEN 'Tier 3 (£100-199)'
-       WHEN v >= 50 THEN 'Tier 4 (£50-99)' WHEN v > 0 THEN 'Tier 5 (<£50)' ELSE 'No purchases' END AS monetary_tier,
-  CASE WHEN v >= 1000 THEN 'VIP (£1000+)' WHEN v >= 500 THEN 'High Value (£500-999)' WHEN v >= 200 THEN 'Medium Value (£200-499)'
-       WHEN v >= 100 THEN 'Standard (£100-199)' WHEN v > 0 THEN 'Low Value (<£100)' ELSE 'No purchases' END AS ltv_tier,
-  COUNT(*) AS customers
-FROM c GROUP BY ALL
+    f"""
+WITH {RECENCY_SQL}, {FREQUENCY_SQL}, {MONEY_SQL}, {LTV_SQL}, {PER_CUSTOMER_SQL}
+SELECT o_custkey,
+  (SELECT arg_max(label, from_days) FROM recency WHERE d >= from_days) AS recency_category,
+  (SELECT arg_max(label, from_orders) FROM frequency WHERE n >= from_orders) AS frequency_category,
+  (SELECT arg_max(label, from_value) FROM money WHERE revenue / 1000 >= from_value) AS monetary_tier,
+  (SELECT arg_max(label, from_value) FROM ltv WHERE revenue / 1000 >= from_value) AS ltv_tier
+FROM c
 """,
 )
 def q_value_tiers(spark, sf):
@@ -289,9 +270,7 @@ def q_value_tiers(spark, sf):
         "o_custkey", "o_orderkey", "o_orderdate", (money("o_totalprice") / F.lit(1000)).alias("amount_k")
     )
     c = cust.customer_recency(o, AS_OF, "o_custkey", "o_orderkey", "o_orderdate", "amount_k")
-    return c.groupBy("recency_category", "frequency_category", "monetary_tier", "ltv_tier").agg(
-        F.count(F.lit(1)).alias("customers")
-    )
+    return c.select("o_custkey", "recency_category", "frequency_category", "monetary_tier", "ltv_tier")
 
 
 @q(
@@ -341,23 +320,15 @@ def q_primary_value(spark, sf):
 
 @q(
     "acquisition_place",
-    """
-WITH first_order AS (
-  SELECT o_custkey, o_orderpriority AS ch, CAST(o_orderdate AS DATE) AS d
-  FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) = 1
-)
-SELECT CASE WHEN ch = '2-HIGH' THEN
-         CASE d WHEN DATE '1995-03-05' THEN 'London Roadshow' WHEN DATE '1996-06-14' THEN 'Birmingham Roadshow'
-                WHEN DATE '1997-09-01' THEN 'Liverpool Roadshow' WHEN DATE '1998-11-20' THEN 'Manchester Roadshow'
-                ELSE 'Glasgow Pop-up' END
-       WHEN ch = '1-URGENT' THEN 'Web' WHEN ch = '3-MEDIUM' THEN 'TikTok'
-       WHEN ch = '4-NOT SPECIFIED' THEN 'Marketplace' ELSE 'Other' END AS customer_acquisition_location,
-       COUNT(*) AS customers
-FROM first_order GROUP BY 1
+    f"""
+WITH {CHANNEL_SQL}, {PLACE_SQL},
+start AS (SELECT o_custkey AS customer, arg_min({{'ch': o_orderpriority, 'day': o_orderdate::DATE}}, (o_orderdate, o_orderkey)) AS s FROM orders GROUP BY ALL)
+SELECT customer, coalesce(channel.place, roadshow.place, 'Glasgow Pop-up') AS customer_acquisition_location
+FROM start JOIN channel ON channel.code = s.ch LEFT JOIN roadshow ON roadshow.day = s.day
 """,
 )
 def q_acquisition_place(spark, sf):
-    return _c360(spark, sf).groupBy("customer_acquisition_location").agg(F.count(F.lit(1)).alias("customers"))
+    return _c360(spark, sf).select("customer", "customer_acquisition_location")
 
 
 @q(
@@ -401,27 +372,22 @@ def q_first_order_flag(spark, sf):
 
 @q(
     "customer_summary",
-    """
-WITH et AS (
-  SELECT o.o_orderkey AS order_id, o.o_custkey AS customer_id, lower(c.c_name) AS email,
-         CAST(o.o_orderdate AS DATE) AS order_date, n.n_name AS country
-  FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey
-),
-la AS (
-  SELECT email, customer_id, country FROM et WHERE country IS NOT NULL
-  QUALIFY row_number() OVER (PARTITION BY email ORDER BY order_date DESC, order_id DESC) = 1
+    f"""
+WITH {shop_ledger_rows_sql()},
+placed AS (
+  SELECT o_orderkey AS order_id, o_custkey AS customer_id, lower(c_name) AS email, o_orderdate::DATE AS day, n_name AS country
+  FROM orders JOIN customer ON c_custkey = o_custkey LEFT JOIN nation ON n_nationkey = c_nationkey
 ),
-s AS (
-  SELECT et.email, la.country AS billing_order_country, COUNT(DISTINCT o.o_orderkey) AS orders
-  FROM orders o LEFT JOIN et ON et.order_id = o.o_orderkey LEFT JOIN la ON la.customer_id = et.customer_id
-  GROUP BY ALL
-)
-SELECT email, billing_order_country, orders,
-       CASE WHEN orders > 1 THEN 'Returning customer' ELSE 'New customer' END AS customer_type
-FROM s
+home AS (SELECT DISTINCT unnest(h.s) FROM (
+  SELECT email, arg_max({{'cid': customer_id, 'country': country}}, (day, order_id)) AS s FROM placed WHERE country IS NOT NULL GROUP BY email) h)
+SELECT email, home.country AS billing_order_country, count(DISTINCT l.orders_order_id) AS orders,
+       if(count(DISTINCT l.orders_order_id) > 1, 'Returning customer', 'New customer') AS customer_type
+FROM ledger_ids l LEFT JOIN placed USING (order_id) LEFT JOIN home ON home.cid = placed.customer_id
+GROUP BY ALL
 """,
 )
 def q_customer_summary(spark, sf):
+    """E-mail summaries over the shop ledger, whose refund rows of orders before its start have no order of their own."""
     o = table(spark, sf, "orders")
     c = table(spark, sf, "customer")
     n = table(spark, sf, "nation")
@@ -436,6 +402,132 @@ def q_customer_summary(spark, sf):
             F.col("n_name").alias("billing_address_country"),
         )
     )
-    ledger = o.select(F.col("o_orderkey").alias("order_id"))
-    out = cust.customer_summary(ledger, et, et)
+    out = cust.customer_summary(shop_ledger(spark, sf).select("order_id", "orders_order_id"), et, et)
     return out.select("email", "billing_order_country", "orders", "customer_type")
+
+
+# --- Customer orders from landed shop and import orders ---------------------------------------
+IMPORT_APP, SKIPPED_APP, PLACEHOLDER = 9, 5, 7
+APPS = {"1-URGENT": 1, "2-HIGH": 2, "3-MEDIUM": 3, "4-NOT SPECIFIED": IMPORT_APP}  # 5-LOW: none, or the skipped one
+IMPORT_RATES = [("GBP", 1.0), ("EUR", 1.25)]
+LANDED_RULES = ChannelRules(
+    groups={"web": [1], "pos": [2], "tiktok": [3], "marketplace": [4], "magento": [IMPORT_APP]},
+    acquisition=[([1], "Web"), ([2], "POS"), ([IMPORT_APP], "Import")],
+    acquisition_detail=[([1], "f", "Web F"), ([1], None, "Web other"), ([IMPORT_APP], "o", "Import O")],
+)
+
+
+def _landed_orders(spark, sf):
+    """orders in the landed shop schema: NULL apps, tests, missing e-mails, several financial states and currencies."""
+    n = table(spark, sf, "nation").select("n_nationkey", "n_name")
+    c = table(spark, sf, "customer").join(n, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    o = table(spark, sf, "orders").join(c, F.col("o_custkey") == F.col("c_custkey"), "left")
+    key, cust_key, state = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderstatus")
+    app = F.coalesce(*[F.when(F.col("o_orderpriority") == p, F.lit(a)) for p, a in APPS.items()], F.when(key % 2 == 0, F.lit(SKIPPED_APP)))
+    code = F.when(cust_key % 11 == 0, "USD").when(key % 3 == 0, "EUR").otherwise("GBP")
+    price = F.col("o_totalprice").cast("string")
+    address = {f"{kind}_address__{part}": F.concat(F.lit(kind[0] + part[0]), F.col("n_name"))
+               for kind in ("billing", "shipping") for part in ("country", "city", "province", "zip")}
+    return o.select(
+        key.alias("id"), F.concat(F.lit("#"), key.cast("string")).alias("name"), app.alias("app_id"), state.alias("source_name"),
+        F.when(cust_key % 13 != 0, F.concat(F.lit("C"), F.lower("c_name"))).alias("email"), (cust_key % 50).alias("customer__id"),
+        F.when(state == "F", "paid").when(state == "O", "pending").otherwise("voided").alias("financial_status"),
+        (key % 17 == 0).alias("test"), F.col("o_orderdate").alias("processed_at"), F.col("o_orderdate").alias("created_at"),
+        F.when(cust_key % 3 != 0, key % 2 == 0).alias("buyer_accepts_marketing"),
+        F.when(app == IMPORT_APP, code).otherwise(F.concat(F.lit('"'), code, F.lit('"'))).alias("total_price_set__shop_money__currency_code"),
+        price.alias("total_line_items_price_set__shop_money__amount"), price.alias("total_discounts_set__shop_money__amount"),
+        price.alias("current_total_price_set__shop_money__amount"), *[e.alias(n) for n, e in address.items()],
+    )
+
+
+def landed_customer_orders(spark, sf):
+    landed = _landed_orders(spark, sf)
+    rates = spark.createDataFrame(IMPORT_RATES, "currency string, rate double")
+    imported, _ = cust.import_orders(landed, rates, [IMPORT_APP])
+    return cust.customer_orders(clean_orders(landed, zone="UTC"), imported, [IMPORT_APP], [SKIPPED_APP], [PLACEHOLDER])
+
+
+LANDED_SQL = f"""
+rate(code, r) AS (VALUES ('GBP', 1.0::DOUBLE), ('EUR', 1.25::DOUBLE)),
+app(priority, nr) AS (VALUES {", ".join(f"('{p}', {a})" for p, a in APPS.items())}),
+raw AS (
+  SELECT o_orderkey AS order_id, o_orderdate::DATE AS order_date, o_totalprice AS price, o_custkey % 50 AS customer_id, o_orderstatus AS source_name,
+         coalesce(nr, if(o_orderkey % 2 = 0, {SKIPPED_APP}, NULL)) AS app_id, lower('C' || c_name) AS email, n_name,
+         if(o_custkey % 3 <> 0, o_orderkey % 2 = 0, NULL) AS buyer_accepts_marketing,
+         if(o_custkey % 11 = 0, 'USD', if(o_orderkey % 3 = 0, 'EUR', 'GBP')) AS code
+  FROM orders LEFT JOIN app ON priority = o_orderpriority LEFT JOIN customer ON c_custkey = o_custkey LEFT JOIN nation ON n_nationkey = c_nationkey
+  WHERE o_orderkey % 17 <> 0 AND o_custkey % 13 <> 0 AND o_orderstatus IN ('F', 'O')
+),
+customer_orders AS (
+  SELECT raw.*, app_id = {IMPORT_APP} AS is_magento_order, app_id = {IMPORT_APP} AND code <> 'GBP' AS is_currency_converted,
+         if(app_id = {IMPORT_APP}, {sround2("price / r")}, price) AS sales
+  FROM raw LEFT JOIN rate USING (code)
+  WHERE if(app_id = {IMPORT_APP}, r IS NOT NULL, app_id <> {SKIPPED_APP} AND customer_id <> {PLACEHOLDER} AND code = 'GBP')
+)"""
+
+
+@q(
+    "customer_orders",
+    f"""
+WITH {LANDED_SQL}
+SELECT email, order_date, sales AS gross_sales, sales AS net_sales, order_id, customer_id, app_id, source_name,
+       {", ".join(f"'{k[0]}{part[0]}' || n_name AS {k}_address_{part}" for k in ("billing", "shipping") for part in ("country", "city", "province", "zip"))},
+       buyer_accepts_marketing, is_magento_order, is_currency_converted
+FROM customer_orders
+""",
+)
+def q_customer_orders(spark, sf):
+    """Shop orders and converted imports as one order history, from the landed schema."""
+    return landed_customer_orders(spark, sf)
+
+
+@q(
+    "customer_360_landed",
+    f"""
+WITH {LANDED_SQL},
+used AS (SELECT email, source_name, count(*) AS n FROM customer_orders GROUP BY ALL),
+who AS (
+  SELECT email, count(DISTINCT order_id) AS total_orders, max(customer_id) AS customer_id, bool_or(app_id = 1) AS has_web_orders,
+         bool_or(app_id = {IMPORT_APP}) AS has_magento_orders, count(DISTINCT order_id) FILTER (app_id <> {IMPORT_APP}) AS shopify_orders,
+         max(n_name) AS home, bool_or(buyer_accepts_marketing) AS accepts_marketing,
+         arg_min({{'app': app_id, 'src': lower(source_name)}}, (order_date, order_id)) AS start, sum(sales) AS revenue
+  FROM customer_orders GROUP BY email
+)
+SELECT who.email, total_orders, customer_id, has_web_orders, has_magento_orders, shopify_orders, accepts_marketing, 'bc' || home AS billing_order_country,
+       'bc' || home AS billing_city, 'bp' || home AS billing_province, 'bz' || home AS billing_postcode, 'sc' || home AS shipping_order_country,
+       'sc' || home AS shipping_city, 'sp' || home AS shipping_province,
+       if(start.app = 1, 'Web', if(start.app = 2, 'POS', if(start.app = {IMPORT_APP}, 'Import', 'Unknown'))) AS acquisition_channel,
+       if(start.app = 1, if(start.src = 'f', 'Web F', 'Web other'), if(start.app = {IMPORT_APP} AND start.src = 'o', 'Import O', 'Other')) AS acquisition_channel_detail,
+       (SELECT arg_min(source_name, (-n, source_name)) FROM used WHERE used.email = who.email) AS primary_order_source,
+       {sround2("revenue")} AS customer_lifetime_value
+FROM who
+""",
+)
+def q_customer_360_landed(spark, sf):
+    """The customer model over the landed order history, with its address, consent and source columns."""
+    c = cust.customer_360(
+        landed_customer_orders(spark, sf), LANDED_RULES, AS_OF, maxima=cust.CUSTOMER_MAXIMA, primary_source=True
+    )
+    return c.select(
+        "email", "total_orders", "customer_id", "has_web_orders", "has_magento_orders", "shopify_orders", "accepts_marketing",
+        "billing_order_country", "billing_city", "billing_province", "billing_postcode", "shipping_order_country", "shipping_city",
+        "shipping_province", "acquisition_channel", "acquisition_channel_detail", "primary_order_source", "customer_lifetime_value",
+    )
+
+
+@q(
+    "london_orders",
+    """
+SELECT event_id AS id, timezone('Europe/London', timezone('UTC', ts))::DATE AS order_date, if(user_id % 4 = 0, NULL, value) AS duties
+FROM events WHERE event_type NOT IN ('error', 'signup')
+""",
+)
+def q_london_orders(spark, sf):
+    """Cleaned orders dated in London, from events as orders (errors are tests, sign-ups of unknown kind)."""
+    e = table(spark, sf, "events")
+    o = e.select(
+        F.col("event_id").alias("id"), F.col("ts").alias("created_at"),
+        F.when(F.col("event_type") != "signup", F.col("event_type") == "error").alias("test"),
+        F.when(F.col("user_id") % 4 != 0, F.col("value").cast("string")).otherwise(F.lit("n/a")).alias("duties_text"),
+    )
+    return clean_orders(o, duties="duties_text").select("id", "order_date", "duties")

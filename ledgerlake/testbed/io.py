@@ -7,24 +7,26 @@ folder on a cluster), one fresh sub-folder per call.
 from __future__ import annotations
 
 import os
-import uuid
 
 from pyspark.sql import functions as F
 
-from ledgerlake.operators import flatten_structs, label_columns, select_fields
-from ledgerlake.session import ensure_checkpoint_dir
-from ledgerlake.sources import deleted_rows, incremental_slice, next_bookmark, read_files, upsert_by_key
-from ledgerlake.streaming import current_table, incremental_ingest
-from ledgerlake.testbed.base import registry, table
+from ledgerlake.operators import flatten_structs, label_columns, normalise_timestamps, override_types, select_fields
+from ledgerlake.sources import (
+    append_table,
+    deleted_rows,
+    full_snapshot,
+    incremental_slice,
+    next_bookmark,
+    read_files,
+    upsert_by_key,
+    write_table,
+)
+from ledgerlake.streaming import compact, current_table, incremental_ingest
+from ledgerlake.testbed.base import registry, scratch, table
 
 QUERIES, ORACLE, q = registry()
 
 
-def scratch(spark, name: str) -> str:
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, "ledgerlake-scratch", f"{name}-{uuid.uuid4().hex}")
-
-
 @q("csv_round_trip", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
 def q_csv_round_trip(spark, sf):
     """nation written as CSV files and read back through the file-drop source with an explicit schema."""
@@ -104,21 +106,78 @@ def q_deleted_rows(spark, sf):
     return deleted_rows(o, snapshot, ["o_orderkey"])
 
 
-@q("streaming_ingest", "SELECT event_id, ts, user_id, event_type, value FROM events")
+@q(
+    "streaming_ingest",
+    f"""
+SELECT event_id, ts, user_id, event_type,
+       value + (CASE WHEN event_id % 3 = 0 THEN 100 ELSE 0 END + CASE WHEN ts < TIMESTAMP '{BATCH_FROM}' AND event_id % 5 = 0 THEN 1000 ELSE 0 END) AS value
+FROM events
+""",
+)
 def q_streaming_ingest(spark, sf):
-    """events read as a file stream (availableNow), de-duplicated per event id inside a 1-hour watermark."""
+    """events landed as four files over three stream runs: a first extract of two files, then newer
+    versions of every third event minutes later (inside any delay one might set), then a late file that
+    corrects the oldest days. The newest version of each event wins; a snapshot is folded in between."""
     run = scratch(spark, "stream")
-    incremental_ingest(
-        spark,
-        source=sf,
-        file_glob="events.parquet",
-        schema="event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
-        keys=["event_id"],
-        ts="ts",
-        delay="1 hour",
-        sink=os.path.join(run, "table"),
-        checkpoint=os.path.join(run, "checkpoint"),
-    )
-    return current_table(spark, os.path.join(run, "table"), ["event_id"], "ts").select(
-        "event_id", "ts", "user_id", "event_type", "value"
+    landing, sink, checkpoint = (os.path.join(run, x) for x in ("landing", "table", "checkpoint"))
+    cols = ["event_id", "ts", "user_id", "event_type", "value", "version"]
+    e = table(spark, sf, "events").withColumn("version", F.col("ts"))
+    cut = F.lit(BATCH_FROM).cast("timestamp_ntz")
+    newer = e.where("event_id % 3 = 0").withColumns({"value": F.col("value") + 100, "version": F.col("ts") + F.expr("INTERVAL 5 MINUTES")})
+    fix = F.when(F.col("event_id") % 3 == 0, F.col("value") + 1100).otherwise(F.col("value") + 1000)
+    late = e.where((F.col("ts") < cut) & (F.col("event_id") % 5 == 0)).withColumns({"value": fix, "version": F.col("ts") + F.expr("INTERVAL 10 MINUTES")})
+    drops = [[e.where(F.col("ts") >= cut), e.where(F.col("ts") < cut)], [newer], [late]]
+    snapshot = None
+    for i, files in enumerate(drops):
+        for f in files:
+            f.select(*cols).write.mode("append").parquet(landing)
+        incremental_ingest(
+            spark, source=landing, sink=sink, checkpoint=checkpoint,
+            schema="event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, version timestamp_ntz",
+        )
+        if i == 1:
+            snapshot = compact(spark, sink, ["event_id"], "version", os.path.join(run, "snapshot"))
+    return current_table(spark, sink, ["event_id"], "version", snapshot).select("event_id", "ts", "user_id", "event_type", "value")
+
+
+@q(
+    "typed_fields",
+    """
+SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS seen_at, value::DECIMAL(18,2)::DOUBLE AS amount,
+       '{"user":' || user_id || ',"kind":"' || event_type || '"}' AS who
+FROM events
+""",
+)
+def q_typed_fields(spark, sf):
+    """Landed text fields brought to their declared types, a nested one to JSON text, time stamps to ISO-8601."""
+    e = table(spark, sf, "events").select(
+        "event_id", F.date_format("ts", "yyyy/MM/dd HH:mm:ss").alias("seen_at"), F.col("value").cast("decimal(18,2)").cast("string").alias("amount"),
+        F.struct(F.col("user_id").alias("user"), F.col("event_type").alias("kind")).alias("who"),
     )
+    return normalise_timestamps(override_types(e, {"amount": "double", "who": "json"}), ["seen_at"], "yyyy/MM/dd HH:mm:ss")
+
+
+@q(
+    "table_writes",
+    """
+SELECT o_orderkey, if(o_orderstatus = 'P', -o_totalprice, o_totalprice) AS o_totalprice, o_orderstatus FROM orders
+""",
+)
+def q_table_writes(spark, sf):
+    """orders through every kind of write: a stale snapshot replaced by a full one of the closed orders, the
+    others appended in two batches, then one partition overwritten with corrected rows."""
+    path = scratch(spark, "writes")
+    o = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    part = ["o_orderstatus"]
+    write_table(o.where("o_orderkey % 2 = 0"), "", path=path, partition_by=part, mode="overwrite")
+    full = scratch(spark, "snapshot")
+    full_snapshot(o.where("o_orderkey % 3 = 0"), path=full)
+    full_snapshot(o.where("o_orderstatus = 'F'"), path=full)
+    write_table(spark.read.parquet(full), "", path=path, partition_by=part)
+    write_table(o.where("o_orderstatus = 'O'"), "", path=path, partition_by=part)
+    for odd in (0, 1):
+        append_table(o.where(f"o_orderstatus = 'P' AND o_orderkey % 2 = {odd}"), path=(late := full + f"-{odd}"))
+        write_table(spark.read.parquet(late), "", path=path, partition_by=part, mode="append" if odd else "overwrite")
+    fixed = o.where("o_orderstatus = 'P'").withColumn("o_totalprice", -F.col("o_totalprice"))
+    write_table(fixed, "", path=path, partition_by=part)
+    return spark.read.parquet(path).select("o_orderkey", "o_totalprice", F.col("o_orderstatus").cast("string").alias("o_orderstatus"))

@@ -82,7 +82,10 @@ TR = """tr AS (
     ts AS created_at
   FROM events
 ),
-latest AS (SELECT invocation_id FROM tr ORDER BY created_at DESC LIMIT 1)"""
+run AS (  -- runs by age: 1 is the latest
+  SELECT invocation_id, row_number() OVER (ORDER BY max(created_at) DESC, invocation_id DESC) AS nth FROM tr GROUP BY invocation_id
+),
+aged AS (SELECT tr.*, nth, status IN ('fail', 'error') AS failing FROM tr JOIN run USING (invocation_id))"""
 
 
 @q(
@@ -146,11 +149,10 @@ def listing_topics():
     }
 
 
-def _metric_sql(topic: str, pred: str) -> str:
-    return f"""SELECT '{topic}' AS topic, COUNT(*) AS total,
-       SUM(CASE WHEN status = 'pass' THEN 1 ELSE 0 END) AS pass,
-       SUM(CASE WHEN status = 'fail' OR status = 'error' THEN 1 ELSE 0 END) AS fail
-FROM tr WHERE ({pred}) AND invocation_id = (SELECT invocation_id FROM latest)"""
+def _tagged_sql(predicates: dict[str, str]) -> str:
+    """CTE ``tagged``: the latest run's rows, once per topic whose predicate holds."""
+    tags = ", ".join(f"if({p}, '{t}', NULL)" for t, p in predicates.items())
+    return f"tagged AS (SELECT *, unnest(list_filter([{tags}], lambda t: t IS NOT NULL)) AS topic FROM aged WHERE nth = 1)"
 
 
 METRIC_PREDICATES_SQL = {
@@ -171,7 +173,11 @@ LISTING_PREDICATES_SQL = {
 
 @q(
     "latest_run_metric",
-    f"WITH {TR}\n" + "\nUNION ALL\n".join(_metric_sql(t, p) for t, p in METRIC_PREDICATES_SQL.items()),
+    f"""
+WITH {TR}, {_tagged_sql(METRIC_PREDICATES_SQL)}
+SELECT t.topic, count(tagged.topic) AS total, sum((status = 'pass')::INT)::BIGINT AS pass, sum(failing::INT)::BIGINT AS fail
+FROM (SELECT unnest({list(METRIC_PREDICATES_SQL)}) AS topic) t LEFT JOIN tagged USING (topic) GROUP BY ALL
+""",
 )
 def q_latest_run_metric(spark, sf):
     out = dq.latest_run_metric(results(spark, sf), metric_topics())
@@ -194,13 +200,11 @@ LISTING_LABELS = {
 
 @q(
     "latest_run_listing",
-    f"WITH {TR}\n"
-    + "\nUNION ALL\n".join(
-        f"""SELECT '{t}' AS topic, table_name AS TABLE_NAME, column_name AS COLUMN_NAME,
-  test_short_name AS TEST_SHORT_NAME, test_sub_type AS TEST_SUB_TYPE, created_at AS CREATED_AT, status AS STATUS
-FROM tr WHERE invocation_id = (SELECT invocation_id FROM latest) AND ({p})"""
-        for t, p in LISTING_PREDICATES_SQL.items()
-    ),
+    f"""
+WITH {TR}, {_tagged_sql(LISTING_PREDICATES_SQL)}
+SELECT topic, table_name AS TABLE_NAME, column_name AS COLUMN_NAME, test_short_name AS TEST_SHORT_NAME, test_sub_type AS TEST_SUB_TYPE,
+       created_at AS CREATED_AT, status AS STATUS FROM tagged
+""",
 )
 def q_latest_run_listing(spark, sf):
     cols = ["table_name", "column_name", "test_short_name", "test_sub_type", "created_at", "status"]
@@ -212,9 +216,8 @@ def q_latest_run_listing(spark, sf):
     "results_breakdown",
     f"""
 WITH {TR}
-SELECT SUM(CASE WHEN status = 'pass' THEN 1 ELSE 0 END) AS pass,
-       SUM(CASE WHEN status = 'fail' OR status = 'error' THEN 1 ELSE 0 END) AS fail
-FROM (SELECT DISTINCT test_unique_id, status FROM tr WHERE invocation_id = (SELECT invocation_id FROM latest)) t1
+SELECT count(DISTINCT test_unique_id) FILTER (status = 'pass') AS pass, count(DISTINCT (test_unique_id, status)) FILTER (failing) AS fail
+FROM aged WHERE nth = 1
 """,
 )
 def q_results_breakdown(spark, sf):
@@ -225,11 +228,8 @@ def q_results_breakdown(spark, sf):
 @q(
     "entity_health",
     f"""
-WITH {TR}
-SELECT count(CASE WHEN status = 0 THEN 1 END) AS pass, count(CASE WHEN status = 1 THEN 1 END) AS fail
-FROM (SELECT max(CASE WHEN status = 'pass' THEN 0 ELSE 1 END) AS status FROM tr
-      WHERE invocation_id = (SELECT invocation_id FROM latest) AND model_unique_id IS NOT NULL
-      GROUP BY model_unique_id) t1
+WITH {TR}, entity AS (SELECT bool_and(coalesce(status = 'pass', false)) AS healthy FROM aged WHERE nth = 1 AND model_unique_id IS NOT NULL GROUP BY model_unique_id)
+SELECT count(*) FILTER (healthy) AS pass, count(*) FILTER (NOT healthy) AS fail FROM entity
 """,
 )
 def q_entity_health(spark, sf):
@@ -238,43 +238,30 @@ def q_entity_health(spark, sf):
 
 @q(
     "monitoring_coverage",
-    """
-WITH all_ids AS (
-  SELECT 'doc.' || CAST(doc_id AS VARCHAR) AS unique_id FROM documents WHERE source LIKE 'src1%'
-  UNION
-  SELECT 'doc.' || CAST(doc_id AS VARCHAR) FROM labels WHERE toxic = 0
-),
-monitored AS (SELECT DISTINCT 'doc.' || CAST(doc_id AS VARCHAR) AS unique_id FROM labels WHERE quality = 1)
-SELECT COUNT(DISTINCT m.unique_id) AS monitored, COUNT(DISTINCT a.unique_id) - COUNT(DISTINCT m.unique_id) AS unmonitored
-FROM all_ids a LEFT JOIN monitored m ON a.unique_id = m.unique_id
+    f"""
+WITH {TR},
+declared AS (SELECT DISTINCT 'model.' || unnest([user_id % 30, event_id % 10]) AS id FROM events),
+seen AS (SELECT id, id IN (SELECT model_unique_id FROM aged WHERE nth = 1 AND model_unique_id IS NOT NULL) AS monitored FROM declared)
+SELECT count(*) FILTER (monitored) AS monitored, count(*) FILTER (NOT monitored) AS unmonitored FROM seen
 """,
 )
 def q_monitoring_coverage(spark, sf):
-    """Declared = documents of sources 'src1*' plus non-toxic labelled docs; monitored = quality-1 labels."""
-    uid = lambda c: F.concat(F.lit("doc."), F.col(c).cast("string")).alias("unique_id")
-    docs = table(spark, sf, "documents").where(F.col("source").like("src1%")).select(uid("doc_id"))
-    labels = table(spark, sf, "labels")
-    declared_labels = labels.where(F.col("toxic") == 0).select(uid("doc_id"))
-    monitored = labels.where(F.col("quality") == 1).select(uid("doc_id"))
-    return dq.monitoring_coverage([docs, declared_labels], monitored)
+    """Declared = model ids of two lists derived from events; monitored = models of the latest run's results."""
+    e = table(spark, sf, "events")
+    uid = lambda c: F.concat(F.lit("model."), c.cast("string")).alias("unique_id")
+    declared = [e.select(uid(F.col("user_id") % 30)), e.select(uid(F.col("event_id") % 10))]
+    return dq.coverage_of_latest_run(declared, results(spark, sf))
 
 
 @q(
     "new_failures",
     f"""
-WITH {TR},
-latest_runs AS (SELECT test_unique_id, test_name, status FROM tr WHERE invocation_id = (SELECT invocation_id FROM latest)),
-latest_failures AS (SELECT test_unique_id, test_name FROM latest_runs WHERE status = 'fail' OR status = 'error'),
-prev_inv AS (
-  SELECT invocation_id FROM tr WHERE invocation_id NOT IN (SELECT invocation_id FROM latest) ORDER BY created_at DESC LIMIT 1
-),
-prev_runs AS (
-  SELECT test_unique_id AS previous_test_unique_id, status AS previous_status FROM tr
-  WHERE test_unique_id IN (SELECT test_unique_id FROM latest_runs) AND invocation_id = (SELECT invocation_id FROM prev_inv)
+WITH {TR}, pair AS (
+  SELECT test_unique_id, list(test_name) FILTER (nth = 1 AND failing) AS names, count(*) FILTER (nth = 2) AS earlier,
+         count(*) FILTER (nth = 2 AND coalesce(status, 'pass') = 'pass') AS cleared
+  FROM aged WHERE nth <= 2 GROUP BY test_unique_id
 )
-SELECT lf.test_name AS "Test Name"
-FROM latest_failures lf LEFT JOIN prev_runs p ON p.previous_test_unique_id = lf.test_unique_id
-WHERE p.previous_status = 'pass' OR p.previous_status IS NULL
+SELECT unnest(names) AS "Test Name" FROM (SELECT names, unnest(range(if(earlier = 0, 1, cleared))) FROM pair)
 """,
 )
 def q_new_failures(spark, sf):
@@ -284,26 +271,12 @@ def q_new_failures(spark, sf):
 @q(
     "failing_days",
     f"""
-WITH {TR},
-current_failures AS (
-  SELECT test_unique_id, test_name FROM tr WHERE invocation_id = (SELECT invocation_id FROM latest) AND status != 'pass'
-),
-last_pass AS (
-  SELECT test_unique_id, max(created_at) AS created_at FROM tr
-  WHERE status = 'pass' AND test_unique_id IN (SELECT test_unique_id FROM current_failures) GROUP BY test_unique_id
-),
-no_pass AS (
-  SELECT test_unique_id, min(created_at) AS created_at FROM tr
-  WHERE test_unique_id NOT IN (SELECT test_unique_id FROM last_pass)
-    AND test_unique_id IN (SELECT test_unique_id FROM current_failures) GROUP BY test_unique_id
-),
-u AS (SELECT * FROM last_pass UNION SELECT * FROM no_pass),
-d AS (
-  SELECT DATE '2024-01-30' - CAST(u.created_at AS DATE) AS days, cf.test_name
-  FROM u LEFT JOIN current_failures cf ON cf.test_unique_id = u.test_unique_id
+WITH {TR}, history AS (
+  SELECT list_distinct(list(test_name) FILTER (nth = 1 AND status <> 'pass')) AS names,
+         DATE '{TODAY}' - coalesce(max(created_at) FILTER (status = 'pass'), min(created_at))::DATE AS days
+  FROM aged GROUP BY test_unique_id
 )
-SELECT test_name AS "Test Name", CAST(CASE WHEN days = 0 THEN 1 ELSE days END AS INTEGER) AS "Days Failing"
-FROM d GROUP BY 1, 2
+SELECT DISTINCT unnest(names) AS "Test Name", greatest(days, 1)::INTEGER AS "Days Failing" FROM history
 """,
 )
 def q_failing_days(spark, sf):
@@ -558,8 +531,8 @@ MONITOR_TR = f"""mon AS ({MONITOR_SQL}),
 tr AS (
   SELECT 'test.' || monitor || '.' || table_name AS test_unique_id,
          'source_' || monitor || '_anomalies_' || table_name AS test_name,
-         monitor || '_anomalies' AS test_short_name, 'anomaly_detection' AS test_type, table_name,
-         'source.' || table_name AS model_unique_id,
+         monitor || '_anomalies' AS test_short_name, 'anomaly_detection' AS test_type, monitor AS test_sub_type,
+         table_name, NULL::VARCHAR AS column_name, 'source.' || table_name AS model_unique_id,
          CASE WHEN is_anomaly THEN 'fail' ELSE 'pass' END AS status,
          CAST(day AS VARCHAR) AS invocation_id,
          CAST(CAST(day AS VARCHAR) || ' 23:59:59' AS TIMESTAMP) AS created_at
@@ -571,3 +544,36 @@ tr AS (
 def q_monitor_test_results(spark, sf):
     """Monitor outputs as test-result rows (one per test per run day)."""
     return dq.as_test_results(_monitored(spark, sf))
+
+
+@q(
+    "monitor_listing",
+    f"""
+WITH {MONITOR_TR}
+SELECT 'freshness' AS topic, table_name, column_name, test_short_name, test_sub_type, created_at, status
+FROM tr WHERE created_at = (SELECT max(created_at) FROM tr) AND contains(test_short_name, 'freshness')
+""",
+)
+def q_monitor_listing(spark, sf):
+    """The detail list of the latest run, fed by the monitors' own result rows."""
+    cols = ["table_name", "column_name", "test_short_name", "test_sub_type", "created_at", "status"]
+    topics = {"freshness": F.col("test_short_name").like("%freshness%")}
+    return dq.latest_run_listing(dq.as_test_results(_monitored(spark, sf)), topics, cols)
+
+
+@q(
+    "column_monitors",
+    f"""
+WITH m AS (
+  SELECT event_type, ts::DATE AS day, unnest(['mean', 'min', 'max', 'null_rate']) AS metric,
+         unnest([avg(v), min(v), max(v), avg((v IS NULL)::INT)]) AS metric_value
+  FROM (SELECT *, if(user_id % 7 = 0, NULL, value) AS v FROM events) GROUP BY event_type, ts::DATE
+),
+z AS (SELECT event_type, day, metric, metric_value, {_zsql('metric_value').replace('PARTITION BY event_type', 'PARTITION BY event_type, metric')} FROM m)
+SELECT * REPLACE ({sround('metric_value')} AS metric_value), 'v' AS column_name FROM z
+""",
+)
+def q_column_monitors(spark, sf):
+    """All metrics of a column with missing values, in one scan."""
+    e = table(spark, sf, "events").withColumn("v", F.when(F.col("user_id") % 7 != 0, F.col("value")))
+    return dq.column_monitors(e, ["v"], "ts", keys=["event_type"])

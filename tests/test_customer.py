@@ -87,16 +87,22 @@ def test_primary_value_approx_agrees_on_clear_majority(spark):
     assert exact == approx == {0: "x", 1: "x", 2: "x", 3: "x", 4: "x", 9: None}
 
 
-def test_customer_360_one_row_per_order_matches_general_path(spark, sf_small):
-    """With unique order ids the shortcut (no per-order shuffle) gives the same customers."""
-    from ledgerlake.testbed.customers import RULES, customer_orders
-    from tests.conftest import rows
-
-    co = customer_orders(spark, sf_small)
-    kw = dict(customer="customer", channel="channel", source="source", customer_id=None)
-    general = customer_360(co, RULES, dt.date(2001, 8, 2), **kw)
-    shortcut = customer_360(co, RULES, dt.date(2001, 8, 2), one_row_per_order=True, **kw)
-    cols = [c for c in general.columns if not c.startswith("_")]
-    assert rows(shortcut.select(cols)) == rows(general.select(cols))
-    exchanges = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
-    assert exchanges(shortcut) < exchanges(general)
+def test_order_in_both_halves_counts_once(spark):
+    rows = [("a", 1, dt.date(2024, 1, 1), 10.0, 10.0, None), ("a", 1, dt.date(2024, 1, 1), 5.0, 5.0, None)]
+    df = spark.createDataFrame(rows, "email string, order_id int, order_date date, gross_sales double, net_sales double, app_id long")
+    r = customer_360(df, ChannelRules(groups={g: [i] for i, g in enumerate(("web", "pos", "tiktok", "marketplace"))}, import_group=None),
+                     dt.date(2024, 2, 1), source=None, customer_id=None).first()
+    assert r.total_orders == 1 and r.gross_revenue == 15.0
+    assert r.has_web_orders is False and r.channel_behavior == "Other"  # NULL channels: FALSE, not NULL
+
+
+def test_refund_only_rows_are_not_counted_as_orders(spark):
+    from ledgerlake.plans.customer import customer_summary
+
+    ledger = spark.createDataFrame([(1, 1), (2, None), (3, 3), (3, None)], "order_id int, orders_order_id int")
+    emails = spark.createDataFrame(
+        [(1, 7, "a", "UK", dt.date(2024, 1, 2)), (2, 7, "a", "UK", dt.date(2023, 1, 2)), (3, 8, "b", None, dt.date(2024, 1, 1))],
+        "order_id int, customer_id int, email string, billing_address_country string, order_date date",
+    )
+    got = {r.email: (r.billing_order_country, r.orders, r.customer_type) for r in customer_summary(ledger, emails, emails).collect()}
+    assert got == {"a": ("UK", 1, "New customer"), "b": (None, 1, "New customer")}

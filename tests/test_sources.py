@@ -84,13 +84,34 @@ def test_schema_rule_and_jdbc_options():
         jdbc_options("jdbc:x")
 
 
-def test_read_source_spreads_only_under_split_large_scans(spark, sf_small, tmp_path):
+def test_read_source_keeps_the_files_own_splits(spark, sf_small):
     from ledgerlake.sources import read_source
 
-    big = read_source(spark, sf_small, "lineitem", min_partitions=4, spread_min_bytes=1)
-    assert big.rdd.getNumPartitions() == 4
-    small = read_source(spark, sf_small, "nation", min_partitions=4)  # below the size floor
-    assert small.rdd.getNumPartitions() == 1
-    filtered = big.where(F.col("l_returnflag") == "R").select("l_orderkey")
-    plan = filtered._jdf.queryExecution().executedPlan().toString()
-    assert "PushedFilters: [IsNotNull(l_returnflag), EqualTo(l_returnflag,R)]" in plan
+    plan = read_source(spark, sf_small, "lineitem").where(F.col("l_returnflag") == "R").select("l_orderkey")
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(l_returnflag), EqualTo(l_returnflag,R)]" in text and "Exchange" not in text
+
+
+def test_ingest_keeps_new_versions_and_late_rows(spark, tmp_path):
+    import datetime as dt
+
+    from ledgerlake.streaming import compact, current_table, incremental_ingest
+
+    landing, sink, checkpoint = (str(tmp_path / x) for x in ("landing", "table", "checkpoint"))
+    schema = "k int, ts timestamp_ntz, v string"
+    day = dt.datetime(2024, 3, 10)
+    drops = [
+        [(1, day.replace(hour=12), "old"), (2, day + dt.timedelta(days=2), "far ahead")],
+        [(1, day.replace(hour=12, minute=30), "NEW"), (4, day - dt.timedelta(days=10), "backfill"), (5, None, "no stamp")],
+        [(1, day.replace(hour=13, minute=30), "NEWER"), (2, day, "too old to win"), (5, day, "stamped")],
+    ]
+    want = [{1: "old", 2: "far ahead"}, {1: "NEW", 2: "far ahead", 4: "backfill", 5: "no stamp"},
+            {1: "NEWER", 2: "far ahead", 4: "backfill", 5: "stamped"}]
+    snapshot = None
+    for i, rows in enumerate(drops):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(landing)
+        incremental_ingest(spark, landing, schema, sink, checkpoint)
+        for s in {None, snapshot}:
+            assert {r.k: r.v for r in current_table(spark, sink, ["k"], "ts", s).collect()} == want[i]
+        snapshot = compact(spark, sink, ["k"], "ts", str(tmp_path / f"snapshot{i}"), snapshot)
+    assert spark.read.parquet(snapshot).count() == 4

@@ -177,6 +177,18 @@ def catalog_frame(spark, df: DataFrame) -> DataFrame:
     return spark.createDataFrame(rows, "column_name string, data_type string")
 
 
+def observed_catalog(df: DataFrame) -> DataFrame:
+    """The columns that hold data: ``(column_name, data_type)`` of each column with a non-NULL row.
+
+    A column that an extract still declares but no longer fills counts as removed. One scan
+    with one counter per column.
+    """
+    counts = df.agg(*[F.count(F.col(f"`{f.name}`")).alias(f"_{i}") for i, f in enumerate(df.schema.fields)])
+    rows = [F.struct(F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("data_type"), F.col(f"_{i}").alias("n"))
+            for i, f in enumerate(df.schema.fields)]
+    return counts.select(F.inline(F.array(*rows))).where("n > 0").drop("n")
+
+
 def assert_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their count (partial-aggregated)."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)

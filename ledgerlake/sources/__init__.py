@@ -8,6 +8,7 @@ from ledgerlake.sources.sinks import (
     incremental_slice,
     inline_relation,
     merge_batches,
+    merge_partitions,
     next_bookmark,
     schema_for,
     staged,
@@ -32,6 +33,7 @@ __all__ = [
     "incremental_slice",
     "inline_relation",
     "merge_batches",
+    "merge_partitions",
     "jdbc_options",
     "next_bookmark",
     "read_files",

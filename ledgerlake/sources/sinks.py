@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.operators.columns import check_columns
 from ledgerlake.operators.keyed import latest_per_key
+from ledgerlake.operators.setops import union_all
 
 DEFAULT_SCHEMA = "marts"
 
@@ -44,13 +45,41 @@ def upsert_by_key(
 ) -> DataFrame:
     """Merge ``batch`` into ``existing`` on ``keys``; the row with the greatest ``order`` wins.
 
-    Union + per-key pick via ``max_by`` (partial aggregation), so a hot key does
-    not land in one task. ``order`` should end in a unique tie-break; when the
-    batch must win ties, put a batch flag first in ``order``.
+    Only rows whose key is in the batch are picked from again: the rest of ``existing``
+    passes through an anti-join (no shuffle of it while the batch's keys can be
+    broadcast, which the planner decides by size). The pick is ``max_by`` with partial
+    aggregation, so a hot key does not land in one task. ``order`` should end in a
+    unique tie-break; when the batch must win ties, put a batch flag first in
+    ``order``. NULL keys match NULL keys.
     """
     check_columns(existing, keys)
     check_columns(batch, keys)
-    return latest_per_key(existing.unionByName(batch), keys, order)
+    touched = batch.select(*[F.col(k).alias(f"_b_{k}") for k in keys]).distinct()
+    same = [F.col(k).eqNullSafe(F.col(f"_b_{k}")) for k in keys]
+    old = existing.join(touched, same, "left_semi")
+    return existing.join(touched, same, "left_anti").unionByName(latest_per_key(old.unionByName(batch), keys, order))
+
+
+def merge_partitions(
+    spark: SparkSession,
+    path: str,
+    batch: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str | Column],
+    partition_by: Sequence[str],
+    scratch: str,
+) -> None:
+    """Merge ``batch`` into the partitioned table at ``path``, rewriting only the partitions it touches.
+
+    A key's partition must not change (the partition columns follow from the key). The
+    merged partitions are staged at ``scratch`` first, since a table can't be
+    overwritten while it is read; then they replace the old ones (dynamic overwrite).
+    """
+    table = spark.read.parquet(path)
+    touched = batch.select(*partition_by).distinct()
+    old = table.join(touched, list(partition_by), "left_semi").select(*batch.columns)
+    merged = staged(latest_per_key(old.unionByName(batch), keys, order), scratch)
+    write_table(merged, "", path=path, partition_by=partition_by)
 
 
 def deleted_rows(existing: DataFrame, snapshot: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -117,20 +146,12 @@ def merge_batches(
     batches: Sequence[DataFrame],
     keys: Sequence[str],
     order: Sequence[str | Column],
-    checkpoint_every: int = 1,
 ) -> DataFrame:
-    """Apply keyed batches in arrival order, newest row per key winning.
+    """Apply keyed batches, newest row per key winning.
 
-    Every ``checkpoint_every`` batches the merged table is written to the
-    reliable checkpoint folder (``spark.checkpoint.dir``), which cuts the plan
-    lineage: plans stay small however many batches arrive, and a lost executor
-    only recomputes work since the last checkpoint.
+    The greatest row of a union is the same in whatever order its parts arrive, so
+    batches that are all present are merged at once: one upsert of their union.
     """
-    from ledgerlake.session import cut_lineage
-
-    current = existing
-    for i, batch in enumerate(batches, start=1):
-        current = upsert_by_key(current, batch, keys, order)
-        if checkpoint_every and i % checkpoint_every == 0:
-            current = cut_lineage(current)
-    return current
+    if not batches:
+        return existing
+    return upsert_by_key(existing, union_all(list(batches)), keys, order)

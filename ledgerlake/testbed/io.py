@@ -16,6 +16,7 @@ from ledgerlake.sources import (
     deleted_rows,
     full_snapshot,
     incremental_slice,
+    merge_partitions,
     next_bookmark,
     read_files,
     upsert_by_key,
@@ -181,3 +182,19 @@ def q_table_writes(spark, sf):
     fixed = o.where("o_orderstatus = 'P'").withColumn("o_totalprice", -F.col("o_totalprice"))
     write_table(fixed, "", path=path, partition_by=part)
     return spark.read.parquet(path).select("o_orderkey", "o_totalprice", F.col("o_orderstatus").cast("string").alias("o_orderstatus"))
+
+
+@q(
+    "partition_merge",
+    """
+SELECT o_orderkey, if(o_orderstatus = 'P' AND o_orderkey % 2 = 0, o_totalprice + 1, o_totalprice) AS o_totalprice, o_orderstatus FROM orders
+""",
+)
+def q_partition_merge(spark, sf):
+    """Corrections to every other pending order merged into orders by status: one partition is rewritten."""
+    path = scratch(spark, "orders")
+    o = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus").withColumn("version", F.lit(0))
+    write_table(o, "", path=path, partition_by=["o_orderstatus"])
+    fixed = o.where("o_orderstatus = 'P' AND o_orderkey % 2 = 0").withColumns({"o_totalprice": F.col("o_totalprice") + 1, "version": F.lit(1)})
+    merge_partitions(spark, path, fixed, ["o_orderkey"], ["version"], ["o_orderstatus"], scratch(spark, "merged"))
+    return spark.read.parquet(path).select("o_orderkey", "o_totalprice", F.col("o_orderstatus").cast("string").alias("o_orderstatus"))

@@ -401,18 +401,25 @@ def q_column_anomalies(spark, sf):
 @q(
     "schema_changes",
     """
-WITH b AS (SELECT regexp_replace(column_name, '^[a-z]_', '') AS column_name, data_type FROM information_schema.columns WHERE table_name = 'customer'),
-a AS (SELECT regexp_replace(column_name, '^[a-z]_', '') AS column_name, data_type FROM information_schema.columns WHERE table_name = 'supplier')
-SELECT COALESCE(b.column_name, a.column_name) AS column_name,
-       CASE WHEN b.column_name IS NULL THEN 'added' WHEN a.column_name IS NULL THEN 'removed' ELSE 'type_changed' END AS change
-FROM b FULL JOIN a ON a.column_name = b.column_name
-WHERE b.column_name IS NULL OR a.column_name IS NULL OR a.data_type != b.data_type
+WITH half AS (SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus, o_orderdate < DATE '1998-01-01' AS early, o_orderpriority FROM orders),
+filled AS (
+  SELECT early, unnest(['orderkey', 'custkey', 'note', 'totalprice', 'channel']) AS column_name,
+         unnest([count(o_orderkey), count(o_custkey), count(if(early, o_orderstatus, NULL)), count(o_totalprice), count(if(early, NULL, o_orderpriority))]) AS n
+  FROM half GROUP BY early
+)
+SELECT column_name, if(column_name = 'totalprice', 'type_changed', if(bool_or(early), 'removed', 'added')) AS change
+FROM filled WHERE n > 0 GROUP BY column_name HAVING count(*) = 1 OR column_name = 'totalprice'
 """,
 )
 def q_schema_changes(spark, sf):
-    """Columns added / removed / retyped from customer to supplier, names compared without their table prefix."""
-    before = dq.catalog_frame(spark, table(spark, sf, "customer"))
-    after = dq.catalog_frame(spark, table(spark, sf, "supplier"))
+    """Two extracts of orders: the later one no longer fills ``note``, fills ``channel``, and lands prices as text."""
+    o = table(spark, sf, "orders")
+    early = F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")
+    cols = [F.col("o_orderkey").alias("o_orderkey"), F.col("o_custkey").alias("o_custkey")]
+    none = F.lit(None).cast("string")
+    first = o.where(early).select(*cols, F.col("o_orderstatus").alias("o_note"), "o_totalprice", none.alias("o_channel"))
+    later = o.where(~early).select(*cols, none.alias("o_note"), F.col("o_totalprice").cast("string").alias("o_totalprice"), F.col("o_orderpriority").alias("o_channel"))
+    before, after = dq.observed_catalog(first), dq.observed_catalog(later)
     out = dq.schema_changes(before, after, normalise=F.regexp_replace("column_name", "^[a-z]_", ""))
     return out.select("column_name", "change")
 

@@ -200,3 +200,42 @@ def test_shop_ledger_invariants(spark, sf_small):
     assert early.where(F.col("return_order_id").isNotNull()).count() > 0
     # one row per (day, order)
     assert led.groupBy("fulldate", "order_id").count().where("count > 1").count() == 0
+
+
+def test_a_refund_landed_twice_counts_its_adjustments_once(spark):
+    from ledgerlake.plans.commerce import refund_ledger
+
+    refunds = spark.createDataFrame([(1, 10, 5, "2024-01-02 10:00:00")] * 2, "id int, order_id int, user_id int, created_at string")
+    lines = spark.createDataFrame([(1, 100, 1, 10.0, 2.0)], "id int, line_item_id int, quantity int, subtotal double, total_tax double")
+    adjustments = spark.createDataFrame([(1, "refund_discrepancy", 4.0, 0.0)], "refund_id int, kind string, amount double, tax_amount double")
+    orders = spark.createDataFrame([(10, "2024-01-01 10:00:00", 1, "#10", "GBP", "UK")],
+                                   "id int, created_at string, app_id int, name string, presentment_currency string, billing_address__country string")
+    facts = spark.createDataFrame([(100, 1)], "order_line_id int, quantity int")
+    r = refund_ledger(lines, adjustments, refunds, orders, facts).first()
+    assert (r.subtotal, r.total_tax, r.refund_amount_actuals) == (20.0, 4.0, -12.0)
+
+
+def test_a_currency_with_two_rates_is_an_error(spark):
+    import pytest
+    from pyspark.errors import PySparkException
+
+    from ledgerlake.plans.commerce import convert_currency
+
+    orders = spark.createDataFrame([("EUR", 10.0)], "currency string, amount double")
+    rates = spark.createDataFrame([("EUR", 1.2), ("EUR", 1.3)], "currency string, rate double")
+    with pytest.raises(PySparkException):
+        convert_currency(orders, rates)[0].collect()
+    same = convert_currency(orders, spark.createDataFrame([("EUR", 1.25)] * 2, rates.schema))[0].collect()
+    assert [x.amount_gbp for x in same] == [8.0]
+
+
+def test_json_arrays_keep_their_good_elements_and_number_texts(spark):
+    from ledgerlake.functions.json import json_records, json_scalar
+
+    doc = '[{"rate":0.20,"t":"1.0 , 2"},"x",{"rate":1e2,"t":{"b": 1}},null,5,{"rate":null,"t":"q\\"7\\""}]'
+    df = spark.createDataFrame([(doc,), ("bad",), (None,), ("[]",), ('{"rate":1}',), ("[1,",), (' [{"rate":1.0}] ',)], "j string")
+    got = [[tuple(x) for x in r[0]] for r in df.select(json_records("j", ["rate", "t"])).collect()]
+    assert got[0] == [("0.20", "1.0 , 2"), (None, None), ("1e2", '{"b":1}'), (None, None), (None, None), (None, 'q"7"')]
+    assert got[1:] == [[], [], [], [], [], [("1.0", None)]]
+    one = spark.createDataFrame([('{"a":1.0,"b":"0.20","c":1e2,"d":{"x":1},"e":null,"f":true,"g":[1]}',)], "j string")
+    assert list(one.select(*[json_scalar("j", f"$.{k}") for k in "abcdefgh"]).first()) == ["1.0", "0.20", "1e2", None, None, "true", None, None]

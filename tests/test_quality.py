@@ -114,3 +114,32 @@ def test_monitor_sources_to_failing_days(spark):
 
 def test_results_to_store_excludes_skipped_and_errors(spark, results):
     assert sorted(r.status for r in dq.results_to_store(results).collect()) == ["fail"] * 5 + ["warn"]
+
+
+def test_freshness_when_half_of_a_load_shares_one_stamp(spark):
+    import datetime as dt
+
+    from ledgerlake.plans.quality import freshness_anomalies
+
+    base = dt.datetime(2024, 1, 1)
+    stamps = [base + dt.timedelta(hours=i, minutes=(7 * i) % 50) for i in range(60)]
+    rows = [(t,) for t in stamps] + [(base + dt.timedelta(days=1, hours=3),)] * 60 + [(None,)]
+    got = {r.day: r.max_gap_seconds for r in freshness_anomalies(spark.createDataFrame(rows, "ts timestamp_ntz").repartition(7), "ts").collect()}
+    want, seen = {}, sorted(t for t, in rows if t)
+    for a, b in zip(seen, seen[1:]):
+        want[b.date()] = max(want.get(b.date(), 0.0), (b - a).total_seconds())
+    assert got == want
+
+
+def test_equal_stamps_do_not_depend_on_the_order_of_rows(spark):
+    import datetime as dt
+
+    from ledgerlake.plans.ads import latest_history
+    from ledgerlake.plans.quality import latest_run
+
+    t = dt.datetime(2024, 1, 1)
+    runs = spark.createDataFrame([("b", t, 1), ("a", t, 2), ("a", t, 3)], "invocation_id string, created_at timestamp_ntz, n int")
+    history = spark.createDataFrame([(1, t, None, "x"), (1, t, "n", "y"), (1, t, "n", "z")], "id int, _sdc_extracted_at timestamp_ntz, name string, status string")
+    for parts in (1, 2, 5):
+        assert [r.n for r in latest_run(runs.repartition(parts, "n")).collect()] == [1]
+        assert latest_history(history.repartition(parts), ["id"], ["name", "status"]).collect()[0][1:] == ("n", "z")

@@ -130,3 +130,34 @@ def test_scans_prune_columns_and_push_filters(spark, sf_small):
     for line in plan.split("\n"):
         if "FileScan parquet" in line and "lineitem" in line:
             assert "l_suppkey" not in line and "l_partkey" not in line  # unused columns never read
+
+
+def test_per_key_picks_read_only_their_columns(spark, sf_small):
+    from ledgerlake.plans.ads import latest_history
+    from ledgerlake.plans.customer import first_orders
+
+    orders = spark.read.parquet(f"{sf_small}/orders.parquet")
+    latest = latest_history(orders, ["o_custkey"], ["o_orderstatus"], "o_orderdate")
+    first = first_orders(orders, "o_clerk" if "o_clerk" in orders.columns else "o_orderpriority", "o_orderdate", "o_orderkey", columns=["o_orderkey"])
+    for df, n in ((latest, 3), (first, 3)):
+        scan = next(x for x in df._jdf.queryExecution().executedPlan().toString().split("\n") if "FileScan" in x)
+        assert scan.split("ReadSchema: struct<")[1].count(":") == n, scan
+
+
+def test_shop_chain_runs_each_stage_once(spark, sf_small):
+    """Cleaned orders and line facts are read back from their tables; lineitem is left to the inputs built from it."""
+    plan = _plan(spark, sf_small, "shop_ledger")
+    scans = [x for x in plan.split("\n") if "FileScan parquet" in x]
+    assert any("order_line_id#" in x for x in scans) and any("gross_sales#" in x for x in scans)  # the line facts' table
+    assert any("order_date#" in x for x in scans)  # the cleaned orders' table
+    assert sum("lineitem.parquet" in x for x in scans) <= 6
+
+
+def test_run_reports_scan_the_history_at_most_twice(spark, sf_small):
+    for key in ("new_failures", "failing_days"):
+        assert _plan(spark, sf_small, key).count("FileScan parquet") <= 2
+
+
+def test_order_totals_share_the_exchange_of_their_group(spark, sf_small):
+    plan = _plan(spark, sf_small, "order_share_of_total")
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("FileScan parquet") == 1

@@ -33,7 +33,7 @@ def test_k_batches_equal_one_full_load(spark, sf_small):
             b = b.where(F.col("ts") < F.lit(hi).cast("timestamp_ntz"))
         batches.append(b)
     empty = events.limit(0)
-    merged = merge_batches(empty, batches, ["event_id"], ["ts"], checkpoint_every=2)
+    merged = merge_batches(empty, batches, ["event_id"], ["ts"])
     assert rows(merged) == rows(events)
 
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,8 +49,8 @@ def build_session(
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's ``spark.checkpoint.dir``; create a scratch one only when unset.
 
-    The fallback (a fresh temporary folder) is only taken in local mode, for
-    tests; on a cluster an unset ``spark.checkpoint.dir`` is an error, since it
+    The fallback (a fresh temporary folder, removed when Python exits) is only taken
+    with a ``local`` master, for tests; on a cluster an unset ``spark.checkpoint.dir`` is an error, since it
     must name a shared filesystem.
     """
     sc = spark.sparkContext
@@ -56,12 +59,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        if not re.match(r"local($|\[)", sc.master):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set: on a cluster it must name a shared folder "
                 "(a machine-local folder does not survive executor loss)"
             )
         configured = tempfile.mkdtemp(prefix="ledgerlake-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 

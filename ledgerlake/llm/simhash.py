@@ -155,7 +155,8 @@ def near_duplicates(
     fps = landed(fingerprints(docs, shingle, id_col, text_col))
     comp = components(links(fps.select("fp").distinct(), radius))
     tagged = fps.join(comp.withColumnRenamed("node", "fp"), "fp", "left").select("doc_id", "fp", F.coalesce("root", "fp").alias("root"))
-    least = tagged.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    # landed, so that the join below reads two plain shuffles and a large group can be split
+    least = landed(tagged.groupBy("root").agg(F.min("doc_id").alias("component_id")))
     return tagged.join(least, "root").select("doc_id", "fp", "component_id")
 
 

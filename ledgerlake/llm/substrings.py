@@ -34,8 +34,8 @@ from ledgerlake.session import ensure_checkpoint_dir
 LENGTH, TOKEN = 100, 32
 SPLITTER_DOCS, SPLITTER_RUNS = 1000, 2000  # documents sampled for splitters, and runs of each
 CROWDED = 4096  # kinds of run of one token beyond which their suffixes are hashed
-_FLUSH = 1 << 20  # runs a task gathers before it sends them
-_BLOCK = 4 << 20
+_FLUSH = 1 << 19  # runs a task gathers before it sends them
+_BLOCK = 1 << 20
 _LAST = (1 << 63) - 1  # stands for a null id: null ids come last
 _HIGH = np.uint64(0xFFFFFFFF00000000)
 

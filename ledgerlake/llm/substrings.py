@@ -25,6 +25,7 @@ import uuid
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -183,7 +184,7 @@ def _runs_by_token(rows: DataFrame, splitters: np.ndarray, length: int) -> DataF
     shared = rows.sparkSession.sparkContext.broadcast(splitters)  # a token a range
 
     def run(batches):
-        splitters, held, size, turn = shared.value, [], 0, 0
+        splitters, held, size, turn, task = shared.value, [], 0, 0, TaskContext.get().partitionId()
 
         def out():
             g, s, doc, h, lo, n = (np.concatenate(x) for x in zip(*held))
@@ -199,7 +200,7 @@ def _runs_by_token(rows: DataFrame, splitters: np.ndarray, length: int) -> DataF
             if later.any():  # settled here; empty hashes mark them
                 none = np.zeros(0, np.uint64)
                 sent.append((none, none, *_merged(doc[later], h[later], lo[later], n[later])))
-                where.append(turn % (len(splitters) + 1))
+                where.append((task + turn) % (len(splitters) + 1))  # any range passes them on
             return _packed(where, sent)
 
         for batch in batches:

@@ -17,6 +17,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,7 +26,7 @@ from ledgerlake.llm.common import landed, map_batches, map_partitions, texts
 SAMPLE = 20_000  # labelled documents the model may learn from
 VOCABULARY = 4_096
 PREFIXES = (4, 5, 6, 7, 8)
-MIN_TOXIC, MIN_EVIDENCE = 3, 12.0
+MIN_TOXIC, MIN_EVIDENCE, MIN_LIFT = 3, 12.0, 3.0  # toxic documents, G-test, times the corpus' share of toxic ones
 KEPT_SENTENCES = 0.6  # share of a toxic bag's sentences that each step of the fit sees
 THRESHOLD = 0.3
 CACHE = 400_000
@@ -59,12 +60,15 @@ def training_sample(docs: DataFrame, labels: DataFrame, learn: Column, size: int
     """(text, toxic) of at most ``size`` labelled documents, equal texts once. The ids are chosen
     from the labels by hash and broadcast; texts are not shuffled. An id with several labels counts
     as toxic if one of them does."""
-    # The top ``size`` rows by hash are a bounded sample: the one broadcast here, with its bound.
-    chosen = (
+    known = (
         labels.where(F.col(id_col).isNotNull() & F.col("toxic").isNotNull()).where(learn)
         .groupBy(id_col).agg(F.max("toxic").alias("toxic"))
-        .orderBy(F.xxhash64(F.col(id_col).cast("string")), id_col).limit(size)
     )
+    # A hash first thins the ids to little more than ``size``, so that the ordering below sees few
+    # rows at any input size; the limit makes the bound of the broadcast exact.
+    order = F.xxhash64(F.col(id_col).cast("string"))
+    share = min(1.0, 1.2 * size / max(1, known.count()))
+    chosen = known.where(F.pmod(order, F.lit(1 << 30)) < int(share * (1 << 30))).orderBy(order, id_col).limit(size)
     chosen = landed(chosen.select(F.col(id_col).alias("_id"), F.col("toxic").alias("_toxic")))
     rows = docs.select(id_col, text_col).join(F.broadcast(chosen), docs[id_col] == F.col("_id"))
     return rows.groupBy(F.coalesce(F.col(text_col), F.lit("")).alias("text")).agg(F.max("_toxic").alias("toxic"))
@@ -92,12 +96,12 @@ def vocabulary(sample: DataFrame, size: int = VOCABULARY) -> list[str]:
 
     counts = landed(map_partitions(sample, run, "f string, t long, n long").groupBy("f").agg(F.sum("t").alias("t"), F.sum("n").alias("n")).where(f"t >= {MIN_TOXIC} or f = ''"))
     whole = counts.where("f = ''").first()
-    if whole is None or not whole.t or whole.t == whole.n:
+    if whole is None or not whole.t or whole.t == whole.n:  # no label to tell from the other
         return []
     share = whole.t / whole.n
     t, n = F.col("t"), F.col("n")
     g = 2 * (t * F.log(t / (n * share)) + F.when(n > t, (n - t) * F.log((n - t) / (n * (1 - share)))).otherwise(0.0))
-    best = counts.where("f <> ''").where(t > n * share).withColumn("g", g).where(F.col("g") >= MIN_EVIDENCE)
+    best = counts.where("f <> ''").where(t >= n * share * MIN_LIFT).withColumn("g", g).where(F.col("g") >= MIN_EVIDENCE)
     return [r.f for r in best.orderBy(F.desc("g"), "f").limit(size).collect()]  # at most ``size`` rows
 
 
@@ -124,42 +128,42 @@ def bags(sample: DataFrame, vocab: list[str]) -> DataFrame:
     return map_batches(sample, run, "toxic int, n_sentences int, sent array<int>, feat array<int>")
 
 
-def fit(rows, n_features: int, steps: int = 400, rate: float = 0.1, l2: float = 0.1) -> tuple[float, np.ndarray]:
+def fit(found: pa.Table, n_features: int, steps: int = 400, rate: float = 0.1, l2: float = 0.1) -> tuple[float, np.ndarray]:
     """(bias, weights >= 0) that maximise the likelihood of the bags' labels, by Adam.
 
     Each step sees a fixed-seed random part of a toxic bag's weighted sentences, so that a bag
     with many telling sentences teaches that any one of them is enough."""
-    if not rows:
+    if not found.num_rows:
         return -6.0, np.zeros(n_features)
-    y = np.array([r.toxic > 0 for r in rows], float)
-    hits = [len(set(r.sent)) for r in rows]
-    plain = np.array([r.n_sentences - h for r, h in zip(rows, hits)], float)
-    bag = np.repeat(np.arange(len(rows)), hits)
-    sent, base = [], 0
-    for r, h in zip(rows, hits):
-        at = {s: i for i, s in enumerate(sorted(set(r.sent)))}
-        sent += [base + at[s] for s in r.sent]
-        base += h
-    sent, feat = np.array(sent, np.int64), np.array([f for r in rows for f in r.feat], np.int64)
+    n = found.num_rows
+    y = (found.column("toxic").to_numpy() > 0).astype(float)
+    lists = found.column("sent").combine_chunks()
+    of = np.repeat(np.arange(n), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+    place = of * (1 << 32) + lists.flatten().to_numpy().astype(np.int64)
+    seen_at, sent = np.unique(place, return_inverse=True)  # the sentences that have a feature
+    feat = found.column("feat").combine_chunks().flatten().to_numpy().astype(np.int64)
+    bag, base = seen_at >> 32, len(seen_at)
+    hits = np.bincount(bag, minlength=n)
+    plain = found.column("n_sentences").to_numpy() - hits.astype(float)
     p = np.zeros(n_features + 1)
     p[-1] = -6.0
     m, v = np.zeros_like(p), np.zeros_like(p)
     rng = np.random.default_rng(0)
     sure = y[bag] == 0
-    first = np.r_[0, np.cumsum(hits)[:-1]][np.array(hits) > 0].astype(np.int64)
+    first = (np.cumsum(hits) - hits)[hits > 0]
     for step in range(1, steps + 1):
         z = p[-1] + np.bincount(sent, weights=p[feat], minlength=base)
         prob, prob0 = 1 / (1 + np.exp(-z)), 1 / (1 + np.exp(-p[-1]))
         draw = rng.random(base)
         seen = sure | (draw < KEPT_SENTENCES)
         if base:
-            seen |= draw == np.repeat(np.minimum.reduceat(draw, first), np.array(hits)[np.array(hits) > 0])  # at least one
-        log_none = -np.bincount(bag, weights=np.logaddexp(0, z) * seen, minlength=len(rows)) - plain * np.logaddexp(0, p[-1])
+            seen |= draw == np.repeat(np.minimum.reduceat(draw, first), hits[hits > 0])  # at least one
+        log_none = -np.bincount(bag, weights=np.logaddexp(0, z) * seen, minlength=n) - plain * np.logaddexp(0, p[-1])
         none = np.minimum(np.exp(log_none), 1 - 1e-9)
         slope = y * none / (1 - none) - (1 - y)  # d loss / d log_none
         dz = -slope[bag] * prob * seen
         grad = np.r_[np.bincount(feat, weights=dz[sent], minlength=n_features) if len(sent) else np.zeros(n_features), dz.sum() - (slope * plain).sum() * prob0]
-        grad = (grad + l2 * np.r_[p[:-1], 0.0]) / len(rows)
+        grad = (grad + l2 * np.r_[p[:-1], 0.0]) / n
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         p -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
         np.maximum(p[:-1], 0, out=p[:-1])
@@ -174,7 +178,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, size: int = SAMPLE,
     vocab = vocabulary(sample)
     if not vocab:
         return -6.0, {}
-    bias, weights = fit(bags(sample, vocab).collect(), len(vocab))  # at most ``size`` rows
+    bias, weights = fit(bags(sample.sort(F.xxhash64("text")), vocab).toArrow(), len(vocab))  # at most ``size`` rows, always in one order
     return bias, {f: float(w) for f, w in zip(vocab, weights) if w > 1e-3}
 
 

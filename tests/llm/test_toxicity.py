@@ -50,11 +50,12 @@ def test_score_is_the_noisy_or_of_all_sentences(spark, make_docs):
 
 
 def test_gradient_of_the_fit():
-    from types import SimpleNamespace as row
+    import pyarrow as pa
 
-    rows = [row(toxic=i % 3 == 0, n_sentences=5, sent=[0, 1] if i % 3 == 0 else [], feat=[0, i % 2] if i % 3 == 0 else []) for i in range(60)]
-    bias, weights = toxicity.fit(rows, 2)
-    assert weights[0] > 3 and bias < -3 and toxicity.fit([], 4)[1].tolist() == [0] * 4
+    rows = [{"toxic": int(i % 3 == 0), "n_sentences": 5, "sent": [0, 1] if i % 3 == 0 else [], "feat": [0, i % 2] if i % 3 == 0 else []} for i in range(60)]
+    schema = pa.schema([("toxic", pa.int32()), ("n_sentences", pa.int32()), ("sent", pa.list_(pa.int32())), ("feat", pa.list_(pa.int32()))])
+    bias, weights = toxicity.fit(pa.Table.from_pylist(rows, schema), 2)
+    assert weights[0] > 3 and bias < -3 and toxicity.fit(schema.empty_table(), 4)[1].tolist() == [0] * 4
 
 
 def test_the_sample_is_bounded_and_ignores_held_out_rows(spark, make_docs):

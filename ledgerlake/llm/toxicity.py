@@ -26,7 +26,8 @@ from ledgerlake.llm.common import landed, map_batches, map_partitions, texts
 SAMPLE = 20_000  # labelled documents the model may learn from
 VOCABULARY = 4_096
 PREFIXES = (4, 5, 6, 7, 8)
-MIN_TOXIC, MIN_EVIDENCE, MIN_LIFT = 3, 12.0, 3.0  # toxic documents, G-test, times the corpus' share of toxic ones
+MIN_TOXIC, MIN_EVIDENCE = 3, 12.0  # toxic documents, G-test
+NO_EVIDENCE = -30.0  # bias without any feature: a text of any length scores 0
 KEPT_SENTENCES = 0.6  # share of a toxic bag's sentences that each step of the fit sees
 THRESHOLD = 0.3
 CACHE = 400_000
@@ -75,7 +76,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, learn: Column, size: int
 
 
 def vocabulary(sample: DataFrame, size: int = VOCABULARY) -> list[str]:
-    """The features that speak most for toxic documents (G-test on document counts)."""
+    """The features that speak most for toxic documents (G-test on document counts). Any that is
+    more frequent in them than in the others can be chosen, whatever the share of toxic labels."""
 
     def run(batches):
         toxic, every = Counter(), Counter()
@@ -101,7 +103,7 @@ def vocabulary(sample: DataFrame, size: int = VOCABULARY) -> list[str]:
     share = whole.t / whole.n
     t, n = F.col("t"), F.col("n")
     g = 2 * (t * F.log(t / (n * share)) + F.when(n > t, (n - t) * F.log((n - t) / (n * (1 - share)))).otherwise(0.0))
-    best = counts.where("f <> ''").where(t >= n * share * MIN_LIFT).withColumn("g", g).where(F.col("g") >= MIN_EVIDENCE)
+    best = counts.where("f <> ''").where(t > n * share).withColumn("g", g).where(F.col("g") >= MIN_EVIDENCE)
     return [r.f for r in best.orderBy(F.desc("g"), "f").limit(size).collect()]  # at most ``size`` rows
 
 
@@ -177,7 +179,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, size: int = SAMPLE,
     sample = landed(training_sample(docs, labels, learn, size, id_col, text_col))
     vocab = vocabulary(sample)
     if not vocab:
-        return -6.0, {}
+        return NO_EVIDENCE, {}
     bias, weights = fit(bags(sample.sort(F.xxhash64("text")), vocab).toArrow(), len(vocab))  # at most ``size`` rows, always in one order
     return bias, {f: float(w) for f, w in zip(vocab, weights) if w > 1e-3}
 

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import toxicity
@@ -31,6 +32,29 @@ def test_offending_sentences_are_found_from_document_labels(spark, make_docs):
         assert ["zz" in texts[r.doc_id][s.start : s.end] for s in r.offending] == [True] * toxic[r.doc_id]
 
 
+@pytest.mark.parametrize("percent", [40, 60])
+def test_many_toxic_labels_leave_a_vocabulary(spark, make_docs, percent):
+    rng = random.Random(percent)
+    words = ["".join(rng.choice("abcdefg") for _ in range(5)) for _ in range(300)]
+    rows, toxic = [], {}
+    for i in range(600):
+        parts = [" ".join(rng.choices(words, k=8)) for _ in range(rng.randint(2, 9))]
+        toxic[i] = int(i % 100 < percent)
+        if toxic[i]:
+            parts[rng.randrange(len(parts))] = f"you are a {rng.choice(['zzidiot', 'zzmoron', 'zztrash'])} my friend"
+        rows.append((i, ". ".join(parts) + "."))
+    docs = make_docs([*rows, (9000, "abcde fgabc. " * 400)])
+    labels = spark.createDataFrame(list(toxic.items()), "doc_id long, toxic int")
+    got = {r.doc_id: r.score for r in toxicity.score(docs, toxicity.train(docs, labels, ~held_out(F.col("doc_id")))).collect()}
+    assert all((got[i] >= 0.3) == bool(toxic[i]) for i in toxic) and got[9000] < 0.3
+
+
+def test_long_texts_without_evidence_are_clean(spark, make_docs):
+    docs = make_docs([(1, "calm words here. " * 1000)])
+    labels = spark.createDataFrame([(1, 0)], "doc_id long, toxic int")
+    assert toxicity.score(docs, toxicity.train(docs, labels, F.lit(True))).first().score < 1e-6
+
+
 def test_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.01"
     docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")

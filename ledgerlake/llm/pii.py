@@ -1,14 +1,17 @@
 """Personal data: fixed patterns, and terms that give protected entities away.
 
 The entities are the e-mail addresses, IP addresses, card and phone numbers found in the corpus.
-For an entity c and a term t seen within a few words of it, the corpus estimates what share of c's
+For an entity c and a term t in the same documents, the corpus estimates what share of c's
 information t discloses: PMI(c, t) / IC(c) = log(n(c,t) N / (n(c) n(t))) / log(N / n(c)), counting
 documents. A term that only ever occurs with c discloses all of it. Evidence must come from at
-least ``MIN_CONTEXTS`` different surroundings, so copies of one text prove nothing. Terms over the
-upper threshold are removed, those over the lower one generalised to their class.
-
-Texts are read by two passes, which emit the few words around entities and pre-summed document
-frequencies; pairs are counted by (entity, term) with map-side sums.
+least ``MIN_CONTEXTS`` different surroundings of c, so copies of one text prove nothing: of a term
+near c each of them counts, of a term further away one a document. Terms over the upper threshold
+are removed, those over the lower one generalised to their class, wherever they stand: in the
+texts that name c and in those that don't.
+
+Texts are read by three passes, the last two only if some pair has the evidence: the first emits
+the entities, the words around them and the terms of texts with entities, the second pre-summed
+document frequencies, the third marks. Pairs are counted by (entity, term) with map-side sums.
 """
 
 from __future__ import annotations
@@ -26,6 +29,7 @@ from ledgerlake.llm.common import fresh, landed, map_batches, map_partitions, te
 
 KINDS = ("email", "ip", "card", "phone")
 REACH, MIN_CONTEXTS, GENERALISE, REMOVE = 5, 3, 0.6, 0.9
+MAX_BROADCAST = 100_000  # disclosing terms, or entities, that are broadcast; more are joined by shuffle
 FLUSH = 300_000  # distinct terms a task holds before it emits their counts
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -107,9 +111,10 @@ def _entity(kind: str, value: str) -> int:
     return xxhash.xxh3_64_intdigest(f"{kind}:{value}") - (1 << 63)
 
 
-def surroundings(text: str, spans) -> list[tuple[int, str, int, int, int]]:
-    """(entity, term, hash of the surroundings, start, end) of the terms near each span."""
-    out = []
+def surroundings(text: str, spans) -> tuple[dict[int, int], list[tuple[int, str, int]]]:
+    """The entities, each with the lowest hash of its surroundings, and (entity, term, hash of the
+    surroundings) of the terms near each span."""
+    first, out = {}, []
     for kind, start, end in spans:
         entity = _entity(kind, text[start:end])
         lo = start
@@ -126,10 +131,11 @@ def surroundings(text: str, spans) -> list[tuple[int, str, int, int, int]]:
         around += after
         words = [text[s:e] for s, e in around]
         where = xxhash.xxh3_64_intdigest("\x1f".join(words).lower()) - (1 << 63)
+        first[entity] = min(where, first.get(entity, where))
         for (s, e), word in zip(around, words):
             if (t := term_of(word)) and not any(s < b and a < e for _, a, b in spans):
-                out.append((entity, t, where, s, e))
-    return out
+                out.append((entity, t, where))
+    return first, out
 
 
 def _back(text: str, at: int) -> int:
@@ -142,31 +148,70 @@ def _back(text: str, at: int) -> int:
     return at
 
 
-_NEAR = "array<struct<entity:bigint,term:string,context:bigint,start:int,end:int>>"
-_NEAR_ARROW = pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.string()), ("context", pa.int64()), ("start", pa.int32()), ("end", pa.int32())]))
-_NAMES = ("entity", "term", "context", "start", "end")
+def outside(text: str, spans) -> list[tuple[int, int]]:
+    """(start, end) of the text between spans: what is left of a word beside a span is a word."""
+    out, at = [], 0
+    for s, e in sorted((s, e) for _, s, e in spans):
+        if s > at:
+            out.append((at, s))
+        at = max(at, e)
+    return [*out, (at, len(text))]
+
+
+def marked(text: str, spans, action: dict[str, str], known: dict[str, str]) -> list[tuple[int, int, str]]:
+    """(start, end, action) of every word outside ``spans`` whose term has an action. ``known``
+    keeps the terms of words."""
+    out = []
+    for a, b in outside(text, spans):
+        hit = {}
+        for word in set(_WORD.findall(text, a, b)):
+            term = known.get(word)
+            if term is None:
+                term = term_of(word)
+                if len(known) < FLUSH:
+                    known[word] = term
+            if term in action:
+                hit[word] = action[term]
+        if hit:
+            out += [(*m.span(), hit[m.group()]) for m in _WORD.finditer(text, a, b) if m.group() in hit]
+    return out
+
+
+_NEAR = "array<struct<entity:bigint,term:string,context:bigint>>"
+_NEAR_ARROW = pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.string()), ("context", pa.int64())]))
+_ENTITIES = "array<struct<entity:bigint,context:bigint>>"
+_ENTITIES_ARROW = pa.list_(pa.struct([("entity", pa.int64()), ("context", pa.int64())]))
+_TERMS = "array<struct<start:int,end:int,action:string>>"
+_TERMS_ARROW = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("action", pa.string())]))
+_HITS = "array<struct<term:string,action:string>>"
 
 
 def found(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text_hash, n_email, n_ip, n_card, n_phone, base, near) of every row."""
+    """(doc_id, n_email, n_ip, n_card, n_phone, base, entities, near, terms) of every row; terms
+    are the different ones of a text with entities."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        counts, base, near = [[] for _ in KINDS], [], []
+        counts, base, entities, near, terms = [[] for _ in KINDS], [], [], [], []
         for text in texts(batch):
             spans = base_spans(text)
             n = Counter(k for k, *_ in spans)
             for c, k in zip(counts, KINDS):
                 c.append(n[k])
             base.append(written(spans))
-            near.append([dict(zip(_NAMES, x)) for x in surroundings(text, spans)] if spans else [])
+            first, around = surroundings(text, spans) if spans else ({}, [])
+            entities.append([{"entity": c, "context": w} for c, w in first.items()])
+            near.append([dict(zip(("entity", "term", "context"), x)) for x in around])
+            words = {w for a, b in outside(text, spans) for w in _WORD.findall(text, a, b)} if spans else ()
+            terms.append(sorted({t for w in words if (t := term_of(w))}))
         return pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("text_hash"), *(pa.array(c, pa.int64()) for c in counts), pa.array(base, pa.string()), pa.array(near, _NEAR_ARROW)],
-            ["doc_id", "text_hash", *(f"n_{k}" for k in KINDS), "base", "near"],
+            [batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in counts), pa.array(base, pa.string()), pa.array(entities, _ENTITIES_ARROW),
+             pa.array(near, _NEAR_ARROW), pa.array(terms, pa.list_(pa.string()))],
+            ["doc_id", *(f"n_{k}" for k in KINDS), "base", "entities", "near", "terms"],
         )
 
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     ids = docs.schema[id_col].dataType.simpleString()
-    return map_batches(rows, run, f"doc_id {ids}, text_hash long, {', '.join(f'n_{k} long' for k in KINDS)}, base string, near {_NEAR}")
+    return map_batches(rows, run, f"doc_id {ids}, {', '.join(f'n_{k} long' for k in KINDS)}, base string, entities {_ENTITIES}, near {_NEAR}, terms array<string>")
 
 
 def document_frequencies(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -202,45 +247,94 @@ def document_frequencies(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 def disclosing(seen: DataFrame, docs: DataFrame, min_contexts: int = MIN_CONTEXTS, lower: float = GENERALISE, text_col: str = "text") -> DataFrame:
     """(entity, term, share): pairs in which the term discloses at least ``lower`` of the entity."""
-    near = seen.select(F.explode(F.array_distinct(F.transform("near", lambda x: F.struct(x.entity.alias("entity"), x.term.alias("term"), x.context.alias("context"))))).alias("x")).select("x.*")
-    pairs = near.groupBy("entity", "term", "context").agg(F.count("*").alias("n")).groupBy("entity", "term").agg(
-        F.sum("n").alias("n_both"), F.count("*").alias("contexts")
-    )
-    pairs = landed(pairs.where(F.col("contexts") >= min_contexts).select("entity", "term", "n_both"))
+    pair = ["entity", "term"]
+    near = seen.select(F.explode(F.array_distinct("near")).alias("x")).select("x.*").distinct()
+    near = landed(near.groupBy(*pair).agg(F.count("*").alias("contexts")).where(F.col("contexts") >= min_contexts).select(*pair))
+    own = seen.select(F.inline("entities")).groupBy("entity", "context").agg(F.count("*").alias("n"))
+    own = landed(own.groupBy("entity").agg(F.sum("n").alias("n_entity"), F.count("*").alias("contexts")))
+    able = landed(own.where(F.col("contexts") >= min_contexts).select("entity").union(near.select("entity")).distinct())
+    n_able = able.count()
+    if not n_able:
+        return near.select(*pair, F.lit(0.0).alias("share"))
+    able = F.broadcast(able) if n_able <= MAX_BROADCAST else able
+    both = seen.select(F.inline("entities"), "terms").join(able, "entity", "left_semi").select("entity", "context", F.explode("terms").alias("term"))
+    both = both.groupBy(*pair, "context").agg(F.count("*").alias("n")).groupBy(*pair).agg(F.sum("n").alias("n_both"), F.count("*").alias("contexts"))
+    both = both.join(near.withColumn("near", F.lit(True)), pair, "left").where((F.col("contexts") >= min_contexts) | F.col("near"))
+    pairs = landed(both.select(*pair, "n_both"))
     if pairs.isEmpty():
-        return pairs.select("entity", "term", F.lit(0.0).alias("share"))
-    own = seen.select(F.explode(F.array_distinct(F.col("near.entity"))).alias("entity")).groupBy("entity").agg(F.count("*").alias("n_entity"))
-    terms = document_frequencies(docs, text_col).withColumnRenamed("n", "n_term")
+        return pairs.select(*pair, F.lit(0.0).alias("share"))
+    terms = document_frequencies(docs, text_col).withColumnRenamed("n", "n_whole")
     n = float(seen.count())
-    both = F.least("n_both", "n_entity", "n_term")
-    pmi = F.log(both * n / (F.col("n_entity") * F.col("n_term")))
+    scored = pairs.join(own, "entity").join(terms, "term", "left").where("n_entity < %r" % n)
+    n_term = F.greatest("n_whole", "n_both")  # beside a span, what is left of a word is a term too
+    pmi = F.log(F.col("n_both") * n / (F.col("n_entity") * n_term))
     ic = F.log(n / F.col("n_entity"))
-    scored = pairs.join(own, "entity").join(terms, "term").where("n_entity < %r" % n).select("entity", "term", (pmi / ic).alias("share"))
-    return landed(scored.where(F.col("share") >= lower))
+    return landed(scored.select(*pair, (pmi / ic).alias("share")).where(F.col("share") >= lower))
+
+
+def with_actions(docs: DataFrame, shares: DataFrame, name: str, id_col: str, text_col: str, upper: float = REMOVE):
+    """(``docs`` plus the column ``name``, broadcast {term: action}). Up to ``MAX_BROADCAST`` terms
+    are broadcast and ``name`` is null; of more, ``name`` has the (term, action) of the row's own
+    terms, joined by shuffle."""
+    action = F.when(F.max("share") >= upper, "remove").otherwise("generalise")
+    actions = landed(shares.groupBy("term").agg(action.alias("action")))
+    sc = docs.sparkSession.sparkContext
+    if actions.count() <= MAX_BROADCAST:
+        return docs.withColumn(name, F.lit(None).cast(_HITS)), sc.broadcast({r.term: r.action for r in actions.collect()})
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        terms = []
+        for text in texts(batch):
+            words = {w for a, b in outside(text, base_spans(text)) for w in _WORD.findall(text, a, b)}
+            terms.append(sorted({t for w in words if (t := term_of(w))}))
+        return pa.RecordBatch.from_arrays([batch.column("d"), batch.column("h"), pa.array(terms, pa.list_(pa.string()))], ["d", "h", "terms"])
+
+    rows = docs.select(F.col(id_col).alias("d"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))
+    terms = map_batches(rows, run, f"d {docs.schema[id_col].dataType.simpleString()}, h long, terms array<string>")
+    hits = terms.select("d", "h", F.explode("terms").alias("term")).join(actions, "term")
+    hits = hits.groupBy("d", "h").agg(F.collect_set(F.struct("term", "action")).alias(name))  # equal rows have one set
+    columns = [docs[c] for c in docs.columns]
+    return docs.join(hits, docs[id_col].eqNullSafe(hits["d"]) & (F.xxhash64(docs[text_col]) == hits["h"]), "left").select(*columns, hits[name]), sc.broadcast({})
 
 
-def term_spans(seen: DataFrame, shares: DataFrame, upper: float = REMOVE) -> DataFrame:
-    """(doc_id, text_hash, terms): the disclosing words of the rows that have any, by start."""
-    near = seen.where(F.size("near") > 0).select("doc_id", "text_hash", F.inline("near"))
-    hit = near.join(shares, ["entity", "term"]).groupBy("doc_id", "text_hash", "start", "end").agg(F.max("share").alias("share"))
-    one = F.struct("start", "end", F.when(F.col("share") >= upper, "remove").otherwise("generalise").alias("action"))
-    return hit.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_list(one)).alias("terms"))
+def _actions(shared: dict[str, str], hits) -> dict[str, str]:
+    return {x["term"]: x["action"] for x in hits} if hits else shared
 
 
 def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_email, n_ip, n_card, n_phone, base, terms): one row per row of ``docs``.
 
-    ``base`` has the pattern spans as kind:start:end, ``terms`` the disclosing words with their
-    action. A null text counts as empty: no spans. Repeated ids and rows are judged row by row
-    (rows with the same id and text get the same result); a null id stays null. An empty table
-    gives an empty result; other columns aren't read.
+    ``base`` has the pattern spans as kind:start:end, ``terms`` all disclosing words of the text
+    with their action. A null text counts as empty: no spans. Repeated ids and rows are judged row
+    by row (rows with the same id and text get the same result); a null id stays null. An empty
+    table gives an empty result; other columns aren't read.
     """
     seen = landed(found(docs, id_col, text_col))
     shares = disclosing(seen, docs, text_col=text_col)
-    spans = term_spans(seen, shares)
-    terms = spans.select(F.col("doc_id").alias("d"), F.col("text_hash").alias("h"), "terms")
-    both = seen.join(terms, seen.doc_id.eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h")), "left")
-    return both.select("doc_id", *(f"n_{k}" for k in KINDS), "base", F.coalesce("terms", F.expr("array()")).alias("terms"))
+    if shares.isEmpty():
+        return seen.select("doc_id", *(f"n_{k}" for k in KINDS), "base", F.array().cast(_TERMS).alias("terms"))
+    rows, shared = with_actions(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), shares, "hits", "doc_id", "text")
+
+    def run(batches):
+        known: dict[str, str] = {}
+        for batch in batches:
+            counts, base, terms = [[] for _ in KINDS], [], []
+            for text, hits in zip(texts(batch), batch.column("hits").to_pylist()):
+                spans = base_spans(text)
+                n = Counter(k for k, *_ in spans)
+                for c, k in zip(counts, KINDS):
+                    c.append(n[k])
+                base.append(written(spans))
+                action = _actions(shared.value, hits)
+                terms.append([dict(zip(("start", "end", "action"), m)) for m in marked(text, spans, action, known)] if action else [])
+            if batch.num_rows:
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in counts), pa.array(base, pa.string()), pa.array(terms, _TERMS_ARROW)],
+                    ["doc_id", *(f"n_{k}" for k in KINDS), "base", "terms"],
+                )
+
+    ids = docs.schema[id_col].dataType.simpleString()
+    return map_partitions(rows, run, f"doc_id {ids}, {', '.join(f'n_{k} long' for k in KINDS)}, base string, terms {_TERMS}")
 
 
 def digest(rows: DataFrame) -> DataFrame:
@@ -271,22 +365,17 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     brackets, disclosing words removed or generalised to <TERM>. Null texts stay null; rows and
     other columns stay as they are."""
     seen = landed(found(docs, id_col, text_col))
-    spans = landed(term_spans(seen, disclosing(seen, docs, text_col=text_col)))
-    h, t = fresh(docs, "_hash"), fresh(docs, "_terms")
-    rows = docs.withColumn(h, F.xxhash64(text_col))
-    if spans.isEmpty():
-        rows = rows.withColumn(t, F.lit(None).cast("array<struct<start:int,end:int,action:string>>"))
-    else:
-        right = spans.select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h"), F.col("terms").alias(t))
-        rows = rows.join(right, docs[id_col].eqNullSafe(right["_d"]) & (rows[h] == right["_h"]), "left").drop(right["_d"], right["_h"])
-    columns = docs.columns
-    rows = rows.select(*[F.col(f"`{c}`") for c in columns], t)
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        clean = [
-            None if x is None else redact(x, [(m["start"], m["end"], m["action"]) for m in marks or ()])
-            for x, marks in zip(batch.column(text_col).to_pylist(), batch.column(t).to_pylist())
-        ]
-        return pa.RecordBatch.from_arrays([pa.array(clean, pa.string()) if c == text_col else batch.column(c) for c in columns], columns)
+    columns, h = docs.columns, fresh(docs, "_hits")
+    rows, shared = with_actions(docs, disclosing(seen, docs, text_col=text_col), h, id_col, text_col)
 
-    return map_batches(rows, run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema))
+    def run(batches):
+        known: dict[str, str] = {}
+        for batch in batches:
+            clean = []
+            for x, hits in zip(batch.column(text_col).to_pylist(), batch.column(h).to_pylist()):
+                action = _actions(shared.value, hits)
+                clean.append(None if x is None else redact(x, marked(x, base_spans(x), action, known) if action else ()))
+            if batch.num_rows:
+                yield pa.RecordBatch.from_arrays([pa.array(clean, pa.string()) if c == text_col else batch.column(c) for c in columns], columns)
+
+    return map_partitions(rows, run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema))

@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import pii
@@ -64,6 +65,29 @@ def test_sanitised_texts(make_docs):
     assert pii.redact("a 10.0.0.1 b", [(2, 4, "generalise"), (11, 12, "remove")]) == "a <IP> "
 
 
+@pytest.mark.parametrize("bound", [pii.MAX_BROADCAST, 0])
+def test_disclosing_terms_go_wherever_they_stand(make_docs, monkeypatch, bound):
+    monkeypatch.setattr(pii, "MAX_BROADCAST", bound)
+    far = "one two three four five six seven eight"
+    rows = [(r.doc_id, r.text) for r in planted(make_docs).collect()]
+    rows += [(400, f"letter 9 from Zebulon at mr.x@corp.example {far}.\n\nZebulon, again"), (401, "Zebulon<mr.x@corp.example>"), (402, "we met Zebulon")]
+    rows += [(500 + i, f"Quixote {far} note{i} q@r.example tail{i}") for i in range(3)] + [(510, "Quixote alone"), (None, "a Quixote")]
+    rows += [(600 + i, f"{far} again tail") for i in range(60)]
+    docs = make_docs(rows)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    found = {r.doc_id: [texts[r.doc_id][t.start : t.end] for t in r.terms] for r in pii.detect(docs).collect()}
+    assert found[400] == ["Zebulon", "Zebulon,"] and found[401] == ["Zebulon<"] and found[402] == ["Zebulon"]
+    assert all("Quixote" in found[i] for i in (500, 501, 502, 510, None)) and not any(found[100 + i] for i in range(60))
+    clean = {r.doc_id: r.text for r in pii.sanitise(docs).collect()}
+    assert not any("Zebulon" in t for t in clean.values()) and "Quixote" not in clean[510] and clean[401] == "<EMAIL>>"
+
+
+def test_copies_and_single_documents_prove_nothing(make_docs):
+    many = " ".join(f"w{i}a w{i}b w{i}c w{i}d w{i}e w{i}f m@n.example" for i in range(4))
+    docs = make_docs([(i, f"{many} rareword") for i in range(5)] + [(10 + i, f"plain text number {i}") for i in range(50)])
+    assert not any(r.terms for r in pii.detect(docs).collect())
+
+
 def test_odd_rows(make_docs):
     docs = make_docs([(1, None), (2, ""), (None, "a@b.c"), (3, "a@b.c a@b.c"), (3, "a@b.c a@b.c"), (4, "+1 (234) 567-8901 " * 3000)])
     docs = docs.withColumn("near", F.lit(1)).withColumn("text_hash", F.lit("x"))

@@ -20,9 +20,10 @@ from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import WORD, fresh, landed
 
-CYCLE = (1.0, 2.0, 3.0)
-MAX_EPOCHS = 3
 Schedule = Sequence[tuple[float, float]]
+#: The production curriculum, integrals 1, 2 and 3: fades in; rises to the middle and falls; fades out.
+CYCLE: tuple[Schedule, ...] = (((0.0, 0.0), (1.0, 2.0)), ((0.0, 1.0), (0.5, 3.0), (1.0, 1.0)), ((0.0, 4.0), (1.0, 2.0)))
+MAX_EPOCHS = 3
 
 
 def word_count(text: Column) -> Column:

@@ -63,7 +63,10 @@ FROM m JOIN clean USING (r) LEFT JOIN best USING (r) LEFT JOIN t ON t.conv_id =
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count(F.col("text")).alias("words"))
     mixed = mixing.mix(docs, size=F.col("words"))
-    return mixed.select("doc_id", *[F.col("mix")[c].alias(c) for c in ("size", "source_size", "target", "taken")])
+    rows = mixed.select("doc_id", *[F.col("mix")[c].alias(c) for c in ("size", "source_size", "target", "taken")], F.get("mix.copies.position", F.lit(0)).alias("at"))
+    # The SQL has no positions, so they give the rows' order: by first copy, documents without one last.
+    order = [F.col("at").asc_nulls_last(), "doc_id"]
+    return rows.repartitionByRange(*order).sortWithinPartitions(*order).drop("at")
 
 
 OP4_SQL = r"""

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import mixing
+from ledgerlake.llm import mixing, queries
 from tests.llm import brute
 
 
@@ -45,6 +45,26 @@ def test_steps_and_pauses_of_a_schedule(make_docs):
     assert min(ts) >= 0.5 and max(ts) < 1
 
 
+def test_the_production_mix_changes_over_time(make_docs):
+    assert [mixing.integral(x) for x in mixing.CYCLE] == [1.0, 2.0, 3.0]
+    docs = make_docs([(i, "w " * 10, "en", "abc"[i % 3]) for i in range(900)])
+    order = [r.source for r in mixing.stream(docs).collect()]
+    share = lambda part, s: part.count(s) / len(part)
+    third = len(order) // 3
+    first, middle, last = order[:third], order[third : 2 * third], order[2 * third :]
+    assert share(first, "a") < share(middle, "a") < share(last, "a") and share(first, "c") > share(last, "c")
+    assert share(middle, "b") > max(share(first, "b"), share(last, "b"))
+
+
+def test_op4_rows_stand_in_training_order(spark, make_docs, tmp_path):
+    docs = make_docs([(i, "w " * 10, "en", "abc"[i % 3]) for i in range(300)])
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    at = {r.doc_id: r.t for r in mixing.mix(docs).select("doc_id", F.get("mix.copies.position", F.lit(0)).alias("t")).collect()}
+    got = [at[r.doc_id] for r in queries.op4_mixing(spark, str(tmp_path)).collect()]
+    placed = [t for t in got if t is not None]
+    assert got[: len(placed)] == sorted(placed) and len(got) == 300
+
+
 def test_stream_repeats_and_orders(make_docs):
     docs = make_docs([(i, "w " * 10, "en", "abc"[i % 3]) for i in range(90)] + [(500, None, "en", "a"), (501, "", "en", "a")])
     n = {r.doc_id: len(r.copies) for r in mixing.mix(docs).select("doc_id", "mix.copies").collect()}

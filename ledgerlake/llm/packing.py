@@ -36,15 +36,15 @@ class Encoder(dict):
     The pattern before the merges never joins a non-blank character with a following blank, and
     takes a single blank together with the non-blank after it. So a text may be cut before each
     such blank, and the words' ids, kept by word, are joined. Words not seen yet are merged by
-    tiktoken with the ranks of the same file (equal ids, faster); very long ones, and files of
-    another kind, go to ``tokenizers`` itself.
+    tiktoken with the ranks of the same file (equal ids, faster); very long ones, files of another
+    kind, and texts that hold the string of an added token go to ``tokenizers`` itself.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.slow = Tokenizer.from_file(path)
-        self.slow.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.added = [t.content for t in self.slow.get_added_tokens_decoder().values()]
         self.fast = self._ranks(path)
 
     @staticmethod
@@ -78,6 +78,8 @@ class Encoder(dict):
             return b""
         if self.fast is None:
             return self[text]
+        if any(t in text for t in self.added):
+            return np.array(self.slow.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         if _UNEVEN.search(text):
             words = _CUT.split(text)
         else:

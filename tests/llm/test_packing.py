@@ -22,6 +22,10 @@ def test_encoder_equals_the_tokenizer_file(slow):
     for _ in range(3000):
         text = "".join(rng.choice(marks) for _ in range(rng.randint(0, 14)))
         assert np.frombuffer(encode(text), "<u4").tolist() == slow(text), repr(text)
+    for _ in range(300):
+        text = "".join(rng.choice([*marks, "<|endoftext|>", "<|endof"]) for _ in range(rng.randint(0, 14))) + "<|endoftext|> b"
+        assert np.frombuffer(encode(text), "<u4").tolist() == slow(text), repr(text)
+    assert np.frombuffer(encode("a <|endoftext|> b"), "<u4").tolist() == [64, 220, 50256, 275]
     for text in ("a" * 5000, " " * 3000, "word " * 3000, "é中" * 2000):
         assert np.frombuffer(encode(text), "<u4").tolist() == slow(text)
 

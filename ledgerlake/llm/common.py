@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -47,6 +48,13 @@ def landed(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a Parquet table in the cluster's checkpoint folder, read back with its columns prunable."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def texts(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     """The strings of a column, null as empty."""
     return [t or "" for t in batch.column(name).to_pylist()]

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import chat, chunks, langid, mixing, packing, pii, quality, simhash, substrings, toxicity
+from ledgerlake.llm import (
+    bestfit, chat, chunks, langid, lexical, mixing, packing, pii, quality, simhash, substrings, toxicity, whitening,
+)
 from ledgerlake.llm.common import held_out, table
 
 
@@ -148,9 +150,46 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP11_SQL = r"""
+WITH words AS (SELECT r, doc_id, unnest(regexp_extract_all(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+               FROM (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents)),
+asked AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+size AS (SELECT r, doc_id, count(*)::BIGINT AS n FROM words GROUP BY r, doc_id),
+total AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM size),
+posting AS (SELECT r, term, count(*)::BIGINT AS tf FROM words WHERE term IN (SELECT term FROM asked) GROUP BY r, term),
+weight AS (SELECT term, floor(1000 * ln((2 * max(docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM posting CROSS JOIN total GROUP BY term),
+part AS (SELECT r, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // terms))) AS part
+         FROM posting JOIN size USING (r) JOIN weight USING (term) CROSS JOIN total),
+score AS (SELECT item_id, r, doc_id, sum(part)::BIGINT AS score FROM asked JOIN part USING (term) GROUP BY item_id, r, doc_id)
+SELECT item_id, rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id ASC NULLS LAST)::INTEGER AS rank FROM score WHERE score > 0)
+WHERE rank <= 10
+"""
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_bestfit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bestfit.pack(table(spark, sf_dir, "documents"), tokenizer_file(), keep_ids=False)
+
+
+_QUERIES = (
+    op1_simhash, op2_language, op3_chat, op4_mixing, op5_packing, op6_chunks, op7_substrings, op8_quality, op9_pii, op10_toxicity,
+    op11_lexical, op12_whitening, op13_bestfit,
+)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op2_language, op3_chat, op4_mixing, op5_packing, op6_chunks, op7_substrings, op8_quality, op9_pii, op10_toxicity)}
+    return {f.__name__: f for f in _QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_chat": OP3_SQL, "op4_mixing": OP4_SQL, "op8_quality": OP8_SQL}
+    return {"op3_chat": OP3_SQL, "op4_mixing": OP4_SQL, "op8_quality": OP8_SQL, "op11_lexical": OP11_SQL}

@@ -20,8 +20,6 @@ equal positions within their runs' tokens, so only runs with the same token need
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -29,8 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import map_partitions, texts
-from ledgerlake.session import ensure_checkpoint_dir
+from ledgerlake.llm.common import map_partitions, texts, written
 
 LENGTH, TOKEN = 100, 32
 SPLITTER_DOCS, SPLITTER_RUNS = 1000, 2000  # documents sampled for splitters, and runs of each
@@ -41,13 +38,6 @@ _LAST = (1 << 63) - 1  # stands for a null id: null ids come last
 _HIGH = np.uint64(0xFFFFFFFF00000000)
 
 
-def _written(df: DataFrame) -> DataFrame:
-    """``df`` as a Parquet table in the checkpoint folder."""
-    path = f"{ensure_checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def _hashes(flat: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each ``TOKEN``-byte gram, by doubling."""
     h = (flat.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
@@ -364,7 +354,7 @@ def repeated(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text
     rows = _rows(docs, id_col, text_col)
     n = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     splitters = _splitters(rows, n, length)
-    found = _written(_settled(_runs_by_token(rows, splitters, length), splitters))
+    found = written(_settled(_runs_by_token(rows, splitters, length), splitters))
     spans = found.where("kind = 0").select("doc", "h", "lo", "n")
     sorted_ = _by_sorting(_cut_out(found.where("kind = 1"), rows, length, False), length)
     out = spans.union(sorted_)

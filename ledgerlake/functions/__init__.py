@@ -7,10 +7,12 @@ inside whole-stage codegen and run on the executors.
 from ledgerlake.functions.text import title_case, trim_ws, regex_first
 from ledgerlake.functions.json import (
     json_array,
-    json_records,
+    json_document,
+    json_elements,
+    json_query,
     json_scalar,
     json_subdoc,
-    json_value_text,
+    json_value,
     row_to_json,
     strip_json_quotes,
 )
@@ -30,10 +32,12 @@ __all__ = [
     "bucket",
     "days_between",
     "json_array",
-    "json_records",
+    "json_document",
+    "json_elements",
+    "json_query",
     "json_scalar",
     "json_subdoc",
-    "json_value_text",
+    "json_value",
     "local_date",
     "money",
     "n0",

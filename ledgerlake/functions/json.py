@@ -2,37 +2,56 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.functions._util import as_col
 
-
-_STRING_OR_NUMBER = r'("[^"\\]*+(?:\\.[^"\\]*+)*+")|(-?[0-9]+(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?)'
+_STRING_OR_NUMBER = r'("[^"\\]*+(?:\\.[^"\\]*+)*+")|(-?(?:0|[1-9][0-9]*)(?![0-9])(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?)'
+_NUMBER = "\ufdd0"  # a noncharacter of Unicode: stands before a number held as a string
 
 
-def numbers_as_text(c: Column | str) -> Column:
-    """The document with every number turned into a string of the same characters.
+def json_document(c: Column | str) -> Column:
+    """JSON text as a VARIANT in which numbers keep the characters they are written with; NULL if malformed.
 
-    Spark's JSON readers re-format numbers (``1.0`` may come back as ``1``, ``1e2`` as
-    ``100.0``); read as strings they stay as written. Strings of the document are skipped.
+    A VARIANT re-formats numbers (``1.0`` may come back as ``1``, ``1e2`` as ``100.0``), so they are
+    stored as marked strings; ``json_value`` and ``json_query`` take the mark off again.
     """
-    marked = F.regexp_replace(F.translate(as_col(c), "\x01", " "), _STRING_OR_NUMBER, "$1\x01$2\x01")
-    return F.regexp_replace(F.regexp_replace(marked, "\x01\x01", ""), "\x01", '"')
+    marked = F.regexp_replace(F.translate(as_col(c), "\x01" + _NUMBER, "  "), _STRING_OR_NUMBER, "$1\x01$2\x01")
+    return F.try_parse_json(F.regexp_replace(F.regexp_replace(marked, "\x01\x01", ""), "\x01([^\x01]*)\x01", f'"{_NUMBER}$1"'))
+
+
+def json_value(doc: Column | str, path: str = "$") -> Column:
+    """Scalar at ``path`` of a ``json_document`` as the text it is written with; NULL for objects, arrays,
+    JSON nulls and missing paths (trap G13)."""
+    doc = as_col(doc)
+    container = F.schema_of_variant(F.try_variant_get(doc, path, "variant")).rlike("^(OBJECT|ARRAY)")
+    return F.when(~container, F.translate(F.try_variant_get(doc, path, "string"), _NUMBER, ""))
+
+
+def json_query(doc: Column | str, path: str = "$") -> Column:
+    """What stands at ``path`` of a ``json_document``: a scalar as text, an object or array as compact JSON
+    text, its keys in ascending order and its numbers as written."""
+    text = F.try_variant_get(as_col(doc), path, "string")
+    return F.translate(F.regexp_replace(text, f'"{_NUMBER}([^"]*)"', "$1"), _NUMBER, "")
 
 
 def json_scalar(c: Column | str, path: str = "$") -> Column:
-    """Scalar at ``path`` as the text the document has; NULL for objects, arrays, missing paths and bad JSON.
+    """``json_value`` of a JSON text, parsed once."""
+    return json_value(json_document(c), path)
+
+
+def json_elements(df: DataFrame, doc: str, out: str = "element") -> DataFrame:
+    """One row per element of the JSON array in column ``doc``, which gives way to ``out``: the element
+    as part of a ``json_document``.
 
-    ``get_json_object`` also returns objects and arrays as text, so the kind is looked up in
-    the parsed document (trap G13).
+    A lateral ``variant_explode``: the text is parsed once a row, without a shuffle. NULL, malformed
+    text (repeated keys included) and documents that are no array have no rows.
     """
-    parsed = F.try_variant_get(F.try_parse_json(as_col(c)), path, "variant")
-    kind = F.schema_of_variant(parsed)
-    scalar = parsed.isNotNull() & ~kind.rlike("^(OBJECT|ARRAY|VOID)")
-    return F.when(scalar, F.get_json_object(numbers_as_text(c), path))
+    others = [c for c in df.columns if c != doc]
+    rows = df.select(*[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(others)], F.col(f"`{doc}`").alias("_doc"))
+    found = rows.lateralJoin(df.sparkSession.tvf.variant_explode(json_document(F.col("_doc").outer()))).where(F.col("key").isNull())
+    return found.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(others)], F.col("value").alias(out))
 
 
 def json_subdoc(c: Column | str, path: str) -> Column:
@@ -60,38 +79,3 @@ def row_to_json(*cols: str | Column) -> Column:
     """Whole row (or the given columns) as one JSON object, NULL fields kept."""
     target = F.struct(*cols) if cols else F.struct("*")
     return F.to_json(target, {"ignoreNullFields": "false"})
-
-
-def json_value_text(x: Column | str) -> Column:
-    """``JSON_VALUE`` rule on a field parsed as text: NULL when the text is a JSON object or array.
-
-    The (costly) re-parse only runs for values starting with ``{`` or ``[``.
-    """
-    x = as_col(x)
-    container = F.schema_of_variant(F.try_parse_json(x)).rlike("^(OBJECT|ARRAY)")
-    return F.when(x.startswith("{") | x.startswith("["), F.when(container, F.lit(None).cast("string")).otherwise(x)).otherwise(x)
-
-
-def json_records(c: Column | str, fields: Sequence[str]) -> Column:
-    """Parse a JSON array held as text into ``array<struct<field: string, ...>>``.
-
-    The array is split into its elements first, so an element that is no object
-    gives a record of NULLs and spoils none of the others. Each field comes back
-    as text: scalars as written, objects and arrays as compact JSON text (``JSON_QUERY``), re-written by
-    Spark's JSON reader; apply ``json_value_text`` after exploding to get ``JSON_VALUE``'s NULL for
-    containers. NULL or malformed input, or a document that is no array, gives an
-    empty array.
-    """
-    text = F.ltrim(as_col(c))
-    is_array = text.startswith("[") & F.try_parse_json(text).isNotNull()
-    schema = "struct<" + ",".join(f"`{n}`:string" for n in fields) + ">"
-    as_written = F.when(is_array, F.from_json(text, "array<string>"))
-    as_text = F.when(is_array, F.from_json(numbers_as_text(text), "array<string>"))
-
-    def record(element: Column, i: Column) -> Column:
-        is_object = F.ltrim(element).startswith("{")
-        values = F.from_json(F.when(is_object, element), schema)
-        whole = F.from_json(F.when(is_object, F.get(as_written, i)), schema)  # containers keep numbers as numbers
-        return F.struct(*[F.when(values[n].rlike(r"^[{\[]"), whole[n]).otherwise(values[n]).alias(n) for n in fields])
-
-    return F.coalesce(F.transform(as_text, record), F.array().cast(f"array<{schema}>"))

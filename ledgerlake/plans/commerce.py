@@ -14,8 +14,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.functions import (
-    json_records,
-    json_value_text,
+    json_elements,
+    json_query,
+    json_value,
     local_date,
     n0,
     regex_first,
@@ -59,16 +60,13 @@ def clean_orders(
 def explode_tax_lines(line_items: DataFrame, line_id: str = "id", order_id: str = "order_id", tax_lines: str = "tax_lines") -> DataFrame:
     """One row per tax line held in a JSON array column; lines with none (or bad JSON) disappear.
 
-    The array is parsed once per line into structs (``json_records``); numeric
+    The array is parsed once per line and exploded as a VARIANT (``json_elements``); numeric
     fields are then safe-cast from their text, as ``SAFE_CAST(JSON_VALUE(..))``.
     """
-    fields = ["channel_agnostic", "title", "rate", "rate_percentage", "price"]
-    e = line_items.select(
-        F.col(line_id).alias("order_line_id"),
-        F.col(order_id).alias("order_id"),
-        F.explode(json_records(tax_lines, [*fields, "price_set"])).alias("_t"),
+    e = json_elements(
+        line_items.select(F.col(line_id).alias("order_line_id"), F.col(order_id).alias("order_id"), F.col(tax_lines).alias("tax_lines")), "tax_lines", "tax"
     )
-    v = {f: json_value_text(f"_t.{f}") for f in fields}
+    v = {f: json_value("tax", f"$.{f}") for f in ("channel_agnostic", "title", "rate", "rate_percentage", "price")}
     return e.select(
         "order_line_id",
         "order_id",
@@ -77,7 +75,7 @@ def explode_tax_lines(line_items: DataFrame, line_id: str = "id", order_id: str
         safe_num(v["rate"]).alias("rate"),
         safe_num(v["rate_percentage"]).alias("rate_percentage"),
         safe_num(v["price"]).alias("price"),
-        F.col("_t.price_set").alias("price_set"),
+        json_query("tax", "$.price_set").alias("price_set"),
     )
 
 
@@ -92,16 +90,16 @@ def free_product_discount(
 ) -> DataFrame:
     """Per order: minus the price of distinct lines whose JSON ``properties`` hold ``{name, value}`` = ``prop``.
 
-    Tested with the ``exists`` higher-order function on the array parsed once
-    per line, so lines are not exploded; a property listed twice still counts
-    the line once.
+    The array is parsed once per line; only entries that match leave the scan, so a property
+    listed twice still counts the line once, without its other properties being shuffled.
     """
     name, value = prop
-    entries = json_records(properties, ["name", "value"])
-    hit = F.exists(entries, lambda e: (e["name"] == F.lit(name)) & (e["value"] == F.lit(value)))
-    lines = line_items.where(hit).select(
-        F.col(line_id).alias("_lid"), F.col(order_id).alias("order_id"), (-safe_num(price)).alias("discount")
-    ).distinct()
+    entries = json_elements(
+        line_items.select(F.col(line_id).alias("_lid"), F.col(order_id).alias("order_id"), F.col(price).alias("_price"), F.col(properties).alias("_props")),
+        "_props", "_prop",
+    )
+    hit = entries.where((json_value("_prop", "$.name") == F.lit(name)) & (json_value("_prop", "$.value") == F.lit(value)))
+    lines = hit.select("_lid", "order_id", (-safe_num("_price")).alias("discount")).distinct()
     return lines.groupBy("order_id").agg(F.sum("discount").alias("discount"))
 
 

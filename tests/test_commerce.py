@@ -230,12 +230,13 @@ def test_a_currency_with_two_rates_is_an_error(spark):
 
 
 def test_json_arrays_keep_their_good_elements_and_number_texts(spark):
-    from ledgerlake.functions.json import json_records, json_scalar
+    from ledgerlake.functions.json import json_elements, json_query, json_scalar
 
     doc = '[{"rate":0.20,"t":"1.0 , 2"},"x",{"rate":1e2,"t":{"b": 1}},null,5,{"rate":null,"t":"q\\"7\\""}]'
-    df = spark.createDataFrame([(doc,), ("bad",), (None,), ("[]",), ('{"rate":1}',), ("[1,",), (' [{"rate":1.0}] ',)], "j string")
-    got = [[tuple(x) for x in r[0]] for r in df.select(json_records("j", ["rate", "t"])).collect()]
-    assert got[0] == [("0.20", "1.0 , 2"), (None, None), ("1e2", '{"b":1}'), (None, None), (None, None), (None, 'q"7"')]
-    assert got[1:] == [[], [], [], [], [], [("1.0", None)]]
+    docs = [doc, "bad", None, "[]", '{"rate":1}', "[1,", ' [{"rate":1.0}] ', "[01]", "[1.]", "[1 2]"]
+    df = spark.createDataFrame(list(enumerate(docs)), "i int, j string")
+    got = [tuple(r) for r in json_elements(df, "j").select("i", json_query("element", "$.rate"), json_query("element", "$.t")).collect()]
+    assert [g[1:] for g in got if not g[0]] == [("0.20", "1.0 , 2"), (None, None), ("1e2", '{"b":1}'), (None, None), (None, None), (None, 'q"7"')]
+    assert [g for g in got if g[0]] == [(6, "1.0", None)]
     one = spark.createDataFrame([('{"a":1.0,"b":"0.20","c":1e2,"d":{"x":1},"e":null,"f":true,"g":[1]}',)], "j string")
     assert list(one.select(*[json_scalar("j", f"$.{k}") for k in "abcdefgh"]).first()) == ["1.0", "0.20", "1e2", None, None, "true", None, None]

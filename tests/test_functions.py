@@ -81,13 +81,22 @@ def test_row_to_json_keeps_nulls(spark):
     assert df.select(row_to_json()).collect()[0][0] == '{"a":1,"b":null}'
 
 
-def test_json_records_scalar_and_document_rules(spark):
-    from ledgerlake.functions import json_records, json_value_text
-
-    data = [('[{"title": {"x": 1}, "rate": 0.2, "doc": {"a": [1, 2]}}, {"title": "{not json", "rate": "7", "doc": null}]',),
-            ("not json",), (None,)]
-    df = spark.createDataFrame(data, "j string")
-    e = df.select(F.explode(json_records("j", ["title", "rate", "doc"])).alias("e"))
-    got = [tuple(r) for r in e.select(json_value_text("e.title"), json_value_text("e.rate"), F.col("e.doc")).collect()]
+def test_json_elements_scalar_and_document_rules(spark):
+    from ledgerlake.functions import json_elements, json_query, json_value
+
+    data = [('[{"title": {"x": 1}, "rate": 0.2, "doc": {"b": [1, 2.50], "a": "\\u0031"}}, {"title": "{not json", "rate": "7", "doc": null}]', 1),
+            ("not json", 2), (None, 3), ('[{"doc": 1, "doc": 2}]', 4)]
+    e = json_elements(spark.createDataFrame(data, "value string, key int"), "value", "pos")
+    assert e.columns == ["key", "pos"]
+    got = [tuple(r) for r in e.select("key", json_value("pos", "$.title"), json_value("pos", "$.rate"), json_query("pos", "$.doc")).collect()]
     # an object in a scalar field is NULL (JSON_VALUE); text that only starts with "{" is kept; docs stay JSON text
-    assert got == [(None, "0.2", '{"a":[1,2]}'), ("{not json", "7", None)]
+    assert got == [(1, None, "0.2", '{"a":"1","b":[1,2.50]}'), (1, "{not json", "7", None)]
+
+
+def test_json_is_parsed_once_a_row_and_not_shuffled(spark):
+    from ledgerlake.functions import json_elements, json_value
+
+    df = spark.createDataFrame([("[]", 1)], "j string, k int")
+    e = json_elements(df, "j").select("k", *[json_value("element", f"$.f{i}").alias(f"f{i}") for i in range(6)])
+    plan = e._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("parseJson") == 1 and "Exchange" not in plan and "Join" not in plan
\ No newline at end of file

@@ -9,7 +9,9 @@ from ledgerlake.sources.sinks import (
     inline_relation,
     merge_batches,
     merge_partitions,
+    kept_or_staged,
     next_bookmark,
+    replace_rows,
     schema_for,
     staged,
     upsert_by_key,
@@ -18,6 +20,7 @@ from ledgerlake.sources.sinks import (
 from ledgerlake.sources.tables import (
     column_catalog,
     jdbc_options,
+    path_exists,
     read_files,
     read_query,
     read_source,
@@ -35,7 +38,10 @@ __all__ = [
     "merge_batches",
     "merge_partitions",
     "jdbc_options",
+    "kept_or_staged",
     "next_bookmark",
+    "path_exists",
+    "replace_rows",
     "read_files",
     "read_query",
     "read_source",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgerlake.operators.columns import check_columns
 from ledgerlake.operators.keyed import latest_per_key
 from ledgerlake.operators.setops import union_all
+from ledgerlake.sources.tables import path_exists
 
 DEFAULT_SCHEMA = "marts"
 
@@ -82,6 +83,32 @@ def merge_partitions(
     write_table(merged, "", path=path, partition_by=partition_by)
 
 
+def replace_rows(
+    spark: SparkSession, path: str, rows: DataFrame, gone: DataFrame, key: str, partition: str, scratch: str
+) -> list:
+    """In the table at ``path``, partitioned by ``partition``: rows of the keys in ``gone`` or ``rows``
+    leave, then ``rows`` come in. Returns the partitions it read and rewrote.
+
+    Only the partitions that ``gone`` or ``rows`` name are read, with a literal partition filter;
+    they are staged at ``scratch``, then overwritten. One that has no rows left is removed. A repeat
+    with the same arguments changes nothing. The first call creates the table.
+    """
+    keys = gone.select(key, partition).unionByName(rows.select(key, partition)).distinct()
+    touched = [r[0] for r in keys.select(partition).distinct().collect()]  # a row a partition
+    merged = rows
+    if path_exists(spark, path):
+        old = spark.read.schema(rows.schema).parquet(path).where(F.col(partition).isin(touched))
+        merged = old.join(keys.select(key).distinct(), key, "left_anti").select(*rows.columns).unionByName(rows)
+    merged = staged(merged, scratch)
+    write_table(merged.hint("rebalance", partition), "", path=path, partition_by=[partition])
+    left = {r[0] for r in merged.select(partition).distinct().collect()}
+    for value in touched:
+        if value not in left:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{partition}={value}")
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return touched
+
+
 def deleted_rows(existing: DataFrame, snapshot: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``existing`` whose keys are absent from a full ``snapshot`` (hard deletes at source)."""
     return existing.join(snapshot.select(*keys), on=list(keys), how="left_anti")
@@ -126,6 +153,13 @@ def staged(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def kept_or_staged(spark: SparkSession, path: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """What an earlier attempt of this run finished writing at ``path``, else ``make()`` staged there."""
+    if path_exists(spark, f"{path}/_SUCCESS"):
+        return spark.read.parquet(path)
+    return staged(make(), path)
+
+
 def append_table(df: DataFrame, name: str | None = None, path: str | None = None, fmt: str = "parquet") -> None:
     """Create-if-absent, then append."""
     write_table(df, name or "", mode="append", path=path, fmt=fmt)

@@ -108,3 +108,9 @@ def column_catalog(df: DataFrame) -> list[tuple[str, str]]:
 
 def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is there, asked of the file system it names."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)

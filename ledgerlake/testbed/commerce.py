@@ -16,7 +16,8 @@ from ledgerlake.functions import local_date, money, title_case, trim_ws, utc_dat
 from ledgerlake.functions.json import json_scalar
 from ledgerlake.operators import neighbour_value
 from ledgerlake.plans import commerce as com
-from ledgerlake.sources.sinks import staged
+from ledgerlake.plans.incremental import LedgerRules, refresh_ledger
+from ledgerlake.sources.sinks import incremental_slice, staged
 from ledgerlake.testbed.base import CAL_START, CAL_YEARS, registry, scratch, table
 
 QUERIES, ORACLE, q = registry()
@@ -42,6 +43,10 @@ def _orders_with_country(spark, sf):
 
 def _line_frames(spark, sf):
     li = table(spark, sf, "lineitem")
+    return _line_frames_of(li, li.where(F.col("l_returnflag") == "R"))
+
+
+def _line_frames_of(li, returned):
     lines = li.select(
         line_id().alias("id"),
         F.col("l_orderkey").alias("order_id"),
@@ -51,7 +56,7 @@ def _line_frames(spark, sf):
         F.round(F.col("l_extendedprice") / F.col("l_quantity"), 2).alias("price"),
         F.col("l_quantity").alias("quantity"),
     )
-    refund_lines = li.where(F.col("l_returnflag") == "R").select(
+    refund_lines = returned.select(
         line_id().alias("line_item_id"), F.col("l_quantity").alias("quantity"), F.col("l_extendedprice").alias("subtotal")
     )
     tax_lines = li.select(
@@ -125,7 +130,11 @@ D4 = "decimal(18,4)"
 
 def _refund_inputs(spark, sf):
     li = table(spark, sf, "lineitem")
-    r = li.where(F.col("l_returnflag") == "R")
+    line_facts = li.select(line_id().alias("order_line_id"), F.col("l_quantity").alias("quantity"))
+    return (*_refund_inputs_of(li.where(F.col("l_returnflag") == "R"), table(spark, sf, "orders")), line_facts)
+
+
+def _refund_inputs_of(r, placed):
     price = money("l_extendedprice")
     refund_lines = r.select(
         refund_id().alias("id"), line_id().alias("line_item_id"), F.col("l_quantity").alias("quantity"),
@@ -134,7 +143,7 @@ def _refund_inputs(spark, sf):
     refunds = (
         r.select(refund_id().alias("id"), F.col("l_orderkey").alias("order_id"), F.col("l_shipdate").alias("created_at"))
         .distinct()
-        .join(table(spark, sf, "orders").select("o_orderkey", "o_custkey"), F.col("order_id") == F.col("o_orderkey"), "left")
+        .join(placed.select("o_orderkey", "o_custkey"), F.col("order_id") == F.col("o_orderkey"), "left")
         .select("id", "order_id", F.col("o_custkey").alias("user_id"), "created_at")
     )
     disc = price * F.col("l_discount").cast("decimal(4,2)")
@@ -145,7 +154,7 @@ def _refund_inputs(spark, sf):
         (-disc).alias("amount"),
         (-disc * F.col("l_tax").cast("decimal(4,2)")).alias("tax_amount"),
     )
-    orders = table(spark, sf, "orders").select(
+    orders = placed.select(
         F.col("o_orderkey").alias("id"),
         F.col("o_orderdate").alias("created_at"),
         (F.col("o_custkey") % 7).alias("app_id"),
@@ -156,8 +165,7 @@ def _refund_inputs(spark, sf):
         .alias("presentment_currency"),
         F.col("o_orderstatus").alias("billing_address__country"),
     )
-    line_facts = li.select(line_id().alias("order_line_id"), F.col("l_quantity").alias("quantity"))
-    return refund_lines, adjustments, refunds, orders, line_facts
+    return refund_lines, adjustments, refunds, orders
 
 
 # A refund is what comes back of one order on one day. Its lines count once per line that shares their id;
@@ -404,8 +412,10 @@ def q_next_order_date(spark, sf):
 
 def _json_lines(spark, sf):
     """Per line: a tax-line JSON array and a properties JSON array built from the line's own columns."""
-    li = table(spark, sf, "lineitem")
+    return _json_lines_of(table(spark, sf, "lineitem"))
+
 
+def _json_lines_of(li):
     def entry(title: str, rate: str, agnostic: str):
         price = F.round(F.col("l_extendedprice") * F.col(rate), 4)
         return F.format_string(
@@ -525,14 +535,16 @@ M2 = "decimal(18,2)"
 
 def _shop_orders(spark, sf):
     """Shop-shaped orders: money as 2-decimal values, test orders = pending low-priority orders."""
-    li = table(spark, sf, "lineitem")
+    return _shop_orders_of(_orders_with_country(spark, sf), table(spark, sf, "lineitem"))
+
+
+def _shop_orders_of(o, li):
     price = money("l_extendedprice")
     per = li.groupBy("l_orderkey").agg(
         F.sum(price * F.col("l_tax").cast("decimal(4,2)")).cast(M2).alias("_tax"),
         F.sum(price * F.col("l_discount").cast("decimal(4,2)")).cast(M2).alias("_disc"),
         F.sum(price).cast(M2).alias("_items"),
     )
-    o = _orders_with_country(spark, sf)
     j = o.join(per, o.o_orderkey == per.l_orderkey, "left")
     total = money("o_totalprice")
     return j.select(
@@ -561,24 +573,31 @@ def _shop_orders(spark, sf):
 def shop_ledger(spark, sf):
     """The chain C2 -> C5 -> (C6, C8): cleaned orders and line facts are stages of their own, written once
     and read by the refund ledger, the first orders and the order metrics."""
+    from ledgerlake.plans.customer import first_orders
+
+    li = table(spark, sf, "lineitem")
     orders = staged(com.clean_orders(_shop_orders(spark, sf), zone="UTC"), scratch(spark, "orders"))
-    lines, refund_lines, tax_lines = _line_frames(spark, sf)
+    first = first_orders(orders, columns=["id"]).select(F.col("id").alias("order_id"))
+    return _ledger_of(spark, sf, orders, table(spark, sf, "orders"), li, li.where(F.col("l_returnflag") == "R"), first, scratch(spark, "line_facts"))
+
+
+def _ledger_of(spark, sf, orders, placed, li, returned, first, stage):
+    """Ledger rows of cleaned ``orders``, ``placed`` as they landed, their lines and refunded lines."""
+    lines, refund_lines, tax_lines = _line_frames_of(li, returned)
     products = table(spark, sf, "part").select(
         F.col("p_partkey").alias("id"), F.col("p_name").alias("handle"), F.col("p_type").alias("product_type"),
         F.col("p_brand").alias("vendor"),
     )
     facts = com.order_line_facts(lines, orders, products, refund_lines, tax_lines, home=HOME, with_order_total=False)
-    line_facts = staged(facts, scratch(spark, "line_facts"))
-    shipping = table(spark, sf, "lineitem").where(F.col("l_returnflag") == "A").select(
+    # Only what the order and refund measures read of the line facts is written.
+    line_facts = staged(facts.select("order_id", "order_line_id", "rate", "gross_sales", "quantity"), stage)
+    shipping = li.where(F.col("l_returnflag") == "A").select(
         F.col("l_orderkey").alias("order_id"),
         (money("l_extendedprice") * F.col("l_discount").cast("decimal(4,2)")).cast(M2).alias("price"),
     )
-    fpd = com.free_product_discount(_json_lines(spark, sf))
-    from ledgerlake.plans.customer import first_orders
-
-    first = first_orders(orders, columns=["id"]).select(F.col("id").alias("order_id"))
+    fpd = com.free_product_discount(_json_lines_of(li))
     order_days = com.order_day_metrics(orders, shipping, line_facts, fpd, first, since=LEDGER_SINCE)
-    back = com.refund_ledger(*_refund_inputs(spark, sf)[:4], line_facts, zone="UTC", num=D4)
+    back = com.refund_ledger(*_refund_inputs_of(returned, placed), line_facts, zone="UTC", num=D4)
     ledger = com.order_metrics_ledger(order_days, back, calendar={"start": CAL_START, "years": CAL_YEARS})
     money_cols = [
         "tax", "shipping_cost", "duties", "discount", "returns", "total_sales", "total_sales_plus_returns",
@@ -641,6 +660,64 @@ FROM ledger
 q("shop_ledger", _shop_ledger_sql())(shop_ledger)
 
 
+def ledger_rules(spark, sf, **more):
+    """The ledger chain on landed orders, lines and refunded lines (``LedgerRules``)."""
+
+    def cleaned(t):
+        return com.clean_orders(_shop_orders_of(t["orders"], t["lines"]), zone="UTC")
+
+    def chain(t, first):
+        return _ledger_of(spark, sf, cleaned(t), t["orders"], t["lines"], t["refunds"], first, scratch(spark, "line_facts"))
+
+    keys = {"orders": "o_orderkey", "lines": "l_orderkey", "refunds": "l_orderkey"}
+    return LedgerRules(keys, lambda t: cleaned(t).select("id", "email", "created_at"), chain, **more)
+
+
+LEDGER_CUT = "1997-07-01"
+
+
+def landings(spark, sf):
+    """Landed rows with the number of the run that brings them: a base load, then new orders, then late
+    refunds, then corrections (a moved order day, a changed e-mail, a test order that is none)."""
+    o = _orders_with_country(spark, sf).select(*table(spark, sf, "orders").columns, "c_name", "n_name")
+    li = table(spark, sf, "lineitem")
+    key = F.col("o_orderkey")
+    old = F.col("o_orderdate") < F.lit(LEDGER_CUT).cast("timestamp_ntz")
+    wrong_day, wrong_name, wrong_test = old & (key % 11 == 0), old & (key % 13 == 0), old & (key % 17 == 0)
+    first = o.withColumns(
+        {
+            "o_orderdate": F.when(wrong_day, F.col("o_orderdate") + F.expr("INTERVAL 40 DAYS")).otherwise(F.col("o_orderdate")),
+            "c_name": F.when(wrong_name, F.concat("c_name", F.lit("?"))).otherwise(F.col("c_name")),
+            "o_orderpriority": F.when(wrong_test, F.lit("5-LOW")).otherwise(F.col("o_orderpriority")),
+            "o_orderstatus": F.when(wrong_test, F.lit("P")).otherwise(F.col("o_orderstatus")),
+            "landed": F.when(old, F.lit(0)).otherwise(F.lit(1)),
+        }
+    )
+    orders = first.unionByName(o.where(wrong_day | wrong_name | wrong_test).withColumn("landed", F.lit(3)))
+    when = o.select(key.alias("_key"), old.alias("_old"))
+    lines = li.join(when, li.l_orderkey == when._key, "left").withColumn("_run", F.when(F.col("_old"), 0).otherwise(1)).drop("_key", "_old")
+    late = F.when((F.col("_run") == 0) & (F.col("l_orderkey") % 7 == 0), F.lit(2)).otherwise(F.col("_run"))
+    return {
+        "orders": orders,
+        "lines": lines.withColumnRenamed("_run", "landed"),
+        "refunds": lines.where(F.col("l_returnflag") == "R").withColumn("landed", late).drop("_run"),
+    }
+
+
+@q("shop_ledger_incremental", _shop_ledger_sql())
+def q_shop_ledger_incremental(spark, sf):
+    """The shop ledger after a base load and three slices, each recomputing the orders it touches only."""
+    root, rules, landed, seen = scratch(spark, "ledger"), ledger_rules(spark, sf, orders_per_part=1 << 14, email_buckets=8), landings(spark, sf), None
+    landed = {name: staged(rows, f"{root}/source/{name}") for name, rows in landed.items()}
+    for run in range(4):
+        new = {name: incremental_slice(rows, "landed", seen).where(F.col("landed") <= run).drop("landed") for name, rows in landed.items()}
+        if run:  # only tables something landed for
+            new = {name: rows for name, rows in new.items() if not rows.isEmpty()}
+        ledger = refresh_ledger(spark, root, f"{root}/runs/{run}", new, rules)
+        seen = run + 1
+    return ledger.drop("ledger_month")
+
+
 def shop_ledger_rows_sql() -> str:
     """CTE ``ledger_ids``: order_id and orders_order_id of the ledger's rows. An order day has its
     order; a refund day of the same order on another day, or of an order that is a test or older

@@ -63,8 +63,12 @@ def volume_anomalies(
     df: DataFrame, ts: str, keys: Sequence[str] = (), train: int = 14, k: float = 3.0
 ) -> DataFrame:
     """Daily row count (zero-filled between first and last day) vs its trailing baseline."""
-    day = F.to_date(ts).alias("day")
-    counts = df.groupBy(*keys, day).agg(F.count(F.lit(1)).alias("row_count"))
+    counts = df.groupBy(*keys, F.to_date(ts).alias("day")).agg(F.count(F.lit(1)).alias("row_count"))
+    return volume_of_counts(counts, keys, train, k)
+
+
+def volume_of_counts(counts: DataFrame, keys: Sequence[str] = (), train: int = 14, k: float = 3.0) -> DataFrame:
+    """D1 from daily counts ``(keys, day, row_count)``."""
     daily = _spine(counts, keys, "day").join(counts, [*keys, "day"], "left").withColumn(
         "row_count", F.coalesce(F.col("row_count"), F.lit(0)).cast("bigint")
     )
@@ -81,17 +85,29 @@ def freshness_anomalies(
     inside an hour come from a window over that hour's distinct stamps, and a second
     window over the short series of hours adds the gaps between hours.
     """
+    return freshness_of_hours(hour_gaps(df, ts, keys), keys, train, k)
+
+
+def _seconds(a: Column | str, b: Column | str) -> Column:
+    # timestamp_diff on wall-clock (NTZ) values does not depend on the session time zone
+    return F.timestamp_diff("MICROSECOND", a, b) / F.lit(1e6)
+
+
+def hour_gaps(df: DataFrame, ts: str, keys: Sequence[str] = ()) -> DataFrame:
+    """``(keys, _hour, _first, _last, _inner)``: first and last stamp of each hour with rows, and the largest gap between."""
     hour = F.date_trunc("HOUR", F.col(ts)).cast("timestamp_ntz")
     stamps = df.where(F.col(ts).isNotNull()).groupBy(*keys, hour.alias("_hour"), F.col(ts).alias("_ts")).agg(F.count(F.lit(1)).alias("_n"))
-    # timestamp_diff on wall-clock (NTZ) values does not depend on the session time zone
-    seconds = lambda a, b: F.timestamp_diff("MICROSECOND", a, b) / F.lit(1e6)
     inside = Window.partitionBy(*keys, "_hour").orderBy("_ts")
-    hours = stamps.withColumn("_gap", seconds(F.lag("_ts").over(inside), F.col("_ts"))).groupBy(*keys, "_hour").agg(
+    return stamps.withColumn("_gap", _seconds(F.lag("_ts").over(inside), F.col("_ts"))).groupBy(*keys, "_hour").agg(
         F.min("_ts").alias("_first"), F.max("_ts").alias("_last"),
         F.greatest(F.max("_gap"), F.max(F.when(F.col("_n") > 1, F.lit(0.0)))).alias("_inner"),
     )
+
+
+def freshness_of_hours(hours: DataFrame, keys: Sequence[str] = (), train: int = 14, k: float = 3.0) -> DataFrame:
+    """D2 from ``hour_gaps``."""
     series = Window.partitionBy(*keys).orderBy("_hour")
-    between = hours.withColumn("_gap", F.greatest("_inner", seconds(F.lag("_last").over(series), F.col("_first"))))
+    between = hours.withColumn("_gap", F.greatest("_inner", _seconds(F.lag("_last").over(series), F.col("_first"))))
     daily = between.groupBy(*keys, F.to_date("_hour").alias("day")).agg(F.max("_gap").alias("max_gap_seconds"))
     return zscore_flags(daily, keys, "day", "max_gap_seconds", train, k)
 

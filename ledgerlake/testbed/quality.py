@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from ledgerlake.operators import label_columns, zero_fill_daily
 from ledgerlake.plans import quality as dq
-from ledgerlake.testbed.base import registry, table
+from ledgerlake.plans.monitor_state import absorb_all, fold, monitors
+from ledgerlake.testbed.base import registry, scratch, table
 
 QUERIES, ORACLE, q = registry()
 
@@ -584,3 +585,48 @@ def q_column_monitors(spark, sf):
     """All metrics of a column with missing values, in one scan."""
     e = table(spark, sf, "events").withColumn("v", F.when(F.col("user_id") % 7 != 0, F.col("value")))
     return dq.column_monitors(e, ["v"], "ts", keys=["event_type"])
+
+
+STATE_FROM = ("1996-01-01", "2024-01-15")  # first loads of orders and events end here
+
+
+@q(
+    "monitors_from_state",
+    f"""
+WITH src AS (
+  SELECT 'orders' AS table_name, o_orderdate AS ts, 'v' AS column_name, sqrt(o_totalprice) AS v FROM orders
+  UNION ALL SELECT 'events', ts, 'v', if(user_id % 7 = 0, NULL, sqrt(abs(value))) FROM events
+),
+m AS (
+  SELECT table_name, column_name, ts::DATE AS day, unnest(['mean', 'stddev', 'min', 'max', 'null_rate']) AS metric,
+         unnest([avg(v), stddev_samp(v), min(v), max(v), avg((v IS NULL)::INT)]) AS metric_value
+  FROM src GROUP BY table_name, column_name, ts::DATE
+),
+src_monitors AS ({MONITOR_SQL})
+SELECT table_name, 'column' AS monitor, column_name, metric, day, {sround('metric_value')} AS metric_value,
+       {_zsql_key('metric_value', 'table_name, column_name, metric')}
+FROM m
+UNION ALL
+SELECT table_name, monitor, NULL, if(monitor = 'volume', 'row_count', 'max_gap_seconds'), day, {sround('metric_value')},
+       baseline_mean, baseline_std, z_score, is_anomaly
+FROM src_monitors WHERE table_name <> 'lineitem'
+""",
+)
+def q_monitors_from_state(spark, sf):
+    """Volume, freshness and column monitors of two tables after four runs over kept state: a first load, two
+    daily slices and late rows of all days. The runs read their slices, not the tables. (Roots of amounts: their
+    means don't fall on a rounding boundary, as means of cents do.)"""
+    root = scratch(spark, "monitors")
+    orders = table(spark, sf, "orders").withColumn("v", F.sqrt("o_totalprice"))
+    events = table(spark, sf, "events").withColumn("v", F.when(F.col("user_id") % 7 != 0, F.sqrt(F.abs("value"))))
+    sources = {"orders": (orders, "o_orderdate", "o_orderkey"), "events": (events, "ts", "event_id")}
+    for run in range(4):
+        slices = {}
+        for (name, (df, ts, key)), cut in zip(sources.items(), STATE_FROM):
+            late, old, even = F.col(key) % 19 == 0, F.col(ts) < F.lit(cut).cast("timestamp_ntz"), F.col(key) % 2 == 0
+            landed = F.when(late, 3).when(old, 0).when(even, 1).otherwise(2)
+            slices[name] = {"new": df.where(landed == run), "landed": df.where(landed <= run), "ts": ts, "columns": ["v"]}
+        absorb_all(spark, root, run, slices)
+        if run == 1:
+            root = fold(spark, root, f"{root}-folded", run)
+    return monitors(spark, root)

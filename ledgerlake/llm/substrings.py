@@ -9,12 +9,14 @@ equal positions within their runs' tokens, so only runs with the same token need
 1. Runs are range-partitioned by token with sampled splitters, as two hashes (token, whole run)
    and a position. Within a range, runs are sorted; a run that also occurs earlier goes whole.
    Each task first does the same with its own rows, so a passage or a group of copies that fills a
-   third of the corpus reaches a range as one row a task. Tokens too frequent for one range are
+   third of the corpus reaches a range as one row a task. Tokens that fill more than a range are
    spread over several by run, and count as unsettled across the boundaries.
 2. A run that is the first of its kind, but whose token has other kinds too (the edges of copied
    passages), is cut out of its text, and its suffixes are sorted by multikey quicksort on 8-byte
-   characters; equal neighbours keep the earliest. Tokens with very many kinds take their suffixes
-   through a map-side combined minimum by 128-bit hash instead.
+   characters; equal neighbours keep the earliest. Where a token has very many kinds, or is spread
+   over ranges, its suffixes are sorted so in the task that cuts them out, which settles all but one
+   of each kind; what is left is range-partitioned by sampled splitters, whole suffixes that may
+   differ in any byte, and sorted again in each range. Equal suffixes always share a range.
 3. The removed windows of each document are merged and cut out of its bytes.
 """
 
@@ -26,12 +28,13 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from ledgerlake.llm.common import map_partitions, texts, written
 
 LENGTH, TOKEN = 100, 32
 SPLITTER_DOCS, SPLITTER_RUNS = 1000, 2000  # documents sampled for splitters, and runs of each
-CROWDED = 4096  # kinds of run of one token beyond which their suffixes are hashed
+CROWDED = 4096  # kinds of run of one token beyond which their suffixes are range-partitioned one by one
 _FLUSH = 1 << 19  # runs a task gathers before it sends them
 _BLOCK = 1 << 20
 _LAST = (1 << 63) - 1  # stands for a null id: null ids come last
@@ -137,6 +140,8 @@ def _merged(doc, h, lo, n):
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(doc, h, text): the place of a document in the order is its id, then its text's hash."""
+    if not isinstance(docs.schema[id_col].dataType, IntegralType):
+        raise TypeError(f"{id_col} must be an integer column, since ids are sorted as 64-bit numbers")
     return docs.select(
         F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("doc"), F.xxhash64(text_col).alias("h"),
         F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
@@ -165,9 +170,10 @@ def _splitters(rows: DataFrame, n: int, length: int) -> np.ndarray:
 
 
 def _part_of(g: np.ndarray, s: np.ndarray, splitters: np.ndarray) -> np.ndarray:
-    """The range of each run. A token that is a splitter is spread over the ranges it touches."""
+    """The range of each run. A token that is several splitters, so fills a range, is spread over the ranges it touches."""
     lo, hi = np.searchsorted(splitters, g, "left"), np.searchsorted(splitters, g, "right")
-    return lo + (s % (hi - lo + 1).astype(np.uint64)).astype(np.int64)
+    wide = np.where(hi - lo > 1, hi - lo + 1, 1)
+    return lo + (s % wide.astype(np.uint64)).astype(np.int64)
 
 
 def _runs_by_token(rows: DataFrame, splitters: np.ndarray, length: int) -> DataFrame:
@@ -213,7 +219,8 @@ def _runs_by_token(rows: DataFrame, splitters: np.ndarray, length: int) -> DataF
 def _settled(packed: DataFrame, splitters: np.ndarray) -> DataFrame:
     """(doc, h, lo, n, kind, g): kind 0 removed windows, 1 first runs of an unsettled token, 2 the
     same of a crowded token."""
-    shared = packed.sparkSession.sparkContext.broadcast(splitters)
+    tokens, times = np.unique(splitters, return_counts=True)
+    shared = packed.sparkSession.sparkContext.broadcast(tokens[times > 1])  # those spread over ranges
 
     def rows(doc, h, lo, n, kind, g):
         return pa.RecordBatch.from_arrays(
@@ -241,9 +248,9 @@ def _settled(packed: DataFrame, splitters: np.ndarray) -> DataFrame:
             yield rows(*gone, np.zeros(len(gone[0])), np.zeros(len(gone[0]), np.uint64))
         at = np.flatnonzero(first)
         token, inverse, kinds = np.unique(g[at], return_inverse=True, return_counts=True)
-        open_ = (kinds > 1) | np.isin(token, shared.value)
-        keep = open_[inverse]
-        crowded = (kinds > CROWDED) | np.isin(token, shared.value)
+        spread = np.isin(token, shared.value)
+        keep = ((kinds > 1) | spread)[inverse]
+        crowded = (kinds > CROWDED) | spread
         at = at[keep]
         if len(at):
             yield rows(doc[at], h[at], lo[at], n[at], np.where(crowded[inverse][keep], 2, 1), g[at])
@@ -273,59 +280,138 @@ def equal_suffixes(data: np.ndarray, at: np.ndarray, length: int = LENGTH) -> tu
     return live, group
 
 
-def _cut_out(checks: DataFrame, rows: DataFrame, length: int, hashed: bool) -> DataFrame:
-    """The unsettled runs with their bytes, or their suffixes with 128-bit hashes."""
+def _with_texts(checks: DataFrame, rows: DataFrame) -> DataFrame:
+    """(doc, h, text, runs): the texts that have runs in ``checks``, with them."""
     wanted = checks.groupBy("doc", "h").agg(F.collect_list(F.struct("lo", "n", "g")).alias("runs"))  # within one document
-    both = rows.select("doc", "h", "text").join(wanted, ["doc", "h"])
+    return rows.select("doc", "h", "text").join(wanted, ["doc", "h"])
+
+
+def _cut(batch: pa.RecordBatch, length: int):
+    """(token, doc, h, start, bytes) of the runs that come with the texts."""
+    for doc, h, text, runs in zip(batch.column("doc").to_pylist(), batch.column("h").to_pylist(), texts(batch), batch.column("runs").to_pylist()):
+        data = text.encode("utf-8", "surrogatepass")
+        for r in runs:
+            yield r["g"], doc, h, r["lo"], data[r["lo"] : r["lo"] + r["n"] + length - 1]
+
+
+def _cut_out(checks: DataFrame, rows: DataFrame, length: int) -> DataFrame:
+    """The unsettled runs with their bytes."""
 
     def run(batches):
         for batch in batches:
-            out, size = [[] for _ in range(5)], 0
-            for doc, h, text, runs in zip(batch.column("doc").to_pylist(), batch.column("h").to_pylist(), texts(batch), batch.column("runs").to_pylist()):
-                data = text.encode("utf-8", "surrogatepass")
-                for r in runs:
-                    lo, n = r["lo"], r["n"]
-                    places = range(lo, lo + n) if hashed else (lo,)
-                    for p in places:
-                        part = data[p : p + length] if hashed else data[lo : lo + n + length - 1]
-                        for column, x in zip(out, (xxhash.xxh3_128_digest(part) if hashed else r["g"], doc, h, p, n if hashed else part)):
-                            column.append(x)
-                        size += 1
-                    if size >= 1 << 17:
-                        yield batch_of(out)
-                        out, size = [[] for _ in range(5)], 0
-            if size:
-                yield batch_of(out)
-
-    def batch_of(out):
-        kinds = [pa.binary() if hashed else pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32() if hashed else pa.binary()]
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], ["g", "doc", "h", "lo", "n" if hashed else "data"])
-
-    return map_partitions(both, run, "g binary, doc long, h long, lo int, n int" if hashed else "g long, doc long, h long, lo int, data binary")
+            cut = list(zip(*_cut(batch, length)))
+            if cut:
+                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cut, kinds)], ["g", "doc", "h", "lo", "data"])
+
+    return map_partitions(_with_texts(checks, rows), run, "g long, doc long, h long, lo int, data binary")
+
+
+def _suffixes(cut: list[tuple], length: int):
+    """(bytes of all runs, where each suffix starts in them, doc, h, start in the text)."""
+    lens = np.array([len(r[4]) for r in cut])
+    starts, counts = np.cumsum(lens) - lens, lens - length + 1
+    which = np.repeat(np.arange(len(cut)), counts)
+    inside = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    doc, h, lo = (np.array([r[i] for r in cut], np.int64)[which] for i in (1, 2, 3))
+    return np.frombuffer(b"".join([r[4] for r in cut]), np.uint8), starts[which] + inside, doc, h, lo + inside
+
+
+def _later(data, at, doc, h, lo, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of the suffixes: (later ones of equal suffixes, all that aren't the first of theirs)."""
+    live, group = equal_suffixes(data, at, length)
+    if not len(live):
+        return live, live
+    o = np.lexsort((lo[live], h[live], doc[live], group))
+    live, group = live[o], group[o]
+    new = np.r_[True, group[1:] != group[:-1]]
+    lead = live[np.maximum.accumulate(np.where(new, np.arange(len(o)), 0))]
+    elsewhere = (doc[live] != doc[lead]) | (h[live] != h[lead]) | (lo[live] != lo[lead])  # a repeated row is no later place
+    return live[elsewhere], live[~new]
+
+
+def _spans(doc, h, lo) -> pa.RecordBatch:
+    out = _merged(doc, h, lo, np.ones(len(doc), np.int64))
+    return pa.RecordBatch.from_arrays([pa.array(x.astype(t)) for x, t in zip(out, (np.int64, np.int64, np.int32, np.int32))], ["doc", "h", "lo", "n"])
+
+
+def _by_range(checks: DataFrame, rows: DataFrame, length: int, n_ranges: int) -> DataFrame:
+    """(doc, h, lo, n): the later ones of equal suffixes of crowded runs, whose first ones meet in
+    ranges of sorted suffixes."""
+    both = _with_texts(checks, rows)
+    kind = f"S{length}"
+    total = checks.count()
+
+    def sample(batches):
+        for batch in batches:
+            for _, _, _, _, data in _cut(batch, length):
+                yield pa.RecordBatch.from_arrays([pa.array([data[i : i + length] for i in range(0, len(data) - length + 1, 16)], pa.binary())], ["s"])
+
+    some = checks.sample(min(1.0, 4 * SPLITTER_DOCS / total), 7)  # about 4,000 runs of 5 suffixes
+    found = np.sort(np.array([r["s"] for r in map_partitions(_with_texts(some, rows), sample, "s binary").collect()], kind))
+    splitters = found[[len(found) * i // n_ranges for i in range(1, n_ranges)]] if len(found) else found
+    shared = rows.sparkSession.sparkContext.broadcast(splitters)
+    columns = ("keys", "doc", "h", "lo")
+
+    def packed(part: list[int], arrays: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), *(pa.array([a[i].tobytes() for a in arrays], pa.binary()) for i in range(4))], ["part", *columns])
+
+    def first(batches):
+        held, size, turn, task = [], 0, 0, TaskContext.get().partitionId()
+
+        def out():
+            data, at, doc, h, lo = _suffixes(held, length)
+            gone, not_first = _later(data, at, doc, h, lo, length)
+            keep = np.ones(len(at), bool)
+            keep[not_first] = False
+            keys = np.lib.stride_tricks.sliding_window_view(data, length)[at[keep]]
+            part = np.searchsorted(shared.value, np.ascontiguousarray(keys).view(kind).ravel(), "right")
+            by = np.argsort(part, kind="stable")
+            cuts = np.r_[0, np.flatnonzero(np.diff(part[by])) + 1, len(by)]
+            places = [x[keep][by] for x in (doc, h, lo)]
+            sent = [(keys[by[a:b]], *(x[a:b] for x in places)) for a, b in zip(cuts, cuts[1:])]
+            where = [int(part[by[a]]) for a in cuts[:-1]]
+            if len(gone):  # settled here; without keys any range passes them on
+                sent.append((np.zeros(0, np.uint8), doc[gone], h[gone], lo[gone]))
+                where.append((task + turn) % (len(shared.value) + 1))
+            return packed(where, sent)
+
+        for batch in batches:
+            for r in _cut(batch, length):
+                held.append(r)
+                size += len(r[4]) - length + 1
+                if size >= _FLUSH // 2:
+                    yield out()
+                    held, size, turn = [], 0, turn + 1
+        if held:
+            yield out()
+
+    def last(batches):
+        held = []
+        for batch in batches:
+            for keys, *places in zip(*(batch.column(c).to_pylist() for c in columns)):
+                doc, h, lo = (np.frombuffer(x, np.int64) for x in places)
+                if keys:
+                    held.append((np.frombuffer(keys, np.uint8), doc, h, lo))
+                else:
+                    yield _spans(doc, h, lo)
+        if held:
+            data, doc, h, lo = (np.concatenate(x) for x in zip(*held))
+            gone, _ = _later(data, np.arange(len(doc)) * length, doc, h, lo, length)
+            if len(gone):
+                yield _spans(doc[gone], h[gone], lo[gone])
+
+    sent = map_partitions(both, first, "part int, keys binary, doc binary, h binary, lo binary")
+    return map_partitions(sent.repartitionById(len(splitters) + 1, F.col("part")), last, "doc long, h long, lo int, n int")
 
 
 def _by_sorting(cut: DataFrame, length: int) -> DataFrame:
     """(doc, h, lo, n): the later ones of equal suffixes, sorted in batches of whole tokens."""
 
     def gone(rows) -> pa.RecordBatch | None:
-        lens = np.array([len(r[4]) for r in rows])
-        starts = np.cumsum(lens) - lens
-        counts = lens - length + 1
-        which = np.repeat(np.arange(len(rows)), counts)
-        inside = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-        live, group = equal_suffixes(np.frombuffer(b"".join([r[4] for r in rows]), np.uint8), starts[which] + inside, length)
-        if not len(live):
-            return None
-        doc, h, lo = (np.array([r[i] for r in rows], np.int64)[which[live]] for i in (1, 2, 3))
-        lo = lo + inside[live]
-        o = np.lexsort((lo, h, doc, group))
-        doc, h, lo, group = doc[o], h[o], lo[o], group[o]
-        lead = np.maximum.accumulate(np.where(np.r_[True, group[1:] != group[:-1]], np.arange(len(o)), 0))
-        later = (doc != doc[lead]) | (h != h[lead]) | (lo != lo[lead])
-        if not later.any():
-            return None
-        out = _merged(doc[later], h[later], lo[later], np.ones(later.sum(), np.int64))
-        return pa.RecordBatch.from_arrays([pa.array(x.astype(t)) for x, t in zip(out, (np.int64, np.int64, np.int32, np.int32))], ["doc", "h", "lo", "n"])
+        data, at, doc, h, lo = _suffixes(rows, length)
+        later, _ = _later(data, at, doc, h, lo, length)
+        return _spans(doc[later], h[later], lo[later]) if len(later) else None
 
     def run(batches):
         held, size = [], 0
@@ -343,12 +429,6 @@ def _by_sorting(cut: DataFrame, length: int) -> DataFrame:
     return map_partitions(cut.repartition("g").sortWithinPartitions("g"), run, "doc long, h long, lo int, n int")
 
 
-def _by_hash(cut: DataFrame) -> DataFrame:
-    place = F.struct("doc", "h", "lo")
-    first = cut.groupBy("g").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first < last").select("g", "first")
-    return cut.join(first, "g").where(place > F.col("first")).select("doc", "h", "lo", F.lit(1).alias("n"))
-
-
 def repeated(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc, h, lo, n): runs of start positions whose ``length`` bytes also start earlier."""
     rows = _rows(docs, id_col, text_col)
@@ -356,10 +436,10 @@ def repeated(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text
     splitters = _splitters(rows, n, length)
     found = written(_settled(_runs_by_token(rows, splitters, length), splitters))
     spans = found.where("kind = 0").select("doc", "h", "lo", "n")
-    sorted_ = _by_sorting(_cut_out(found.where("kind = 1"), rows, length, False), length)
+    sorted_ = _by_sorting(_cut_out(found.where("kind = 1"), rows, length), length)
     out = spans.union(sorted_)
     crowded = found.where("kind = 2")
-    return out if crowded.isEmpty() else out.union(_by_hash(_cut_out(crowded, rows, length, True)))
+    return out if crowded.isEmpty() else out.union(_by_range(crowded, rows, length, n))
 
 
 def deduplicate(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -371,7 +451,8 @@ def deduplicate(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", t
 
     A null text is empty. Rows with one id but different texts are ordered by the text's hash;
     equal rows stand at one place, so neither removes the other and they get equal results. Null
-    ids come last. An empty table gives an empty result; other columns aren't read.
+    ids come last; ids must be integers, a TypeError says so. An empty table gives an empty result;
+    other columns aren't read.
     """
     spans = repeated(docs, length, id_col, text_col)
     gone = spans.groupBy("doc", "h").agg(F.collect_list(F.struct("lo", "n")).alias("gone"))  # within one document

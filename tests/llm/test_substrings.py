@@ -34,9 +34,10 @@ def corpus():
     return rows
 
 
-@pytest.mark.parametrize("crowded", [4096, 1])
-def test_equals_brute_force(make_docs, monkeypatch, crowded):
+@pytest.mark.parametrize("crowded, flush", [(4096, 1 << 19), (1, 1 << 19), (0, 600)])
+def test_equals_brute_force(make_docs, monkeypatch, crowded, flush):
     monkeypatch.setattr(substrings, "CROWDED", crowded)
+    monkeypatch.setattr(substrings, "_FLUSH", flush)
     rows = corpus()
     want = brute.without_repeats(rows, 100)
     got = substrings.digest(substrings.deduplicate(make_docs(rows).repartition(7))).collect()
@@ -45,6 +46,50 @@ def test_equals_brute_force(make_docs, monkeypatch, crowded):
     assert sum(w[1] for w in want.values()) > 1000
 
 
+def common_line(n, seed=4):
+    rng = random.Random(seed)
+    some = lambda k: "".join(rng.choice("abcdefgh ") for _ in range(k))
+    line = "one line that a third of all documents hold, word for word, wherever they come from and whatever they are about"
+    return [(i, some(60) + line + some(60) if i % 3 == 0 else some(150)) for i in range(n)]
+
+
+def test_a_common_line_moves_packed_and_in_proportion(spark, make_docs, monkeypatch):
+    monkeypatch.setattr(substrings, "CROWDED", 50)
+    sent = {}
+    plain = substrings.map_partitions
+
+    def counted(df, fn, schema):
+        rows = spark.sparkContext.accumulator(0)
+
+        def run(batches):
+            for out in fn(batches):
+                rows.add(out.num_rows)
+                yield out
+
+        made = plain(df, run, schema)
+        sent.setdefault(fn.__qualname__, []).append(rows)
+        return made
+
+    monkeypatch.setattr(substrings, "map_partitions", counted)
+    totals = []
+    for n in (600, 1200):
+        sent.clear()
+        rows = common_line(n)
+        got = {r.doc_id: tuple(r)[1:] for r in substrings.digest(substrings.deduplicate(make_docs(rows).repartition(4))).collect()}
+        assert got == brute.without_repeats(rows, 100)
+        totals.append({k: sum(a.value for a in v) for k, v in sent.items()})
+    assert totals[0].keys() == totals[1].keys() and any("_by_range" in k for k in totals[0])
+    for k, v in totals[1].items():
+        assert v <= 2.5 * totals[0][k] + 40, k
+        if "_by_range" in k and "first" in k:
+            assert v < 1200 / 4
+
+
+def test_ids_that_are_no_integers_are_refused(spark):
+    with pytest.raises(TypeError):
+        substrings.deduplicate(spark.createDataFrame([("a", "x")], "doc_id string, text string"))
+
+
 def test_documents_equal_brute_force(documents):
     want = brute.without_repeats(sorted((r.doc_id, r.text) for r in documents.collect()), 100)
     assert {r.doc_id: tuple(r)[1:] for r in substrings.digest(substrings.deduplicate(documents)).collect()} == want

@@ -1,14 +1,17 @@
 """Quality rules with verdicts on hosts.
 
-Each document is measured and judged by two base rules. Failures are summed per host (partial
-aggregation, so a host with a third of all rows is pre-aggregated in every task), each host's rate
-is shrunk towards the corpus rate with a beta prior fitted to all hosts, and hosts whose shrunk
+Each document is measured and judged by five rules. The two base rules reject a document by
+itself; the others (symbols, repeated lines, word lengths) are too weak for that, but tell of a
+host that fails them again and again. Failures are summed per host and rule (partial aggregation, so
+a host with a third of all rows is pre-aggregated in every task), the rate of documents that fail any
+rule is shrunk towards the corpus rate with a beta prior fitted to all hosts, and hosts whose shrunk
 rate reaches the limit lose all their documents.
 """
 
 from __future__ import annotations
 
 from collections import Counter
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +22,7 @@ from ledgerlake.llm.common import fresh, landed, map_batches
 
 MAX_BROADCAST_HOSTS = 1_000_000  # rejected hosts that are broadcast; more are joined by shuffle
 MIN_WORDS, MAX_REPEAT_PERCENT, HOST_LIMIT, WINDOW = 10, 20, 0.5, 5
+MAX_SYMBOL_PERCENT, MAX_DUP_LINE_PERCENT, WORD_CHARS = 10, 5, (2, 15)  # of words; mean characters a word
 _SYMBOLS = bytes(b for b in range(256) if b not in b"#*$%&|<>")
 _BLANKS = b" \t\n\x0b\x0c\r"
 MEASURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
@@ -79,19 +83,34 @@ def measured(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return map_batches(docs, run, fields)
 
 
+def rules() -> dict[str, Column]:
+    """By name, whether a document with these measures fails the rule."""
+    n = F.col("n_words")
+    return {
+        "short": n < MIN_WORDS,
+        "repeats": 100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * n,
+        "symbols": 100 * F.col("n_symbols") > MAX_SYMBOL_PERCENT * n,
+        "dup_lines": 100 * F.col("n_dup_lines") > MAX_DUP_LINE_PERCENT * n,
+        "word_chars": (F.col("word_chars") < WORD_CHARS[0] * n) | (F.col("word_chars") > WORD_CHARS[1] * n),
+    }
+
+
 def base_failed() -> Column:
-    return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
+    found = rules()
+    return found["short"] | found["repeats"]
 
 
 def host_verdicts(rows: DataFrame, limit: float = HOST_LIMIT) -> DataFrame:
-    """``rows`` (host, base_failed) -> (host, host_docs, host_failed, host_rate, host_kept).
+    """``rows`` (host, the measures) -> (host, host_docs, one count a rule, host_failed, host_rate, host_kept).
 
     The prior is Beta(m s, (1 - m) s): m is the corpus rate, and s follows from how much more the
     hosts' rates vary than m alone would make them. Without such excess s is 10^6, so hosts are
     judged by m. Rows without host are left out.
     """
+    failed = rules()
     hosts = landed(rows.where("host is not null").groupBy("host").agg(
-        F.count("*").alias("host_docs"), F.count_if("base_failed").alias("host_failed")
+        F.count("*").alias("host_docs"), *[F.count_if(c).alias(f"n_{name}") for name, c in failed.items()],
+        F.count_if(reduce(Column.__or__, failed.values())).alias("host_failed"),
     ))
     n, f, h, square = hosts.agg(  # one row of sums
         F.sum("host_docs"), F.sum("host_failed"), F.count("*"), F.sum(F.col("host_failed") * F.col("host_failed") / F.col("host_docs"))
@@ -100,7 +119,7 @@ def host_verdicts(rows: DataFrame, limit: float = HOST_LIMIT) -> DataFrame:
     excess = square / n - m * m - m * (1 - m) * h / n if n else 0.0
     s = min(1e6, max(1.0, m * (1 - m) / excess - 1)) if excess > 1e-12 else 1e6
     rate = (F.col("host_failed") + F.lit(m * s)) / (F.col("host_docs") + F.lit(s))
-    return hosts.select("host", "host_docs", "host_failed", rate.alias("host_rate"), (rate < limit).alias("host_kept"))
+    return hosts.select("*", rate.alias("host_rate"), (rate < limit).alias("host_kept"))
 
 
 def judge(docs: DataFrame, host: Column | str = "source", limit: float = HOST_LIMIT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -132,7 +151,7 @@ def keep_good(docs: DataFrame, host: Column | str = "source", limit: float = HOS
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in named.schema)
     narrow = named.select(F.col(key).alias("host"), F.col(text_col).alias("text"))
-    verdicts = host_verdicts(measured(narrow).withColumn("base_failed", base_failed()), limit)
+    verdicts = host_verdicts(measured(narrow), limit)
     lost = landed(verdicts.where("not host_kept").select(F.col("host").alias(key)))
     kept = map_batches(named, flag, f"{fields}, `{bad}` boolean").where(~F.col(bad))
     n_lost = lost.count()

@@ -127,7 +127,8 @@ m AS (SELECT doc_id, source, len(w)::BIGINT AS n_words, length(array_to_string(w
              (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words
       FROM w LEFT JOIN cover USING (r)),
 b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m),
-h AS (SELECT source, count(*)::DOUBLE AS n, (count(*) FILTER (base_failed))::DOUBLE AS f FROM b WHERE source IS NOT NULL GROUP BY source),
+h AS (SELECT source, count(*)::DOUBLE AS n, (count(*) FILTER (base_failed OR 100 * n_symbols > 10 * n_words OR 100 * n_dup_lines > 5 * n_words
+             OR word_chars < 2 * n_words OR word_chars > 15 * n_words))::DOUBLE AS f FROM b WHERE source IS NOT NULL GROUP BY source),
 c AS (SELECT sum(f) / sum(n) AS m, sum(f * f / n) / sum(n) AS q, count(*) / sum(n) AS hn FROM h),
 p AS (SELECT m, CASE WHEN q - m * m - m * (1 - m) * hn > 1e-12
              THEN least(1e6, greatest(1.0, m * (1 - m) / (q - m * m - m * (1 - m) * hn) - 1)) ELSE 1e6 END AS s FROM c)

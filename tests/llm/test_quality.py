@@ -34,6 +34,29 @@ def test_a_bad_host_loses_its_clean_documents(make_docs):
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {d for d, r in got.items() if r.kept}
 
 
+def test_hosts_are_judged_by_all_rules(make_docs):
+    """Hosts of symbol spam, of repeated lines, of endless words: no document fails a base rule, each host goes."""
+    words = [f"word{i} and{i}" for i in range(400)]
+    rng = random.Random(8)
+    text = lambda n: " ".join(rng.sample(words, n))
+    plain = [(i, text(12), "en", f"h{i % 8}") for i in range(800)]
+    spam = {
+        "symbols": lambda: " ".join(w + " #" for w in rng.sample(words, 8)),
+        "dup_lines": lambda: (text(3) + "\nmenu one\n") + (text(3) + "\nmenu one\n") + text(3) + "\nmenu one\n" + text(2),
+        "word_chars": lambda: " ".join(w.replace(" ", "") * 4 for w in rng.sample(words, 14)),
+    }
+    rows = plain + [(10_000 * (k + 1) + i, make(), "en", name) for k, (name, make) in enumerate(spam.items()) for i in range(100)]
+    docs = make_docs(rows)
+    got = {r.doc_id: r for r in quality.judge(docs).collect()}
+    assert not any(r.base_failed for r in got.values())
+    assert {r.doc_id for r in got.values() if r.kept} == {r[0] for r in plain}
+    assert {r.doc_id for r in quality.keep_good(docs).collect()} == {r[0] for r in plain}
+    counts = {r.host: r for r in quality.host_verdicts(quality.measured(docs.withColumnRenamed("source", "host").select("host", "text"))).collect()}
+    for name in spam:
+        assert counts[name][f"n_{name}"] == 100 and counts[name].host_docs == 100 and not counts[name].host_kept
+    assert counts["h1"].host_failed == 0
+
+
 def test_odd_rows(make_docs):
     docs = make_docs([(1, None), (None, "a b c d e f g h i j", None, "s"), (2, "x", "en", "s"), (2, "x", "en", "s")])
     docs = docs.withColumn("base_failed", F.lit("clash")).withColumn("_host", F.lit(1)).withColumn("_BAD", F.lit(2))

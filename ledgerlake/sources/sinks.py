@@ -84,21 +84,24 @@ def merge_partitions(
 
 
 def replace_rows(
-    spark: SparkSession, path: str, rows: DataFrame, gone: DataFrame, key: str, partition: str, scratch: str
+    spark: SparkSession, path: str, rows: DataFrame, gone: DataFrame, key: str | Sequence[str], partition: str, scratch: str
 ) -> list:
     """In the table at ``path``, partitioned by ``partition``: rows of the keys in ``gone`` or ``rows``
-    leave, then ``rows`` come in. Returns the partitions it read and rewrote.
+    leave (NULL is a key value too), then ``rows`` come in. Returns the partitions it read and rewrote.
 
     Only the partitions that ``gone`` or ``rows`` name are read, with a literal partition filter;
     they are staged at ``scratch``, then overwritten. One that has no rows left is removed. A repeat
     with the same arguments changes nothing. The first call creates the table.
     """
-    keys = gone.select(key, partition).unionByName(rows.select(key, partition)).distinct()
+    on = [key] if isinstance(key, str) else list(key)
+    keys = gone.select(*on, partition).unionByName(rows.select(*on, partition)).distinct()
     touched = [r[0] for r in keys.select(partition).distinct().collect()]  # a row a partition
     merged = rows
     if path_exists(spark, path):
         old = spark.read.schema(rows.schema).parquet(path).where(F.col(partition).isin(touched))
-        merged = old.join(keys.select(key).distinct(), key, "left_anti").select(*rows.columns).unionByName(rows)
+        names = keys.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(on)]).distinct()
+        same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(on)]
+        merged = old.join(names, same, "left_anti").select(*rows.columns).unionByName(rows)
     merged = staged(merged, scratch)
     write_table(merged.hint("rebalance", partition), "", path=path, partition_by=[partition])
     left = {r[0] for r in merged.select(partition).distinct().collect()}

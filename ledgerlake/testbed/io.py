@@ -22,7 +22,7 @@ from ledgerlake.sources import (
     upsert_by_key,
     write_table,
 )
-from ledgerlake.streaming import compact, current_table, incremental_ingest
+from ledgerlake.streaming import compact, current_table, incremental_ingest, upsert_stream, upserted
 from ledgerlake.testbed.base import registry, scratch, table
 
 QUERIES, ORACLE, q = registry()
@@ -121,24 +121,41 @@ def q_streaming_ingest(spark, sf):
     corrects the oldest days. The newest version of each event wins; a snapshot is folded in between."""
     run = scratch(spark, "stream")
     landing, sink, checkpoint = (os.path.join(run, x) for x in ("landing", "table", "checkpoint"))
-    cols = ["event_id", "ts", "user_id", "event_type", "value", "version"]
+    snapshot = None
+    for i, files in enumerate(_event_drops(spark, sf)):
+        for f in files:
+            f.write.mode("append").parquet(landing)
+        incremental_ingest(spark, source=landing, sink=sink, checkpoint=checkpoint, schema=EVENT_VERSIONS)
+        if i == 1:
+            snapshot = compact(spark, sink, ["event_id"], "version", os.path.join(run, "snapshot"))
+    return current_table(spark, sink, ["event_id"], "version", snapshot).select("event_id", "ts", "user_id", "event_type", "value")
+
+
+EVENT_VERSIONS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, version timestamp_ntz"
+
+
+def _event_drops(spark, sf):
+    """The files of each of three stream runs."""
     e = table(spark, sf, "events").withColumn("version", F.col("ts"))
     cut = F.lit(BATCH_FROM).cast("timestamp_ntz")
     newer = e.where("event_id % 3 = 0").withColumns({"value": F.col("value") + 100, "version": F.col("ts") + F.expr("INTERVAL 5 MINUTES")})
     fix = F.when(F.col("event_id") % 3 == 0, F.col("value") + 1100).otherwise(F.col("value") + 1000)
     late = e.where((F.col("ts") < cut) & (F.col("event_id") % 5 == 0)).withColumns({"value": fix, "version": F.col("ts") + F.expr("INTERVAL 10 MINUTES")})
     drops = [[e.where(F.col("ts") >= cut), e.where(F.col("ts") < cut)], [newer], [late]]
-    snapshot = None
-    for i, files in enumerate(drops):
+    return [[f.select("event_id", "ts", "user_id", "event_type", "value", "version") for f in files] for files in drops]
+
+
+@q("streaming_upsert", ORACLE["streaming_ingest"])
+def q_streaming_upsert(spark, sf):
+    """The same files through a stream that keeps the newest version of each event in its state and rewrites
+    only the buckets of events that changed; each run starts anew from the stream's checkpoint."""
+    run = scratch(spark, "upsert")
+    landing, target, checkpoint = (os.path.join(run, x) for x in ("landing", "table", "checkpoint"))
+    for files in _event_drops(spark, sf):
         for f in files:
-            f.select(*cols).write.mode("append").parquet(landing)
-        incremental_ingest(
-            spark, source=landing, sink=sink, checkpoint=checkpoint,
-            schema="event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, version timestamp_ntz",
-        )
-        if i == 1:
-            snapshot = compact(spark, sink, ["event_id"], "version", os.path.join(run, "snapshot"))
-    return current_table(spark, sink, ["event_id"], "version", snapshot).select("event_id", "ts", "user_id", "event_type", "value")
+            f.write.mode("append").parquet(landing)
+        upsert_stream(spark, landing, EVENT_VERSIONS, target, checkpoint, keys=["event_id"], ts="version", buckets=16)
+    return upserted(spark, target, EVENT_VERSIONS).drop("version")
 
 
 @q(

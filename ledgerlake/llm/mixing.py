@@ -90,13 +90,14 @@ def mix(
     docs: DataFrame, cycle: Sequence = CYCLE, max_epochs: int = MAX_EPOCHS, seed: str = "mix", id_col: str = "doc_id",
     source_col: str = "source", size: Column | str = "text",
 ) -> DataFrame:
-    """``docs`` plus a struct column ``mix``: size, source_size, target, taken and ``copies``.
+    """``docs`` plus a struct column ``mix``: size, source_size, target, taken, position and ``copies``.
 
     ``cycle`` has a weight, or a schedule [(time, weight), ...] from 0 to 1, for each source in
     turn. ``size`` is the text column whose words count, or a column expression. ``taken`` counts
     the words of all passes; the pass in which the target is reached stops inside a document, so a
-    source's taken words are its target rounded down. ``copies`` lists, per pass that takes at
-    least half of the document, its training position from 0 to 1.
+    source's taken words are its target rounded down. ``position`` is the training position, from 0
+    to 1, at which the first of a document's taken words comes; null if none are. ``copies`` lists,
+    per pass that takes at least half of the document, its position.
 
     Null texts have size 0 and are never taken; a null source is a source of its own, ordered
     last. Rows with the same id stand side by side in the order, ordered by their other columns; a
@@ -132,7 +133,7 @@ def mix(
     taken = words[0]
     for w in words[1:]:
         taken = taken + w
-    made = F.struct(size.alias("size"), p["source_size"].alias("source_size"), p["target"].alias("target"), taken.alias("taken"), copies.alias("copies"))
+    made = F.struct(size.alias("size"), p["source_size"].alias("source_size"), p["target"].alias("target"), taken.alias("taken"), F.when(words[0] > 0, times[0]).alias("position"), copies.alias("copies"))
     return rows.select(*[F.col(f"`{c}`") for c in docs.columns], made.alias(fresh(docs, "mix")))
 
 

@@ -65,10 +65,9 @@ FROM m JOIN clean USING (r) LEFT JOIN best USING (r) LEFT JOIN t ON t.conv_id =
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count(F.col("text")).alias("words"))
     mixed = mixing.mix(docs, size=F.col("words"))
-    rows = mixed.select("doc_id", *[F.col("mix")[c].alias(c) for c in ("size", "source_size", "target", "taken")], F.get("mix.copies.position", F.lit(0)).alias("at"))
-    # The SQL has no positions, so they give the rows' order: by first copy, documents without one last.
-    order = [F.col("at").asc_nulls_last(), "doc_id"]
-    return rows.repartitionByRange(*order).sortWithinPartitions(*order).drop("at")
+    rows = mixed.select("doc_id", *[F.col("mix")[c].alias(c) for c in ("size", "source_size", "target", "taken", "position")])
+    order = [F.col("position").asc_nulls_last(), "doc_id"]
+    return rows.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
 OP4_SQL = r"""
@@ -80,16 +79,24 @@ l AS (SELECT *, sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER o,
              sum(w) OVER () - coalesce(sum(w) OVER o, 0) AS w_rest
       FROM w WINDOW o AS (ORDER BY 3 * source_size / w, source ASC NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 f AS (SELECT *, w * rest >= 3 * source_size * w_rest AS capped FROM l),
-t AS (SELECT source, source_size, CASE WHEN capped THEN 3.0::DOUBLE * source_size
+t AS (SELECT source, source_size, (w - 1)::INT AS slot, CASE WHEN capped THEN 3.0::DOUBLE * source_size
              ELSE w * (max(rest::DOUBLE) FILTER (NOT capped AND w_rest = top) OVER ()) / top END AS target
       FROM (SELECT *, max(w_rest) FILTER (NOT capped) OVER () AS top FROM f)),
-c AS (SELECT d.*, source_size, target,
+c AS (SELECT d.*, source_size, target, slot,
              coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY h, doc_id, size, r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pre
       FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, source_size, target,
        (greatest(0, least(size, floor(target) - pre)) + greatest(0, least(size, floor(target) - source_size - pre))
-        + greatest(0, least(size, floor(target) - 2 * source_size - pre)))::BIGINT AS taken
-FROM c
+        + greatest(0, least(size, floor(target) - 2 * source_size - pre)))::BIGINT AS taken,
+       -- where the schedule's integral reaches the first word: weights 2t; 1 up to 3 at the middle and down again; 4 - 2t
+       CASE WHEN least(size, floor(target) - pre) > 0 THEN
+         CASE WHEN pre = 0 THEN 0.0::DOUBLE
+              WHEN slot = 0 THEN 2.0::DOUBLE * share / (0.0::DOUBLE + sqrt(4.0::DOUBLE * share))
+              WHEN slot = 1 AND 2 * share < 1 THEN 2.0::DOUBLE * (2 * share) / (1.0::DOUBLE + sqrt(1.0::DOUBLE + 8.0::DOUBLE * (2 * share)))
+              WHEN slot = 1 AND 2 * share = 1 THEN 0.5::DOUBLE
+              WHEN slot = 1 THEN 0.5::DOUBLE + 2.0::DOUBLE * (2 * share - 1) / (3.0::DOUBLE + sqrt(9.0::DOUBLE + -8.0::DOUBLE * (2 * share - 1)))
+              ELSE 2.0::DOUBLE * (3 * share) / (4.0::DOUBLE + sqrt(16.0::DOUBLE + -4.0::DOUBLE * (3 * share))) END END AS position
+FROM (SELECT *, pre::DOUBLE / target AS share FROM c)
 """
 
 

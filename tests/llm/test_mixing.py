@@ -59,10 +59,12 @@ def test_the_production_mix_changes_over_time(make_docs):
 def test_op4_rows_stand_in_training_order(spark, make_docs, tmp_path):
     docs = make_docs([(i, "w " * 10, "en", "abc"[i % 3]) for i in range(300)])
     docs.write.parquet(str(tmp_path / "documents.parquet"))
-    at = {r.doc_id: r.t for r in mixing.mix(docs).select("doc_id", F.get("mix.copies.position", F.lit(0)).alias("t")).collect()}
-    got = [at[r.doc_id] for r in queries.op4_mixing(spark, str(tmp_path)).collect()]
-    placed = [t for t in got if t is not None]
-    assert got[: len(placed)] == sorted(placed) and len(got) == 300
+    first = {r.doc_id: r.t for r in mixing.mix(docs).select("doc_id", F.get("mix.copies.position", F.lit(0)).alias("t")).collect()}
+    rows = queries.op4_mixing(spark, str(tmp_path)).collect()
+    placed = [r.position for r in rows if r.position is not None]
+    assert [r.position for r in rows[: len(placed)]] == sorted(placed) and len(rows) == 300
+    assert all((r.position is not None) == (r.taken > 0) for r in rows)
+    assert all(first[r.doc_id] in (None, r.position) for r in rows) and any(first.values())
 
 
 def test_stream_repeats_and_orders(make_docs):

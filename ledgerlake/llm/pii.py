@@ -1,13 +1,16 @@
 """Personal data: fixed patterns, and terms that give protected entities away.
 
 The entities are the e-mail addresses, IP addresses, card and phone numbers found in the corpus.
-For an entity c and a term t in the same documents, the corpus estimates what share of c's
-information t discloses: PMI(c, t) / IC(c) = log(n(c,t) N / (n(c) n(t))) / log(N / n(c)), counting
-documents. A term that only ever occurs with c discloses all of it. Evidence must come from at
-least ``MIN_CONTEXTS`` different surroundings of c, so copies of one text prove nothing: of a term
-near c each of them counts, of a term further away one a document. Terms over the upper threshold
-are removed, those over the lower one generalised to their class, wherever they stand: in the
-texts that name c and in those that don't.
+For an entity c and a term t beside it (no other entity between them), the corpus estimates what
+share of c's information t discloses: PMI(c, t) / IC(c) = log(n(c,t) N / (n(c) n(t))) / log(N / n(c)),
+counting documents. A term that only ever occurs with c discloses all of it. Evidence must come from
+at least ``MIN_CONTEXTS`` different surroundings of c, so copies of one text prove nothing: of a term
+near c each of them counts, of a term further away one a document. On that scale a rare entity is
+mostly disclosed by any rare word that met it a few times, so two more things are asked: the term
+must tell c in at least ``SURE`` of its own documents, and so many together must be beyond chance,
+whatever the number of pairs that were looked at (``CHANCE`` over all of them, by Chernoff's bound on
+the binomial tail). Terms over the upper threshold are removed, those over the lower one generalised
+to their class, wherever they stand: in the texts that name c and in those that don't.
 
 Texts are read by three passes, the last two only if some pair has the evidence: the first emits
 the entities, the words around them and the terms of texts with entities, the second pre-summed
@@ -17,6 +20,7 @@ document frequencies, the third marks. Pairs are counted by (entity, term) with
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter
 
@@ -29,6 +33,7 @@ from ledgerlake.llm.common import fresh, landed, map_batches, map_partitions, te
 
 KINDS = ("email", "ip", "card", "phone")
 REACH, MIN_CONTEXTS, GENERALISE, REMOVE = 5, 3, 0.6, 0.9
+SURE, CHANCE = 0.5, 0.01
 MAX_BROADCAST = 100_000  # disclosing terms, or entities, that are broadcast; more are joined by shuffle
 FLUSH = 300_000  # distinct terms a task holds before it emits their counts
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
@@ -177,21 +182,33 @@ def marked(text: str, spans, action: dict[str, str], known: dict[str, str]) -> l
     return out
 
 
+def beside(text: str, spans) -> dict[int, set[str]]:
+    """By entity, the terms between its spans and the next ones before and after: each word is
+    counted for two entities at most, however many a text has."""
+    ordered = sorted((s, e, k) for k, s, e in spans)
+    out: dict[int, set[str]] = {}
+    for i, (a, b) in enumerate(zip([0, *(e for _, e, _ in ordered)], [*(s for s, _, _ in ordered), len(text)])):
+        found = {t for m in _WORD.finditer(text, a, b) if (t := term_of(m.group()))} if a < b else set()
+        for s, e, k in ordered[max(0, i - 1) : i + 1]:
+            out.setdefault(_entity(k, text[s:e]), set()).update(found)
+    return out
+
+
 _NEAR = "array<struct<entity:bigint,term:string,context:bigint>>"
 _NEAR_ARROW = pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.string()), ("context", pa.int64())]))
-_ENTITIES = "array<struct<entity:bigint,context:bigint>>"
-_ENTITIES_ARROW = pa.list_(pa.struct([("entity", pa.int64()), ("context", pa.int64())]))
+_ENTITIES = "array<struct<entity:bigint,context:bigint,terms:array<string>>>"
+_ENTITIES_ARROW = pa.list_(pa.struct([("entity", pa.int64()), ("context", pa.int64()), ("terms", pa.list_(pa.string()))]))
 _TERMS = "array<struct<start:int,end:int,action:string>>"
 _TERMS_ARROW = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("action", pa.string())]))
 _HITS = "array<struct<term:string,action:string>>"
 
 
 def found(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_email, n_ip, n_card, n_phone, base, entities, near, terms) of every row; terms
-    are the different ones of a text with entities."""
+    """(doc_id, n_email, n_ip, n_card, n_phone, base, entities, near) of every row; an entity has
+    the lowest hash of its surroundings and the terms beside it."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        counts, base, entities, near, terms = [[] for _ in KINDS], [], [], [], []
+        counts, base, entities, near = [[] for _ in KINDS], [], [], []
         for text in texts(batch):
             spans = base_spans(text)
             n = Counter(k for k, *_ in spans)
@@ -199,19 +216,17 @@ def found(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                 c.append(n[k])
             base.append(written(spans))
             first, around = surroundings(text, spans) if spans else ({}, [])
-            entities.append([{"entity": c, "context": w} for c, w in first.items()])
+            terms = beside(text, spans) if spans else {}
+            entities.append([{"entity": c, "context": w, "terms": sorted(terms[c])} for c, w in first.items()])
             near.append([dict(zip(("entity", "term", "context"), x)) for x in around])
-            words = {w for a, b in outside(text, spans) for w in _WORD.findall(text, a, b)} if spans else ()
-            terms.append(sorted({t for w in words if (t := term_of(w))}))
         return pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in counts), pa.array(base, pa.string()), pa.array(entities, _ENTITIES_ARROW),
-             pa.array(near, _NEAR_ARROW), pa.array(terms, pa.list_(pa.string()))],
-            ["doc_id", *(f"n_{k}" for k in KINDS), "base", "entities", "near", "terms"],
+            [batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in counts), pa.array(base, pa.string()), pa.array(entities, _ENTITIES_ARROW), pa.array(near, _NEAR_ARROW)],
+            ["doc_id", *(f"n_{k}" for k in KINDS), "base", "entities", "near"],
         )
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     ids = docs.schema[id_col].dataType.simpleString()
-    return map_batches(rows, run, f"doc_id {ids}, {', '.join(f'n_{k} long' for k in KINDS)}, base string, entities {_ENTITIES}, near {_NEAR}, terms array<string>")
+    return map_batches(rows, run, f"doc_id {ids}, {', '.join(f'n_{k} long' for k in KINDS)}, base string, entities {_ENTITIES}, near {_NEAR}")
 
 
 def document_frequencies(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -245,8 +260,11 @@ def document_frequencies(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return map_partitions(docs.select(F.col(text_col).alias("text")), run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
 
 
-def disclosing(seen: DataFrame, docs: DataFrame, min_contexts: int = MIN_CONTEXTS, lower: float = GENERALISE, text_col: str = "text") -> DataFrame:
-    """(entity, term, share): pairs in which the term discloses at least ``lower`` of the entity."""
+def disclosing(
+    seen: DataFrame, docs: DataFrame, min_contexts: int = MIN_CONTEXTS, lower: float = GENERALISE, text_col: str = "text", sure: float = SURE, chance: float = CHANCE
+) -> DataFrame:
+    """(entity, term, share): pairs in which the term discloses at least ``lower`` of the entity, in at
+    least ``sure`` of the term's documents, beyond ``chance``."""
     pair = ["entity", "term"]
     near = seen.select(F.explode(F.array_distinct("near")).alias("x")).select("x.*").distinct()
     near = landed(near.groupBy(*pair).agg(F.count("*").alias("contexts")).where(F.col("contexts") >= min_contexts).select(*pair))
@@ -257,18 +275,24 @@ def disclosing(seen: DataFrame, docs: DataFrame, min_contexts: int = MIN_CONTEXT
     if not n_able:
         return near.select(*pair, F.lit(0.0).alias("share"))
     able = F.broadcast(able) if n_able <= MAX_BROADCAST else able
-    both = seen.select(F.inline("entities"), "terms").join(able, "entity", "left_semi").select("entity", "context", F.explode("terms").alias("term"))
+    both = seen.select(F.inline("entities")).join(able, "entity", "left_semi").select("entity", "context", F.explode("terms").alias("term"))
     both = both.groupBy(*pair, "context").agg(F.count("*").alias("n")).groupBy(*pair).agg(F.sum("n").alias("n_both"), F.count("*").alias("contexts"))
-    both = both.join(near.withColumn("near", F.lit(True)), pair, "left").where((F.col("contexts") >= min_contexts) | F.col("near"))
-    pairs = landed(both.select(*pair, "n_both"))
+    both = landed(both)
+    tested = both.count()
+    pairs = landed(both.join(near.withColumn("near", F.lit(True)), pair, "left").where((F.col("contexts") >= min_contexts) | F.col("near")).select(*pair, "n_both"))
     if pairs.isEmpty():
         return pairs.select(*pair, F.lit(0.0).alias("share"))
-    terms = document_frequencies(docs, text_col).withColumnRenamed("n", "n_whole")
+    # Frequencies of the wanted terms only, written before a frequent term's pairs are joined to its row.
+    wanted = landed(pairs.select("term").distinct())
+    terms = landed(document_frequencies(docs, text_col).join(wanted, "term").withColumnRenamed("n", "n_whole"))
     n = float(seen.count())
     scored = pairs.join(own, "entity").join(terms, "term", "left").where("n_entity < %r" % n)
     n_term = F.greatest("n_whole", "n_both")  # beside a span, what is left of a word is a term too
-    pmi = F.log(F.col("n_both") * n / (F.col("n_entity") * n_term))
-    ic = F.log(n / F.col("n_entity"))
+    told, base = F.col("n_both") / n_term, F.col("n_entity") / n
+    pmi, ic = F.log(told / base), -F.log(base)
+    miss = F.when(told < 1, (1 - told) * F.log((1 - told) / (1 - base))).otherwise(0.0)
+    beyond = (told > base) & (n_term * (told * pmi + miss) >= math.log(max(1, tested) / chance))
+    scored = scored.where((told >= sure) & beyond) if sure > 0 else scored
     return landed(scored.select(*pair, (pmi / ic).alias("share")).where(F.col("share") >= lower))
 
 

@@ -50,7 +50,7 @@ def test_shares_equal_brute_force(make_docs):
 
     docs = planted(make_docs)
     seen = pii.found(docs)
-    shares = {r.term: r.share for r in pii.disclosing(seen, docs, lower=-99.0).collect()}
+    shares = {r.term: r.share for r in pii.disclosing(seen, docs, lower=-99.0, sure=0.0).collect()}
     n, c = 74, 6
     assert abs(shares["zebulon"] - 1) < 1e-12
     assert abs(shares["from"] - math.log(6 * n / (c * 66)) / math.log(n / c)) < 1e-12
@@ -71,17 +71,46 @@ def test_disclosing_terms_go_wherever_they_stand(make_docs, monkeypatch, bound):
     far = "one two three four five six seven eight"
     rows = [(r.doc_id, r.text) for r in planted(make_docs).collect()]
     rows += [(400, f"letter 9 from Zebulon at mr.x@corp.example {far}.\n\nZebulon, again"), (401, "Zebulon<mr.x@corp.example>"), (402, "we met Zebulon")]
-    rows += [(500 + i, f"Quixote {far} note{i} q@r.example tail{i}") for i in range(3)] + [(510, "Quixote alone"), (None, "a Quixote")]
+    rows += [(500 + i, f"Quixote {far} note{i} q@r.example tail{i}") for i in range(8)] + [(510, "Quixote alone"), (None, "a Quixote")]
     rows += [(600 + i, f"{far} again tail") for i in range(60)]
     docs = make_docs(rows)
     texts = {r.doc_id: r.text for r in docs.collect()}
     found = {r.doc_id: [texts[r.doc_id][t.start : t.end] for t in r.terms] for r in pii.detect(docs).collect()}
     assert found[400] == ["Zebulon", "Zebulon,"] and found[401] == ["Zebulon<"] and found[402] == ["Zebulon"]
-    assert all("Quixote" in found[i] for i in (500, 501, 502, 510, None)) and not any(found[100 + i] for i in range(60))
+    assert all("Quixote" in found[i] for i in (*range(500, 508), 510, None)) and not any(found[100 + i] for i in range(60))
     clean = {r.doc_id: r.text for r in pii.sanitise(docs).collect()}
     assert not any("Zebulon" in t for t in clean.values()) and "Quixote" not in clean[510] and clean[401] == "<EMAIL>>"
 
 
+def test_words_that_met_an_entity_by_chance_stay(make_docs):
+    """20,000 texts of words drawn independently of four addresses in 400 of them; one name goes with one address."""
+    rng = random.Random(3)
+    words = [f"word{int(rng.paretovariate(0.7)) % 30_000}" for _ in range(400_000)]
+    rows, at = [], 0
+    for i in range(20_000):
+        text = " ".join(words[at : at + 20])
+        at += 20
+        if i < 400:
+            name = " Zebulon" if i % 4 == 0 and i % 40 < 20 else ""
+            text += f" write{name} to box{i % 4}@corp.example " + words[i]
+        rows.append((i, text + (" Zebulon" if i == 9000 else "")))
+    docs = make_docs(rows)
+    touched = {r.doc_id: [(t.action, r.text[t.start : t.end]) for t in r.terms] for r in pii.detect(docs).join(docs.select("doc_id", "text"), "doc_id").collect() if r.terms}
+    assert touched.pop(9000) == [("remove", "Zebulon")]
+    assert {i for i in touched if i < 400 and i % 4 == 0 and i % 40 < 20} == {i for i in range(0, 400, 4) if i % 40 < 20}
+    assert sum(i >= 400 for i in touched) <= 2  # of 19,600 texts without an address
+
+
+def test_a_page_of_addresses_gives_terms_in_proportion(make_docs):
+    def pairs(n):
+        text = " ".join(f"person{i} at p{i}@corp.example" for i in range(n))
+        return sum(len(e.terms) for e in pii.found(make_docs([(1, text)])).first().entities)
+
+    assert pairs(50) <= 4 * 50 and pairs(400) <= 8.5 * pairs(50)
+    assert pii.beside("a1x a@b.c b1x c@d.e c1x a@b.c", [("email", 4, 9), ("email", 14, 19), ("email", 24, 29)]) == {
+        pii._entity("email", "a@b.c"): {"a1x", "b1x", "c1x"}, pii._entity("email", "c@d.e"): {"b1x", "c1x"}}
+
+
 def test_copies_and_single_documents_prove_nothing(make_docs):
     many = " ".join(f"w{i}a w{i}b w{i}c w{i}d w{i}e w{i}f m@n.example" for i in range(4))
     docs = make_docs([(i, f"{many} rareword") for i in range(5)] + [(10 + i, f"plain text number {i}") for i in range(50)])

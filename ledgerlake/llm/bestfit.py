@@ -167,7 +167,8 @@ def pack(
     offsets = counts.select("length", "task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("earlier"))
     rows, _ = plan({r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}, max_length)  # max_length rows at most
     shared = docs.sparkSession.sparkContext.broadcast({n: np.array(x, np.int64).T for n, x in rows.items()})
-    ranked = pieces.join(offsets, ["length", "task"]).withColumn("rank", F.col("turn") + F.col("earlier"))
+    # A merge join: the offsets are many at scale, and their files are so compressed that they look small enough to broadcast.
+    ranked = pieces.join(offsets.hint("merge"), ["length", "task"]).withColumn("rank", F.col("turn") + F.col("earlier"))
     keep = ["doc_id", "piece", "start", "length", "ids_crc32", *["ids"] * keep_ids]
 
     def place(batch: pa.RecordBatch) -> pa.RecordBatch:

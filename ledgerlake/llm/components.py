@@ -1,8 +1,9 @@
 """Connected components by alternating large-star and small-star rounds.
 
-Every round is two aggregations and two joins on the edge list, so a node with very many
-neighbours is pre-aggregated map-side and its join rows can be split by the adaptive skew join;
-no component is ever gathered in one task or on the driver.
+Every round is two aggregations and two joins on the edge list. A node with very many neighbours is
+pre-aggregated map-side. The aggregate is landed before it is joined back to the edges: then the join
+reads two plain shuffles, and the adaptive skew join can split the node's rows. No component is ever
+gathered in one task or on the driver.
 """
 
 from __future__ import annotations
@@ -29,9 +30,9 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         return e.select(F.col("a").alias("node"), F.col("b").alias("root"))
     for _ in range(max_rounds):
         both = e.union(e.select("b", "a"))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        smallest = large.groupBy("a").agg(F.min("b").alias("m"))
+        least = landed(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")))
+        large = landed(both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
+        smallest = landed(large.groupBy("a").agg(F.min("b").alias("m")))
         small = (
             large.join(smallest, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
             .union(smallest).distinct()

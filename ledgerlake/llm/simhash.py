@@ -45,14 +45,22 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp): one row per row of ``docs``; fp is the SimHash as a signed long."""
+    """(doc_id, h, fp): one row per row of ``docs``; h is a hash of the text, fp its SimHash as a signed long."""
 
     def score(batch: pa.RecordBatch) -> pa.RecordBatch:
-        f = [fingerprint(t, shingle) for t in batch.column(1).to_pylist()]
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(f, np.uint64).view(np.int64))], ["doc_id", "fp"])
+        f = [fingerprint(t, shingle) for t in batch.column(2).to_pylist()]
+        return pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(np.array(f, np.uint64).view(np.int64))], ["doc_id", "h", "fp"])
 
     ids = docs.schema[id_col].dataType.simpleString()
-    return map_batches(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), score, f"doc_id {ids}, fp long")
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))
+    return map_batches(rows, score, f"doc_id {ids}, h long, fp long")
+
+
+def _grouped(docs: DataFrame, shingle: int, radius: int, id_col: str, text_col: str) -> DataFrame:
+    """``fingerprints`` with the root fingerprint of each row's component."""
+    fps = landed(fingerprints(docs, shingle, id_col, text_col))
+    comp = components(links(fps.select("fp").distinct(), radius))
+    return fps.join(comp.withColumnRenamed("node", "fp"), "fp", "left").select("doc_id", "h", "fp", F.coalesce("root", "fp").alias("root"))
 
 
 def covering_masks(bits: list[int], radius: int) -> list[int]:
@@ -152,40 +160,20 @@ def near_duplicates(
     belongs to its group, whose id is the smallest id that is not null (null if there is none). An
     empty table gives an empty result; other columns are not read.
     """
-    fps = landed(fingerprints(docs, shingle, id_col, text_col))
-    comp = components(links(fps.select("fp").distinct(), radius))
-    tagged = fps.join(comp.withColumnRenamed("node", "fp"), "fp", "left").select("doc_id", "fp", F.coalesce("root", "fp").alias("root"))
+    tagged = _grouped(docs, shingle, radius, id_col, text_col)
     # landed, so that the join below reads two plain shuffles and a large group can be split
     least = landed(tagged.groupBy("root").agg(F.min("doc_id").alias("component_id")))
     return tagged.join(least, "root").select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each group: the one with the group's smallest id.
-
-    If several rows have that id, the smallest row by all columns stays. A group without any id
-    keeps no row by id; its smallest row by all columns stays instead.
-    """
-    groups = near_duplicates(docs, shingle, radius, id_col, text_col)
-    winners = groups.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(wid := fresh(docs, "_winner"))).distinct()
-    kept = docs.join(winners, docs[id_col] == F.col(wid), "left_semi")
-    one = kept.groupBy(id_col).agg(F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != id_col])).alias(rest := fresh(docs, "_rest")))
-    kept = one.select(*[F.col(c) if c == id_col else F.col(rest)[c].alias(c) for c in docs.columns])
-    nameless = groups.where("component_id is null").select(F.col("fp").alias(gid := fresh(docs, "_group"))).distinct()
-    if nameless.isEmpty():
-        return kept
-    mark = fresh(docs, "_row")
-    loose = docs.where(F.col(id_col).isNull())
-    comp = components(links(nameless.select(F.col(gid).alias("fp")), radius))
-    rows = _with_fp(loose, gid, shingle, text_col).join(nameless, gid, "left_semi").join(comp, F.col(gid) == comp.node, "left")
-    lone = rows.groupBy(F.coalesce("root", gid).alias(gid)).agg(F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias(mark))
-    return kept.unionByName(lone.select(f"{mark}.*"))
-
-
-def _with_fp(docs: DataFrame, name: str, shingle: int, text_col: str) -> DataFrame:
-    def add(batch: pa.RecordBatch) -> pa.RecordBatch:
-        f = np.array([fingerprint(t, shingle) for t in batch.column(text_col).to_pylist()], np.uint64).view(np.int64)
-        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(f)], [*batch.schema.names, name])
-
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return map_batches(docs, add, f"{fields}, `{name}` long")
+    """``docs`` with one row of each group: of those with the group's smallest id (null if none has
+    an id), the smallest by all columns. An id may stand in several groups: each keeps a row."""
+    tagged = landed(_grouped(docs, shingle, radius, id_col, text_col).select("doc_id", "h", "root").distinct())
+    least = landed(tagged.groupBy("root").agg(F.min("doc_id").alias("least")))
+    first = tagged.join(least, "root").where(F.col("doc_id").eqNullSafe(F.col("least")))
+    wid, wh, root = (fresh(docs, x) for x in ("_winner", "_text", "_root"))
+    first = first.select(F.col("doc_id").alias(wid), F.col("h").alias(wh), F.col("root").alias(root))
+    rows = docs.join(first, docs[id_col].eqNullSafe(F.col(wid)) & (F.xxhash64(docs[text_col]) == F.col(wh)))  # an id and text have one root
+    one = rows.groupBy(root).agg(F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias(wid))
+    return one.select(f"{wid}.*")

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerlake.llm import simhash
 from ledgerlake.llm.components import components
@@ -55,6 +56,26 @@ def test_components_of_long_chains_hubs_and_odd_edges(spark):
     assert components(spark.createDataFrame([(3, 3)], "a long, b long")).count() == 0
 
 
+def test_a_hub_with_most_of_all_edges(spark):
+    """Half of all rows on one node: its rows of the join are split (the aggregate beside them is landed)."""
+    edges = spark.range(40_000).selectExpr("IF(id % 2 = 0, 0, id * 3) AS a", "id * 3 + 1 AS b")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.skewJoin.skewedPartitionFactor")}
+    try:
+        for k, v in zip(old, ("16k", "16k", "-1", "1.5")):
+            spark.conf.set(k, v)
+        both = edges.select("a", "b")
+        from ledgerlake.llm.common import landed
+
+        joined = landed(both).join(landed(both.groupBy("a").agg(F.min("b").alias("m"))), "a").where("b > m")
+        joined.collect()
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+        got = components(edges)
+        assert got.where("root = 0").count() == 20_000 + got.where("node = 0").count()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
 def test_odd_rows(make_docs):
     long = " ".join(f"w{i}" for i in range(50_000))
     docs = make_docs([(5, None), (3, " \n\t"), (9, ""), (7, "One Two"), (8, "one two"), (8, "one two"), (1, long), (2, long), (None, "one two"), (None, None)])
@@ -69,5 +90,9 @@ def test_odd_rows(make_docs):
 def test_groups_without_ids_and_repeated_ids(make_docs):
     docs = make_docs([(None, "alpha beta gamma"), (None, "alpha beta gamma"), (4, "x y z"), (4, "x y z"), (4, "p q r s t")])
     kept = sorted((str(r.doc_id), r.text) for r in simhash.keep_one(docs).collect())
-    assert kept == [("4", "p q r s t"), ("None", "alpha beta gamma")]  # one row of the id that stays
+    assert kept == [("4", "p q r s t"), ("4", "x y z"), ("None", "alpha beta gamma")]  # an id may stand in two groups
+    assert all(r.source is None for r in simhash.keep_one(docs).collect())
+    twice = make_docs([(2, "a b c d e", "en", "t"), (1, "q r s t u", "en", "z"), (1, "a b c d e", "en", "s"), (1, "a b c d e", "de", "t"), (3, "q r s t u")])
+    kept = sorted((r.doc_id, r.text, r.lang, r.source) for r in simhash.keep_one(twice).collect())
+    assert kept == [(1, "a b c d e", "de", "t"), (1, "q r s t u", "en", "z")]
     assert simhash.near_duplicates(docs.limit(0)).count() == 0 and simhash.keep_one(docs.limit(0)).count() == 0

@@ -20,6 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from ledgerlake.llm.common import map_batches, map_partitions, texts
 
@@ -142,8 +143,10 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
     Each range ends with a row marked ``last``: a copy of the first row of the next range that has
     rows (after the last: of the first). Ids are read once for the quantiles and once for each
-    range's first id, one row a range; the texts are moved once.
+    range's first id, one row a range; the texts are moved once. Ids must be integers, a TypeError says so.
     """
+    if not isinstance(docs.schema[id_col].dataType, IntegralType):
+        raise TypeError(f"{id_col} must be an integer column, since ids are ranged as 64-bit numbers")
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))

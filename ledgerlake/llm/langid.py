@@ -13,12 +13,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import map_partitions, texts
+from ledgerlake.llm.common import landed, map_partitions, texts
 
 SIZES = (1, 2, 3)
 BUCKETS = 1 << 15
 ALPHA = 0.5
-MAX_MODEL_CELLS = 1 << 25  # 256 MB of doubles: the bound of what is collected and broadcast
+MAX_MODEL_CELLS = 1 << 22  # 128 languages, 32 MB of doubles: the bound of what is collected and broadcast
 _BLOCK = 1 << 20  # characters handled at once; longer texts are cut into segments that overlap
 _MIX = np.uint32(0x9E3779B1)
 
@@ -108,12 +108,12 @@ def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", alpha
             )
 
     rows = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where("lang is not null")
-    sums = map_partitions(rows, run, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    sums = landed(map_partitions(rows, run, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")))
     limit = MAX_MODEL_CELLS // BUCKETS
-    table = sums.limit(limit * (BUCKETS + 1) + 1).toPandas()  # at most this many rows can be a model; more is an error
-    langs = sorted(table.lang.unique(), key=lambda x: x.encode())
-    if len(langs) > limit:
+    if sums.select("lang").distinct().count() > limit:  # before anything is collected
         raise ValueError(f"more than {limit} languages: the model would outgrow its bound")
+    table = sums.toPandas()  # a row a language and bucket that it has
+    langs = sorted(table.lang.unique(), key=lambda x: x.encode())
     if not langs:
         return [], np.zeros((BUCKETS + 2, 0))
     counts = np.zeros((BUCKETS + 1, len(langs)))

@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import chunks
@@ -49,3 +50,8 @@ def test_odd_rows(make_docs):
     check(make_docs([(None, "b"), (None, "a")]), [(None, "a"), (None, "b")])
     assert chunks.compare_with_edits(docs.limit(0)).count() == 0
     assert chunks.containment({}, {}) == 1 and chunks.containment({}, {1: 2}) == 0
+
+
+def test_ids_that_are_no_integers_are_refused(spark):
+    with pytest.raises(TypeError):
+        chunks.compare_with_edits(spark.createDataFrame([("a", "x")], "doc_id string, text string"))

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import langid
@@ -51,6 +52,14 @@ def test_segments_cover_long_texts(monkeypatch):
     assert (whole[whole < langid.BUCKETS] == parts[parts < langid.BUCKETS]).all()
 
 
+def test_too_many_languages_are_refused_before_they_are_collected(make_docs, monkeypatch):
+    docs = make_docs([(i, f"text {i}", f"l{i}") for i in range(5)])
+    monkeypatch.setattr(langid, "MAX_MODEL_CELLS", 4 * langid.BUCKETS)
+    with pytest.raises(ValueError, match="more than 4"):
+        langid.train(docs)
+    assert len(langid.train(docs.where("doc_id < 4"))[0]) == 4
+
+
 def test_odd_rows(make_docs):
     docs = make_docs([(1, "hello there", "en"), (2, "guten tag", "de"), (3, None, "en"), (4, "123 !?", "de"), (5, "\0x\0", None), (None, "hello", None), (1, "hello there", "en")])
     docs = docs.withColumn("score", F.lit("clash"))

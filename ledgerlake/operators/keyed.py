@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlake.session import cut_lineage
+
 
 def _cols(items: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in items]
@@ -65,12 +67,13 @@ def key_totals_beside_rows(
     """Attach per-key aggregates to every row (``SUM(x) OVER (PARTITION BY keys)``).
 
     Computed as a partial-aggregated ``groupBy`` joined back on the keys rather
-    than a window, so a hot key is summed across many tasks; the join back is an
-    ordinary equi-join that adaptive execution can split when a key is skewed.
+    than a window, so a hot key is summed across many tasks. The totals are written to the
+    checkpoint folder first: then the join reads two plain shuffles, and adaptive execution
+    can split a skewed key, which it can't while one side is an aggregate by the key.
     """
     keys = list(keys)
     totals = df.groupBy(*keys).agg(*[expr.alias(name) for name, expr in aggs.items()])
-    renamed = totals.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], *aggs.keys())
+    renamed = cut_lineage(totals).select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], *aggs.keys())
     # NULL keys form one group in a window partition, so match them null-safely.
     cond = [df[k].eqNullSafe(renamed[f"_k{i}"]) for i, k in enumerate(keys)]
     joined = df.join(renamed, on=cond, how="left")

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from ledgerlake.functions import ratio, regex_first, safe_num, utc_date
 from ledgerlake.functions.json import json_scalar, strip_json_quotes
 from ledgerlake.operators.keyed import first_per_key, latest_per_key
+from ledgerlake.operators.skew import heavy_hitters, salted_join
 from ledgerlake.operators.setops import union_all
 from ledgerlake.plans.commerce import BASE_CURRENCY, CONVERTED, convert_currency
 from ledgerlake.plans import segments as seg
@@ -387,7 +388,8 @@ def customer_summary(
     the latest order with a known country per e-mail, joined back on the customer
     id as the reference does (so the e-mail grain can fan out, trap G4). Both sides
     are reduced first: orders to one row per (customer, e-mail, order), countries to one
-    row per (customer, country).
+    row per (customer, country). A placeholder customer that holds many of the orders is
+    salted in that join: its side is an aggregate, which adaptive execution can't split.
     """
     last = latest_per_key(
         addresses.where(F.col(country).isNotNull()).select(email, customer_id, country, order_date, order_id),
@@ -397,7 +399,7 @@ def customer_summary(
     et = order_emails.select(F.col(order_id).alias("_et_oid"), F.col(customer_id).alias("_et_cid"), F.col(email))
     rows = ledger.select(order_id, F.col(counted).alias("_counted")).distinct()
     placed = rows.join(et, F.col(order_id) == F.col("_et_oid"), "left").select("_et_cid", email, "_counted").distinct()
-    out = placed.join(last.distinct(), F.col("_et_cid") == F.col("_la_cid"), "left").groupBy(email, "billing_order_country").agg(
+    out = salted_join(placed, last.distinct().withColumnRenamed("_la_cid", "_et_cid"), ["_et_cid"], "left", hot=heavy_hitters(et, ["_et_cid"])).groupBy(email, "billing_order_country").agg(
         F.count_distinct("_counted").alias("orders")
     )
     return out.withColumn("customer_type", seg.customer_type("orders"))

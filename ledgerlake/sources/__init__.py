@@ -17,11 +17,13 @@ from ledgerlake.sources.sinks import (
     upsert_by_key,
     write_table,
 )
+from ledgerlake.sources.snapshots import snapshot_changes, write_snapshot
 from ledgerlake.sources.tables import (
     column_catalog,
     jdbc_options,
     path_exists,
     read_files,
+    read_files_checked,
     read_query,
     read_source,
     table_exists,
@@ -43,11 +45,14 @@ __all__ = [
     "path_exists",
     "replace_rows",
     "read_files",
+    "read_files_checked",
     "read_query",
     "read_source",
     "schema_for",
+    "snapshot_changes",
     "staged",
     "table_exists",
     "upsert_by_key",
+    "write_snapshot",
     "write_table",
 ]

@@ -6,7 +6,8 @@ import os
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def read_source(
@@ -52,6 +53,36 @@ def read_files(
     return reader.load(path)
 
 
+_RECORD = "_damaged_record"
+
+
+def read_files_checked(
+    spark: SparkSession, path: str, schema: StructType | str, fmt: str = "csv", options: Mapping[str, str] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """(good rows with the types of ``schema``, damaged rows) of a file drop; together they are all rows.
+
+    Damaged rows are ``(file, reason, record)``: cut or overlong records and broken JSON are
+    ``malformed``; otherwise the reason names the first column whose text is not of its type, such as
+    ``qty is no int``. Fields are read as text first, so one bad value spoils no other column, and
+    a missing or empty field is NULL, not damaged. The files are parsed once for each of the two frames.
+    """
+    wanted = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    raw = StructType([*(StructField(f.name, StringType()) for f in wanted), StructField(_RECORD, StringType())])
+    rows = read_files(spark, path, fmt, raw, {**(options or {}), "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _RECORD})
+    reason = F.when(F.col(_RECORD).isNotNull(), "malformed")
+    values = []
+    for f in wanted:
+        text = F.col(f"`{f.name}`")
+        value = text if isinstance(f.dataType, StringType) else F.nullif(F.trim(text), F.lit("")).try_cast(f.dataType)
+        values.append(value.alias(f.name))
+        if not isinstance(f.dataType, StringType):
+            reason = reason.when((F.trim(text) != "") & value.isNull(), f"{f.name} is no {f.dataType.simpleString()}")
+    fields = F.struct(*[F.col(f"`{f.name}`") for f in wanted])
+    record = F.coalesce(F.col(_RECORD), F.to_json(fields) if fmt == "json" else F.to_csv(fields))
+    damaged = rows.select(F.col("_metadata.file_path").alias("file"), reason.alias("reason"), record.alias("record")).where(F.col("reason").isNotNull())
+    return rows.where(reason.isNull()).select(*values), damaged
+
+
 def jdbc_options(
     url: str,
     query: str | None = None,

@@ -10,7 +10,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from ledgerlake.operators import flatten_structs, label_columns, normalise_timestamps, override_types, select_fields
+from ledgerlake.operators import flatten_structs, key_totals_beside_rows, label_columns, normalise_timestamps, override_types, salted_join, select_fields
 from ledgerlake.sources import (
     append_table,
     deleted_rows,
@@ -19,7 +19,10 @@ from ledgerlake.sources import (
     merge_partitions,
     next_bookmark,
     read_files,
+    read_files_checked,
+    snapshot_changes,
     upsert_by_key,
+    write_snapshot,
     write_table,
 )
 from ledgerlake.streaming import compact, current_table, incremental_ingest, upsert_stream, upserted
@@ -215,3 +218,94 @@ def q_partition_merge(spark, sf):
     fixed = o.where("o_orderstatus = 'P' AND o_orderkey % 2 = 0").withColumns({"o_totalprice": F.col("o_totalprice") + 1, "version": F.lit(1)})
     merge_partitions(spark, path, fixed, ["o_orderkey"], ["version"], ["o_orderstatus"], scratch(spark, "merged"))
     return spark.read.parquet(path).select("o_orderkey", "o_totalprice", F.col("o_orderstatus").cast("string").alias("o_orderstatus"))
+
+
+@q(
+    "damaged_file_drop",
+    """
+WITH d AS (
+  SELECT o_orderkey, o_orderdate::DATE AS day, o_totalprice, o_orderstatus,
+         CASE WHEN o_orderkey % 11 = 3 THEN 'malformed' WHEN o_orderkey % 13 = 5 THEN 'o_totalprice is no double'
+              WHEN o_orderkey % 17 = 7 THEN 'day is no date' END AS reason
+  FROM orders
+)
+SELECT o_orderkey AS id, if(reason IS NULL, day, NULL) AS day, if(reason IS NULL, o_totalprice, NULL) AS total, if(reason IS NULL, o_orderstatus, NULL) AS status,
+       reason, CASE WHEN reason = 'malformed' THEN o_orderkey || ',' || day
+                    WHEN reason IS NOT NULL THEN o_orderkey || ',' || if(reason LIKE 'day%', 'soon', day::VARCHAR) || ',' || if(reason LIKE 'o_%', 'n/a', '7.5') || ',' || o_orderstatus END AS record
+FROM d
+""",
+)
+def q_damaged_file_drop(spark, sf):
+    """orders dropped as CSV files with cut lines and wrong types: good rows typed, the others kept apart
+    with the reason and the record as it came (their ids are read off it)."""
+    path = scratch(spark, "drop")
+    key = F.col("o_orderkey")
+    o = table(spark, sf, "orders")
+    cut, no_total, no_day = key % 11 == 3, (key % 11 != 3) & (key % 13 == 5), (key % 11 != 3) & (key % 13 != 5) & (key % 17 == 7)
+    day = F.when(no_day, "soon").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    total = F.when(no_total, "n/a").when(no_day, "7.5").otherwise(F.col("o_totalprice").cast("string"))
+    line = F.when(cut, F.concat_ws(",", key, day)).otherwise(F.concat_ws(",", key, day, total, "o_orderstatus"))
+    o.select(line.alias("value")).write.text(path)
+    good, bad = read_files_checked(spark, path, "o_orderkey long, day date, o_totalprice double, o_orderstatus string", options={"header": "false"})
+    none = F.lit(None)
+    kept = good.select(F.col("o_orderkey").alias("id"), "day", F.col("o_totalprice").alias("total"), F.col("o_orderstatus").alias("status"), none.cast("string").alias("reason"), none.cast("string").alias("record"))
+    return kept.unionByName(bad.select(
+        F.substring_index("record", ",", 1).cast("long").alias("id"), none.cast("date").alias("day"), none.cast("double").alias("total"), none.cast("string").alias("status"), "reason", "record",
+    ))
+
+
+@q(
+    "snapshot_changes",
+    """
+SELECT o_orderkey,
+       CASE WHEN o_orderkey % 101 = 1 THEN 'inserted' WHEN o_orderkey % 101 = 2 THEN 'deleted' ELSE 'updated' END AS change,
+       CASE o_orderkey % 101 WHEN 3 THEN 'o_totalprice' WHEN 4 THEN 'o_orderstatus,o_totalprice' END AS columns,
+       if(o_orderkey % 101 = 1, NULL, o_totalprice) AS before, if(o_orderkey % 101 = 2, NULL, if(o_orderkey % 101 IN (3, 4), o_totalprice + 1, o_totalprice)) AS after
+FROM orders WHERE o_orderkey % 101 IN (1, 2, 3, 4)
+""",
+)
+def q_snapshot_changes(spark, sf):
+    """Two full loads of orders: rows that came, went, or have another price or status."""
+    root, key = scratch(spark, "snapshots"), F.col("o_orderkey") % 101
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    write_snapshot(o.where(key != 1), f"{root}/old", ["o_orderkey"], 32)
+    later = o.where(key != 2).withColumns({
+        "o_totalprice": F.when(key.isin(3, 4), F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")),
+        "o_orderstatus": F.when(key == 4, F.lit("X")).otherwise(F.col("o_orderstatus")),
+    })
+    write_snapshot(later, f"{root}/new", ["o_orderkey"], 32)
+    found = snapshot_changes(spark, f"{root}/old", f"{root}/new", "o_orderkey long, o_orderstatus string, o_totalprice double", ["o_orderkey"])
+    columns = F.when(F.col("change") == "updated", F.array_join("changed", ","))
+    return found.select("o_orderkey", "change", columns.alias("columns"), F.col("before.o_totalprice").alias("before"), F.col("after.o_totalprice").alias("after"))
+
+
+@q(
+    "join_with_hot_key",
+    """
+WITH o AS (SELECT o_orderkey, if(o_orderkey % 2 = 0, 0, o_custkey) AS cust FROM orders),
+c AS (SELECT c_custkey AS cust, c_name FROM customer WHERE c_custkey % 3 <> 0 UNION ALL SELECT 0, 'placeholder')
+SELECT cust, o_orderkey, c_name FROM o FULL JOIN c USING (cust)
+""",
+)
+def q_join_with_hot_key(spark, sf):
+    """Orders full-joined with customers, half of them on one placeholder customer, whose rows are salted."""
+    o = table(spark, sf, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 2 == 0, 0).otherwise(F.col("o_custkey")).cast("long").alias("cust"))
+    c = table(spark, sf, "customer").where("c_custkey % 3 <> 0").select(F.col("c_custkey").cast("long").alias("cust"), "c_name")
+    c = c.unionByName(spark.range(1).select(F.col("id").alias("cust"), F.lit("placeholder").alias("c_name")))
+    return salted_join(o, c, ["cust"], "full")
+
+
+@q(
+    "totals_beside_orders",
+    """
+WITH o AS (SELECT o_orderkey, if(o_orderkey % 2 = 0, 0, o_custkey) AS cust, o_totalprice::DECIMAL(18,2) AS price FROM orders)
+SELECT o_orderkey, cust, (sum(price) OVER (PARTITION BY cust))::DECIMAL(28,2) AS cust_total, count(*) OVER (PARTITION BY cust) AS cust_orders FROM o
+""",
+)
+def q_totals_beside_orders(spark, sf):
+    """Each order beside its customer's total, half of the orders on one placeholder customer."""
+    o = table(spark, sf, "orders").select(
+        "o_orderkey", F.when(F.col("o_orderkey") % 2 == 0, 0).otherwise(F.col("o_custkey")).cast("long").alias("cust"), F.col("o_totalprice").cast("decimal(18,2)").alias("price")
+    )
+    total = {"cust_total": F.sum("price").cast("decimal(28,2)"), "cust_orders": F.count(F.lit(1))}
+    return key_totals_beside_rows(o, ["cust"], total).drop("price")

@@ -147,3 +147,50 @@ def test_neighbour_value_default_ranges_with_adaptive_coalescing(spark, skewed):
         assert rows(got, "k", "t", "id", "nb") == rows(expected, "k", "t", "id", "nb")
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_salted_join_equals_the_plain_join_and_spreads_the_hot_key(spark):
+    from ledgerlake.operators import heavy_hitters, salted_join
+
+    left = spark.range(4000).selectExpr("IF(id % 2 = 0, 7, id) AS k", "IF(id % 50 = 1, NULL, 'x') AS j", "id AS v")
+    right = spark.createDataFrame([(7, "x", "hot"), (7, "x", "hot2"), (1, "x", "a"), (3, "x", "b"), (9000, "x", "none"), (None, "x", "null"), (55, None, "n")], "k long, j string, w string")
+    hot = heavy_hitters(left, ["k", "j"])
+    assert len(hot) == 1
+    for how in ("inner", "left", "full"):
+        got = salted_join(left, right, ["k", "j"], how, salts=8)
+        want = left.join(right, ["k", "j"], how)
+        assert got.columns == want.columns
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())), how
+    with pytest.raises(ValueError):
+        salted_join(left, right, ["k", "j"], "cross")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        for k, v in zip(old, ("-1", "false")):
+            spark.conf.set(k, v)
+        sizes = [r[0] for r in salted_join(left, right, ["k", "j"], "left", salts=64).groupBy(F.spark_partition_id()).count().select("count").collect()]
+        plain = [r[0] for r in left.join(right, ["k", "j"], "left").groupBy(F.spark_partition_id()).count().select("count").collect()]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert sum(sizes) == sum(plain) and max(plain) > 4000 and max(sizes) < max(plain) / 3
+
+
+def test_totals_beside_rows_let_a_hot_key_be_split(spark):
+    from ledgerlake.operators import key_totals_beside_rows
+
+    df = spark.range(20_000).selectExpr("IF(id % 2 = 0, 0, id) AS k", "id AS v")
+    wanted = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    old = {k: spark.conf.get(k) for k in wanted}
+    try:
+        for k, v in wanted.items():
+            spark.conf.set(k, v)
+        out = key_totals_beside_rows(df, ["k"], {"n": F.count(F.lit(1))})
+        rows = out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert "skew=true" in plan and all(r.n == (10_000 if r.k == 0 else 1) for r in rows) and len(rows) == 20_000

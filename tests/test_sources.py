@@ -115,3 +115,41 @@ def test_ingest_keeps_new_versions_and_late_rows(spark, tmp_path):
             assert {r.k: r.v for r in current_table(spark, sink, ["k"], "ts", s).collect()} == want[i]
         snapshot = compact(spark, sink, ["k"], "ts", str(tmp_path / f"snapshot{i}"), snapshot)
     assert spark.read.parquet(snapshot).count() == 4
+
+
+def test_damaged_rows_are_kept_apart(spark, tmp_path):
+    from ledgerlake.sources import read_files_checked
+
+    (tmp_path / "a.csv").write_text("id,qty,name,day\n1,2,x,2024-01-01\n2,two,y,2024-01-01\n3,4\n4,5,z,2024-01-01,extra\n5,,\"a,b\",\n6,1,q,never\n")
+    (tmp_path / "b.csv").write_text('id,qty,name,day\n7, 8 ,"unclosed,2024-01-01\n')
+    good, bad = read_files_checked(spark, str(tmp_path), "id int, qty int, name string, day date")
+    assert sorted((r.id, r.qty, r.name) for r in good.collect()) == [(1, 2, "x"), (5, None, "a,b")] and good.dtypes == [("id", "int"), ("qty", "int"), ("name", "string"), ("day", "date")]
+    found = {r.record.split(",")[0]: (r.reason, r.file.rsplit("/", 1)[1]) for r in bad.collect()}
+    assert found == {"2": ("qty is no int", "a.csv"), "3": ("malformed", "a.csv"), "4": ("malformed", "a.csv"), "6": ("day is no date", "a.csv"), "7": ("malformed", "b.csv")}
+    (tmp_path / "j").mkdir()
+    (tmp_path / "j" / "x.json").write_text('{"id": 1, "qty": 2}\n{"id": 2, "qty": "n"}\n{"id": 3\n{"id": 4}\n')
+    good, bad = read_files_checked(spark, str(tmp_path / "j"), "id int, qty int", "json")
+    assert sorted((r.id, r.qty) for r in good.collect()) == [(1, 2), (4, None)]
+    assert sorted((r.reason, r.record) for r in bad.collect()) == [("malformed", '{"id": 3'), ("qty is no int", '{"id":"2","qty":"n"}')]
+
+
+def test_snapshot_changes_reads_differing_buckets_only(spark, tmp_path):
+    import glob
+
+    from ledgerlake.sources import snapshot_changes, write_snapshot
+    from ledgerlake.sources.snapshots import differing_buckets
+
+    schema = "k long, a string, b double"
+    rows = [(i, f"a{i}", float(i)) for i in range(200)] + [(None, "null key", None)]
+    later = [r for r in rows if r[0] != 5] + [(900, "new", None)]
+    later = [(i, a, None if i == 7 else b) for i, a, b in later]
+    for name, data in (("old", rows), ("new", later)):
+        write_snapshot(spark.createDataFrame(data, schema), f"{tmp_path}/{name}", ["k"], 64)
+    buckets = differing_buckets(spark, f"{tmp_path}/old", f"{tmp_path}/new")
+    assert 1 <= len(buckets) <= 3
+    for f in glob.glob(f"{tmp_path}/*/rows/snapshot_bucket=*/part-*"):
+        if int(f.split("snapshot_bucket=")[1].split("/")[0]) not in buckets:
+            open(f, "wb").write(b"not to be read")
+    got = {r.k: (r.change, r.changed, r.before and r.before.b, r.after and r.after.b) for r in snapshot_changes(spark, f"{tmp_path}/old", f"{tmp_path}/new", schema, ["k"]).collect()}
+    assert got == {5: ("deleted", None, 5.0, None), 7: ("updated", ["b"], 7.0, None), 900: ("inserted", None, None, None)}
+    assert snapshot_changes(spark, f"{tmp_path}/old", f"{tmp_path}/old", schema, ["k"]).count() == 0

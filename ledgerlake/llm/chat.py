@@ -1,13 +1,17 @@
 """Chat formatting by quotation linking, with DataFrame functions only.
 
-Quoted lines are told by leading > marks; runs of lines on one level are passages. Passages are
-hashed after normalisation and joined to the earliest message that says the same in its own words:
-one of its paragraphs, lines, or its whole text. The links give each message the one it replies to;
-following them to the start of each thread (pointer doubling) gives the reply order. Quotes, and the
-line that announces them, are left out of the texts.
-
-Sums come before joins: originals are reduced to one row per passage (and conversation), so a line
-that a third of all messages share joins as one row.
+Quoted lines are told by leading > marks; runs of lines on one level are passages. A passage is
+tried as a whole, line by line and sentence by sentence: each candidate is hashed after
+normalisation and joined to the earliest message that says the same in its own words, as its whole
+text, a paragraph, a line or a sentence. The longest candidate that has an original links the passage.
+Inside a conversation any number of words will do; in another one it takes ``MIN_WORDS``, as shorter
+words are said everywhere. The links give each message the one it replies to; following them to the
+start of each thread (pointer doubling) gives the reply order. Quotes, and the line that announces
+them, are left out of the texts.
+
+Sums come before joins: originals are reduced to one row per passage and conversation, and to the
+two smallest conversations of each passage (one of them may be the quoting one). Both are landed
+before the join, so that a line that a third of all messages quote can be split.
 """
 
 from __future__ import annotations
@@ -52,8 +56,13 @@ def _own_text(lines: Column) -> Column:
     return F.regexp_replace(joined, r"\A\s+|\s+\z", "")
 
 
+def _sentences(text: Column) -> Column:
+    return F.split(F.regexp_replace(F.regexp_replace(text, r"\s+", " "), "([.!?]) ", "$1\n"), "\n", -1)
+
+
 def quoted_passages(rows: DataFrame) -> DataFrame:
-    """``rows`` (id, conv_id, turn, lines) -> (id, conv_id, turn, level, at, hash, linkable)."""
+    """``rows`` (id, conv_id, turn, lines) -> (id, conv_id, turn, run, level, at, nth, n_words, hash):
+    the candidates of each quoted run, numbered: the whole, its lines, its sentences."""
     lines = rows.where(F.exists("lines", lambda x: x.level > 0)).dropDuplicates(["id"]).select("id", "conv_id", "turn", F.posexplode("lines").alias("at", "line"))
     lines = lines.select("id", "conv_id", "turn", "at", "line.level", "line.body")
     blank = F.trim(F.regexp_replace("body", r"\s+", " ")) == ""
@@ -61,33 +70,38 @@ def quoted_passages(rows: DataFrame) -> DataFrame:
     lines = lines.withColumn("kind", F.when((F.col("level") > 0) & ~blank, F.col("level")).otherwise(F.lit(0)))
     lines = lines.withColumn("new", (F.col("kind") != F.coalesce(F.lag("kind").over(one), F.lit(0))).cast("int"))
     lines = lines.withColumn("run", F.sum("new").over(one)).where("kind > 0")
-    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "body"))), lambda x: x.body), " ")
-    runs = lines.groupBy("id", "conv_id", "turn", "run").agg(F.first("level").alias("level"), F.min("at").alias("at"), normalised(body).alias("norm"))
-    return runs.select("id", "conv_id", "turn", "level", "at", F.md5(F.col("norm").cast("binary")).alias("hash"), (_words(F.col("norm")) >= MIN_WORDS).alias("linkable"))
+    bodies = F.transform(F.array_sort(F.collect_list(F.struct("at", "body"))), lambda x: x.body)
+    runs = lines.groupBy("id", "conv_id", "turn", "run").agg(F.first("level").alias("level"), F.min("at").alias("at"), bodies.alias("bodies"))
+    whole = F.array_join("bodies", " ")
+    parts = F.concat(F.array(whole), F.col("bodies"), _sentences(whole))
+    tried = runs.select("id", "conv_id", "turn", "run", "level", "at", F.posexplode(F.transform(parts, normalised)).alias("nth", "norm"))
+    return tried.select("id", "conv_id", "turn", "run", "level", "at", "nth", _words(F.col("norm")).alias("n_words"), F.md5(F.col("norm").cast("binary")).alias("hash"))
 
 
 def own_passages(rows: DataFrame) -> DataFrame:
-    """(conv_id, turn, hash) of every paragraph, line and whole text of the messages' own words."""
-    blocks = F.concat(F.array("own"), F.split("own", r"\n[ \t]*\n", -1), F.split("own", "\n", -1))
-    norms = F.filter(F.array_distinct(F.transform(blocks, normalised)), lambda x: _words(x) >= MIN_WORDS)
+    """(conv_id, turn, hash) of every paragraph, line, sentence and whole text of the messages' own words."""
+    blocks = F.concat(F.array("own"), F.split("own", r"\n[ \t]*\n", -1), F.split("own", "\n", -1), _sentences(F.col("own")))
+    norms = F.filter(F.array_distinct(F.transform(blocks, normalised)), lambda x: x != "")
     return rows.where("turn is not null").select("conv_id", "turn", F.explode(F.transform(norms, lambda x: F.md5(x.cast("binary")))).alias("hash"))
 
 
 def _linked(quotes: DataFrame, own: DataFrame) -> DataFrame:
-    """(id, conv_id, turn, level, at, from_conv, from_turn): the passages whose original is found,
+    """(id, level, at, nth, n_words, from_conv, from_turn): the candidates whose original is found,
     first in the same conversation and before the quote, then anywhere else."""
-    wanted = quotes.where("linkable").select("hash").distinct()
-    own = own.join(wanted, "hash", "left_semi")
-    here = own.groupBy("conv_id", "hash").agg(F.min("turn").alias("here_turn"))
-    first = F.min(F.struct("conv_id", "turn"))
-    anywhere = own.where("conv_id is not null").groupBy("hash").agg(first.alias("first"))
-    found = quotes.where("linkable").join(here, ["conv_id", "hash"], "left").join(anywhere, "hash", "left")
-    inside = F.col("here_turn") < F.col("turn")
-    outside = F.col("first.conv_id").isNotNull() & ~F.col("first.conv_id").eqNullSafe(F.col("conv_id"))
-    return found.where(inside | outside).select(
-        "id", "conv_id", "turn", "level", "at",
-        F.when(inside, F.col("conv_id")).otherwise(F.col("first.conv_id")).alias("from_conv"),
-        F.when(inside, F.col("here_turn")).otherwise(F.col("first.turn")).alias("from_turn"),
+    tried = quotes.where("n_words > 0")
+    own = own.join(tried.select("hash").distinct(), "hash", "left_semi")
+    here = landed(own.groupBy("conv_id", "hash").agg(F.min("turn").alias("here_turn")))
+    nth = F.row_number().over(Window.partitionBy("hash").orderBy("conv_id"))  # two rows a task and passage are shuffled
+    two = here.where("conv_id is not null").withColumn("nth", nth).where("nth <= 2")
+    place = F.struct(F.col("conv_id").alias("c"), F.col("here_turn").alias("t"))
+    two = landed(two.groupBy("hash").agg(*[F.max(F.when(F.col("nth") == i, place)).alias(f"away{i}") for i in (1, 2)]))
+    found = tried.join(here, ["conv_id", "hash"], "left").join(two, "hash", "left")
+    inside = F.coalesce(F.col("here_turn") < F.col("turn"), F.lit(False))
+    away = F.when(F.col("away1.c").eqNullSafe(F.col("conv_id")), F.col("away2")).otherwise(F.col("away1"))
+    found = found.withColumn("away", F.when(F.col("n_words") >= MIN_WORDS, away)).where(inside | F.col("away").isNotNull())
+    return found.select(
+        "id", "level", "at", "nth", "n_words",
+        F.when(inside, F.col("conv_id")).otherwise(F.col("away.c")).alias("from_conv"), F.when(inside, F.col("here_turn")).otherwise(F.col("away.t")).alias("from_turn"),
     )
 
 
@@ -108,8 +122,8 @@ def link_replies(conversations: DataFrame) -> DataFrame:
     """(conv_id, turn, role, text, n_quotes, quoted_conv, quoted_turn, thread_turn, depth) of every
     message, with ``text`` freed from quotes.
 
-    ``quoted_*`` is the original of the message's first linked passage on the lowest quote level
-    (null without any). If it is in the same conversation the message replies to it;
+    ``quoted_*`` is the original of the message's first linked passage on the lowest quote level, by
+    the longest of its candidates that has one (null without any). If it is in the same conversation the message replies to it;
     ``thread_turn`` is the turn that its chain of replies starts from (its own without reply) and
     ``depth`` the number of replies up to there. Order by (conv_id, thread_turn, turn) puts each
     message behind the one it replies to.
@@ -117,8 +131,8 @@ def link_replies(conversations: DataFrame) -> DataFrame:
     A null or empty text gives an empty one; blank lines are kept single. Messages without
     conversation or turn are kept, without reply of their own and never quoted inside a
     conversation. Messages that share conversation and turn share a thread; equal rows stay
-    repeated. Passages under three words are removed but not linked. An empty table gives an empty
-    result; other columns aren't read.
+    repeated. Passages without a letter or digit are removed but not linked. An empty table gives an
+    empty result; other columns aren't read.
     """
     rows = parsed(conversations.select("conv_id", "turn", "role", "text"))
     key = F.to_json(F.struct("conv_id", "turn", "role", "text"))
@@ -132,8 +146,8 @@ def link_replies(conversations: DataFrame) -> DataFrame:
             F.col("turn").alias("thread_turn"), F.lit(0).cast("long").alias("depth"),
         ).withColumn("quoted_conv", F.when(F.lit(False), F.col("quoted_conv"))).withColumn("quoted_turn", F.when(F.lit(False), F.col("quoted_turn")))
     links = landed(_linked(quotes, own_passages(rows)))
-    best = links.groupBy("id").agg(F.min_by(F.struct("from_conv", "from_turn"), F.struct("level", "at")).alias("q"))
-    counted = quotes.groupBy("id").agg(F.count("*").alias("n_quotes"))
+    best = links.groupBy("id").agg(F.min_by(F.struct("from_conv", "from_turn"), F.struct("level", "at", -F.col("n_words"), "nth")).alias("q"))
+    counted = quotes.where("nth = 0").groupBy("id").agg(F.count("*").alias("n_quotes"))
     told = landed(counted.join(best, "id", "left").select("id", "n_quotes", "q.from_conv", "q.from_turn"))
     out = out.join(told, "id", "left").drop("id")
     inside = out.where("from_conv = conv_id and from_turn < turn").select("conv_id", "turn", F.col("from_turn").alias("up")).distinct()
@@ -145,8 +159,9 @@ def link_replies(conversations: DataFrame) -> DataFrame:
 
 
 def rendered(role: Column, text: Column) -> Column:
-    """A message as training text."""
-    return F.concat(F.lit("<|"), F.coalesce(role, F.lit("unknown")), F.lit("|>\n"), text, F.lit("\n"))
+    """A message as training text. Role marks inside a text or role are broken up, so none can be forged."""
+    plain = lambda x: F.replace(F.replace(x, F.lit("<|"), F.lit("< |")), F.lit("|>"), F.lit("| >"))
+    return F.concat(F.lit("<|"), plain(F.coalesce(role, F.lit("unknown"))), F.lit("|>\n"), plain(text), F.lit("\n"))
 
 
 def in_reply_order(linked: DataFrame) -> DataFrame:

@@ -40,24 +40,34 @@ own AS (SELECT r, string_agg(body, chr(10) ORDER BY i) FILTER (level = 0 AND NOT
 clean AS (SELECT r, regexp_replace(regexp_replace(coalesce(o, ''), '\n\s*\n', chr(10) || chr(10), 'g'), '\A\s+|\s+\z', '', 'g') AS text FROM own),
 b AS (SELECT *, sum(new) OVER (PARTITION BY r ORDER BY i) AS run
       FROM (SELECT *, (kind <> coalesce(lag(kind) OVER (PARTITION BY r ORDER BY i), 0))::INT AS new FROM n)),
-q AS (SELECT r, run, min(level) AS level, min(i) AS pos, trim(regexp_replace(lower(string_agg(body, ' ' ORDER BY i)), '[^\p{L}\p{N}]+', ' ', 'g')) AS norm
+q AS (SELECT r, run, min(level) AS level, min(i) AS pos, string_agg(body, ' ' ORDER BY i) AS whole, list(body ORDER BY i) AS bodies
       FROM b WHERE kind > 0 GROUP BY r, run),
+tried AS (SELECT r, level, pos, unnest(c) AS c, unnest(range(len(c))) AS nth
+          FROM (SELECT *, [whole] || bodies || string_split(regexp_replace(regexp_replace(whole, '\s+', ' ', 'g'), '([.!?]) ', '\1' || chr(10), 'g'), chr(10)) AS c FROM q)),
+cand AS (SELECT r, level, pos, nth, norm, len(string_split(norm, ' ')) AS n
+         FROM (SELECT *, trim(regexp_replace(lower(c), '[^\p{L}\p{N}]+', ' ', 'g')) AS norm FROM tried) WHERE norm <> ''),
 p AS (SELECT DISTINCT conv_id, turn, norm FROM (
-        SELECT r, trim(regexp_replace(lower(unnest([text] || string_split_regex(text, '\n[ \t]*\n') || string_split(text, chr(10)))), '[^\p{L}\p{N}]+', ' ', 'g')) AS norm FROM clean)
-      JOIN m USING (r) WHERE turn IS NOT NULL AND len(string_split(norm, ' ')) >= 3),
+        SELECT r, trim(regexp_replace(lower(unnest([text] || string_split_regex(text, '\n[ \t]*\n') || string_split(text, chr(10))
+               || string_split(regexp_replace(regexp_replace(text, '\s+', ' ', 'g'), '([.!?]) ', '\1' || chr(10), 'g'), chr(10)))), '[^\p{L}\p{N}]+', ' ', 'g')) AS norm FROM clean)
+      JOIN m USING (r) WHERE turn IS NOT NULL AND norm <> ''),
 here AS (SELECT conv_id, norm, min(turn) AS turn FROM p GROUP BY ALL),
-away AS (SELECT norm, min({'c': conv_id, 't': turn}) AS f FROM p WHERE conv_id IS NOT NULL GROUP BY norm),
-k AS (SELECT q.r, q.level, q.pos, CASE WHEN here.turn < m.turn THEN m.conv_id ELSE f.c END AS fc, CASE WHEN here.turn < m.turn THEN here.turn ELSE f.t END AS ft
-      FROM q JOIN m USING (r) LEFT JOIN here ON here.conv_id = m.conv_id AND here.norm = q.norm LEFT JOIN away ON away.norm = q.norm
-      WHERE len(string_split(q.norm, ' ')) >= 3 AND (here.turn < m.turn OR f.c IS DISTINCT FROM m.conv_id AND f.c IS NOT NULL)),
-best AS (SELECT r, fc, ft FROM k QUALIFY row_number() OVER (PARTITION BY r ORDER BY level, pos) = 1),
+away AS (SELECT norm, conv_id, turn, row_number() OVER (PARTITION BY norm ORDER BY conv_id) AS place FROM here WHERE conv_id IS NOT NULL),
+k AS (SELECT * FROM (
+        SELECT cand.r, level, pos, n, nth, coalesce(here.turn < m.turn, false) AS inside, a.conv_id IS NOT DISTINCT FROM m.conv_id AS mine,
+               CASE WHEN inside THEN m.conv_id WHEN n >= 3 AND mine THEN b.conv_id WHEN n >= 3 THEN a.conv_id END AS fc,
+               CASE WHEN inside THEN here.turn WHEN n >= 3 AND mine THEN b.turn WHEN n >= 3 THEN a.turn END AS ft
+        FROM cand JOIN m USING (r) LEFT JOIN here ON here.conv_id = m.conv_id AND here.norm = cand.norm
+        LEFT JOIN away a ON a.norm = cand.norm AND a.place = 1 LEFT JOIN away b ON b.norm = cand.norm AND b.place = 2)
+      WHERE inside OR fc IS NOT NULL),
+best AS (SELECT r, fc, ft FROM k QUALIFY row_number() OVER (PARTITION BY r ORDER BY level, pos, n DESC, nth) = 1),
 e AS (SELECT conv_id, turn, min(ft) AS up FROM best JOIN m USING (r) WHERE fc = conv_id AND ft < turn GROUP BY ALL),
 w AS (SELECT conv_id, turn, up AS thread_turn, 1::BIGINT AS depth FROM e
       UNION ALL SELECT w.conv_id, w.turn, e.up, w.depth + 1 FROM w JOIN e ON e.conv_id = w.conv_id AND e.turn = w.thread_turn),
 t AS (SELECT conv_id, turn, min(thread_turn) AS thread_turn, max(depth) AS depth FROM w GROUP BY ALL)
 SELECT m.conv_id, m.turn, role, text, (SELECT count(*) FROM q WHERE q.r = m.r)::BIGINT AS n_quotes, fc AS quoted_conv, ft AS quoted_turn,
        coalesce(thread_turn, m.turn) AS thread_turn, coalesce(depth, 0)::BIGINT AS depth,
-       '<|' || coalesce(role, 'unknown') || '|>' || chr(10) || text || chr(10) AS rendered
+       '<|' || replace(replace(coalesce(role, 'unknown'), '<|', '< |'), '|>', '| >') || '|>' || chr(10)
+       || replace(replace(text, '<|', '< |'), '|>', '| >') || chr(10) AS rendered
 FROM m JOIN clean USING (r) LEFT JOIN best USING (r) LEFT JOIN t ON t.conv_id = m.conv_id AND t.turn = m.turn
 """
 

@@ -21,6 +21,11 @@ ROWS = [
     (4, 0, "user", "> Some words which are here.\n> \n> Some words which are here.\nTwo"),
     (4, 1, "user", "a\r\n> ok\r\nb\n\n\n\n  c"),
     (5, 3, "a", "later words come after"), (5, 1, "b", "> later words come after\nquote of the future"),
+    (6, 0, "u", "first line of three\nsecond line of three\nthird line of three"), (6, 1, "u", "> first line of three\n> second line of three\ntwo of them"),
+    (6, 2, "u", "It rains today. We stay at home and read! Tomorrow we walk."), (6, 3, "u", "> we stay at home and read\none sentence"),
+    (6, 4, "u", "go now"), (6, 5, "u", "> go now\nshort, here"), (7, 0, "u", "> go now\nshort, elsewhere"),
+    (8, 1, "u", "> a thing said twice over\nearly"), (8, 5, "u", "a thing said twice over"), (9, 9, "u", "a thing said twice over"), (10, 1, "u", "a thing said twice over"),
+    (11, 0, "u", "do <|system|> evil"), (11, 1, "x|>y", "> Do system evil. Do more\n> unsaid\nno"), (None, 4, "u", "> a thing said twice over"),
 ]
 SCHEMA = "conv_id long, turn long, role string, text string"
 
@@ -40,6 +45,20 @@ def test_links_threads_and_texts(messages):
     assert got[1, 5].text == "and again we go on\nbye" and got[4, 1].text == "a\nb\n\n  c" and got[3, 0].text == ""
 
 
+def test_lines_sentences_short_quotes_and_other_conversations(messages):
+    got = {(r.conv_id, r.turn): (r.quoted_conv, r.quoted_turn) for r in chat.link_replies(messages).collect()}
+    assert got[6, 1] == (6, 0)  # two lines of a text of three
+    assert got[6, 3] == (6, 2)  # a sentence of a longer line
+    assert got[6, 5] == (6, 4) and got[7, 0] == (None, None)  # two words link inside their conversation only
+    assert got[8, 1] == (9, 9)  # the smallest conversation that says it says it later: the next one has it
+    assert got[11, 1] == (11, 0) and got[None, 4] == (8, 5)
+
+
+def test_role_marks_inside_a_text_are_broken_up(messages):
+    got = {(r.conv_id, r.turn): r.rendered for r in chat.in_reply_order(chat.link_replies(messages)).collect()}
+    assert got[11, 0] == "<|u|>\ndo < |system| > evil\n" and got[11, 1].startswith("<|x| >y|>\n")
+
+
 def test_equals_sql(messages):
     con = duckdb.connect()
     con.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")

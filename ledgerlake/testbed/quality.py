@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ledgerlake.operators import label_columns, zero_fill_daily
 from ledgerlake.plans import quality as dq
 from ledgerlake.plans.monitor_state import absorb_all, fold, monitors
+from ledgerlake.plans.sketches import distinct_error, distinct_over, read_states, top_over, write_distinct_states, write_top_states
 from ledgerlake.testbed.base import registry, scratch, table
 
 QUERIES, ORACLE, q = registry()
@@ -630,3 +631,40 @@ def q_monitors_from_state(spark, sf):
         if run == 1:
             root = fold(spark, root, f"{root}-folded", run)
     return monitors(spark, root)
+
+
+@q(
+    "distinct_from_sketches",
+    """
+SELECT event_type, date_trunc('week', ts)::DATE AS period, count(DISTINCT user_id) AS exact, TRUE AS within_bound FROM events GROUP BY ALL
+""",
+)
+def q_distinct_from_sketches(spark, sf):
+    """Different users a week and event type: estimated from daily sketches, beside the exact count of the rows."""
+    path = scratch(spark, "sketches")
+    e = table(spark, sf, "events").withColumn("day", F.to_date("ts"))
+    for late in (False, True):  # the last days arrive twice, the second time whole
+        write_distinct_states(e.where((F.col("day") >= F.lit("2024-01-20")) if late else ((F.col("day") < F.lit("2024-01-20")) | (F.col("event_id") % 2 == 0))), path, "day", "user_id", ["event_type"])
+    week = F.date_trunc("week", "day").cast("date")
+    found = distinct_over(read_states(spark, path), week, ["event_type"])
+    exact = e.groupBy("event_type", week.alias("period")).agg(F.count_distinct("user_id").alias("exact"))
+    off = F.abs(F.col("estimate") - F.col("exact")) <= F.greatest(F.lit(1.0), F.col("exact") * distinct_error())
+    return exact.join(found, ["event_type", "period"]).select("event_type", "period", "exact", off.alias("within_bound"))
+
+
+@q(
+    "top_value_from_state",
+    """
+WITH o AS (SELECT o_custkey, if(o_orderkey % 10 < 7, 'main', o_orderpriority) AS v FROM orders),
+n AS (SELECT o_custkey, v, count(*) AS n, sum(count(*)) OVER (PARTITION BY o_custkey) AS total FROM o GROUP BY o_custkey, v)
+SELECT o_custkey, v AS top, n AS top_count FROM n WHERE 2 * n > total
+""",
+)
+def q_top_value_from_state(spark, sf):
+    """The value that most of a customer's orders have, from sketches kept by customer and year."""
+    path = scratch(spark, "top")
+    v = F.when(F.col("o_orderkey") % 10 < 7, F.lit("main")).otherwise(F.col("o_orderpriority"))
+    o = table(spark, sf, "orders").select("o_custkey", F.year("o_orderdate").alias("year"), v.alias("v"))
+    write_top_states(o, path, "year", "v", ["o_custkey"], tracked=100)
+    found = top_over(read_states(spark, path, part="year"), ["o_custkey"], tracked=100)
+    return found.where(2 * F.col("top_count") > F.col("n_rows")).drop("n_rows")

@@ -17,6 +17,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 from ledgerlake.functions import pct_change, row_to_json
 from ledgerlake.operators.setops import union_all
@@ -193,6 +194,53 @@ def catalog_frame(spark, df: DataFrame) -> DataFrame:
     return spark.createDataFrame(rows, "column_name string, data_type string")
 
 
+def type_paths(dtype: DataType, path: str = "") -> list[tuple[str, str]]:
+    """``(path, type)`` of a type and of all within: ``a.b`` for a struct's field, ``a[]`` for an array's
+    elements, ``a{key}`` and ``a{value}`` for a map's. Containers are given by their kind only."""
+    own = [(path, dtype.typeName() if isinstance(dtype, (StructType, ArrayType, MapType)) else dtype.simpleString())] if path else []
+    if isinstance(dtype, StructType):
+        within = [(f"{path}.{f.name}" if path else f.name, f.dataType) for f in dtype]
+    elif isinstance(dtype, ArrayType):
+        within = [(f"{path}[]", dtype.elementType)]
+    else:
+        within = [(f"{path}{{key}}", dtype.keyType), (f"{path}{{value}}", dtype.valueType)] if isinstance(dtype, MapType) else []
+    return own + [x for p, t in within for x in type_paths(t, p)]
+
+
+def nested_schema_changes(before: StructType, after: StructType) -> list[tuple[str, str, str | None, str | None]]:
+    """D5 at any depth: ``(path, change, before_type, after_type)`` of paths added, removed or retyped.
+    What lies within an added, removed or retyped path is not told again."""
+    old, new = dict(type_paths(before)), dict(type_paths(after))
+    out = []
+    for path in sorted({*old, *new}, key=lambda p: (p.count(".") + p.count("[") + p.count("{"), p)):
+        if old.get(path) == new.get(path) or any(path.startswith((f"{p}.", f"{p}[", f"{p}{{")) for p, *_ in out):
+            continue
+        out.append((path, "added" if path not in old else "removed" if path not in new else "type_changed", old.get(path), new.get(path)))
+    return out
+
+
+def rename_candidates(before: DataFrame, after: DataFrame, least: float = 0.8, lg_k: int = 12) -> DataFrame:
+    """``(removed, added, likeness)``: top-level columns that went and came with the same type and much
+    the same values, by the Jaccard estimate of theta sketches of their values (one scan of each side)."""
+    changes = nested_schema_changes(before.schema, after.schema)
+    tops = {c: [(p, b if c == "removed" else a) for p, c2, b, a in changes if c2 == c and not any(x in p for x in ".[{")] for c in ("removed", "added")}
+    spark = before.sparkSession
+    schema = "removed string, added string, likeness double"
+
+    def sketches(df: DataFrame, names: list) -> DataFrame:
+        rows = df.agg(*[F.theta_sketch_agg(F.col(f"`{n}`").cast("string"), lg_k).alias(f"_{i}") for i, (n, _) in enumerate(names)])
+        return rows.select(F.inline(F.array(*[F.struct(F.lit(n).alias("name"), F.lit(t).alias("type"), F.col(f"_{i}").alias("state")) for i, (n, t) in enumerate(names)])))
+
+    if not tops["removed"] or not tops["added"]:
+        return spark.createDataFrame([], schema)
+    gone = sketches(before, tops["removed"]).select(F.col("name").alias("removed"), "type", F.col("state").alias("_old"))
+    come = sketches(after, tops["added"]).select(F.col("name").alias("added"), "type", F.col("state").alias("_new"))
+    both = gone.join(come, "type")  # columns, not rows
+    shared, all_ = F.theta_sketch_estimate(F.theta_intersection("_old", "_new")), F.theta_sketch_estimate(F.theta_union("_old", "_new"))
+    likeness = F.try_divide(shared.cast("double"), all_.cast("double"))
+    return both.select("removed", "added", likeness.alias("likeness")).where(F.col("likeness") >= least)
+
+
 def observed_catalog(df: DataFrame) -> DataFrame:
     """The columns that hold data: ``(column_name, data_type)`` of each column with a non-NULL row.
 

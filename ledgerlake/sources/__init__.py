@@ -14,6 +14,7 @@ from ledgerlake.sources.sinks import (
     replace_rows,
     schema_for,
     staged,
+    staged_by_key,
     upsert_by_key,
     write_table,
 )
@@ -51,6 +52,7 @@ __all__ = [
     "schema_for",
     "snapshot_changes",
     "staged",
+    "staged_by_key",
     "table_exists",
     "upsert_by_key",
     "write_snapshot",

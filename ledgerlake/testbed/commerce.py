@@ -17,7 +17,7 @@ from ledgerlake.functions.json import json_scalar
 from ledgerlake.operators import neighbour_value
 from ledgerlake.plans import commerce as com
 from ledgerlake.plans.incremental import LedgerRules, refresh_ledger
-from ledgerlake.sources.sinks import incremental_slice, staged
+from ledgerlake.sources.sinks import incremental_slice, staged, staged_by_key
 from ledgerlake.testbed.base import CAL_START, CAL_YEARS, registry, scratch, table
 
 QUERIES, ORACLE, q = registry()
@@ -732,3 +732,35 @@ ledger_ids AS (
   SELECT id AS order_id, id AS orders_order_id FROM placed_in_ledger
   UNION ALL SELECT id, NULL FROM refunded ANTI JOIN placed_in_ledger USING (id, day)
 )"""
+
+
+@q(
+    "bucketed_stages",
+    f"""
+WITH line AS (SELECT l_orderkey AS order_id, count(*) AS n_lines, sum(l_quantity) AS pieces, sum(l_extendedprice::DECIMAL(18,2)) AS value FROM lineitem GROUP BY 1),
+back AS (SELECT l_orderkey AS order_id, sum(l_extendedprice::DECIMAL(18,2)) AS refunded FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1)
+SELECT o_orderkey AS order_id, o_orderdate::DATE AS order_date, n_lines, pieces, value::DECIMAL(28,2) AS value, refunded::DECIMAL(28,2) AS refunded
+FROM orders LEFT JOIN line ON line.order_id = o_orderkey LEFT JOIN back ON back.order_id = o_orderkey
+""",
+)
+def q_bucketed_stages(spark, sf):
+    """Orders, lines and refunds as stage tables bucketed by order id: summed by order and joined without a shuffle."""
+    return _by_order(spark, _bucketed(spark, sf))
+
+
+def _bucketed(spark, sf, buckets=8):
+    run = scratch(spark, "bucketed")
+    li = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("order_id"), "l_quantity", money("l_extendedprice").alias("value"), "l_returnflag")
+    frames = {
+        "orders": table(spark, sf, "orders").select(F.col("o_orderkey").alias("order_id"), F.to_date("o_orderdate").alias("order_date")),
+        "lines": li.drop("l_returnflag"),
+        "refunds": li.where("l_returnflag = 'R'").select("order_id", "value"),
+    }
+    tag = run.rsplit("-", 1)[1]
+    return {name: staged_by_key(df, f"stage_{name}_{tag}", f"{run}/{name}", "order_id", buckets) for name, df in frames.items()}
+
+
+def _by_order(spark, stages):
+    lines = stages["lines"].groupBy("order_id").agg(F.count(F.lit(1)).alias("n_lines"), F.sum("l_quantity").alias("pieces"), F.sum("value").cast("decimal(28,2)").alias("value"))
+    back = stages["refunds"].groupBy("order_id").agg(F.sum("value").cast("decimal(28,2)").alias("refunded"))
+    return stages["orders"].join(lines.hint("merge"), "order_id", "left").join(back.hint("merge"), "order_id", "left")

@@ -668,3 +668,26 @@ def q_top_value_from_state(spark, sf):
     write_top_states(o, path, "year", "v", ["o_custkey"], tracked=100)
     found = top_over(read_states(spark, path, part="year"), ["o_custkey"], tracked=100)
     return found.where(2 * F.col("top_count") > F.col("n_rows")).drop("n_rows")
+
+
+@q(
+    "nested_schema_changes",
+    """
+SELECT unnest(['customer.tier', 'lines[].price', 'note', 'remark']) AS path, unnest(['added', 'type_changed', 'removed', 'added']) AS change,
+       unnest([NULL, NULL, NULL, 'note']) AS renamed_from WHERE (SELECT count(*) > 0 FROM orders)
+""",
+)
+def q_nested_schema_changes(spark, sf):
+    """Orders with nested customer and lines, before and after: a field more in the record, another type inside
+    the array, and a column with a new name, told by its values."""
+    o = table(spark, sf, "orders")
+    line = lambda kind: F.array(F.struct(F.lit(1).alias("nr"), F.col("o_totalprice").cast(kind).alias("price")))
+    customer = F.struct(F.col("o_custkey").alias("id"))
+    text = F.concat(F.col("o_orderpriority"), F.col("o_orderkey").cast("string"))
+    before = o.select("o_orderkey", customer.alias("customer"), line("double").alias("lines"), text.alias("note"))
+    more = F.struct(F.col("o_custkey").alias("id"), F.lit("gold").alias("tier"))
+    after = o.select("o_orderkey", more.alias("customer"), line("string").alias("lines"), text.alias("remark"))
+    found = dq.nested_schema_changes(before.schema, after.schema)
+    changes = spark.createDataFrame([(p, c) for p, c, _, _ in found], "path string, change string")
+    renamed = dq.rename_candidates(before, after).select(F.col("removed"), F.col("added").alias("path"))
+    return changes.join(renamed, "path", "left").select("path", "change", F.col("removed").alias("renamed_from"))

@@ -143,3 +143,21 @@ def test_equal_stamps_do_not_depend_on_the_order_of_rows(spark):
     for parts in (1, 2, 5):
         assert [r.n for r in latest_run(runs.repartition(parts, "n")).collect()] == [1]
         assert latest_history(history.repartition(parts), ["id"], ["name", "status"]).collect()[0][1:] == ("n", "z")
+
+
+def test_nested_schema_changes_and_renames(spark):
+    from pyspark.sql.types import StructType
+
+    ddl = StructType.fromDDL
+    before = ddl("a int, s struct<x: int, y: array<struct<p: double, q: string>>>, m map<string, struct<v: int>>, gone struct<z: int>")
+    after = ddl("a bigint, s struct<x: int, y: array<struct<p: string, q: string, r: date>>>, m map<string, struct<v: int, w: int>>, s2 array<int>")
+    assert dq.nested_schema_changes(before, after) == [
+        ("a", "type_changed", "int", "bigint"), ("gone", "removed", "struct", None), ("s2", "added", None, "array"),
+        ("m{value}.w", "added", None, "int"), ("s.y[].p", "type_changed", "double", "string"), ("s.y[].r", "added", None, "date"),
+    ]
+    assert dq.nested_schema_changes(before, before) == []
+    rows = spark.range(3000).selectExpr("id", "CAST(id * 7 AS STRING) AS old_name", "CAST(id AS STRING) AS dropped")
+    renamed = rows.selectExpr("id", "IF(id % 50 = 0, 'x', old_name) AS new_name", "'new' AS fresh")
+    got = [(r.removed, r.added) for r in dq.rename_candidates(rows, renamed).collect()]
+    assert got == [("old_name", "new_name")]
+    assert dq.rename_candidates(rows, rows).collect() == []

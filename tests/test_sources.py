@@ -153,3 +153,11 @@ def test_snapshot_changes_reads_differing_buckets_only(spark, tmp_path):
     got = {r.k: (r.change, r.changed, r.before and r.before.b, r.after and r.after.b) for r in snapshot_changes(spark, f"{tmp_path}/old", f"{tmp_path}/new", schema, ["k"]).collect()}
     assert got == {5: ("deleted", None, 5.0, None), 7: ("updated", ["b"], 7.0, None), 900: ("inserted", None, None, None)}
     assert snapshot_changes(spark, f"{tmp_path}/old", f"{tmp_path}/old", schema, ["k"]).count() == 0
+
+
+def test_bucketed_stages_join_and_sum_without_a_shuffle(spark, sf_small):
+    from ledgerlake.testbed import commerce
+
+    out = commerce._by_order(spark, commerce._bucketed(spark, sf_small))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and plan.count("SortMergeJoin") == 2 and "Bucketed: true" in plan

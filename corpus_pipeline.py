@@ -3,7 +3,7 @@
 Stages, in order: quality rules (rejected documents go), SimHash near-dedup (one document of each
 group stays), removal of personal data, mixing of sources to target weights (documents leave or
 repeat as the mix takes them), packing. Each stage's result is written as Parquet to the cluster's
-checkpoint folder and read again as the next one's input. All but the last return the columns of
+checkpoint folder, read again as the next one's input, and removed once that is written. All but the last return the columns of
 documents; the last returns one row per piece with its ids.
 
 A stage works on whatever its predecessor kept: null and empty texts fail the quality rules; an
@@ -62,7 +62,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     folder = f"{ensure_checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     for i, (_, stage) in enumerate(STAGES):
-        path = f"{folder}/{i}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{i}")
+        docs = spark.read.parquet(f"{folder}/{i}")
+        if i:  # what the stage has read is not needed any more
+            done = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{i - 1}")
+            done.getFileSystem(spark._jsc.hadoopConfiguration()).delete(done, True)
     return docs

@@ -309,12 +309,12 @@ def daily_distinct(
     days: int = 7,
     out: str = "unique_tests",
 ) -> DataFrame:
-    """Distinct ``what`` per day over the last ``days`` days (optionally only given statuses)."""
+    """Distinct ``what`` per day over the last ``days`` days (optionally only given statuses), by day."""
     d = F.to_date("created_at")
     f = results.where(d >= F.date_sub(F.lit(as_of).cast("date"), days - 1))
     if statuses:
         f = f.where(F.col("status").isin(list(statuses)))
-    return f.groupBy(d.alias("created_at_date")).agg(F.count_distinct(what).alias(out))
+    return f.groupBy(d.alias("created_at_date")).agg(F.count_distinct(what).alias(out)).orderBy("created_at_date")
 
 
 def latest_run_metric(results: DataFrame, topics: Mapping[str, Column]) -> DataFrame:
@@ -342,10 +342,12 @@ def latest_run_metric(results: DataFrame, topics: Mapping[str, Column]) -> DataF
 
 
 def latest_run_listing(results: DataFrame, topics: Mapping[str, Column], columns: Sequence[str]) -> DataFrame:
-    """Detail rows of the latest invocation for each topic predicate (``topic`` column added)."""
+    """Detail rows of the latest invocation for each topic predicate (``topic`` column added), sorted by
+    topic, status and table where listed, then by the other columns."""
     run = latest_run(results)
     tags = F.filter(F.array(*[F.when(p, F.lit(n)) for n, p in topics.items()]), lambda x: x.isNotNull())
-    return run.select(F.explode(tags).alias("topic"), *columns)
+    first = [c for c in ("status", "table_name") if c in columns]
+    return run.select(F.explode(tags).alias("topic"), *columns).orderBy("topic", *first, *[c for c in columns if c not in first])
 
 
 def results_breakdown(results: DataFrame) -> DataFrame:
@@ -395,7 +397,7 @@ def two_latest_runs(results: DataFrame) -> DataFrame:
 
 
 def new_failures(results: DataFrame) -> DataFrame:
-    """Tests failing (fail/error) in the latest run that passed or were absent in the previous run.
+    """Tests failing (fail/error) in the latest run that passed or were absent in the previous run, by name.
 
     One scan finds the two run ids, a second reads the rows of those two runs only
     and folds them per test: how often it fails now, and its earlier statuses.
@@ -413,12 +415,12 @@ def new_failures(results: DataFrame) -> DataFrame:
     alone = F.col("test_unique_id").isNull() | (F.col("earlier") == 0)
     times = F.when(alone, F.lit(1)).otherwise(F.col("cleared")).cast("int")
     named = per_test.select(F.explode("failing").alias("f"), times.alias("times"))
-    return named.select(F.explode(F.array_repeat("f.test_name", F.col("times"))).alias("Test Name"))
+    return named.select(F.explode(F.array_repeat("f.test_name", F.col("times"))).alias("Test Name")).orderBy("`Test Name`")
 
 
 def failing_days(results: DataFrame, as_of: dt.date) -> DataFrame:
     """Per currently failing test (status != pass), days since its last pass, or since first
-    seen when it never passed; 0 counts as 1. Deduplicated per (test name, days) (trap G26).
+    seen when it never passed; 0 counts as 1. Deduplicated per (test name, days) (trap G26), sorted by days, then name.
 
     One aggregate per test over the history: last pass, first seen, and the names under
     which it fails in the latest run.
@@ -436,7 +438,7 @@ def failing_days(results: DataFrame, as_of: dt.date) -> DataFrame:
         F.explode("_names.test_name").alias("Test Name"),
         F.when(days == 0, F.lit(1)).otherwise(days).alias("Days Failing"),
     )
-    return out.distinct()
+    return out.distinct().orderBy("`Days Failing`", "`Test Name`")
 
 
 # --- C30 / C31: report series ---------------------------------------------------------------

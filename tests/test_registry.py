@@ -161,3 +161,43 @@ def test_run_reports_scan_the_history_at_most_twice(spark, sf_small):
 def test_order_totals_share_the_exchange_of_their_group(spark, sf_small):
     plan = _plan(spark, sf_small, "order_share_of_total")
     assert plan.count("Exchange hashpartitioning") == 1 and plan.count("FileScan parquet") == 1
+
+
+ORDERED = {
+    "daily_failures": ["created_at_date"], "daily_executions": ["created_at_date"], "daily_failed_entities": ["created_at_date"],
+    "new_failures": ["Test Name"], "failing_days": ["Days Failing", "Test Name"],
+}
+
+
+@pytest.mark.parametrize("key", sorted(ORDERED))
+def test_reports_come_in_the_order_of_their_sql(spark, duck, sf_small, key):
+    names = ORDERED[key]
+    got = [tuple(_norm(r[c]) for c in names) for r in QUERIES[key](spark, sf_small).collect()]
+    quoted = ", ".join(f'"{c}"' for c in names)
+    want = [tuple(_norm(x) for x in r) for r in duck.execute(f"SELECT {quoted} FROM ({ORACLE[key]}) ORDER BY {quoted}").fetchall()]
+    assert got == want and len(want) > 1
+
+
+def test_listing_is_sorted_by_topic_status_and_table(spark, sf_small):
+    from ledgerlake.plans import quality as dq
+    from ledgerlake.testbed import quality as tq
+
+    rows = dq.latest_run_listing(tq.results(spark, sf_small), tq.listing_topics(), ["test_name", "status", "table_name"]).collect()
+    keys = [(r.topic, r.status, r.table_name, r.test_name) for r in rows]
+    assert keys == sorted(keys) and len(keys) > 3
+
+
+def test_daily_points_are_ordered_when_asked(spark, sf_small):
+    points = QUERIES["zero_fill_daily"](spark, sf_small).orderBy("user_id", "day").collect()
+    days = {}
+    for r in points:
+        days.setdefault(r.user_id, []).append(r.day)
+    assert all(d == sorted(d) and len(d) == 7 for d in days.values())
+
+
+def test_dotted_labels_can_be_selected_and_sorted(spark):
+    from ledgerlake.operators import label_columns
+
+    df = label_columns(spark.createDataFrame([(2, "b"), (1, "a")], "k int, v string"), {"k": "results.key", "v": "results.value"})
+    assert df.columns == ["results.key", "results.value"]
+    assert [r["results.value"] for r in df.orderBy("`results.key`").select("`results.value`").collect()] == ["a", "b"]

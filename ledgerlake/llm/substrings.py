@@ -280,10 +280,11 @@ def equal_suffixes(data: np.ndarray, at: np.ndarray, length: int = LENGTH) -> tu
     return live, group
 
 
-def _with_texts(checks: DataFrame, rows: DataFrame) -> DataFrame:
-    """(doc, h, text, runs): the texts that have runs in ``checks``, with them."""
+def _with_texts(checks: DataFrame, rows: DataFrame, few: bool = False) -> DataFrame:
+    """(doc, h, text, runs): the texts that have runs in ``checks``, with them. ``few`` says that these
+    are a bounded sample, to be broadcast."""
     wanted = checks.groupBy("doc", "h").agg(F.collect_list(F.struct("lo", "n", "g")).alias("runs"))  # within one document
-    return rows.select("doc", "h", "text").join(wanted, ["doc", "h"])
+    return rows.select("doc", "h", "text").join(F.broadcast(wanted) if few else wanted, ["doc", "h"])
 
 
 def _cut(batch: pa.RecordBatch, length: int):
@@ -348,7 +349,8 @@ def _by_range(checks: DataFrame, rows: DataFrame, length: int, n_ranges: int) ->
                 yield pa.RecordBatch.from_arrays([pa.array([data[i : i + length] for i in range(0, len(data) - length + 1, 16)], pa.binary())], ["s"])
 
     some = checks.sample(min(1.0, 4 * SPLITTER_DOCS / total), 7)  # about 4,000 runs of 5 suffixes
-    found = np.sort(np.array([r["s"] for r in map_partitions(_with_texts(some, rows), sample, "s binary").collect()], kind))
+    # Each once: of equal suffixes, however many, little more than one a task is sent.
+    found = np.unique(np.array([r["s"] for r in map_partitions(_with_texts(some, rows, few=True), sample, "s binary").collect()], kind))
     splitters = found[[len(found) * i // n_ranges for i in range(1, n_ranges)]] if len(found) else found
     shared = rows.sparkSession.sparkContext.broadcast(splitters)
     columns = ("keys", "doc", "h", "lo")
@@ -364,9 +366,9 @@ def _by_range(checks: DataFrame, rows: DataFrame, length: int, n_ranges: int) ->
             gone, not_first = _later(data, at, doc, h, lo, length)
             keep = np.ones(len(at), bool)
             keep[not_first] = False
-            keys = np.lib.stride_tricks.sliding_window_view(data, length)[at[keep]]
-            part = np.searchsorted(shared.value, np.ascontiguousarray(keys).view(kind).ravel(), "right")
-            by = np.argsort(part, kind="stable")
+            keys = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(data, length)[at[keep]])
+            by = np.argsort(keys.view(kind).ravel(), kind="stable")  # neighbours share their first bytes, which packs them well
+            part = np.searchsorted(shared.value, keys.view(kind).ravel(), "right")
             cuts = np.r_[0, np.flatnonzero(np.diff(part[by])) + 1, len(by)]
             places = [x[keep][by] for x in (doc, h, lo)]
             sent = [(keys[by[a:b]], *(x[a:b] for x in places)) for a, b in zip(cuts, cuts[1:])]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,23 +19,33 @@ def json_document(c: Column | str) -> Column:
     A VARIANT re-formats numbers (``1.0`` may come back as ``1``, ``1e2`` as ``100.0``), so they are
     stored as marked strings; ``json_value`` and ``json_query`` take the mark off again.
     """
-    marked = F.regexp_replace(F.translate(as_col(c), "\x01" + _NUMBER, "  "), _STRING_OR_NUMBER, "$1\x01$2\x01")
-    return F.try_parse_json(F.regexp_replace(F.regexp_replace(marked, "\x01\x01", ""), "\x01([^\x01]*)\x01", f'"{_NUMBER}$1"'))
+    # Literal replacements cost little beside a regular expression, so only one of these is needed:
+    # strings come out of it as "..."\x01\x02, numbers as \x01...\x02.
+    clean = reduce(lambda x, mark: _replaced(x, mark, " "), ("\x01", "\x02", _NUMBER), as_col(c))
+    marked = _replaced(F.regexp_replace(clean, _STRING_OR_NUMBER, "$1\x01$2\x02"), "\x01\x02", "")
+    return F.try_parse_json(_replaced(_replaced(marked, "\x01", f'"{_NUMBER}'), "\x02", '"'))
+
+
+def _replaced(c: Column, old: str, new: str) -> Column:
+    return F.replace(c, F.lit(old), F.lit(new))
 
 
 def json_value(doc: Column | str, path: str = "$") -> Column:
     """Scalar at ``path`` of a ``json_document`` as the text it is written with; NULL for objects, arrays,
     JSON nulls and missing paths (trap G13)."""
     doc = as_col(doc)
-    container = F.schema_of_variant(F.try_variant_get(doc, path, "variant")).rlike("^(OBJECT|ARRAY)")
-    return F.when(~container, F.translate(F.try_variant_get(doc, path, "string"), _NUMBER, ""))
+    text = F.try_variant_get(doc, path, "string")
+    # The kind is only looked up where the text looks like a container's.
+    container = (text.startswith("{") | text.startswith("[")) & F.schema_of_variant(F.try_variant_get(doc, path, "variant")).rlike("^(OBJECT|ARRAY)")
+    return F.when(~container, _replaced(text, _NUMBER, ""))
 
 
 def json_query(doc: Column | str, path: str = "$") -> Column:
     """What stands at ``path`` of a ``json_document``: a scalar as text, an object or array as compact JSON
     text, its keys in ascending order and its numbers as written."""
     text = F.try_variant_get(as_col(doc), path, "string")
-    return F.translate(F.regexp_replace(text, f'"{_NUMBER}([^"]*)"', "$1"), _NUMBER, "")
+    inside = F.when(text.startswith("{") | text.startswith("["), F.regexp_replace(text, f'"{_NUMBER}([^"]*)"', "$1")).otherwise(text)
+    return _replaced(inside, _NUMBER, "")
 
 
 def json_scalar(c: Column | str, path: str = "$") -> Column:

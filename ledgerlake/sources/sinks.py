@@ -94,14 +94,15 @@ def replace_rows(
     with the same arguments changes nothing. The first call creates the table.
     """
     on = [key] if isinstance(key, str) else list(key)
+    if not path_exists(spark, path):
+        write_table(rows.hint("rebalance", partition), "", path=path, partition_by=[partition])
+        return [r[0] for r in spark.read.schema(rows.schema).parquet(path).select(partition).distinct().collect()]
     keys = gone.select(*on, partition).unionByName(rows.select(*on, partition)).distinct()
     touched = [r[0] for r in keys.select(partition).distinct().collect()]  # a row a partition
-    merged = rows
-    if path_exists(spark, path):
-        old = spark.read.schema(rows.schema).parquet(path).where(F.col(partition).isin(touched))
-        names = keys.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(on)]).distinct()
-        same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(on)]
-        merged = old.join(names, same, "left_anti").select(*rows.columns).unionByName(rows)
+    old = spark.read.schema(rows.schema).parquet(path).where(F.col(partition).isin(touched))
+    names = keys.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(on)]).distinct()
+    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(on)]
+    merged = old.join(names, same, "left_anti").select(*rows.columns).unionByName(rows)
     merged = staged(merged, scratch)
     write_table(merged.hint("rebalance", partition), "", path=path, partition_by=[partition])
     left = {r[0] for r in merged.select(partition).distinct().collect()}

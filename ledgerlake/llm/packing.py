@@ -35,9 +35,9 @@ class Encoder(dict):
 
     The pattern before the merges never joins a non-blank character with a following blank, and
     takes a single blank together with the non-blank after it. So a text may be cut before each
-    such blank, and the words' ids, kept by word, are joined. Words not seen yet are merged by
-    tiktoken with the ranks of the same file (equal ids, faster); very long ones, files of another
-    kind, and texts that hold the string of an added token go to ``tokenizers`` itself.
+    such blank, and the ids of each blank and word, kept by the word, are joined. Words not seen yet
+    are merged by tiktoken with the ranks of the same file (equal ids, faster); very long ones, files
+    of another kind, and texts that hold the string of an added token go to ``tokenizers`` itself.
     """
 
     def __init__(self, path: str):
@@ -63,29 +63,39 @@ class Encoder(dict):
         ranks = {bytes(to_byte[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in special}
         return tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
-    def __missing__(self, word: str) -> bytes:
-        if self.fast is None or len(word) > LONG_WORD:
-            ids = self.slow.encode(word, add_special_tokens=False).ids
+    def ids(self, part: str) -> bytes:
+        if self.fast is None or len(part) > LONG_WORD:
+            found = self.slow.encode(part, add_special_tokens=False).ids
         else:
-            ids = self.fast.encode_ordinary(word)
-        out = np.array(ids, "<u4").tobytes()
-        if len(self) < CACHE_ENTRIES and len(word) <= 40:
+            found = self.fast.encode_ordinary(part)
+        return np.array(found, "<u4").tobytes()
+
+    def __missing__(self, word: str) -> bytes:
+        out = self.ids(" " + word)
+        if len(self) < CACHE_ENTRIES and len(word) < 40:
             self[word] = out
         return out
 
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
-        if self.fast is None:
-            return self[text]
-        if any(t in text for t in self.added):
+        if self.fast is None or any(t in text for t in self.added):
             return np.array(self.slow.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        if _UNEVEN.search(text):
-            words = _CUT.split(text)
+        if uneven(text):
+            first, *words = _CUT.split(text)
+            words = [w[1:] for w in words]
         else:
             first, *words = text.split(" ")
-            words = [first, *map(" ".__add__, words)]
-        return b"".join(map(self.__getitem__, words))
+        return self.ids(first) + b"".join(map(self.__getitem__, words))
+
+
+def uneven(text: str) -> bool:
+    """Whether blanks begin or end ``text`` or follow each other. Only texts with blanks other than
+    spaces and line ends, which are not printable, need the search."""
+    line = text.replace("\n", " ") if "\n" in text else text
+    if "  " in line or line[0] == " " or line[-1] == " ":
+        return True
+    return not line.isprintable() and _UNEVEN.search(text) is not None
 
 
 def encoder(path: str) -> Encoder:

@@ -65,3 +65,16 @@ def test_odd_rows(make_docs, spark):
     assert packing.pack(docs.limit(0), tokenizer_file()).count() == 0
     with pytest.raises(ValueError):
         packing.pack(docs, tokenizer_file(), max_length=1000)
+
+
+def test_uneven_blanks_equal_the_search():
+    rng, marks = random.Random(8), "ab  \n\t\r\x0b\x1c\x85\xa0 ​\x00é"
+    for _ in range(20000):
+        text = "".join(rng.choice(marks) for _ in range(rng.randint(1, 6)))
+        assert packing.uneven(text) == bool(packing._UNEVEN.search(text)), repr(text)
+
+
+def test_words_are_kept_once_and_looked_up_as_they_are_split():
+    e = packing.Encoder(tokenizer_file())
+    e.encode("one two\nthree two one  two")
+    assert set(e) == {"two\nthree", "two", "one  two"}

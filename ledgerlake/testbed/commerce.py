@@ -17,6 +17,7 @@ from ledgerlake.functions.json import json_scalar
 from ledgerlake.operators import neighbour_value
 from ledgerlake.plans import commerce as com
 from ledgerlake.plans.incremental import LedgerRules, refresh_ledger
+from ledgerlake.session import default_parallelism
 from ledgerlake.sources.sinks import incremental_slice, staged, staged_by_key
 from ledgerlake.testbed.base import CAL_START, CAL_YEARS, registry, scratch, table
 
@@ -371,6 +372,9 @@ def q_rejected_currency(spark, sf):
     return rejected.select("o_orderkey", "currency", "conversion_status")
 
 
+LINES_PER_TASK = 500_000
+
+
 @q(
     "order_share_of_total",
     f"""
@@ -385,8 +389,10 @@ FROM g
 )
 def q_order_share_of_total(spark, sf):
     li = table(spark, sf, "lineitem")
-    # an order's lines are bounded: one exchange by order serves the group-by and the window
-    g = li.repartition("l_orderkey").groupBy("l_orderkey", "l_linenumber").agg(F.sum(money("l_extendedprice")).alias("line_total"))
+    # an order's lines are bounded: one exchange by order serves the group-by and the window. Its tasks grow in number
+    # with the rows (counted in the files' footers), as all rows of a task are held for both
+    tasks = max(default_parallelism(spark), -(-li.count() // LINES_PER_TASK))
+    g = li.repartition(tasks, "l_orderkey").groupBy("l_orderkey", "l_linenumber").agg(F.sum(money("l_extendedprice")).alias("line_total"))
     t = g.withColumn("order_total", F.sum("line_total").over(Window.partitionBy("l_orderkey")))
     return t.select(
         "l_orderkey", "l_linenumber", F.col("line_total").cast("decimal(38,2)").alias("line_total"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import decimal
 import math
+import re
 
 import pytest
 
@@ -163,6 +164,15 @@ def test_order_totals_share_the_exchange_of_their_group(spark, sf_small):
     assert plan.count("Exchange hashpartitioning") == 1 and plan.count("FileScan parquet") == 1
 
 
+def test_order_totals_get_more_tasks_with_more_lines(spark, sf_small, monkeypatch):
+    from ledgerlake.testbed import commerce as tc
+
+    lines = tc.table(spark, sf_small, "lineitem").count()
+    monkeypatch.setattr(tc, "LINES_PER_TASK", lines // 50)
+    exchange = re.search(r"Exchange hashpartitioning\(l_orderkey#\d+L?, (\d+)\), REPARTITION_BY_NUM", _plan(spark, sf_small, "order_share_of_total"))
+    assert 50 <= int(exchange[1]) <= 52
+
+
 ORDERED = {
     "daily_failures": ["created_at_date"], "daily_executions": ["created_at_date"], "daily_failed_entities": ["created_at_date"],
     "new_failures": ["Test Name"], "failing_days": ["Days Failing", "Test Name"],

@@ -157,8 +157,15 @@ def keyword_report(
     adgroup_history: DataFrame,
     accounts: DataFrame,
     since: str | None = "2022-01-01",
+    tasks: int | None = None,
 ) -> DataFrame:
-    """Date x keyword x ad group x campaign x status x device metrics, names title-cased."""
+    """Date x keyword x ad group x campaign x status x device metrics, names title-cased.
+
+    The keywords are joined last: their texts are the widest columns, and with the rows dealt by
+    criterion both aggregations follow without another shuffle. ``tasks`` is how many the rows are dealt
+    over (default: the planner's choice); a task holds its groups for each of the aggregations, so
+    with many rows it should grow with them.
+    """
     crit_id = "ad_group_criterion__criterion_id"
     kw = latest_history(criteria_history, [crit_id], CRITERION_COLUMNS).select(
         F.col(crit_id).alias("_k_id"),
@@ -168,7 +175,6 @@ def keyword_report(
         F.col("ad_group_criterion__gender__type").alias("gender_type"),
         F.col("ad_group_criterion__income_range__type").alias("income_range_type"),
     )
-    base = stats.join(kw, stats[crit_id] == kw._k_id, "left")
     camp = latest_history(campaign_history, ["campaign__id"], CAMPAIGN_COLUMNS).select(
         F.col("campaign__id").alias("_c_id"), F.col("campaign__name").alias("campaign_name"),
         F.col("campaign__status").alias("latest_status"),
@@ -180,12 +186,13 @@ def keyword_report(
     acct = latest_history(accounts, ["customer__id"], ["customer__descriptive_name"]).select(
         F.col("customer__id").alias("account_id"), F.col("customer__descriptive_name").alias("descriptive_name"),
     )
-    s = base if since is None else base.where(F.col("segments__date") >= F.lit(since).cast("date"))
+    s = stats if since is None else stats.where(F.col("segments__date") >= F.lit(since).cast("date"))
     j = (
         s.join(camp, s.campaign__id == camp._c_id, "left")
         .join(adg, s.ad_group__id == adg._g_id, "left")
         .join(acct, s.customer__id == acct.account_id, "left")
     )
+    j = (j.repartition(tasks, crit_id) if tasks else j).join(kw, F.col(crit_id) == kw._k_id, "left")
     keys = [
         F.col("segments__date").alias("fulldate"), "account_id", "descriptive_name", F.col(crit_id).alias("criterion_id"),
         "keyword_text", "keyword_match_type", "age_range_type", "gender_type", "income_range_type",

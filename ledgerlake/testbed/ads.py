@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerlake.plans import ads
+from ledgerlake.session import default_parallelism
 from ledgerlake.testbed.base import CAL_START, CAL_YEARS, registry, table
 
 QUERIES, ORACLE, q = registry()
@@ -252,8 +253,12 @@ FROM spent LEFT JOIN part ON p_partkey = l_partkey WHERE l_returnflag = 'R' GROU
 """
 
 
+LINES_PER_TASK = 500_000
+
+
 @q("keyword_report", _keyword_sql())
 def q_keyword_report(spark, sf):
     stats, campaigns, adgroups, accounts, criteria = _report_frames(spark, sf)
-    rep = ads.keyword_report(stats.where(F.col("_flag") == "R"), campaigns, criteria, adgroups, accounts, since=SINCE)
+    tasks = max(default_parallelism(spark), -(-table(spark, sf, "lineitem").count() // LINES_PER_TASK))  # counted in the files' footers
+    rep = ads.keyword_report(stats.where(F.col("_flag") == "R"), campaigns, criteria, adgroups, accounts, since=SINCE, tasks=tasks)
     return rep.withColumns({"cost": F.round("cost", 2), "conversions_value": F.round("conversions_value", 2)})

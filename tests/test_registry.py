@@ -173,6 +173,15 @@ def test_order_totals_get_more_tasks_with_more_lines(spark, sf_small, monkeypatc
     assert 50 <= int(exchange[1]) <= 52
 
 
+def test_keyword_rows_get_more_tasks_with_more_lines(spark, sf_small, monkeypatch):
+    from ledgerlake.testbed import ads as ta
+
+    lines = ta.table(spark, sf_small, "lineitem").count()
+    monkeypatch.setattr(ta, "LINES_PER_TASK", lines // 50)
+    exchange = re.search(r"Exchange hashpartitioning\(ad_group_criterion__criterion_id#\d+L?, (\d+)\), REPARTITION_BY_NUM", _plan(spark, sf_small, "keyword_report"))
+    assert 50 <= int(exchange[1]) <= 52
+
+
 ORDERED = {
     "daily_failures": ["created_at_date"], "daily_executions": ["created_at_date"], "daily_failed_entities": ["created_at_date"],
     "new_failures": ["Test Name"], "failing_days": ["Days Failing", "Test Name"],

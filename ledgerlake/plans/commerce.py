@@ -136,13 +136,17 @@ def order_line_facts(
     without a qualifying tax line keeps its row. The order total is a window over
     the order's own lines (an order's lines are bounded), so the joins run once;
     ``with_order_total=False`` leaves it out.
+
+    Lines are summed before the product is joined, so that its texts, the widest columns, take no part
+    in the shuffles before. Products with the same attributes are one row with their number, by
+    which the sums of a line are multiplied, as they would be summed once for each.
     """
     li = lines.select(
         F.col("id").alias("order_line_id"), "order_id", "product_id", "variant_id", "title",
         safe_num("price").alias("_price"), F.col("quantity").alias("_qty"),
     )
     o = orders.select(F.col("id").alias("_oid"), "order_date", F.col(country).alias("billing_order_country"))
-    p = products.select(F.col("id").alias("_pid"), "handle", "product_type", "vendor")
+    p = products.groupBy(F.col("id").alias("_pid"), "handle", "product_type", "vendor").agg(F.count(F.lit(1)).alias("_same"))
     r = refund_lines.select(
         F.col("line_item_id").alias("refund_order_line_id"), F.col("quantity").alias("_rq"), F.col("subtotal").alias("_rs")
     )
@@ -151,24 +155,29 @@ def order_line_facts(
     )
     j = (
         li.join(o, li.order_id == o._oid, "inner")
-        .join(p, li.product_id == p._pid, "left")
         .join(r, li.order_line_id == r.refund_order_line_id, "left")
         .join(t, li.order_line_id == t._tlid, "left")
     )
     keys = [
         "order_date", "billing_order_country", "order_line_id", "order_id", "product_id", "variant_id", "title",
-        "handle", "product_type", "vendor", "rate", "refund_order_line_id",
+        "rate", "refund_order_line_id",
     ]
     pq = F.col("_price") * F.col("_qty")
     if with_order_total:
         j = j.repartition("order_id")  # one exchange serves the group-by and the window
-    g = j.groupBy(*keys).agg(
+    sums = j.groupBy(*keys).agg(
         F.sum("_rq").alias("refund_quantity"),
         F.sum("_rs").alias("refund_subtotal"),
         F.sum("_price").alias("total_sales"),
         F.sum("_qty").alias("quantity"),
         F.sum(gross_ex_vat(pq, F.col("billing_order_country"), F.col("rate"), home)).alias("gross_sales"),
-    ).withColumn("handle_first_string", regex_first("handle", "[a-z]+"))
+    )
+    times = F.coalesce("_same", F.lit(1))
+    measures = ["refund_quantity", "refund_subtotal", "total_sales", "quantity", "gross_sales"]
+    g = sums.join(p, sums.product_id == p._pid, "left").select(
+        *keys[:7], "handle", "product_type", "vendor", *keys[7:], *[(F.col(c) * times).cast(sums.schema[c].dataType).alias(c) for c in measures],
+        regex_first("handle", "[a-z]+").alias("handle_first_string"),
+    )
     if not with_order_total:
         return g
     return g.withColumn("order_total", F.sum("total_sales").over(Window.partitionBy("order_id")))

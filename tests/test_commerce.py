@@ -240,3 +240,26 @@ def test_json_arrays_keep_their_good_elements_and_number_texts(spark):
     assert [g for g in got if g[0]] == [(6, "1.0", None)]
     one = spark.createDataFrame([('{"a":1.0,"b":"0.20","c":1e2,"d":{"x":1},"e":null,"f":true,"g":[1]}',)], "j string")
     assert list(one.select(*[json_scalar("j", f"$.{k}") for k in "abcdefgh"]).first()) == ["1.0", "0.20", "1e2", None, None, "true", None, None]
+
+
+def test_line_facts_join_products_after_the_lines_are_summed(spark):
+    import datetime as dt
+
+    from ledgerlake.plans.commerce import order_line_facts
+
+    day = dt.date(2024, 1, 2)
+    lines = spark.createDataFrame([(1, 10, 7, 0, "a", "2.5", 2.0), (2, 10, 8, 0, "b", "1.0", 1.0), (3, 10, None, 0, "c", "4.0", 1.0)],
+                                  "id long, order_id long, product_id long, variant_id long, title string, price string, quantity double")
+    orders = spark.createDataFrame([(10, day, "Abroad")], "id long, order_date date, billing_address__country string")
+    products = spark.createDataFrame([(7, "cup", "t", "v"), (7, "cup", "t", "v"), (7, "mug", "t", "v"), (9, "jar", "t", "v")], "id long, handle string, product_type string, vendor string")
+    refunds = spark.createDataFrame([(1, 1.0, 2.5)], "line_item_id long, quantity double, subtotal double")
+    taxes = spark.createDataFrame([], "order_line_id long, title string, rate double, price double")
+    facts = order_line_facts(lines, orders, products, refunds, taxes)
+    got = {(r.order_line_id, r.handle): (r.refund_quantity, r.total_sales, r.quantity, r.gross_sales, r.order_total) for r in facts.collect()}
+    assert got == {
+        (1, "cup"): (2.0, 5.0, 4.0, 10.0, 12.5), (1, "mug"): (1.0, 2.5, 2.0, 5.0, 12.5),  # a product that stands twice counts twice
+        (2, None): (None, 1.0, 1.0, 1.0, 12.5), (3, None): (None, 4.0, 1.0, 4.0, 12.5),
+    }
+    slim = order_line_facts(lines, orders, products, refunds, taxes, with_order_total=False)
+    summed = [x for x in slim._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Aggregate [" in x and "order_line_id#" in x]
+    assert summed and not any("handle#" in x for x in summed)

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from ledgerlake.functions._util import as_col
 
-_STRING_OR_NUMBER = r'("[^"\\]*+(?:\\.[^"\\]*+)*+")|(-?(?:0|[1-9][0-9]*)(?![0-9])(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?)'
+# What stands before the next number, strings whole, and the number. A text in which the next thing is neither is no JSON.
+_TO_NUMBER = r'\G([^"0-9-]*+(?:"[^"\\]*+(?:\\.[^"\\]*+)*+"[^"0-9-]*+)*+)(-?(?:0|[1-9][0-9]*)(?![0-9])(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?)'
 _NUMBER = "\ufdd0"  # a noncharacter of Unicode: stands before a number held as a string
 
 
@@ -19,11 +20,8 @@ def json_document(c: Column | str) -> Column:
     A VARIANT re-formats numbers (``1.0`` may come back as ``1``, ``1e2`` as ``100.0``), so they are
     stored as marked strings; ``json_value`` and ``json_query`` take the mark off again.
     """
-    # Literal replacements cost little beside a regular expression, so only one of these is needed:
-    # strings come out of it as "..."\x01\x02, numbers as \x01...\x02.
     clean = reduce(lambda x, mark: _replaced(x, mark, " "), ("\x01", "\x02", _NUMBER), as_col(c))
-    marked = _replaced(F.regexp_replace(clean, _STRING_OR_NUMBER, "$1\x01$2\x02"), "\x01\x02", "")
-    return F.try_parse_json(_replaced(_replaced(marked, "\x01", f'"{_NUMBER}'), "\x02", '"'))
+    return F.try_parse_json(F.regexp_replace(clean, _TO_NUMBER, f'$1"{_NUMBER}$2"'))
 
 
 def _replaced(c: Column, old: str, new: str) -> Column:

@@ -99,4 +99,17 @@ def test_json_is_parsed_once_a_row_and_not_shuffled(spark):
     df = spark.createDataFrame([("[]", 1)], "j string, k int")
     e = json_elements(df, "j").select("k", *[json_value("element", f"$.f{i}").alias(f"f{i}") for i in range(6)])
     plan = e._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("parseJson") == 1 and "Exchange" not in plan and "Join" not in plan
\ No newline at end of file
+    assert plan.count("parseJson") == 1 and "Exchange" not in plan and "Join" not in plan
+
+def test_json_numbers_are_marked_in_one_pass(spark):
+    from ledgerlake.functions.json import json_document, json_query
+
+    texts = {
+        '{"a": -1.50e+3, "b\\"1": [1, "2", 0.10, {"c": -0}], "d": "x 7 \\\\"}': '{"a":-1.50e+3,"b\\"1":[1,"2",0.10,{"c":-0}],"d":"x 7 \\\\"}',
+        "12": "12", '"12"': "12", "[]": "[]", " [ 1 , 2 ] ": "[1,2]",
+        "[01]": None, "[1 2]": None, "[- 1]": None, '["a 1]': None, '["1", 01, "x]': None, "[1.]": None, '[\\"1\\"]': None, "[1": None,
+    }
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", json_query(json_document("t")).alias("q"))
+    assert {r.t: r.q for r in df.collect()} == texts
+    marked = spark.range(1).select(json_document(F.col("id").cast("string")).alias("d"))._jdf.queryExecution().analyzed().toString()
+    assert marked.count("replace(") == 4 and marked.count("regexp_replace(") == 1  # three of odd characters, one of numbers

@@ -2,7 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from ledgerlake.plans.calendar import retail_calendar, with_retail_calendar
+from ledgerlake.plans.calendar import calendar_columns, retail_calendar, with_retail_calendar
 
 
 def test_default_calendar_shape(spark):
@@ -46,3 +46,18 @@ def test_projection_matches_table_and_nulls_outside(spark):
     assert (by_day[dt.date(2022, 5, 17)].retail_year, by_day[dt.date(2022, 5, 17)].retail_week) == (cal.retail_year, cal.retail_week)
     assert by_day[dt.date(2020, 1, 1)].retail_year is None and by_day[dt.date(2020, 1, 1)].retail_week_label is None
     assert by_day[dt.date(2027, 1, 1)].retail_year is None
+
+
+def test_months_of_other_week_patterns(spark):
+    cols = calendar_columns("d", dt.date(2023, 1, 1), 1, pattern=(4, 4, 4), weeks_per_year=53)  # 48 weeks in the pattern: the rest are month 12
+    weeks = spark.sql("SELECT sequence(DATE'2022-12-31', DATE'2024-01-07') ds").select(F.explode("ds").alias("d"))
+    got = weeks.select("d", cols["retail_week"].alias("w"), cols["retail_month"].alias("m")).orderBy("d").collect()
+    assert [(r.w, r.m) for r in got] == [(None, None), *[(w, min((w - 1) // 4 + 1, 12)) for w in range(1, 54) for _ in range(7)], (None, None)]
+
+
+def test_the_calendar_of_a_date_stays_small(spark):
+    """The generated code of a step grows with its expressions, and a method above 8,000 bytes is not compiled."""
+    days = spark.range(10).select(F.expr("date_add(DATE'2021-01-03', CAST(id AS INT))").alias("d"))
+    cols = calendar_columns("d")
+    text = days.select(cols["retail_month"].alias("m"))._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < text.count("datediff") <= 6

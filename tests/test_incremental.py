@@ -108,3 +108,28 @@ def test_replace_rows(spark, tmp_path):
         assert got == [(1, "a", "x"), (2, "b", "x"), (3, "C", "x")]
         assert not os.path.exists(f"{path}/p=y")
     assert replace_rows(spark, path, none, none, "k", "p", f"{tmp_path}/s3") == []
+
+
+def test_replace_rows_writes_the_rows_once(spark, tmp_path):
+    schema = "k long, v string, p string"
+    path, scratch = f"{tmp_path}/t", f"{tmp_path}/s"
+    replace_rows(spark, path, spark.createDataFrame([(None, "a", "x"), (2, "b", "x"), (3, "c", "y"), (4, "d", "z"), (5, "e", "z")], schema), spark.createDataFrame([], schema), "k", "p", f"{tmp_path}/s0")
+    rows, gone = spark.createDataFrame([(None, "A", "x"), (6, "f", "x"), (6, "g", "x")], schema), spark.createDataFrame([(3, "", "y"), (4, "", "z"), (9, "", "w")], schema)
+    assert sorted(replace_rows(spark, path, rows, gone, "k", "p", scratch)) == ["w", "x", "y", "z"]
+    assert "v" not in spark.read.parquet(scratch).columns  # keys only: the rows go to the table directly
+    got = sorted(((r.k or 0), r.v, r.p) for r in spark.read.schema(schema).parquet(path).collect())
+    assert got == [(0, "A", "x"), (2, "b", "x"), (5, "e", "z"), (6, "f", "x"), (6, "g", "x")]
+    assert not os.path.exists(f"{path}/p=y")
+
+
+def test_chain_reads_the_touched_rows_from_files(spark, tmp_path):
+    seen = []
+
+    def chain(t, first):
+        seen.extend(f for rows in t.values() for f in rows.inputFiles())
+        return small_chain(t, first)
+
+    rules = LedgerRules(RULES.keys, RULES.orders, chain, orders_per_part=10, email_buckets=4)
+    frames = {"orders": spark.createDataFrame([(i, f"c{i}", day(i), 5) for i in range(30)], ORDERS), "refunds": spark.createDataFrame([(3, day(4), 1)], REFUNDS)}
+    refresh_ledger(spark, f"{tmp_path}/shop", f"{tmp_path}/run0", frames, rules)
+    assert seen and all("/run0/touched_" in f for f in seen)

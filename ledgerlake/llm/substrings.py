@@ -7,7 +7,8 @@ same token occurrence form one run (its bytes hold them all). Equal suffixes hav
 equal positions within their runs' tokens, so only runs with the same token need comparing:
 
 1. Runs are range-partitioned by token with sampled splitters, as two hashes (token, whole run)
-   and a position. Within a range, runs are sorted; a run that also occurs earlier goes whole.
+   and a position. Ranges grow in number with the bytes of the texts, so one stays small enough to
+   be sorted in a task's memory. Within a range, runs are sorted; a run that also occurs earlier goes whole.
    Each task first does the same with its own rows, so a passage or a group of copies that fills a
    third of the corpus reaches a range as one row a task. Tokens that fill more than a range are
    spread over several by run, and count as unsettled across the boundaries.
@@ -24,6 +25,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -34,6 +36,7 @@ from ledgerlake.llm.common import map_partitions, texts, written
 
 LENGTH, TOKEN = 100, 32
 SPLITTER_DOCS, SPLITTER_RUNS = 1000, 2000  # documents sampled for splitters, and runs of each
+RANGE = 16 << 20  # bytes of text whose runs a range is meant to hold, and half the bytes of suffixes sorted in one
 CROWDED = 4096  # kinds of run of one token beyond which their suffixes are range-partitioned one by one
 _FLUSH = 1 << 19  # runs a task gathers before it sends them
 _BLOCK = 1 << 20
@@ -90,16 +93,20 @@ def runs(datas: list[bytes], length: int = LENGTH):
     return doc[s], begin - starts[doc[s]], count, h[token[s]], whole
 
 
-def _grouped(datas: list[bytes]):
-    """Lists of documents of about ``_BLOCK`` bytes, with the number of the first."""
-    at, size = 0, 0
-    for i, x in enumerate(datas):
-        size += len(x)
-        if size >= _BLOCK:
-            yield at, datas[at : i + 1]
-            at, size = i + 1, 0
-    if at < len(datas):
-        yield at, datas[at:]
+def _pieces(batch: pa.RecordBatch):
+    """The batch in pieces whose texts have about ``_BLOCK`` bytes, so that what is made of them stays small beside it."""
+    sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    block = (np.cumsum(sizes) - sizes) // _BLOCK
+    cuts = np.r_[0, np.flatnonzero(block[1:] != block[:-1]) + 1, len(block)]
+    for a, b in zip(cuts.tolist(), cuts[1:].tolist()):
+        if a < b:
+            yield batch.slice(a, b - a)
+
+
+def _lists(column: pa.Array) -> tuple[np.ndarray, list[np.ndarray]]:
+    """(where each row's entries begin and the last ones end, the entries' fields) of a column of lists of structs; null has no entries."""
+    counts = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+    return np.r_[0, np.cumsum(counts, dtype=np.int64)], [x.to_numpy(zero_copy_only=False) for x in column.flatten().flatten()]
 
 
 def _order(g, s, doc, h, lo) -> np.ndarray:
@@ -148,9 +155,14 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def _splitters(rows: DataFrame, n: int, length: int) -> np.ndarray:
-    """``n`` - 1 token hashes that cut the runs of a bounded sample of documents into equal parts."""
-    total = rows.count()
+def _ranges(rows: DataFrame) -> tuple[int, int]:
+    """(documents, ranges of their runs): as many as the session's shuffles have, and more where these would hold over ``RANGE`` bytes."""
+    total, size = rows.agg(F.count(F.lit(1)), F.sum(F.octet_length("text"))).first()
+    return total, max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-(size or 0) // RANGE))
+
+
+def _splitters(rows: DataFrame, total: int, n: int, length: int) -> np.ndarray:
+    """``n`` - 1 token hashes that cut the runs of a bounded sample of the ``total`` documents into equal parts."""
     if n < 2 or not total:
         return np.zeros(0, np.uint64)
 
@@ -200,12 +212,11 @@ def _runs_by_token(rows: DataFrame, splitters: np.ndarray, length: int) -> DataF
             return _packed(where, sent)
 
         for batch in batches:
-            docs, hs = batch.column("doc").to_numpy(), batch.column("h").to_numpy()
-            datas = [t.encode("utf-8", "surrogatepass") for t in texts(batch)]
-            for at, group in _grouped(datas):
-                i, lo, n, g, s = runs(group, length)
+            for piece in _pieces(batch):
+                docs, hs = piece.column("doc").to_numpy(), piece.column("h").to_numpy()
+                i, lo, n, g, s = runs([t.encode("utf-8", "surrogatepass") for t in texts(piece)], length)
                 if len(i):
-                    held.append((g, s, docs[at + i], hs[at + i], lo, n))
+                    held.append((g, s, docs[i], hs[i], lo, n))
                     size += len(i)
                 if size >= _FLUSH:
                     yield out()
@@ -250,7 +261,7 @@ def _settled(packed: DataFrame, splitters: np.ndarray) -> DataFrame:
         token, inverse, kinds = np.unique(g[at], return_inverse=True, return_counts=True)
         spread = np.isin(token, shared.value)
         keep = ((kinds > 1) | spread)[inverse]
-        crowded = (kinds > CROWDED) | spread
+        crowded = (kinds > CROWDED) | spread | (np.bincount(inverse, n[at], len(token)) > _FLUSH)  # long runs are as many suffixes
         at = at[keep]
         if len(at):
             yield rows(doc[at], h[at], lo[at], n[at], np.where(crowded[inverse][keep], 2, 1), g[at])
@@ -262,13 +273,12 @@ def equal_suffixes(data: np.ndarray, at: np.ndarray, length: int = LENGTH) -> tu
     """(which of ``at``, group): the suffixes of ``data`` whose first ``length`` bytes occur more
     than once. Multikey quicksort with 8-byte characters: one character sorts the whole lot, and
     only suffixes that are still tied go on to the next."""
-    padded = np.concatenate([data, np.zeros(8, np.uint8)]).astype(np.uint64)
-    word = np.zeros(len(data), np.uint64)
-    for k in range(8):
-        word = (word << np.uint64(8)) | padded[k : k + len(data)]
     live, group = np.arange(len(at)), np.zeros(len(at), np.int64)
+    if not len(at):
+        return live, group
+    word = np.lib.stride_tricks.sliding_window_view(data, 8)
     for off in [*range(0, length - 8, 8), length - 8]:
-        key = word[at[live] + off]
+        key = np.ascontiguousarray(word[at[live] + off]).view(">u8").ravel().astype(np.uint64)
         o = np.lexsort((key, group))
         live, group, key = live[o], group[o], key[o]
         new = np.r_[True, (group[1:] != group[:-1]) | (key[1:] != key[:-1])] if len(o) else np.zeros(0, bool)
@@ -280,32 +290,45 @@ def equal_suffixes(data: np.ndarray, at: np.ndarray, length: int = LENGTH) -> tu
     return live, group
 
 
-def _with_texts(checks: DataFrame, rows: DataFrame, few: bool = False) -> DataFrame:
-    """(doc, h, text, runs): the texts that have runs in ``checks``, with them. ``few`` says that these
+def _dealt(df: DataFrame, n_ranges: int) -> DataFrame:
+    """``df`` dealt by document, over as many tasks as there are ranges, since the texts are dealt so too."""
+    return df.repartition(n_ranges, "doc", "h")
+
+
+def _with_texts(checks: DataFrame, rows: DataFrame, n_ranges: int = 0) -> DataFrame:
+    """(doc, h, text, runs): the texts that have runs in ``checks``, with them. Without ``n_ranges`` these
     are a bounded sample, to be broadcast."""
-    wanted = checks.groupBy("doc", "h").agg(F.collect_list(F.struct("lo", "n", "g")).alias("runs"))  # within one document
-    return rows.select("doc", "h", "text").join(F.broadcast(wanted) if few else wanted, ["doc", "h"])
+
+    def wanted(checks):
+        return checks.groupBy("doc", "h").agg(F.collect_list(F.struct("lo", "n", "g")).alias("runs"))  # within one document
+
+    found = rows.select("doc", "h", "text")
+    if not n_ranges:
+        return found.join(F.broadcast(wanted(checks)), ["doc", "h"])
+    return _dealt(found, n_ranges).join(wanted(_dealt(checks, n_ranges)), ["doc", "h"])
 
 
 def _cut(batch: pa.RecordBatch, length: int):
     """(token, doc, h, start, bytes) of the runs that come with the texts."""
-    for doc, h, text, runs in zip(batch.column("doc").to_pylist(), batch.column("h").to_pylist(), texts(batch), batch.column("runs").to_pylist()):
+    ends, fields = _lists(batch.column("runs"))
+    lo, n, g = (x.tolist() for x in fields)
+    for i, (doc, h, text) in enumerate(zip(batch.column("doc").to_pylist(), batch.column("h").to_pylist(), texts(batch))):
         data = text.encode("utf-8", "surrogatepass")
-        for r in runs:
-            yield r["g"], doc, h, r["lo"], data[r["lo"] : r["lo"] + r["n"] + length - 1]
+        for k in range(ends[i], ends[i + 1]):
+            yield g[k], doc, h, lo[k], data[lo[k] : lo[k] + n[k] + length - 1]
 
 
-def _cut_out(checks: DataFrame, rows: DataFrame, length: int) -> DataFrame:
+def _cut_out(checks: DataFrame, rows: DataFrame, length: int, n_ranges: int) -> DataFrame:
     """The unsettled runs with their bytes."""
 
     def run(batches):
-        for batch in batches:
-            cut = list(zip(*_cut(batch, length)))
+        for piece in (p for batch in batches for p in _pieces(batch)):
+            cut = list(zip(*_cut(piece, length)))
             if cut:
                 kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cut, kinds)], ["g", "doc", "h", "lo", "data"])
 
-    return map_partitions(_with_texts(checks, rows), run, "g long, doc long, h long, lo int, data binary")
+    return map_partitions(_with_texts(checks, rows, n_ranges), run, "g long, doc long, h long, lo int, data binary")
 
 
 def _suffixes(cut: list[tuple], length: int):
@@ -338,19 +361,20 @@ def _spans(doc, h, lo) -> pa.RecordBatch:
 
 def _by_range(checks: DataFrame, rows: DataFrame, length: int, n_ranges: int) -> DataFrame:
     """(doc, h, lo, n): the later ones of equal suffixes of crowded runs, whose first ones meet in
-    ranges of sorted suffixes."""
-    both = _with_texts(checks, rows)
+    ranges of sorted suffixes: ``n_ranges``, and more where these would hold over 2 ``RANGE`` bytes."""
+    both = _with_texts(checks, rows, n_ranges)
     kind = f"S{length}"
-    total = checks.count()
+    total, suffixes = checks.agg(F.count(F.lit(1)), F.sum("n")).first()
+    n_ranges = max(n_ranges, -(-suffixes * (length + 24) // (2 * RANGE)))
 
     def sample(batches):
-        for batch in batches:
-            for _, _, _, _, data in _cut(batch, length):
+        for piece in (p for batch in batches for p in _pieces(batch)):
+            for _, _, _, _, data in _cut(piece, length):
                 yield pa.RecordBatch.from_arrays([pa.array([data[i : i + length] for i in range(0, len(data) - length + 1, 16)], pa.binary())], ["s"])
 
-    some = checks.sample(min(1.0, 4 * SPLITTER_DOCS / total), 7)  # about 4,000 runs of 5 suffixes
+    some = checks.sample(min(1.0, max(4 * SPLITTER_DOCS, 4 * n_ranges) / total), 7)  # about 4,000 runs of 5 suffixes, and 4 of them a range
     # Each once: of equal suffixes, however many, little more than one a task is sent.
-    found = np.unique(np.array([r["s"] for r in map_partitions(_with_texts(some, rows, few=True), sample, "s binary").collect()], kind))
+    found = np.unique(np.array([r["s"] for r in map_partitions(_with_texts(some, rows), sample, "s binary").collect()], kind))
     splitters = found[[len(found) * i // n_ranges for i in range(1, n_ranges)]] if len(found) else found
     shared = rows.sparkSession.sparkContext.broadcast(splitters)
     columns = ("keys", "doc", "h", "lo")
@@ -378,8 +402,8 @@ def _by_range(checks: DataFrame, rows: DataFrame, length: int, n_ranges: int) ->
                 where.append((task + turn) % (len(shared.value) + 1))
             return packed(where, sent)
 
-        for batch in batches:
-            for r in _cut(batch, length):
+        for piece in (p for batch in batches for p in _pieces(batch)):
+            for r in _cut(piece, length):
                 held.append(r)
                 size += len(r[4]) - length + 1
                 if size >= _FLUSH // 2:
@@ -407,7 +431,7 @@ def _by_range(checks: DataFrame, rows: DataFrame, length: int, n_ranges: int) ->
     return map_partitions(sent.repartitionById(len(splitters) + 1, F.col("part")), last, "doc long, h long, lo int, n int")
 
 
-def _by_sorting(cut: DataFrame, length: int) -> DataFrame:
+def _by_sorting(cut: DataFrame, length: int, n_ranges: int) -> DataFrame:
     """(doc, h, lo, n): the later ones of equal suffixes, sorted in batches of whole tokens."""
 
     def gone(rows) -> pa.RecordBatch | None:
@@ -428,17 +452,20 @@ def _by_sorting(cut: DataFrame, length: int) -> DataFrame:
         if held and (out := gone(held)) is not None:
             yield out
 
-    return map_partitions(cut.repartition("g").sortWithinPartitions("g"), run, "doc long, h long, lo int, n int")
+    return map_partitions(cut.repartition(n_ranges, "g").sortWithinPartitions("g"), run, "doc long, h long, lo int, n int")
 
 
 def repeated(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc, h, lo, n): runs of start positions whose ``length`` bytes also start earlier."""
     rows = _rows(docs, id_col, text_col)
-    n = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    splitters = _splitters(rows, n, length)
+    return _repeated(rows, *_ranges(rows), length)
+
+
+def _repeated(rows: DataFrame, total: int, n: int, length: int) -> DataFrame:
+    splitters = _splitters(rows, total, n, length)
     found = written(_settled(_runs_by_token(rows, splitters, length), splitters))
     spans = found.where("kind = 0").select("doc", "h", "lo", "n")
-    sorted_ = _by_sorting(_cut_out(found.where("kind = 1"), rows, length), length)
+    sorted_ = _by_sorting(_cut_out(found.where("kind = 1"), rows, length, n), length, n)
     out = spans.union(sorted_)
     crowded = found.where("kind = 2")
     return out if crowded.isEmpty() else out.union(_by_range(crowded, rows, length, n))
@@ -456,17 +483,21 @@ def deduplicate(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", t
     ids come last; ids must be integers, a TypeError says so. An empty table gives an empty result;
     other columns aren't read.
     """
-    spans = repeated(docs, length, id_col, text_col)
+    rows = _rows(docs, id_col, text_col)
+    total, n = _ranges(rows)
+    spans = _dealt(_repeated(rows, total, n, length), n)
     gone = spans.groupBy("doc", "h").agg(F.collect_list(F.struct("lo", "n")).alias("gone"))  # within one document
-    both = _rows(docs, id_col, text_col).join(gone, ["doc", "h"], "left").select("doc_id", "text", "gone")
+    both = _dealt(rows, n).join(gone, ["doc", "h"], "left").select("doc_id", "text", "gone")
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
     def run(batches):
-        for batch in batches:
+        for piece in (p for batch in batches for p in _pieces(batch)):
             sizes, removed, kept = [], [], []
-            for text, gone in zip(texts(batch), batch.column("gone").to_pylist()):
+            ends, (lo, n) = _lists(piece.column("gone"))
+            for i, text in enumerate(texts(piece)):
                 data, merged = text.encode("utf-8", "surrogatepass"), []
-                for s, e in sorted((x["lo"], x["lo"] + x["n"] + length - 1) for x in gone or ()):
+                gone = slice(ends[i], ends[i + 1])
+                for s, e in sorted(zip(lo[gone].tolist(), (lo[gone] + n[gone] + (length - 1)).tolist())):
                     if merged and s <= merged[-1][1]:
                         merged[-1][1] = max(merged[-1][1], e)
                     else:
@@ -478,10 +509,9 @@ def deduplicate(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", t
                 sizes.append(len(data))
                 removed.append([{"start": s, "end": e} for s, e in merged])
                 kept.append(b"".join([*left, data[at:]]))
-            if sizes:
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(removed, kind), pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "spans", "kept"]
-                )
+            yield pa.RecordBatch.from_arrays(
+                [piece.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(removed, kind), pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "spans", "kept"]
+            )
 
     ids = docs.schema[id_col].dataType.simpleString()
     return map_partitions(both, run, f"doc_id {ids}, n_bytes long, spans array<struct<start:int,end:int>>, kept binary")

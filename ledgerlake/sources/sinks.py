@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgerlake.operators.columns import check_columns
 from ledgerlake.operators.keyed import latest_per_key
 from ledgerlake.operators.setops import union_all
+from ledgerlake.session import own_shuffles_dropped
 from ledgerlake.sources.tables import path_exists
 
 DEFAULT_SCHEMA = "marts"
@@ -152,11 +153,12 @@ def write_table(
     writer = df.write.mode(mode).format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
-    if path is not None:
-        writer.save(path)
-    else:
-        target = f"{schema}.{name}" if schema else name
-        writer.saveAsTable(target)
+    with own_shuffles_dropped(df.sparkSession):
+        if path is not None:
+            writer.save(path)
+        else:
+            target = f"{schema}.{name}" if schema else name
+            writer.saveAsTable(target)
 
 
 def staged(df: DataFrame, path: str) -> DataFrame:

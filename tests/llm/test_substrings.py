@@ -1,6 +1,8 @@
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -133,3 +135,34 @@ def test_odd_rows(make_docs):
     n = len(text)
     assert got == [("1", n, 0, 0), ("1", n, 0, 0), ("2", 0, 0, 0), ("3", n + 1, n, 1), ("4", 120_000, 119_999, 1), ("None", n, n, 1)]
     assert substrings.deduplicate(docs.limit(0)).count() == 0
+
+
+def test_ranges_grow_in_number_with_the_texts(spark, make_docs, monkeypatch):
+    monkeypatch.setattr(substrings, "RANGE", 1000, raising=False)
+    monkeypatch.setattr(substrings, "CROWDED", 1)
+    rows, dealt = corpus(), []
+    plain = type(make_docs(rows)).repartitionById
+    monkeypatch.setattr(type(make_docs(rows)), "repartitionById", lambda self, n, *cols: dealt.append(n) or plain(self, n, *cols))
+    got = {r.doc_id: tuple(r)[1:] for r in substrings.digest(substrings.deduplicate(make_docs(rows).repartition(3))).collect()}
+    assert got == brute.without_repeats(rows, 100)
+    size = sum(len((t or "").encode()) for _, t in rows)
+    assert dealt[0] == -(-size // 1000) > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert len(dealt) == 2 and dealt[1] > 8  # and so do those of sorted suffixes
+
+
+def test_few_suffixes_of_many_bytes_need_little_memory():
+    data = np.random.default_rng(1).integers(0, 256, 1 << 20).astype(np.uint8)
+    tracemalloc.start()
+    live, _ = substrings.equal_suffixes(data, np.arange(0, 1 << 19, 1000), 100)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert not len(live) and peak < 1 << 20
+
+
+def test_pieces_hold_every_text_once(monkeypatch):
+    monkeypatch.setattr(substrings, "_BLOCK", 10)
+    texts = ["", None, "abc", "é" * 30, "", "x" * 9, None, "y", "z" * 11]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    pieces = [p.column("text").to_pylist() for p in substrings._pieces(batch.slice(1))]
+    assert sum(pieces, []) == texts[1:] and len(pieces) > 2 and all(sum(len((t or "").encode()) for t in p[:-1]) < 10 for p in pieces)
+    assert not list(substrings._pieces(batch.slice(0, 0)))

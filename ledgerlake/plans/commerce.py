@@ -231,9 +231,10 @@ def refund_ledger(
     rf = landed.groupBy("refund_id", "order_id", "user_id", "_r_created").agg(
         *[F.sum(c).alias(c) for c in ("_rl_subtotal", "_rl_tax", "_rl_quantity")]
     )
+    # Refunds and adjustments lie by refund already; from the orders on, all goes by order.
     base = (
-        rf.join(o, rf.order_id == o._o_id, "left")
-        .join(adj, rf.refund_id == adj._adj_id, "left")
+        rf.join(adj, rf.refund_id == adj._adj_id, "left")
+        .join(o, rf.order_id == o._o_id, "left")
         .select(
             local_date(F.col("_r_created").try_cast("timestamp"), zone).alias("refund_date"),
             local_date(F.col("_o_created").try_cast("timestamp"), zone).alias("order_date"),
@@ -364,7 +365,9 @@ def ledger_rows(order_days: DataFrame, refund_days: DataFrame, hashed_email: boo
     """
     od = order_days.alias("o")
     rd = refund_days.alias("r")
-    j = od.join(rd, (F.col("o.order_date") == F.col("r.refund_date")) & (F.col("o.order_id") == F.col("r.order_id")), "full")
+    # Both sides lie by order already. As a pair of bounds the date is no key of the join, which would have both dealt anew.
+    same_day = (F.col("o.order_date") >= F.col("r.refund_date")) & (F.col("o.order_date") <= F.col("r.refund_date"))
+    j = od.join(rd, (F.col("o.order_id") == F.col("r.order_id")) & same_day, "full")
 
     def oc(name, default=None):
         return F.col(f"o.{name}") if name in order_days.columns else F.lit(default)

@@ -1,6 +1,7 @@
 """Golden rows from FIXTURES.md §3 for the shop jobs."""
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -263,3 +264,26 @@ def test_line_facts_join_products_after_the_lines_are_summed(spark):
     slim = order_line_facts(lines, orders, products, refunds, taxes, with_order_total=False)
     summed = [x for x in slim._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Aggregate [" in x and "order_line_id#" in x]
     assert summed and not any("handle#" in x for x in summed)
+
+
+def test_ledger_deals_refunds_and_orders_by_order_once(spark, sf_small):
+    """Refunds go by refund, then by order; the ledger's join of orders and refunds finds both dealt by order."""
+    from ledgerlake.testbed.commerce import shop_ledger
+
+    plan = shop_ledger(spark, sf_small)._jdf.queryExecution().executedPlan().toString()
+    keys = [re.search(r"hashpartitioning\((.*), \d+\)", x)[1] for x in plan.split("\n") if "hashpartitioning(" in x and "ReusedExchange" not in x]
+    assert not [k for k in keys if "refund_date" in k or "order_date" in k]  # neither the refund days' group nor the full join
+    assert sum(bool(re.fullmatch(r"refund_id#\d+L?", k)) for k in keys) <= 1
+
+
+def test_ledger_keeps_days_that_do_not_meet(spark):
+    from ledgerlake.plans.commerce import ledger_rows
+
+    d = dt.date
+    orders = spark.createDataFrame([(d(2024, 1, 1), 1, 5.0), (d(2024, 1, 2), 1, 6.0), (None, 2, 7.0), (d(2024, 1, 1), None, 8.0)], "order_date date, order_id long, total_sales double")
+    refunds = spark.createDataFrame([(d(2024, 1, 1), 1, -1.0), (d(2024, 1, 3), 1, -2.0), (None, 2, -3.0), (d(2024, 1, 1), None, -4.0)], "refund_date date, order_id long, refund_amount_actuals double")
+    got = [tuple(r) for r in ledger_rows(orders, refunds).select("fulldate", "order_id", "orders_order_id", "return_order_id", "total_sales").collect()]
+    assert sorted(got, key=str) == sorted([
+        (d(2024, 1, 1), 1, 1, 1, 4.0), (d(2024, 1, 2), 1, 1, None, 6.0), (d(2024, 1, 3), 1, None, 1, -2.0),
+        (None, 2, 2, None, 7.0), (None, 2, None, 2, -3.0), (d(2024, 1, 1), None, None, None, 8.0), (d(2024, 1, 1), None, None, None, -4.0),
+    ], key=str)

@@ -22,6 +22,7 @@ from ledgerlake.sources.snapshots import snapshot_changes, write_snapshot
 from ledgerlake.sources.tables import (
     column_catalog,
     jdbc_options,
+    drop_path,
     path_exists,
     read_files,
     read_files_checked,
@@ -43,6 +44,7 @@ __all__ = [
     "jdbc_options",
     "kept_or_staged",
     "next_bookmark",
+    "drop_path",
     "path_exists",
     "replace_rows",
     "read_files",

@@ -133,3 +133,61 @@ def test_chain_reads_the_touched_rows_from_files(spark, tmp_path):
     frames = {"orders": spark.createDataFrame([(i, f"c{i}", day(i), 5) for i in range(30)], ORDERS), "refunds": spark.createDataFrame([(3, day(4), 1)], REFUNDS)}
     refresh_ledger(spark, f"{tmp_path}/shop", f"{tmp_path}/run0", frames, rules)
     assert seen and all("/run0/touched_" in f for f in seen)
+
+
+def test_a_complete_run_leaves_no_stages(spark, tmp_path):
+    frames = {"orders": spark.createDataFrame([(i, f"c{i}", day(i), 5) for i in range(30)], ORDERS), "refunds": spark.createDataFrame([(3, day(4), 1)], REFUNDS)}
+    done = []
+    rules = LedgerRules(RULES.keys, RULES.orders, small_chain, orders_per_part=10, email_buckets=4, chain_done=lambda: done.append(sorted(os.listdir(f"{tmp_path}/run0"))))
+    ledger = refresh_ledger(spark, f"{tmp_path}/shop", f"{tmp_path}/run0", frames, rules)
+    assert len(done) == 1 and {"rows", "touched_orders", "touched_refunds"} <= set(done[0])  # told once, when the chain's rows are written
+    assert not os.path.exists(f"{tmp_path}/run0") and ledger.count() == 31
+
+
+def test_a_run_that_broke_off_at_its_end_can_be_repeated(spark, tmp_path, monkeypatch):
+    from ledgerlake.plans import incremental
+
+    def slices(orders):
+        return {"orders": spark.createDataFrame(orders, ORDERS), "refunds": spark.createDataFrame([(3, day(4), 1)], REFUNDS)}
+
+    base = [(i, f"c{i % 9}", day(i), 5) for i in range(30)]
+    root, plain_drop, dropped = f"{tmp_path}/shop", incremental.drop_path, []
+    refresh_ledger(spark, root, f"{tmp_path}/run0", slices(base), RULES)
+    new = [(0, "c0", day(50), 7), (40, "c1", day(0), 2)]  # the first orders of c0 and c1 change
+
+    def breaks(spark, path):
+        dropped.append(path)
+        if len(dropped) == 6:
+            raise RuntimeError("lost")
+        plain_drop(spark, path)
+
+    monkeypatch.setattr(incremental, "drop_path", breaks)
+    try:
+        refresh_ledger(spark, root, f"{tmp_path}/run1", slices(new), RULES)
+        raise AssertionError("it should have broken off")
+    except RuntimeError:
+        assert all(p.endswith("/_SUCCESS") for p in dropped[2:])  # no stage goes while it looks finished
+    monkeypatch.setattr(incremental, "drop_path", plain_drop)
+    ledger = refresh_ledger(spark, root, f"{tmp_path}/run1", slices(new), RULES)
+    orders = {o[0]: o for o in [*base, *new]}
+    assert shown(ledger) == plain(orders, {3: [(3, day(4), 1)]})
+
+
+def test_a_write_drops_its_own_shuffles(spark, tmp_path):
+    import time
+
+    from ledgerlake.session import _CLEANUP, own_shuffles_dropped
+    from ledgerlake.sources.sinks import staged
+
+    def files():
+        return {f.getName() for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()) if f.getName().startswith("shuffle_")}
+
+    before = files()
+    assert staged(spark.range(1000).repartition(4, "id"), f"{tmp_path}/t").count() == 1000
+    until = time.time() + 20
+    while (left := {f for f in files() - before if f.endswith(".data")}) and time.time() < until:
+        time.sleep(0.2)
+    assert len(left) <= 1  # of the count, which is no write
+    with own_shuffles_dropped(spark), own_shuffles_dropped(spark):
+        assert spark.conf.get(_CLEANUP) == "true"
+    assert spark.conf.get(_CLEANUP) == "false"
